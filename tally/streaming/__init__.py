@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source analytics are batch queries over dated rows; they contain no
+stream, watermark, stream window, session or stateful operator.  Nothing is
+built here (see README, "Not built").  Every analytic in ``tally.plans`` is
+a DataFrame plan and would accept a streaming DataFrame only where Spark's
+streaming rules allow the same operators.
+"""
