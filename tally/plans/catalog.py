@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.bindings import CaseTables, bind
+from . import bank as K
 from . import subscription as U
 
 # Fixed parameters of the registered analytics (chosen inside the date range
@@ -51,8 +52,24 @@ SUBSCRIPTION: dict[str, Query] = {
 }
 
 
+BANK: dict[str, Query] = {
+    "bank_unique_nodes": _q(lambda t: K.unique_nodes(t.customer_nodes)),
+    "bank_nodes_per_region": _q(lambda t: K.nodes_per_region(t.customer_nodes, t.regions)),
+    "bank_customers_per_region": _q(lambda t: K.customers_per_region(t.customer_nodes, t.regions)),
+    "bank_avg_reallocation_days": _q(lambda t: K.avg_reallocation_days(t.customer_nodes)),
+    "bank_reallocation_percentiles": _q(
+        lambda t: K.reallocation_percentiles(t.customer_nodes, t.regions)),
+    "bank_txn_totals": _q(lambda t: K.txn_totals(t.customer_transactions)),
+    "bank_avg_deposits": _q(lambda t: K.avg_deposits(t.customer_transactions)),
+    "bank_active_customers_by_month": _q(
+        lambda t: K.active_customers_by_month(t.customer_transactions)),
+    "bank_closing_balance": _q(lambda t: K.closing_balance(t.customer_transactions)),
+    "bank_balance_growth_pct": _q(lambda t: K.balance_growth_pct(t.customer_transactions)),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for family in (SUBSCRIPTION,):
+    for family in (SUBSCRIPTION, BANK):
         out.update(family)
     return out
