@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.bindings import CaseTables, bind
 from . import bank as K
+from . import loyalty as L
 from . import subscription as U
 
 # Fixed parameters of the registered analytics (chosen inside the date range
@@ -21,6 +22,8 @@ from . import subscription as U
 AFTER_YEAR = 1998
 MIX_AS_OF = "1998-12-31"
 UPGRADE_YEAR = 1998
+POINTS_PRODUCT = "blue bolt"
+BONUS_END = "1998-01-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,8 +71,26 @@ BANK: dict[str, Query] = {
 }
 
 
+LOYALTY: dict[str, Query] = {
+    "loyalty_spend_per_customer": _q(lambda t: L.spend_per_customer(t.sales, t.menu)),
+    "loyalty_visit_days": _q(lambda t: L.visit_days(t.sales)),
+    "loyalty_first_item": _q(lambda t: L.first_item(t.sales, t.menu)),
+    "loyalty_most_purchased": _q(lambda t: L.most_purchased(t.sales, t.menu)),
+    "loyalty_favourite_item": _q(lambda t: L.favourite_item(t.sales, t.menu)),
+    "loyalty_first_after_join": _q(lambda t: L.first_after_join(t.sales, t.menu, t.members)),
+    "loyalty_last_before_join": _q(lambda t: L.last_before_join(t.sales, t.menu, t.members)),
+    "loyalty_spend_before_join": _q(lambda t: L.spend_before_join(t.sales, t.menu, t.members)),
+    "loyalty_points": _q(lambda t: L.loyalty_points(t.sales, t.menu, POINTS_PRODUCT)),
+    "loyalty_bonus_points_until": _q(
+        lambda t: L.bonus_points_until(t.sales, t.menu, t.members, BONUS_END)),
+    "loyalty_membership_table": _q(lambda t: L.membership_table(t.sales, t.menu, t.members)),
+    "loyalty_membership_ranking": _q(
+        lambda t: L.membership_ranking(t.sales, t.menu, t.members)),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for family in (SUBSCRIPTION, BANK):
+    for family in (SUBSCRIPTION, BANK, LOYALTY):
         out.update(family)
     return out
