@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.bindings import CaseTables, bind
+from ..operators.clean import clean_deliveries, clean_orders
 from . import bank as K
+from . import delivery as V
 from . import loyalty as L
 from . import subscription as U
 
@@ -89,8 +91,68 @@ LOYALTY: dict[str, Query] = {
 }
 
 
+def _orders(t: CaseTables) -> DataFrame:
+    return clean_orders(t.customer_orders_raw)
+
+
+def _deliveries(t: CaseTables) -> DataFrame:
+    return clean_deliveries(t.runner_orders_raw)
+
+
+def _recipe_rows(t: CaseTables) -> DataFrame:
+    return V.recipe_items(t.pizza_recipes, t.pizza_toppings)
+
+
+def _records(t: CaseTables) -> DataFrame:
+    return V.order_records(_orders(t))
+
+
+DELIVERY: dict[str, Query] = {
+    "delivery_clean_orders": _q(_orders),
+    "delivery_clean_deliveries": _q(_deliveries),
+    "delivery_items_ordered": _q(lambda t: V.items_ordered(_orders(t))),
+    "delivery_unique_orders": _q(lambda t: V.unique_orders(_orders(t))),
+    "delivery_deliveries_per_runner": _q(lambda t: V.deliveries_per_runner(_deliveries(t))),
+    "delivery_delivered_by_type": _q(
+        lambda t: V.delivered_by_type(_orders(t), t.pizza_names, _deliveries(t))),
+    "delivery_ordered_by_customer_type": _q(
+        lambda t: V.ordered_by_customer_type(_orders(t), t.pizza_names)),
+    "delivery_max_items_in_order": _q(lambda t: V.max_items_in_order(_orders(t))),
+    "delivery_changed_vs_unchanged": _q(
+        lambda t: V.changed_vs_unchanged(_orders(t), _deliveries(t))),
+    "delivery_both_changes": _q(lambda t: V.both_changes(_orders(t), _deliveries(t))),
+    "delivery_volume_by_hour": _q(lambda t: V.volume_by_hour(_orders(t))),
+    "delivery_orders_by_weekday": _q(lambda t: V.orders_by_weekday(_orders(t))),
+    "delivery_signups_by_week": _q(lambda t: V.signups_by_week(t.runners)),
+    "delivery_avg_pickup_minutes": _q(lambda t: V.avg_pickup_minutes(_orders(t), _deliveries(t))),
+    "delivery_prep_time_by_size": _q(lambda t: V.prep_time_by_size(_orders(t), _deliveries(t))),
+    "delivery_avg_distance_per_customer": _q(
+        lambda t: V.avg_distance_per_customer(_orders(t), _deliveries(t))),
+    "delivery_time_range": _q(lambda t: V.delivery_time_range(_orders(t), _deliveries(t))),
+    "delivery_runner_speed": _q(lambda t: V.runner_speed(_orders(t), _deliveries(t))),
+    "delivery_success_pct": _q(lambda t: V.success_pct(_deliveries(t))),
+    "delivery_top_extras": _q(lambda t: V.top_extras(_orders(t), t.pizza_toppings)),
+    "delivery_top_exclusions": _q(lambda t: V.top_exclusions(_orders(t), t.pizza_toppings)),
+    "delivery_order_item_label": _q(lambda t: V.order_item_label(_orders(t), t.pizza_names)),
+    "delivery_extras_exploded": _q(lambda t: V.extras_exploded(_records(t))),
+    "delivery_exclusions_exploded": _q(lambda t: V.exclusions_exploded(_records(t))),
+    "delivery_ingredient_lists": _q(
+        lambda t: V.ingredient_lists(_records(t), t.pizza_names, _recipe_rows(t))),
+    "delivery_ingredient_totals": _q(
+        lambda t: V.ingredient_totals(_orders(t), _deliveries(t), _recipe_rows(t))),
+    "delivery_revenue": _q(lambda t: V.revenue(_orders(t), _deliveries(t), t.pizza_names)),
+    "delivery_revenue_with_surcharge": _q(
+        lambda t: V.revenue_with_surcharge(_orders(t), _deliveries(t), t.pizza_names,
+                                           _recipe_rows(t))),
+    "delivery_ratings_table": _q(lambda t: V.ratings_table(t.rating_source)),
+    "delivery_report": _q(lambda t: V.delivery_report(
+        _orders(t), _deliveries(t), V.ratings_table(t.rating_source))),
+    "delivery_net_revenue": _q(lambda t: V.net_revenue(_orders(t), _deliveries(t), t.pizza_names)),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for family in (SUBSCRIPTION, BANK, LOYALTY):
+    for family in (SUBSCRIPTION, BANK, LOYALTY, DELIVERY):
         out.update(family)
     return out
