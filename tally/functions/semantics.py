@@ -114,7 +114,7 @@ def month_floor(d: ColumnOrName) -> Column:
 def us_week(d: ColumnOrName) -> Column:
     """Week of year with weeks starting on Sunday and Jan 1 in week 1."""
     d = _c(d)
-    return int_div(F.dayofyear(d) + F.dayofweek(F.trunc(d, "year")) - 2, F.lit(7)) + 1
+    return (int_div(F.dayofyear(d) + F.dayofweek(F.trunc(d, "year")) - 2, F.lit(7)) + 1).cast("int")
 
 
 def weekday_name(ts: ColumnOrName) -> Column:

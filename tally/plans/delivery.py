@@ -23,6 +23,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cleaning import list_items
 from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div,
@@ -32,6 +33,7 @@ from ..operators.clean import with_record_id
 from ..operators.ids import with_dense_id
 from ..operators.joins import bounded_broadcast
 from ..operators.lists import explode_list
+from ..sources.tables import append_rows, rows_table
 
 # Menu prices of the pricing questions (name -> price, any
 # other item at the default), the surcharged topping and the runner rate.
@@ -103,10 +105,8 @@ def standard_ingredients(recipes: DataFrame, names: DataFrame, toppings: DataFra
 def add_menu_item(names: DataFrame, recipes: DataFrame, pizza_id: int, pizza_name: str,
                   toppings: str) -> tuple[DataFrame, DataFrame]:
     """The menu and the recipes with one item appended."""
-    spark = names.sparkSession
-    new_name = spark.createDataFrame([(pizza_id, pizza_name)], names.schema)
-    new_recipe = spark.createDataFrame([(pizza_id, toppings)], recipes.schema)
-    return names.unionByName(new_name), recipes.unionByName(new_recipe)
+    return (append_rows(names, [(pizza_id, pizza_name)]),
+            append_rows(recipes, [(pizza_id, toppings)]))
 
 
 # ---------------------------------------------------------- pizza metrics
@@ -424,8 +424,9 @@ def ratings_table(rating_rows: DataFrame) -> DataFrame:
 
 def ratings_from_rows(spark, rows) -> DataFrame:
     """Literal (order_id, runner_id, customer_id, rating) rows as a ratings table."""
-    schema = "order_id int, runner_id int, customer_id int, rating int"
-    return ratings_table(spark.createDataFrame(list(rows), schema))
+    schema = T.StructType([T.StructField(c, T.IntegerType()) for c in
+                           ("order_id", "runner_id", "customer_id", "rating")])
+    return ratings_table(rows_table(spark, rows, schema))
 
 
 def delivery_report(orders: DataFrame, deliveries: DataFrame, ratings: DataFrame,

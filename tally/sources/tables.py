@@ -31,13 +31,46 @@ def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def append_rows(df: DataFrame, rows: Iterable[Sequence]) -> DataFrame:
     """Union literal rows onto a table, matched by column name."""
-    extra = df.sparkSession.createDataFrame(list(rows), df.schema)
+    extra = rows_table(df.sparkSession, rows, df.schema)
     return df.unionByName(extra)
 
 
+def _sql_literal(v, dtype: T.DataType) -> str:
+    t = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.StringType):
+        text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if v else "FALSE"
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"CAST({int(v)} AS {t})"
+    if isinstance(dtype, T.DateType):
+        return f"DATE '{v}'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{v}'"
+    return f"CAST('{v}' AS {t})"
+
+
 def rows_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
-    """A new table from literal rows with a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """A new table from literal rows with a declared schema.
+
+    Built as an inline ``VALUES`` table, which Spark plans as a
+    LocalRelation with exact size statistics (so joins against it can be
+    broadcast under a size check); a DataFrame made from a Python list would
+    instead be an RDD scan of unknown size.
+    """
+    rows = [tuple(r) for r in rows]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    fields = schema.fields
+    body = ", ".join(
+        "(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, fields)) + ")"
+        for r in rows)
+    cols = ", ".join(f"c{i}" for i in range(len(fields)))
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({cols})")
+    return df.select(*[df[f"c{i}"].cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
 # --------------------------------------------------------------------------
@@ -81,9 +114,7 @@ PIZZA_RECIPE_ROWS = [
 
 
 def plans(spark: SparkSession) -> DataFrame:
-    from decimal import Decimal
-    rows = [(i, n, None if p is None else Decimal(p)) for i, n, p in PLAN_ROWS]
-    return rows_table(spark, rows, PLANS_SCHEMA)
+    return rows_table(spark, PLAN_ROWS, PLANS_SCHEMA)
 
 
 def pizza_names(spark: SparkSession) -> DataFrame:

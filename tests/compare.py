@@ -50,6 +50,22 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                 "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_diffs(sdf, rel):
+    """Columns whose Spark type does not map to the DuckDB type."""
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for c, t in sdf.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if d_types.get(c) != want:
+            out.append((c, t, d_types.get(c)))
+    return out
+
+
 def rows_key(rows):
     return sorted((tuple(norm(x) for x in r) for r in rows), key=lambda r: repr(r))
 
@@ -80,7 +96,10 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             idx = [d_cols.index(c) for c in s_cols]
             d_rows = [tuple(r[i] for i in idx) for r in d_rows]
         ok = ok_cols and len(s_rows) == len(d_rows) and rows_key(s_rows) == rows_key(d_rows)
-        results[name] = ("ok" if ok else "MISMATCH", len(s_rows), len(d_rows))
+        tdiff = type_diffs(sdf, rel) if ok_cols else []
+        results[name] = ("ok" if ok else "MISMATCH", len(s_rows), len(d_rows), tdiff)
+        if verbose and tdiff:
+            print(f"   type differences in {name}: {tdiff}")
         if verbose:
             print(f"{name:45s} {'ok' if ok else 'MISMATCH':8s} spark={len(s_rows)} "
                   f"duck={len(d_rows)} ({ts:.1f}s)")

@@ -1,0 +1,59 @@
+"""Summarise the physical plan of every registered analytic.
+
+Usage: python tests/plan_report.py [sf_dir] [name ...]
+
+Per query: number of shuffle exchanges, broadcast exchanges, join kinds,
+window / WindowGroupLimit nodes, Python evaluation nodes (must be 0) and the
+ReadSchema of each parquet scan (column pruning).  With names given, the
+full formatted plan is printed too.
+"""
+
+from __future__ import annotations
+
+import os
+import re
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df) -> str:
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def summarise(text: str) -> dict:
+    return {
+        "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|"
+                                   r"Exchange SinglePartition|Exchange RoundRobin", text)),
+        "broadcasts": text.count("BroadcastExchange"),
+        "smj": text.count("SortMergeJoin"),
+        "bhj": text.count("BroadcastHashJoin"),
+        "bnlj": text.count("BroadcastNestedLoopJoin"),
+        "window": len(re.findall(r"\bWindow\b", text)),
+        "wgl": text.count("WindowGroupLimit"),
+        "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|"
+                                 r"MapInPandas|PythonUDF", text)),
+    }
+
+
+if __name__ == "__main__":
+    from tally.session import local_session
+    import __spark_entry__ as E
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:]
+    spark = local_session(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan for reading
+    for name, fn in E.queries().items():
+        if names and name not in names:
+            continue
+        df = fn(spark, sf)
+        txt = plan_text(df)
+        s = summarise(txt)
+        print(f"{name:42s} " + " ".join(f"{k}={v}" for k, v in s.items()))
+        if names:
+            print(formatted(df))
