@@ -38,10 +38,16 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be {REFERENCE!r} or {STRICT!r}, got {mode!r}")
 
 
+def _is_blank_or_null_text(c: Column) -> Column:
+    """'' or the text 'null' (any case, blanks around); NULL for NULL input."""
+    return F.lower(F.trim(c)).isin("", NULL_TEXT)
+
+
 def blank_null_like(col: ColumnOrName) -> Column:
     """NULL or the text 'null' (any case) -> '' ; other values unchanged."""
     c = _c(col)
-    return F.when(c.isNull() | (F.lower(F.trim(c)) == NULL_TEXT), F.lit("")).otherwise(c)
+    return F.when(F.coalesce(F.lower(F.trim(c)), F.lit(NULL_TEXT)) == NULL_TEXT,
+                  F.lit("")).otherwise(c)
 
 
 def blank_null_text(col: ColumnOrName) -> Column:
@@ -50,37 +56,61 @@ def blank_null_text(col: ColumnOrName) -> Column:
     return F.when(F.lower(F.trim(c)) == NULL_TEXT, F.lit("")).otherwise(c)
 
 
+# The parsers below take the raw text and fold the 'null'-text step
+# in: 'null' and '' are both "blank".  Each references its input only
+# twice, so when Catalyst pushes a filter on a cleaned column below the
+# projection (substituting the expression), the predicate stays small.
+
 def parse_number(col: ColumnOrName, mode: str = REFERENCE) -> Column:
-    """Leading decimal number of a text with a unit suffix ('13.4 km') -> double (C4)."""
+    """Leading decimal number of a text with a unit suffix ('13.4 km') -> double (C4).
+
+    Blank or 'null' text -> 0.0 (reference) / NULL (strict); NULL -> NULL;
+    text without a number -> NULL.
+    """
     _check_mode(mode)
     c = _c(col)
-    parsed = F.regexp_extract(c, NUMBER_PATTERN, 1).try_cast("double")
+    parsed = F.nullif(F.regexp_extract(c, NUMBER_PATTERN, 1), F.lit("")).try_cast("double")
     if mode == REFERENCE:
-        return F.when(F.trim(c) == "", F.lit(0.0)).otherwise(parsed)
+        return F.coalesce(parsed, F.when(_is_blank_or_null_text(c), F.lit(0.0)))
     return parsed
 
 
 def parse_int(col: ColumnOrName, mode: str = REFERENCE) -> Column:
-    """Leading integer of '32 minutes', '15 minute', '20mins', '10' -> int."""
+    """Leading integer of '32 minutes', '15 minute', '20mins', '10' -> int.
+
+    Blank or 'null' text -> 0 (reference) / NULL (strict); NULL -> NULL.
+    """
     _check_mode(mode)
     c = _c(col)
-    parsed = F.regexp_extract(c, INTEGER_PATTERN, 1).try_cast("int")
+    parsed = F.nullif(F.regexp_extract(c, INTEGER_PATTERN, 1), F.lit("")).try_cast("int")
     if mode == REFERENCE:
-        return F.when(F.trim(c) == "", F.lit(0)).otherwise(parsed)
+        return F.coalesce(parsed, F.when(_is_blank_or_null_text(c), F.lit(0)))
     return parsed
 
 
 def parse_ts(col: ColumnOrName, mode: str = REFERENCE) -> Column:
-    """Text -> timestamp_ntz; unparseable text -> NULL."""
+    """Text -> timestamp_ntz.
+
+    Blank or 'null' text -> 1900-01-01 00:00:00 (reference) / NULL (strict);
+    unparseable text and NULL -> NULL.
+    """
     _check_mode(mode)
     c = _c(col)
     parsed = c.try_cast("timestamp_ntz")
     if mode == REFERENCE:
-        return F.when(F.trim(c) == "", F.lit(BLANK_TIME).cast("timestamp_ntz")).otherwise(parsed)
+        return F.coalesce(parsed, F.when(_is_blank_or_null_text(c),
+                                         F.lit(BLANK_TIME).cast("timestamp_ntz")))
     return parsed
 
 
+LIST_SEPARATOR = r" *, *"
+
+
 def list_items(col: ColumnOrName) -> Column:
-    """Comma-separated text -> array of trimmed, non-empty items."""
-    items = F.transform(F.split(_c(col), ","), lambda s: F.trim(s))
-    return F.filter(items, lambda s: s != "")
+    """Comma-separated text -> array of space-trimmed, non-empty items.
+
+    Built from ``split`` on a separator that absorbs surrounding blanks and
+    ``array_remove`` of empty items: both are code-generated built-ins, no
+    per-element lambda.
+    """
+    return F.array_remove(F.split(F.trim(_c(col)), LIST_SEPARATOR), "")

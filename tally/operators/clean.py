@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import (REFERENCE, blank_null_like, blank_null_text,
-                                  parse_int, parse_number, parse_ts)
+from ..functions.cleaning import (REFERENCE, blank_null_like, parse_int,
+                                  parse_number, parse_ts)
 from .ids import with_dense_id
 
 ORDER_RECORD_KEY = ("order_id", "customer_id", "pizza_id", "exclusions", "extras", "order_time")
@@ -23,7 +23,7 @@ def clean_orders(raw: DataFrame, mode: str = REFERENCE) -> DataFrame:
 
 
 def clean_deliveries(raw: DataFrame, mode: str = REFERENCE) -> DataFrame:
-    """runner_orders: 'null' text -> blank, units stripped, typed columns.
+    """runner_orders: 'null' text treated as blank, units stripped, typed columns.
 
     ``mode='reference'`` turns blanks into 0 / 0.0 / 1900-01-01 like the
     source's in-place type change; ``mode='strict'`` turns them into NULL.
@@ -31,9 +31,9 @@ def clean_deliveries(raw: DataFrame, mode: str = REFERENCE) -> DataFrame:
     return raw.select(
         *[c for c in raw.columns
           if c not in ("pickup_time", "distance", "duration", "cancellation")],
-        parse_ts(blank_null_text("pickup_time"), mode).alias("pickup_time"),
-        parse_number(blank_null_text("distance"), mode).alias("distance"),
-        parse_int(blank_null_text("duration"), mode).alias("duration"),
+        parse_ts("pickup_time", mode).alias("pickup_time"),
+        parse_number("distance", mode).alias("distance"),
+        parse_int("duration", mode).alias("duration"),
         blank_null_like("cancellation").alias("cancellation"),
     ).select(*raw.columns)
 

@@ -145,8 +145,7 @@ DELIVERY: dict[str, Query] = {
         lambda t: V.revenue_with_surcharge(_orders(t), _deliveries(t), t.pizza_names,
                                            _recipe_rows(t))),
     "delivery_ratings_table": _q(lambda t: V.ratings_table(t.rating_source)),
-    "delivery_report": _q(lambda t: V.delivery_report(
-        _orders(t), _deliveries(t), V.ratings_table(t.rating_source))),
+    "delivery_report": _q(lambda t: V.delivery_report(_orders(t), _deliveries(t), t.rating_source)),
     "delivery_net_revenue": _q(lambda t: V.net_revenue(_orders(t), _deliveries(t), t.pizza_names)),
 }
 

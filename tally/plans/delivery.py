@@ -342,13 +342,24 @@ def exclusions_exploded(records: DataFrame) -> DataFrame:
     return explode_list(r, "exclusions", "topp_id", keep=["record_id"])
 
 
-def recipe_arrays(recipe_rows: DataFrame) -> DataFrame:
-    """One row per pizza with its recipe as array<struct<topping_id, topping_name>>.
-
-    Bounded by the size of the menu, so it is broadcast next to the records.
-    """
-    return recipe_rows.groupBy("pizza_id").agg(
-        F.collect_list(F.struct("topping_id", "topping_name")).alias("_recipe"))
+def recipe_arrays(recipe_rows: DataFrame, names: DataFrame) -> DataFrame:
+    """One row per pizza: its recipe as array<struct<topping_id, topping_name>>
+    plus the finished lists for the two exclusion-free cases (plain, and all
+    marked '2x').  Bounded by the size of the menu, so it is broadcast."""
+    per = recipe_rows.groupBy("pizza_id").agg(
+        F.array_sort(F.collect_list(F.struct("topping_name", "topping_id"))).alias("_sorted"))
+    per = per.join(_dim(names), "pizza_id")
+    plain = F.transform(F.col("_sorted"), lambda t: t["topping_name"])
+    doubled = F.transform(F.col("_sorted"), lambda t: F.concat(F.lit("2x"), t["topping_name"]))
+    head = F.concat(F.col("pizza_name"), F.lit(":"))
+    return per.select(
+        "pizza_id", "pizza_name",
+        F.transform(F.col("_sorted"), lambda t: F.struct(t["topping_id"].alias("topping_id"),
+                                                          t["topping_name"].alias("topping_name")))
+        .alias("_recipe"),
+        F.concat(head, F.array_join(plain, ",")).alias("_plain"),
+        F.concat(head, F.array_join(doubled, ",")).alias("_doubled"),
+    )
 
 
 def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFrame) -> DataFrame:
@@ -361,20 +372,26 @@ def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFram
     whose pizza has no recipe, produce no row.
 
     Each record's exclusions and extras are its own comma lists, so the
-    whole answer is a per-row computation on the record joined to two
-    broadcast dimension rows: no shuffle.
+    answer is a per-row computation on the record joined to one broadcast
+    row per pizza: no shuffle.  Records without exclusions take one of the
+    two finished lists of their pizza; only records with exclusions filter
+    the recipe array.
     """
-    rec = _dim(recipe_arrays(recipe_rows))
-    j = records.join(_dim(names), "pizza_id").join(rec, "pizza_id")
+    rec = _dim(recipe_arrays(recipe_rows, names))
+    j = records.join(rec, "pizza_id")
     excl = list_items(F.col("exclusions"))
     has_extra = F.trim(F.col("extras")) != ""
-    kept = F.filter(F.col("_recipe"), lambda t: ~F.array_contains(excl, t["topping_id"]))
-    labelled = F.transform(kept, lambda t: F.when(has_extra, F.concat(F.lit("2x"), t["topping_name"]))
-                           .otherwise(t["topping_name"]))
-    out = j.select("record_id", "pizza_name", F.array_sort(labelled).alias("_items"))
-    out = out.where(F.size("_items") > 0)
-    return out.select("record_id", concat_text(F.col("pizza_name"), F.lit(":"),
-                                               F.array_join("_items", ",")).alias("ingredients_list"))
+    keep = lambda t: ~F.array_contains(excl, t["topping_id"])
+    label = lambda t: F.when(has_extra, F.concat(F.lit("2x"), t["topping_name"])).otherwise(
+        t["topping_name"])
+    filtered = F.concat(F.col("pizza_name"), F.lit(":"),
+                        F.array_join(F.transform(F.filter(F.col("_recipe"), keep), label), ","))
+    no_excl = F.size(excl) == 0
+    text = (F.when(no_excl & has_extra, F.col("_doubled"))
+            .when(no_excl, F.col("_plain"))
+            .otherwise(filtered))
+    out = j.where(no_excl | F.exists(F.col("_recipe"), keep))
+    return out.select("record_id", text.alias("ingredients_list"))
 
 
 def _delivered_per_pizza(orders: DataFrame, deliveries: DataFrame) -> DataFrame:

@@ -13,6 +13,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# JVM option for the driver and executors: whole-stage code generation fuses
+# a scan, a pushed-down filter and the cleaning projections into one method;
+# when that method is larger than the JIT's default size limit it runs in the
+# bytecode interpreter (several times slower).  This lets the JIT compile it.
+# On a cluster set the same value in spark.executor.extraJavaOptions.
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 # Settings every session should carry for these analytics: UTC so that
 # timestamp_ntz <-> timestamp conversions are identity, ANSI on so bad casts
 # fail loudly unless a try_* form is used on purpose, AQE for runtime
@@ -36,6 +43,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.driver.memory", os.environ.get("TALLY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     for k, v in ANALYTIC_CONF.items():
         builder = builder.config(k, v)

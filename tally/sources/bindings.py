@@ -35,7 +35,8 @@ def _minutes_after(ts: Column, minutes: Column) -> Column:
 
 
 def _ts_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """'yyyy-MM-dd HH:mm:ss' (the bound times have whole seconds)."""
+    return ts.cast("string")
 
 
 def _text(x: Column) -> Column:
@@ -96,7 +97,7 @@ class CaseTables:
                       .when(line == 2, "null").when(line == 3, "")
                       .when(line == 4, "4").when(line == 5, "2, 6")
                       .when(line == 6, "").otherwise("4"))
-        xk = (F.col("l_partkey") / 2).cast("long") % 6
+        xk = F.call_function("div", F.col("l_partkey"), F.lit(2)) % 6
         extras = (F.when(xk == 0, F.lit(None).cast("string"))
                   .when(xk == 1, "null").when(xk == 2, "")
                   .when(xk == 3, "1").when(xk == 4, "1, 5").otherwise("1, 4"))
@@ -118,18 +119,20 @@ class CaseTables:
         missing = F.when(k % 4 == 1, F.lit(None).cast("string")).otherwise(F.lit("null"))
         order_ts = _minutes_after(F.col("o_orderdate"), (k % 1440).cast("int"))
         pickup_ts = _minutes_after(order_ts, ((k * 7) % 45 + 1).cast("int"))
+        # Each text is built from shared pieces (the number once, then an
+        # optional decimal part and a unit chosen by a small CASE) so that the
+        # expression stays compact when Catalyst inlines it into filters.
         tenths = k % 230 + 20
-        whole, frac = _text((tenths / 10).cast("long")), _text(tenths % 10)
-        distance = (F.when(k % 4 == 0, F.concat(whole, F.lit("."), frac, F.lit("km")))
-                    .when(k % 4 == 1, F.concat(whole, F.lit("."), frac, F.lit(" km")))
-                    .when(k % 4 == 2, F.concat(whole, F.lit("."), frac))
-                    .otherwise(whole))
-        mins = _text(k % 31 + 10)
-        dk = (k / 4).cast("long") % 4
-        duration = (F.when(dk == 0, F.concat(mins, F.lit(" minutes")))
-                    .when(dk == 1, F.concat(mins, F.lit(" minute")))
-                    .when(dk == 2, F.concat(mins, F.lit("mins")))
-                    .otherwise(mins))
+        r4 = k % 4
+        distance = F.concat(
+            _text(F.call_function("div", tenths, F.lit(10))),
+            F.when(r4 != 3, F.concat(F.lit("."), _text(tenths % 10))).otherwise(F.lit("")),
+            F.when(r4 == 0, F.lit("km")).when(r4 == 1, F.lit(" km")).otherwise(F.lit("")))
+        dk = F.call_function("div", k, F.lit(4)) % 4
+        duration = F.concat(
+            _text(k % 31 + 10),
+            F.when(dk == 0, F.lit(" minutes")).when(dk == 1, F.lit(" minute"))
+            .when(dk == 2, F.lit("mins")).otherwise(F.lit("")))
         cancellation = (F.when(delivered & (k % 3 == 0), F.lit(None).cast("string"))
                         .when(delivered & (k % 3 == 1), F.lit("null"))
                         .when(delivered, F.lit(""))
