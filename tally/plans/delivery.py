@@ -7,10 +7,12 @@ runner_id, pickup_time, distance, duration, cancellation) with one row per
 order, and the small dimensions ``names`` (pizza_id, pizza_name),
 ``recipes`` (pizza_id, toppings), ``toppings`` (topping_id, topping_name).
 
-Scale notes.  Items are pre-aggregated to one row per (order, ...) or per
-pizza before they meet the deliveries, so the fact-to-fact join on
-``order_id`` shuffles the combined rows, and per-pizza totals never join
-item rows to the recipe.  Ingredient lists are built per record with array
+Scale notes.  Item rows meet the deliveries in one join on ``order_id``
+(one shuffle of each side, or none when the deliveries are small enough to
+broadcast); aggregates keyed by the order then reuse that partitioning, and
+aggregates keyed by something small (pizza, runner, customer) combine
+map-side.  Per-pizza totals are counted before they meet the recipe, so item
+rows are never multiplied by recipe rows.  Ingredient lists are built per record with array
 functions on the record's own row (no join, no shuffle).  Ratings joined on
 the customer alone (quirk Q17) are counted per (customer, rating) first, so
 the fan-out never materialises one row per (order, rating) pair.
@@ -66,6 +68,12 @@ def delivered(deliveries: DataFrame) -> DataFrame:
     return deliveries.where(F.col("cancellation") == "")
 
 
+def _delivered_items(orders: DataFrame, deliveries: DataFrame,
+                     cols: Sequence[str] = ()) -> DataFrame:
+    """Item rows of delivered orders, with extra delivery columns."""
+    return orders.join(delivered(deliveries).select("order_id", *cols), "order_id")
+
+
 def _items_per(orders: DataFrame, keys: Sequence[str], out: str = "_n") -> DataFrame:
     """COUNT(pizza_id) per key tuple (map-side combined)."""
     return orders.groupBy(*keys).agg(F.count("pizza_id").alias(out))
@@ -130,10 +138,8 @@ def deliveries_per_runner(deliveries: DataFrame) -> DataFrame:
 
 def delivered_by_type(orders: DataFrame, names: DataFrame, deliveries: DataFrame) -> DataFrame:
     """V4: delivered items per pizza name."""
-    per = _items_per(orders, ["order_id", "pizza_id"])
-    per = per.join(delivered(deliveries).select("order_id"), "order_id")
-    per = per.join(_dim(names), "pizza_id", "left")
-    return per.groupBy("pizza_name").agg(F.sum("_n").alias("total_delivered"))
+    per = _delivered_items(orders, deliveries).join(_dim(names), "pizza_id", "left")
+    return per.groupBy("pizza_name").agg(F.count("pizza_id").alias("total_delivered"))
 
 
 def ordered_by_customer_type(orders: DataFrame, names: DataFrame) -> DataFrame:
@@ -165,20 +171,16 @@ def _unchanged(orders: DataFrame) -> Column:
 
 def changed_vs_unchanged(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """V7: delivered items with at least one change / with none, per customer."""
-    per = orders.groupBy("order_id", "customer_id").agg(
-        F.sum(F.when(_changed(orders), 1).otherwise(0)).alias("_c"),
-        F.sum(F.when(_unchanged(orders), 1).otherwise(0)).alias("_u"))
-    per = per.join(delivered(deliveries).select("order_id"), "order_id")
+    per = _delivered_items(orders, deliveries)
     return per.groupBy("customer_id").agg(
-        F.sum("_c").alias("change"), F.sum("_u").alias("no_changes"))
+        F.sum(F.when(_changed(orders), 1).otherwise(0)).alias("change"),
+        F.sum(F.when(_unchanged(orders), 1).otherwise(0)).alias("no_changes"))
 
 
 def both_changes(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """V8: delivered items with both exclusions and extras."""
     both = orders.where((F.col("exclusions") != "") & (F.col("extras") != ""))
-    per = _items_per(both, ["order_id"])
-    per = per.join(delivered(deliveries).select("order_id"), "order_id")
-    return per.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("pizza_count"))
+    return _delivered_items(both, deliveries).agg(F.count("pizza_id").alias("pizza_count"))
 
 
 def volume_by_hour(orders: DataFrame) -> DataFrame:
@@ -209,25 +211,23 @@ def avg_pickup_minutes(orders: DataFrame, deliveries: DataFrame,
     fields, one value per item row.  ``per_order=True`` instead averages the
     minutes crossed from order to pickup, one value per order.
     """
-    per = _items_per(orders, ["order_id", "order_time"])
-    j = per.join(delivered(deliveries).select("order_id", "runner_id", "pickup_time"),
-                 "order_id")
+    j = _delivered_items(orders, deliveries, ["runner_id", "pickup_time"])
     if per_order:
-        j = j.withColumn("_n", F.lit(1).cast("long"))
+        j = j.select("runner_id", "order_id", "order_time", "pickup_time").distinct()
         d = minutes_crossed("order_time", "pickup_time")
     else:
         d = F.abs(F.minute("order_time") - F.minute("pickup_time"))
-    j = j.withColumn("_d", d.cast("long"))
-    agg = j.groupBy("runner_id").agg(
-        F.sum(F.col("_n") * F.col("_d")).alias("_s"),
-        F.sum(F.when(F.col("_d").isNotNull(), F.col("_n"))).alias("_k"))
-    return agg.select("runner_id", int_div(F.col("_s"), F.col("_k")).alias("avg_time"))
+    return j.groupBy("runner_id").agg(int_avg(d).alias("avg_time"))
 
 
 def _order_pickup(orders: DataFrame, deliveries: DataFrame, cond: Column) -> DataFrame:
-    """Items per (order, order time) joined to the order's delivery row."""
-    per = _items_per(orders, ["order_id", "order_time"], "num_pizza")
-    return per.join(deliveries.where(cond).select("order_id", "pickup_time"), "order_id")
+    """Items per (order, pickup time, order time) of deliveries passing ``cond``.
+
+    The join is on ``order_id``; the grouping keys start with it, so the
+    aggregate reuses the join's partitioning."""
+    j = orders.join(deliveries.where(cond).select("order_id", "pickup_time"), "order_id")
+    return j.groupBy("order_id", "pickup_time", "order_time").agg(
+        F.count("order_id").alias("num_pizza"))
 
 
 def prep_time_by_size(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -246,12 +246,9 @@ def avg_distance_per_customer(orders: DataFrame, deliveries: DataFrame) -> DataF
     ``mode='strict'`` to leave them out.  Items without a delivery row or
     with a NULL distance are ignored by the average.
     """
-    per = _items_per(orders, ["customer_id", "order_id"])
-    j = per.join(deliveries.select("order_id", "distance"), "order_id", "left")
-    has = F.col("distance").isNotNull()
+    j = orders.join(deliveries.select("order_id", "distance"), "order_id", "left")
     agg = j.groupBy("customer_id").agg(
-        F.sum(F.when(has, F.col("_n") * scaled("distance", MILLI))).alias("_s"),
-        F.sum(F.when(has, F.col("_n"))).alias("_k"))
+        F.sum(scaled("distance", MILLI)).alias("_s"), F.count("distance").alias("_k"))
     return agg.select("customer_id",
                       round_ratio(F.col("_s"), F.col("_k") * MILLI, 2).alias("avg_distance"))
 
@@ -395,9 +392,9 @@ def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFram
 
 
 def _delivered_per_pizza(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
-    per = _items_per(orders, ["order_id", "pizza_id"])
-    per = per.join(delivered(deliveries).select("order_id"), "order_id")
-    return per.groupBy("pizza_id").agg(F.sum("_n").alias("_n"))
+    """Delivered item count per pizza (a handful of rows)."""
+    return _delivered_items(orders, deliveries).groupBy("pizza_id").agg(
+        F.count(F.lit(1)).alias("_n"))
 
 
 def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipe_rows: DataFrame) -> DataFrame:
@@ -459,10 +456,11 @@ def delivery_report(orders: DataFrame, deliveries: DataFrame, ratings: DataFrame
     without one row per (order, rating) pair.  ``by_order=True`` joins the
     rating of the order itself.
     """
-    per = _items_per(orders, ["customer_id", "order_id", "order_time"])
     d = delivered(deliveries).where(F.col("distance") != 0).select(
         "order_id", "runner_id", "pickup_time", "duration", "distance")
-    j = per.join(d, "order_id")
+    j = orders.join(d, "order_id").groupBy(
+        "order_id", "customer_id", "order_time", "runner_id", "pickup_time", "duration",
+        "distance").agg(F.count("pizza_id").alias("_n"))
     if by_order:
         rc = ratings.groupBy("order_id", "customer_id", "rating").agg(
             F.count(F.lit(1)).alias("_r"))
@@ -490,9 +488,9 @@ def net_revenue(orders: DataFrame, deliveries: DataFrame, names: DataFrame,
     prices are integers and the rate a decimal fraction p/q.
     """
     fr = Fraction(rate)
-    items = _items_per(orders, ["order_id", "pizza_id"]).join(_dim(names), "pizza_id")
+    items = orders.join(_dim(names), "pizza_id")
     per_order = items.groupBy("order_id").agg(
-        F.sum(F.col("_n") * price_of(F.col("pizza_name"), prices, default)).alias("total_price"))
+        F.sum(price_of(F.col("pizza_name"), prices, default)).alias("total_price"))
     d = delivered(deliveries).select("order_id", "duration", "distance")
     j = per_order.join(d, "order_id")
     if per == "duration":
