@@ -34,7 +34,7 @@ from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div
 from ..operators.clean import with_record_id
 from ..operators.ids import with_dense_id
 from ..operators.joins import bounded_broadcast
-from ..operators.lists import explode_list
+from ..operators.lists import explode_list, sorted_text_list
 from ..sources.tables import append_rows, rows_table
 
 # Menu prices of the pricing questions (name -> price, any
@@ -391,6 +391,62 @@ def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFram
     return out.select("record_id", text.alias("ingredients_list"))
 
 
+def ingredient_lists_corrected(records: DataFrame, names: DataFrame, recipe_rows: DataFrame,
+                               toppings: DataFrame) -> DataFrame:
+    """V24 corrected (quirk Q14 fixed): only toppings listed as extras get
+    '2x', extras outside the recipe are added once, excluded toppings are
+    removed; items sorted.
+
+    Recipe items are matched per record on the record's own lists; extras
+    outside the recipe come from the exploded extras (an anti join against
+    the recipe rows) joined to the topping names.  Both parts are unioned and
+    folded per record (one shuffle by ``record_id``).
+    """
+    excl = list_items(F.col("exclusions"))
+    extras = list_items(F.col("extras"))
+    base = records.join(_dim(recipe_rows), "pizza_id").where(
+        ~F.array_contains(excl, F.col("topping_id")))
+    base = base.select("record_id", F.when(F.array_contains(extras, F.col("topping_id")),
+                                           F.concat(F.lit("2x"), F.col("topping_name")))
+                       .otherwise(F.col("topping_name")).alias("item"))
+    extra_rows = records.select("record_id", "pizza_id", F.explode(extras).alias("topping_id"))
+    extra_rows = extra_rows.join(_dim(recipe_rows.select("pizza_id", "topping_id")),
+                                 ["pizza_id", "topping_id"], "left_anti")
+    t = toppings.select(F.col("topping_id").cast("string").alias("topping_id"), "topping_name")
+    extra_rows = extra_rows.join(_dim(t), "topping_id").select(
+        "record_id", F.col("topping_name").alias("item"))
+    lists = base.unionByName(extra_rows).groupBy("record_id").agg(
+        sorted_text_list("item").alias("_items"))
+    heads = records.join(_dim(names), "pizza_id").select("record_id", "pizza_name")
+    return heads.join(lists, "record_id").select(
+        "record_id", F.concat(F.col("pizza_name"), F.lit(":"), F.col("_items"))
+        .alias("ingredients_list"))
+
+
+def order_item_composed(records: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+    """V21 composed (quirk Q8 fixed): '<name>[ - Exclude a, b][ - Extra c, d]'
+    for every record, topping names in the order the ids are listed."""
+    t = toppings.select(F.col("topping_id").cast("string").alias("_tid"), "topping_name")
+
+    def named(col: str, out: str) -> DataFrame:
+        items = records.select("record_id", F.posexplode(list_items(F.col(col))).alias("_pos", "_tid"))
+        items = items.join(_dim(t), "_tid")
+        return items.groupBy("record_id").agg(F.array_sort(F.collect_list(
+            F.struct("_pos", "topping_name"))).alias(out))
+
+    ex, xt = named("exclusions", "_ex"), named("extras", "_xt")
+    j = records.join(_dim(names), "pizza_id").join(ex, "record_id", "left").join(xt, "record_id", "left")
+
+    def part(col: str, word: str) -> Column:
+        names_ = F.array_join(F.transform(F.col(col), lambda x: x["topping_name"]), ", ")
+        return F.when(F.size(F.coalesce(F.col(col), F.array())) > 0,
+                      F.concat(F.lit(f" - {word} "), names_)).otherwise(F.lit(""))
+
+    return j.select("record_id", "order_id", "pizza_id", "pizza_name", "exclusions", "extras",
+                    F.concat(F.col("pizza_name"), part("_ex", "Exclude"), part("_xt", "Extra"))
+                    .alias("order_item"))
+
+
 def _delivered_per_pizza(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Delivered item count per pizza (a handful of rows)."""
     return _delivered_items(orders, deliveries).groupBy("pizza_id").agg(

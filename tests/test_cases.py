@@ -179,6 +179,28 @@ def test_v24_q14_every_topping_marked(spark):
     assert rows(V.extras_exploded(rec)) == [(3, "1"), (4, "1"), (4, "5"), (5, "1"), (5, "4")]
 
 
+def test_v24_corrected_and_v21_composed(spark):
+    orders, _ = _delivery(spark)
+    names, recipes, toppings = _dims(spark)
+    rec = with_record_id(orders)
+    got = dict(rows(V.ingredient_lists_corrected(rec, names, V.recipe_items(recipes, toppings),
+                                                 toppings)))
+    # record 3: Meatlovers with extra 1 (Bacon, in the recipe): only Bacon doubled
+    assert got[3] == "Meatlovers:2xBacon,BBQ Sauce,Beef,Cheese,Chicken,Mushrooms,Pepperoni,Salami"
+    # record 4: Vegetarian, exclusion 4, extras 1 and 5 outside the recipe: added once
+    assert got[4] == "Vegetarian:Bacon,Chicken,Mushrooms,Onions,Peppers,Tomato Sauce,Tomatoes"
+    labels = dict(rows(V.order_item_composed(rec, names, toppings), "record_id", "order_item"))
+    assert labels[1] == "Meatlovers"
+    assert labels[5] == "Meatlovers - Exclude BBQ Sauce, Mushrooms - Extra Bacon, Cheese"
+
+
+def test_j10_drop_excluded(spark):
+    from tally.operators import drop_excluded
+    items = spark.createDataFrame([(1, "4"), (1, "5"), (2, "4")], "record_id int, topping_id string")
+    excl = spark.createDataFrame([(1, "4"), (1, "4")], "record_id int, topping_id string")
+    assert rows(drop_excluded(items, excl, ["record_id", "topping_id"])) == [(1, "5"), (2, "4")]
+
+
 def test_v25_v26_v27_v30_pricing(spark):
     orders, dels = _delivery(spark)
     names, recipes, toppings = _dims(spark)
