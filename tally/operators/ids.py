@@ -5,9 +5,15 @@ one task.  Here the rows are range-partitioned and sorted on the full
 order key (Spark samples the key to cut ranges, so a hot leading key is
 split over several partitions), each row gets its position inside its
 partition, and a per-partition offset (one row per partition, a bounded
-table) is added.  The ranged frame is checkpointed to the reliable
-checkpoint folder first, so the counts and the rows come from the same
-materialised data even if executors are lost or a stage is re-run.
+table) is added.
+
+The ranged rows, with their partition number and position, are written
+once as a parquet table under the cluster's checkpoint folder
+(``spark.checkpoint.dir``) and read back: the counts and the rows then come
+from the same materialised data even if executors are lost or a stage is
+re-run (range bounds are sampled, so recomputing the ranged frame could cut
+the ranges differently).  A parquet table is one write job and is read back
+columnar, which is cheaper than ``DataFrame.checkpoint``.
 
 The id equals ``row_number()`` over the same order key; rows that tie on
 the whole key are interchangeable (they are equal in every ordered column).
@@ -15,6 +21,7 @@ the whole key are interchangeable (they are equal in every ordered column).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -28,7 +35,7 @@ _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | index
 def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "record_id",
                   num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    folder = ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = list(order_cols)
     ranged = (
@@ -36,7 +43,10 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "recor
         .sortWithinPartitions(*order_cols)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())
-    ).checkpoint(eager=True)
+    )
+    path = f"{folder.rstrip('/')}/tally-dense-id-{uuid.uuid4().hex}"
+    ranged.write.parquet(path)
+    ranged = spark.read.parquet(path)
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: bounded by the partition count, safe to broadcast
