@@ -68,13 +68,18 @@ def most_purchased(sales: DataFrame, menu: DataFrame, by_count: bool = False) ->
         "total_purchased_by_customers")
 
 
-def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
+def favourite_item(sales: DataFrame, menu: DataFrame, top: int | None = None) -> DataFrame:
     """Each customer's most bought product(s); ties all kept.
 
-    No TOP 7 cut-off (quirk Q3: it was fitted to a 7-row dataset).
+    The source cuts the per-(customer, product) counts to TOP 7 ordered by
+    customer (quirk Q3, a cut-off fitted to a 7-row dataset); by default no
+    cut is applied.  ``top=k`` applies it, ordered by (customer, product)
+    so the cut is deterministic (T6).
     """
     per = sales.join(menu, "product_id").groupBy(
         "customer_id", "product_id", "product_name").agg(F.count(F.lit(1)).alias("counts"))
+    if top is not None:
+        per = top_k(per, top, [F.col("customer_id"), F.col("product_id")])
     top = rank_top(per, "customer_id", [F.col("counts").desc()], k=1, ties=True)
     return top.select("customer_id", "product_name")
 

@@ -50,6 +50,9 @@ def test_l5_favourite_keeps_ties(spark):
     sales, menu, _ = _loyalty(spark)
     got = rows(L.favourite_item(sales, menu))
     assert got == [("A", "curry"), ("B", "curry"), ("B", "sushi"), ("C", "ramen")]
+    # The TOP k cut-off on the (customer, product) counts, ordered by customer
+    # the first 3 count rows are customer A's three products; A's favourite among them
+    assert rows(L.favourite_item(sales, menu, top=3)) == [("A", "curry")]
 
 
 def test_l6_l7_l8_around_join_date(spark):
