@@ -34,12 +34,19 @@ _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | index
 
 def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "record_id",
                   num_partitions: int | None = None) -> DataFrame:
+    """Add ``id_col`` = row_number() over ``order_cols`` (see module doc).
+
+    Without ``num_partitions`` the range exchange uses the session's shuffle
+    partition count and AQE may merge adjacent small ranges (merging keeps
+    the global order, and the written table freezes the layout).
+    """
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = list(order_cols)
+    by_range = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+                else df.repartitionByRange(*order_cols))
     ranged = (
-        df.repartitionByRange(n, *order_cols)
+        by_range
         .sortWithinPartitions(*order_cols)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())

@@ -69,6 +69,17 @@ def test_with_dense_id_equals_row_number(events):
     assert sorted(ids) == list(range(1, events.count() + 1))
 
 
+def test_with_dense_id_with_merged_ranges(spark, events):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")   # AQE merges the small ranges
+    try:
+        got = with_dense_id(events, ["d", "k", "id"], "rid")
+        want = events.withColumn("rid", F.row_number().over(Window.orderBy("d", "k", "id")))
+        assert rows(got, "id", "rid") == rows(want, "id", "rid")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_role_day_pairs_weights_equal_event_pairs(spark, events):
     roles = events.withColumn("role", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b"))
     got = role_day_pairs(roles, "k", "role", "d", "a", "b")
