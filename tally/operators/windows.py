@@ -13,7 +13,10 @@ data.  The operators here therefore:
   level (the order date): the heavy per-row work is partitioned by
   (key, date), and only one small row per (key, date) goes through a window
   partitioned by key.  The number of rows per key in that window is bounded
-  by the number of distinct dates, not by the number of events.
+  by the number of distinct dates, not by the number of events;
+* offer ``next_in_order`` for data where even one (key, date) may be hot:
+  rows are numbered globally and every window partition is a fixed-size
+  bucket of positions.
 """
 
 from __future__ import annotations
@@ -118,6 +121,42 @@ def next_in_sequence(df: DataFrame, key: Cols | str, day_col: str, tiebreak: str
     return out
 
 
+def next_in_order(df: DataFrame, key: Cols | str, order: Cols | str, value_cols: Cols | str,
+                  prefix: str = "next_", rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """``lead(value, 1) over (partition by key order by order)`` for any skew.
+
+    The rows get a global dense position in (key, order) order
+    (``with_dense_id``: sampled range partitions, so no key is kept whole in
+    one task).  ``lead`` then runs inside fixed-size buckets of positions
+    (at most ``rows_per_bucket`` rows per window partition, whatever the key
+    distribution); the last row of a bucket takes the first row of the next
+    bucket through a join with one row per bucket.  A next row that belongs
+    to another key gives NULL.  ``order`` must be unique within a key.
+
+    Costs one range shuffle, one write of the ranged rows to the checkpoint
+    folder and one shuffle by bucket; ``next_in_sequence`` is cheaper when no
+    single (key, day) is hot.
+    """
+    from .ids import with_dense_id  # local import: ids imports session helpers
+
+    key, order, value_cols = _as_list(key), _as_list(order), _as_list(value_cols)
+    carried = [*key, *value_cols]
+    r = with_dense_id(df, [*key, *order], "_rid")
+    r = r.withColumn("_b", F.call_function("div", F.col("_rid") - 1, F.lit(rows_per_bucket)))
+    w = Window.partitionBy("_b").orderBy("_rid")
+    within = r.withColumn("_nx", F.lead(F.struct(*carried), 1).over(w))
+    heads = r.where((F.col("_rid") - 1) % rows_per_bucket == 0).select(
+        (F.col("_b") - 1).alias("_b"), F.struct(*carried).alias("_head"))
+    j = within.join(heads, "_b", "left")
+    nxt = F.when(F.col("_nx").isNull(), F.col("_head")).otherwise(F.col("_nx"))
+    same_key = F.lit(True)
+    for k in key:
+        same_key = same_key & nxt[k].eqNullSafe(F.col(k))
+    return j.select(
+        *df.columns,
+        *[F.when(nxt.isNotNull() & same_key, nxt[c]).alias(f"{prefix}{c}") for c in value_cols])
+
+
 def running_sum(df: DataFrame, by: Cols | str, order: str, value: str,
                 out: str, frame: str = "rows") -> DataFrame:
     """Running total per group (W8 rows frame / W9 default range frame).

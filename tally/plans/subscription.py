@@ -17,7 +17,7 @@ from ..functions.semantics import (days_between, int_div, pct, round_ratio,
                                    year_range)
 from ..operators.aggs import count_if, distinct_if
 from ..operators.joins import bounded_broadcast, role_day_pairs
-from ..operators.windows import first_per, next_in_sequence
+from ..operators.windows import first_per, next_in_order, next_in_sequence
 
 # Plan names used by the analytics.
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = (
@@ -68,19 +68,29 @@ def churn_pct(subs: DataFrame, plans: DataFrame) -> DataFrame:
     return agg.select(pct("churned", "total", 1).alias("round_1decimals"))
 
 
-def with_next_plan(subs: DataFrame, plans: DataFrame) -> DataFrame:
-    """Each event with the plan name of the customer's next event."""
+def with_next_plan(subs: DataFrame, plans: DataFrame, method: str = "day") -> DataFrame:
+    """Each event with the plan name of the customer's next event.
+
+    ``method="day"`` splits each customer by day (one shuffle of the events);
+    ``method="global"`` uses globally numbered rows and is safe even when a
+    single customer-day holds a large share of all events.
+    """
     s = with_plan(subs, plans)
+    if method == "global":
+        return next_in_order(s, "customer_id", ["start_date", "subscription_id"],
+                             ["plan_name"], prefix="next_")
+    if method != "day":
+        raise ValueError("method must be 'day' or 'global'")
     return next_in_sequence(s, "customer_id", "start_date", "subscription_id",
                             ["plan_name"], prefix="next_")
 
 
-def churn_after_trial_pct(subs: DataFrame, plans: DataFrame) -> DataFrame:
+def churn_after_trial_pct(subs: DataFrame, plans: DataFrame, method: str = "day") -> DataFrame:
     """Trial rows directly followed by churn, per 100 customers, 1 decimal.
 
     Reference behaviour (quirk Q9): counts rows, not distinct customers.
     """
-    s = with_next_plan(subs, plans)
+    s = with_next_plan(subs, plans, method)
     agg = s.agg(
         count_if((F.col("next_plan_name") == CHURN) & (F.col("plan_name") == TRIAL),
                  "customer_id").alias("cust_count"),
@@ -89,13 +99,13 @@ def churn_after_trial_pct(subs: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def next_plan_after_trial(subs: DataFrame, plans: DataFrame,
-                          denominator: int | None = 1000) -> DataFrame:
+                          denominator: int | None = 1000, method: str = "day") -> DataFrame:
     """Customers whose trial is directly followed by each paid plan or churn.
 
     Percentages divide by ``denominator`` (1000 in the reference, quirk Q10);
     ``denominator=None`` divides by the real number of customers instead.
     """
-    s = with_next_plan(subs, plans)
+    s = with_next_plan(subs, plans, method)
     trial = F.col("plan_name") == TRIAL
     nxt = F.col("next_plan_name")
     counts = s.agg(

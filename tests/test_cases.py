@@ -266,6 +266,8 @@ def test_u6_u7_next_plan(spark):
     real = U.next_plan_after_trial(s, p, denominator=None).first()
     assert real.annual_pct == 40.0 and real.basic_pct == 20.0
     assert U.churn_after_trial_pct(s, p).first()[0] == 20.0
+    assert U.churn_after_trial_pct(s, p, method="global").first()[0] == 20.0
+    assert U.next_plan_after_trial(s, p, method="global").first().total_annual == 2
 
 
 def test_u10_u11_q12_buckets(spark):

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tally.functions import semantics as S
-from tally.operators import next_in_sequence, rank_within
+from tally.operators import next_in_order, next_in_sequence, rank_within
 
 
 def half_away(n: int, d: int, digits: int):
@@ -86,6 +86,10 @@ def test_lead_and_rank_match_pandas(spark, seed):
     got = {r.id: r.n_v for r in next_in_sequence(df, "k", "d", "id", ["v"], "n_").collect()}
     assert got == want
 
+    for bucket in (7, 1000):
+        glob = next_in_order(df, "k", ["d", "id"], ["v"], "n_", rows_per_bucket=bucket)
+        assert {r.id: r.n_v for r in glob.collect()} == want
+
     pdf["r"] = pdf.groupby("k")["d"].rank(method="min").astype(int)
     want_r = dict(zip(pdf["id"], pdf["r"]))
     got_r = {r.id: r.r for r in rank_within(df, ["k"], "d", "r").collect()}
