@@ -5,7 +5,7 @@ from .aggs import (count_if, distinct_if, net_amount, percentiles, signed_amount
 from .clean import clean_deliveries, clean_orders, with_record_id
 from .ids import with_dense_id
 from .joins import (bounded_broadcast, drop_excluded, flag_membership,
-                    role_day_pairs)
+                    gaps_at_least, role_day_pairs)
 from .lists import explode_list, sorted_text_list
 from .windows import (first_per, next_in_order, next_in_sequence, previous_value,
                       rank_top, rank_within, running_sum)
@@ -13,7 +13,8 @@ from .windows import (first_per, next_in_order, next_in_sequence, previous_value
 __all__ = [
     "count_if", "distinct_if", "net_amount", "percentiles", "signed_amount", "sum_if",
     "top_k", "clean_deliveries", "clean_orders", "with_record_id", "with_dense_id",
-    "bounded_broadcast", "drop_excluded", "flag_membership", "role_day_pairs",
+    "bounded_broadcast", "drop_excluded", "flag_membership", "gaps_at_least",
+    "role_day_pairs",
     "explode_list", "sorted_text_list", "first_per", "next_in_order", "next_in_sequence",
     "previous_value", "rank_top", "rank_within", "running_sum",
 ]

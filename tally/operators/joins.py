@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -60,6 +60,48 @@ def drop_excluded(items: DataFrame, excluded: DataFrame, keys: Sequence[str]) ->
     return items.join(excluded.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def gaps_at_least(starts: DataFrame, targets: DataFrame, key: str, day: str,
+                  cuts: Sequence[int]) -> DataFrame:
+    """Per cut c: the number of (start, target) pairs of the same key with
+    ``target_day - start_day >= c``, and the sum of those gaps.
+
+    This is a range join answered without pairs.  Each target day becomes one
+    query point per cut at ``target_day - c``; the start days and the query
+    points of a key are ordered together, and running sums over the start
+    days give, at each query point, how many start days (and their day sum)
+    lie at or before it.  A key contributes (#distinct start days + #cuts x
+    #distinct target days) rows to its window, which is linear and bounded by
+    the calendar, never the product of the two sides.
+
+    ``starts`` / ``targets``: (key, day) rows, one per event (duplicates count).
+    Returns (cut, pairs, gap_sum); gap sums are decimal(38,0).
+    """
+    dec = "decimal(38,0)"
+    epoch = F.lit("1970-01-01").cast("date")
+    a = (starts.select(key, F.datediff(F.col(day), epoch).alias("_d"))
+         .groupBy(key, "_d").agg(F.count(F.lit(1)).cast(dec).alias("_wa")))
+    b = (targets.select(key, F.datediff(F.col(day), epoch).alias("_b"))
+         .groupBy(key, "_b").agg(F.count(F.lit(1)).cast(dec).alias("_wb")))
+    cut_arr = F.array(*[F.lit(int(c)) for c in cuts])
+    q = b.select(key, "_b", "_wb", F.explode(cut_arr).alias("_cut"))
+    zero = F.lit(0).cast(dec)
+    a_rows = a.select(key, "_d", F.lit(0).alias("_ord"), "_wa",
+                      (F.col("_wa") * F.col("_d")).cast(dec).alias("_sa"),
+                      F.lit(None).cast("int").alias("_cut"), zero.alias("_wb"),
+                      F.lit(None).cast("int").alias("_b"))
+    q_rows = q.select(key, (F.col("_b") - F.col("_cut")).alias("_d"), F.lit(1).alias("_ord"),
+                      zero.alias("_wa"), zero.alias("_sa"), "_cut", "_wb", "_b")
+    w = (Window.partitionBy(key).orderBy("_d", "_ord")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = a_rows.unionByName(q_rows).select(
+        "_ord", "_cut", "_wb", "_b",
+        F.sum("_wa").over(w).alias("_f"), F.sum("_sa").over(w).alias("_g"))
+    hits = run.where(F.col("_ord") == 1)
+    return hits.groupBy(F.col("_cut").alias("cut")).agg(
+        F.sum(F.col("_wb") * F.col("_f")).cast(dec).alias("pairs"),
+        F.sum(F.col("_wb") * (F.col("_b") * F.col("_f") - F.col("_g"))).cast(dec).alias("gap_sum"))
+
+
 def role_day_pairs(events: DataFrame, key: str, role_col: str, day_col: str,
                    role_a: str, role_b: str) -> DataFrame:
     """Per key, every (role-a day, role-b day) pair with its multiplicity.

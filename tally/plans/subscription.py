@@ -10,13 +10,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import (days_between, int_div, pct, round_ratio,
                                    year_range)
 from ..operators.aggs import count_if, distinct_if
-from ..operators.joins import bounded_broadcast, role_day_pairs
+from ..operators.joins import bounded_broadcast, gaps_at_least
 from ..operators.windows import first_per, next_in_order, next_in_sequence
 
 # Plan names used by the analytics.
@@ -221,20 +221,58 @@ def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TR
 
     Reference behaviour (quirk Q12): the open last bucket is labelled
     '271-300'; start rows without a target row, and negative gaps, fall in
-    a NULL bucket that is counted.  Pairs are represented per distinct
-    (start day, target day) with a multiplicity weight.
+    a NULL bucket that is counted (only the negative gaps enter its average).
+
+    No pair is materialised: ``gaps_at_least`` counts the pairs with a gap of
+    at least each bucket's lower bound (a range join answered by running
+    sums), buckets are differences of consecutive counts, and the NULL bucket
+    is the total (from per-customer sums, as in U10) minus the pairs with a
+    gap of at least 0, plus the start rows of customers without a target.
     """
     s = with_plan(subs, plans)
-    pairs = role_day_pairs(s, "customer_id", "plan_name", "start_date", start_plan, target_plan)
-    days = days_between(F.col("a_day"), F.col("b_day"))
-    b = pairs.select(day_bucket(days).alias("dayss"), days.cast("long").alias("d"), "weight")
-    agg = b.groupBy("dayss").agg(
-        F.sum("weight").alias("number_of_customers"),
-        F.sum(F.col("weight") * F.col("d")).alias("_dsum"),
-        F.sum(F.when(F.col("d").isNotNull(), F.col("weight"))).alias("_dn"),
-    )
-    return agg.select("dayss", "number_of_customers",
-                      int_div(F.col("_dsum"), F.col("_dn")).alias("average_day"))
+    name = F.col("plan_name")
+    starts = s.where(name == start_plan).select("customer_id", "start_date")
+    targets = s.where(name == target_plan).select("customer_id", "start_date")
+    labels = bucket_labels()
+    cuts = [lo for lo, _, _ in labels]
+    ge = gaps_at_least(starts, targets, "customer_id", "start_date", cuts)
+
+    # buckets: count(gap >= lo) - count(gap >= next lo); the last one is open
+    w = Window.orderBy("cut")
+    label = None
+    for lo, _, text in labels:
+        label = (F.when(F.col("cut") == lo, F.lit(text)) if label is None
+                 else label.when(F.col("cut") == lo, F.lit(text)))
+    zero = F.lit(0).cast("decimal(38,0)")
+    buckets = ge.select(
+        label.alias("dayss"),
+        (F.col("pairs") - F.coalesce(F.lead("pairs").over(w), zero)).alias("_n"),
+        (F.col("gap_sum") - F.coalesce(F.lead("gap_sum").over(w), zero)).alias("_s"))
+    buckets = buckets.select("dayss", "_n", "_s", F.col("_n").alias("_k"))
+
+    # NULL bucket: negative gaps, plus start rows whose customer has no target
+    per_customer = s.where(name.isin(start_plan, target_plan)).groupBy("customer_id").agg(
+        F.sum(F.when(name == start_plan, 1).otherwise(0)).cast("decimal(38,0)").alias("t"),
+        F.sum(F.when(name == start_plan, _epoch_day("start_date")).otherwise(0)).alias("st"),
+        F.sum(F.when(name == target_plan, 1).otherwise(0)).cast("decimal(38,0)").alias("a"),
+        F.sum(F.when(name == target_plan, _epoch_day("start_date")).otherwise(0)).alias("sa"))
+    # one aggregate over a union: all pairs and lonely start rows (from the
+    # per-customer sums), minus the pairs with a non-negative gap
+    dec = "decimal(38,0)"
+    all_rows = per_customer.select(
+        (F.col("t") * F.col("a")).alias("_k"),
+        (F.col("t") * F.col("sa") - F.col("a") * F.col("st")).cast(dec).alias("_s"),
+        F.when(F.col("a") == 0, F.col("t")).otherwise(zero).alias("_lonely"))
+    non_negative = ge.where(F.col("cut") == cuts[0]).select(
+        (-F.col("pairs")).alias("_k"), (-F.col("gap_sum")).cast(dec).alias("_s"),
+        zero.alias("_lonely"))
+    neg = all_rows.unionByName(non_negative).agg(
+        F.lit(None).cast("string").alias("dayss"),
+        F.sum("_k").alias("_k"), F.sum("_s").alias("_s"), F.sum("_lonely").alias("_lonely"))
+    neg = neg.select("dayss", (F.col("_k") + F.col("_lonely")).alias("_n"), "_s", "_k")
+    out = buckets.unionByName(neg).where(F.col("_n") > 0)
+    return out.select("dayss", F.col("_n").cast("long").alias("number_of_customers"),
+                      int_div(F.col("_s"), F.col("_k")).cast("long").alias("average_day"))
 
 
 __all__ = [

@@ -89,6 +89,20 @@ def test_role_day_pairs_weights_equal_event_pairs(spark, events):
     assert rows(got) == rows(brute.select("k", "a_day", "b_day", "weight"))
 
 
+def test_gaps_at_least_equals_brute_force(spark, events):
+    from tally.operators import gaps_at_least
+    starts = events.where(F.col("id") % 3 == 0).select("k", "d")
+    targets = events.where(F.col("id") % 3 == 1).select("k", "d")
+    cuts = [-5, 0, 1, 7, 20]
+    got = {r.cut: (int(r.pairs), int(r.gap_sum))
+           for r in gaps_at_least(starts, targets, "k", "d", cuts).collect()}
+    pairs = starts.alias("a").join(targets.alias("b"), "k").select(
+        F.datediff(F.col("b.d"), F.col("a.d")).alias("g")).collect()
+    for c in cuts:
+        sel = [p.g for p in pairs if p.g >= c]
+        assert got[c] == (len(sel), sum(sel))
+
+
 def test_percentiles_interpolate(spark):
     df = spark.createDataFrame([("x", v) for v in (1, 2, 3, 10)], "g string, v int")
     r = percentiles(df, ["g"], "v", [0.5, 0.8], ["p50", "p80"]).first()
