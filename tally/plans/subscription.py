@@ -13,8 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import (days_between, int_div, pct, round_ratio,
-                                   year_range)
+from ..functions.semantics import int_div, pct, year_range
 from ..operators.aggs import count_if, distinct_if
 from ..operators.joins import bounded_broadcast, gaps_at_least
 from ..operators.windows import first_per, next_in_order, next_in_sequence
@@ -279,5 +278,4 @@ __all__ = [
     "customer_journey", "customer_count", "starts_by_month", "starts_after_year",
     "churn_pct", "churn_after_trial_pct", "next_plan_after_trial", "plan_mix_at",
     "upgrades_in_year", "avg_days_to_plan", "days_to_plan_buckets", "with_next_plan",
-    "round_ratio",
 ]
