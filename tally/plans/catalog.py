@@ -54,6 +54,10 @@ SUBSCRIPTION: dict[str, Query] = {
     "subscription_avg_days_to_annual": _q(lambda t: U.avg_days_to_plan(t.subscriptions, t.plans)),
     "subscription_days_to_annual_buckets": _q(
         lambda t: U.days_to_plan_buckets(t.subscriptions, t.plans)),
+    "subscription_downgrades_in_year": _q(
+        lambda t: U.downgrades_in_year(t.subscriptions, t.plans, UPGRADE_YEAR)),
+    "subscription_new_customer_growth": _q(
+        lambda t: U.new_customer_growth(t.subscriptions, t.plans)),
 }
 
 

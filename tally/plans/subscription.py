@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.semantics import int_div, pct, year_range
 from ..operators.aggs import count_if, distinct_if
 from ..operators.joins import bounded_broadcast, gaps_at_least
-from ..operators.windows import first_per, next_in_order, next_in_sequence
+from ..operators.windows import (first_per, next_in_order, next_in_sequence,
+                                 previous_value)
 
 # Plan names used by the analytics.
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = (
@@ -274,7 +275,40 @@ def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TR
                       int_div(F.col("_s"), F.col("_k")).cast("long").alias("average_day"))
 
 
+def downgrades_in_year(subs: DataFrame, plans: DataFrame, year: int,
+                       from_plan: str = PRO_MONTHLY, to_plan: str = BASIC) -> DataFrame:
+    """Customers whose ``from_plan`` row is directly followed by a
+    ``to_plan`` row starting within ``year`` (a question the source answers
+    in prose only)."""
+    s = with_plan(subs, plans)
+    n = next_in_sequence(s, "customer_id", "start_date", "subscription_id",
+                         ["plan_name", "start_date"], prefix="next_")
+    hit = n.where((F.col("plan_name") == from_plan) & (F.col("next_plan_name") == to_plan)
+                  & year_range("next_start_date", year, year))
+    return hit.agg(F.count_distinct("customer_id").alias("downgraded_customers"))
+
+
+def new_customer_growth(subs: DataFrame, plans: DataFrame) -> DataFrame:
+    """New customers per month (by the month of their first plan row)
+    and the growth over the previous month with new customers:
+    100 * (current - previous) / previous, 1 decimal (formula stated in the
+    source's prose).
+
+    First starts are a per-customer aggregate; the window then runs over one
+    row per month (bounded by the calendar).
+    """
+    s = with_plan(subs, plans)
+    first = s.groupBy("customer_id").agg(F.min("start_date").alias("_first"))
+    monthly = first.groupBy(F.trunc("_first", "month").alias("month_start")).agg(
+        F.count(F.lit(1)).alias("new_customers"))
+    m = previous_value(monthly, [], "month_start", "new_customers", "previous_new_customers")
+    return m.select("month_start", "new_customers", "previous_new_customers",
+                    pct(F.col("new_customers") - F.col("previous_new_customers"),
+                        F.col("previous_new_customers"), 1).alias("growth_pct"))
+
+
 __all__ = [
+    "downgrades_in_year", "new_customer_growth",
     "customer_journey", "customer_count", "starts_by_month", "starts_after_year",
     "churn_pct", "churn_after_trial_pct", "next_plan_after_trial", "plan_mix_at",
     "upgrades_in_year", "avg_days_to_plan", "days_to_plan_buckets", "with_next_plan",

@@ -278,6 +278,20 @@ def test_u10_u11_q12_buckets(spark):
     assert got == sorted([(None, 3, -60), ("0-30", 2, 18), ("271-300", 1, 397)], key=repr)
 
 
+def test_u12_u13_downgrades_and_growth(spark):
+    s = spark.createDataFrame([
+        (1, 2, D(2020, 1, 5), 1), (1, 1, D(2020, 3, 1), 2),      # pro monthly -> basic in 2020
+        (2, 2, D(2019, 12, 1), 3), (2, 1, D(2019, 12, 20), 4),   # downgrade in 2019
+        (3, 0, D(2020, 1, 9), 5), (3, 2, D(2020, 2, 1), 6),
+        (4, 0, D(2020, 2, 2), 7),
+    ], "customer_id int, plan_id int, start_date date, subscription_id int")
+    p = tables.plans(spark)
+    assert U.downgrades_in_year(s, p, 2020).first()[0] == 1
+    got = rows(U.new_customer_growth(s, p))
+    assert got == [(D(2019, 12, 1), 1, None, None), (D(2020, 1, 1), 2, 1, 100.0),
+                   (D(2020, 2, 1), 1, 2, -50.0)]
+
+
 def test_u8_q11_variant(spark):
     s, p = _subs(spark)
     ref = U.plan_mix_at(s, p, "2020-12-31").first()
