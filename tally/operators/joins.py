@@ -21,10 +21,11 @@ DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (None when unavailable)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # Spark Connect or unexpected plan: no estimate
         return None
+    # py4j hands a Scala BigInt over as a Python int (or as a JVM object)
+    return int(size) if isinstance(size, int) else int(str(size.toString()))
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

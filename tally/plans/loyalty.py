@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import ci_eq
@@ -102,18 +102,22 @@ def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
     """Item bought last before the join date, with that date.
 
     The item is the last product name per customer under
-    (order_date, product_id) -- an aggregate (max_by) instead of a
-    full-frame LAST_VALUE window; the date is max(order_date) per
-    (customer, join date).
+    (order_date, product_id), as the full-frame LAST_VALUE window gives it,
+    and the date is max(order_date) per (customer, join date).  Both come
+    from one aggregate pass over the purchases per (customer, join date);
+    the item of a customer is then the last of its (at most a few) groups,
+    taken by a window over those aggregated rows, so the purchases are read
+    and joined once.
     """
     s = _member_sales(sales, members).where(F.col("order_date") < F.col("join_date"))
     s = s.join(menu, "product_id")
-    item = first_per(s, "customer_id", ["order_date", "product_id"], ["product_name"],
-                     last=True).withColumnRenamed("product_name", "item_purchased")
-    dates = s.groupBy("customer_id", "join_date").agg(
+    per = s.groupBy("customer_id", "join_date").agg(
+        F.max(F.struct("order_date", "product_id", "product_name")).alias("_last"),
         F.max("order_date").alias("just_before_join_order_date"))
-    return dates.join(item, "customer_id").select(
-        "customer_id", "item_purchased", "join_date", "just_before_join_order_date")
+    item = F.max("_last").over(Window.partitionBy("customer_id"))
+    return per.select(
+        "customer_id", item.getField("product_name").alias("item_purchased"), "join_date",
+        "just_before_join_order_date")
 
 
 def spend_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:

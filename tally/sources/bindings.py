@@ -18,6 +18,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
 from . import tables
 
 # Fixed values of the bindings (also used by the oracle SQL).
@@ -211,7 +212,9 @@ class CaseTables:
         o = self._load("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         c = self._load("customer").select("c_custkey", "c_nationkey")
         n = self._load("nation").select("n_nationkey", "n_regionkey")
-        cust_region = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_regionkey")
+        # nation has a fixed size (25 rows): broadcast behind the size check
+        cust_region = c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey).select(
+            "c_custkey", "n_regionkey")
         j = o.join(cust_region, o.o_custkey == cust_region.c_custkey)
         start = F.col("o_orderdate").cast("date")
         k = F.col("o_orderkey")

@@ -51,3 +51,24 @@ def test_ingredient_lists_do_not_shuffle_records(plans):
     # after the record ids are materialised, only broadcast joins remain
     txt = plans["delivery_ingredient_lists"]
     assert "SortMergeJoin" not in txt and "BroadcastHashJoin" in txt
+
+
+def test_fixed_dimensions_are_broadcast_without_the_auto_threshold(spark):
+    from tally.operators.joins import bounded_broadcast, estimated_bytes
+    from tally.sources import tables
+    plans = tables.plans(spark)
+    assert 0 < estimated_bytes(plans) < 10_000
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(100).selectExpr("cast(id % 5 as int) as plan_id")
+        txt = fact.join(bounded_broadcast(plans), "plan_id")._jdf.queryExecution() \
+            .executedPlan().toString()
+        assert "BroadcastHashJoin" in txt
+        big = spark.range(10**12).selectExpr("cast(id as int) as plan_id")
+        assert estimated_bytes(big) > 10**9
+        txt2 = fact.join(bounded_broadcast(big), "plan_id")._jdf.queryExecution() \
+            .executedPlan().toString()
+        assert "BroadcastHashJoin" not in txt2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
