@@ -95,6 +95,11 @@ def next_in_sequence(df: DataFrame, key: Cols | str, day_col: str, tiebreak: str
        next day;
     3. the last row of each day takes that value through an equi-join on
        (key, day), which reuses the (key, day) partitioning of step 1.
+
+    The first rows come from an aggregate rather than from the window output
+    of step 1: the window output would be planned as a second full shuffle
+    of the events (column pruning gives it another shape, so the exchange is
+    not reused), whereas the aggregate shuffles map-side-reduced rows.
     """
     key, value_cols = _as_list(key), _as_list(value_cols)
     parts = [*key, day_col]
