@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from compare import duck, rows_key
 from conftest import SMOKE_SF
 from tally.plans import oracle as O
+from tally.plans import loyalty as L
 from tally.plans import subscription as U
 from tally.sources import bind
 
@@ -72,3 +73,47 @@ def test_day_buckets_under_skew(spark):
     idx = [cols.index(c) for c in got.columns]
     assert rows_key([tuple(r) for r in got.collect()]) == rows_key(
         [tuple(r[i] for i in idx) for r in want])
+
+
+# test fixture: the bound sales with a third of the line items moved to
+# customer 2 (a member, joined 1997-01-03) on the days around its join date
+HOT_SALES_SQL = """
+SELECT CASE WHEN l.l_orderkey % 3 = 0 THEN 2 ELSE o.o_custkey END AS customer_id,
+       CASE WHEN l.l_orderkey % 3 = 0
+            THEN CAST(DATE '1997-01-01' + CAST(l.l_orderkey % 7 AS INTEGER) AS DATE)
+            ELSE CAST(o.o_orderdate AS DATE) END AS order_date,
+       l.l_partkey AS product_id
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+
+def hot_sales(spark):
+    t = bind(spark, SMOKE_SF)
+    li = spark.read.parquet(f"{SMOKE_SF}/lineitem.parquet")
+    o = spark.read.parquet(f"{SMOKE_SF}/orders.parquet")
+    hot = F.col("l_orderkey") % 3 == 0
+    sales = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.when(hot, F.lit(2).cast("long")).otherwise(F.col("o_custkey")).alias("customer_id"),
+        F.when(hot, F.date_add(F.lit("1997-01-01").cast("date"), (F.col("l_orderkey") % 7).cast("int")))
+        .otherwise(F.col("o_orderdate").cast("date")).alias("order_date"),
+        F.col("l_partkey").alias("product_id"))
+    return t, sales
+
+
+@pytest.mark.parametrize("name,fn", [
+    ("loyalty_first_item", lambda t, s: L.first_item(s, t.menu)),
+    ("loyalty_favourite_item", lambda t, s: L.favourite_item(s, t.menu)),
+    ("loyalty_first_after_join", lambda t, s: L.first_after_join(s, t.menu, t.members)),
+    ("loyalty_last_before_join", lambda t, s: L.last_before_join(s, t.menu, t.members)),
+    ("loyalty_membership_ranking", lambda t, s: L.membership_ranking(s, t.menu, t.members)),
+])
+def test_loyalty_under_skew(spark, name, fn):
+    t, sales = hot_sales(spark)
+    assert sales.where("customer_id = 2").count() * 10 >= sales.count() * 3   # ~a third
+    got = fn(t, sales)
+    sql = O.with_bindings(O.LOYALTY[name]).replace(
+        "sales AS (", f"sales AS ({HOT_SALES_SQL}),\n_unused AS (", 1)
+    rel = duck(SMOKE_SF).sql(sql)
+    cols, want = rel.columns, rel.fetchall()
+    idx = [cols.index(c) for c in got.columns]
+    assert rows_key([tuple(r) for r in got.collect()]) == rows_key(
+        [tuple(r[i] for i in idx) for r in want])
