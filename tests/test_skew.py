@@ -117,3 +117,69 @@ def test_loyalty_under_skew(spark, name, fn):
     idx = [cols.index(c) for c in got.columns]
     assert rows_key([tuple(r) for r in got.collect()]) == rows_key(
         [tuple(r[i] for i in idx) for r in want])
+
+
+# test fixture: the raw delivery items with a third of the line items moved
+# to one delivered order (the smallest delivered order key)
+HOT_ITEMS_SQL = """
+SELECT n.order_id, o.o_custkey AS customer_id,
+       CAST(n.l_partkey % 2 + 1 AS INTEGER) AS pizza_id,
+       CASE n.l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'null' WHEN 3 THEN ''
+            WHEN 4 THEN '4' WHEN 5 THEN '2, 6' WHEN 6 THEN '' ELSE '4' END AS exclusions,
+       CASE (n.l_partkey // 2) % 6 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN ''
+            WHEN 3 THEN '1' WHEN 4 THEN '1, 5' ELSE '1, 4' END AS extras,
+       strftime(o.o_orderdate + to_minutes(CAST(n.order_id % 1440 AS INTEGER)),
+                '%Y-%m-%d %H:%M:%S') AS order_time
+FROM (SELECT l.*, CASE WHEN l.l_orderkey % 3 = 0
+                       THEN (SELECT min(o_orderkey) FROM orders WHERE o_orderstatus <> 'P')
+                       ELSE l.l_orderkey END AS order_id
+      FROM lineitem l) n
+JOIN orders o ON o.o_orderkey = n.order_id"""
+
+
+def hot_items(spark):
+    """The bound raw items, computed by the same binding over moved line items."""
+    li = spark.read.parquet(f"{SMOKE_SF}/lineitem.parquet")
+    o = spark.read.parquet(f"{SMOKE_SF}/orders.parquet")
+    hot_key = o.where("o_orderstatus <> 'P'").agg(F.min("o_orderkey")).first()[0]
+    moved = li.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(hot_key))
+                          .otherwise(F.col("l_orderkey")))
+    t = bind(spark, SMOKE_SF)
+    load = t._load
+    t._load = lambda name: moved if name == "lineitem" else load(name)
+    return t.customer_orders_raw, hot_key
+
+
+@pytest.mark.parametrize("name", [
+    "delivery_report", "delivery_avg_pickup_minutes", "delivery_prep_time_by_size",
+    "delivery_runner_speed", "delivery_ingredient_lists", "delivery_extras_exploded",
+])
+def test_delivery_under_skew(spark, name):
+    from tally.operators.clean import clean_deliveries, clean_orders
+    from tally.plans import catalog as C
+    from tally.plans import delivery as V
+    t = bind(spark, SMOKE_SF)
+    raw, hot_key = hot_items(spark)
+    orders = clean_orders(raw)
+    assert orders.where(F.col("order_id") == hot_key).count() * 10 >= orders.count() * 3
+    dels = clean_deliveries(t.runner_orders_raw)
+    recipe = V.recipe_items(t.pizza_recipes, t.pizza_toppings)
+    run = {
+        "delivery_report": lambda: V.delivery_report(orders, dels, t.rating_source),
+        "delivery_avg_pickup_minutes": lambda: V.avg_pickup_minutes(orders, dels),
+        "delivery_prep_time_by_size": lambda: V.prep_time_by_size(orders, dels),
+        "delivery_runner_speed": lambda: V.runner_speed(orders, dels),
+        "delivery_ingredient_lists": lambda: V.ingredient_lists(
+            V.order_records(orders), t.pizza_names, recipe),
+        "delivery_extras_exploded": lambda: V.extras_exploded(V.order_records(orders)),
+    }
+    assert name in C.DELIVERY
+    got = run[name]()
+    sql = O.with_bindings(O._delivery()[name]).replace(
+        "customer_orders_raw AS (", f"customer_orders_raw AS ({HOT_ITEMS_SQL}),\n_unused AS (", 1)
+    rel = duck(SMOKE_SF).sql(sql)
+    cols, want = rel.columns, rel.fetchall()
+    idx = [cols.index(c) for c in got.columns]
+    assert len(want) > 0
+    assert rows_key([tuple(r) for r in got.collect()]) == rows_key(
+        [tuple(r[i] for i in idx) for r in want])
