@@ -183,3 +183,42 @@ def test_delivery_under_skew(spark, name):
     assert len(want) > 0
     assert rows_key([tuple(r) for r in got.collect()]) == rows_key(
         [tuple(r[i] for i in idx) for r in want])
+
+
+# test fixture: the bound transactions with a third of them moved to customer 0
+HOT_TXN_SQL = """
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS customer_id,
+       CAST(o_orderdate AS DATE) AS txn_date,
+       CASE o_orderstatus WHEN 'O' THEN 'deposit' WHEN 'F' THEN 'purchase'
+            WHEN 'P' THEN 'withdrawal' END AS txn_type,
+       CAST(floor(o_totalprice) AS BIGINT) AS txn_amount
+FROM orders"""
+
+
+@pytest.mark.parametrize("name", [
+    "bank_avg_deposits", "bank_active_customers_by_month", "bank_closing_balance",
+    "bank_balance_growth_pct",
+])
+def test_bank_under_skew(spark, name):
+    from tally.plans import bank as K
+    o = spark.read.parquet(f"{SMOKE_SF}/orders.parquet")
+    hot = F.col("o_orderkey") % 3 == 0
+    txns = o.select(
+        F.when(hot, F.lit(0).cast("long")).otherwise(F.col("o_custkey")).alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("txn_date"),
+        F.when(F.col("o_orderstatus") == "O", "deposit").when(F.col("o_orderstatus") == "F", "purchase")
+        .when(F.col("o_orderstatus") == "P", "withdrawal").alias("txn_type"),
+        F.floor("o_totalprice").cast("long").alias("txn_amount"))
+    assert txns.where("customer_id = 0").count() * 10 >= txns.count() * 3
+    fn = {"bank_avg_deposits": K.avg_deposits,
+          "bank_active_customers_by_month": K.active_customers_by_month,
+          "bank_closing_balance": K.closing_balance,
+          "bank_balance_growth_pct": K.balance_growth_pct}[name]
+    got = fn(txns)
+    sql = O.with_bindings(O.BANK[name]).replace(
+        "customer_transactions AS (", f"customer_transactions AS ({HOT_TXN_SQL}),\n_unused AS (", 1)
+    rel = duck(SMOKE_SF).sql(sql)
+    cols, want = rel.columns, rel.fetchall()
+    idx = [cols.index(c) for c in got.columns]
+    assert rows_key([tuple(r) for r in got.collect()]) == rows_key(
+        [tuple(r[i] for i in idx) for r in want])
