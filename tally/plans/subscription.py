@@ -276,13 +276,20 @@ def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TR
 
 
 def downgrades_in_year(subs: DataFrame, plans: DataFrame, year: int,
-                       from_plan: str = PRO_MONTHLY, to_plan: str = BASIC) -> DataFrame:
+                       from_plan: str = PRO_MONTHLY, to_plan: str = BASIC,
+                       method: str = "day") -> DataFrame:
     """Customers whose ``from_plan`` row is directly followed by a
     ``to_plan`` row starting within ``year`` (a question the source answers
-    in prose only)."""
+    in prose only).  ``method`` as in ``with_next_plan``."""
     s = with_plan(subs, plans)
-    n = next_in_sequence(s, "customer_id", "start_date", "subscription_id",
-                         ["plan_name", "start_date"], prefix="next_")
+    if method == "global":
+        n = next_in_order(s, "customer_id", ["start_date", "subscription_id"],
+                          ["plan_name", "start_date"], prefix="next_")
+    elif method == "day":
+        n = next_in_sequence(s, "customer_id", "start_date", "subscription_id",
+                             ["plan_name", "start_date"], prefix="next_")
+    else:
+        raise ValueError("method must be 'day' or 'global'")
     hit = n.where((F.col("plan_name") == from_plan) & (F.col("next_plan_name") == to_plan)
                   & year_range("next_start_date", year, year))
     return hit.agg(F.count_distinct("customer_id").alias("downgraded_customers"))
