@@ -56,6 +56,28 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -
     return cond
 
 
+def keep_rows(docs: DataFrame, decisions: DataFrame, label: str) -> DataFrame:
+    """The rows of ``docs`` (all columns) that ``decisions`` (doc_id, row_mark,
+    kept) keeps; of rows equal in doc_id and text at most one.
+
+    Only rows to drop, or kept rows that repeat, are written as marks; the
+    corpus meets them in one join, broadcast when the marks are small."""
+    cols = docs.columns
+    marks = materialise(
+        decisions.groupBy(F.col("doc_id").alias("_t_id"), F.col("row_mark").alias("_t_mark")).agg(
+            F.max("kept").alias("_t_kept"), F.count(F.lit(1)).alias("_t_rows")).where(
+            "not _t_kept or _t_rows > 1"), f"marks-{label}")
+    marked = docs.withColumn("_t_row", row_mark())
+    side = small_side(marks)
+    joined = marked.join(side, null_safe(marked, side, [("doc_id", "_t_id"), ("_t_row", "_t_mark")]),
+                         "left")
+    single = joined.where(F.col("_t_mark").isNull()).select(*cols)
+    if marks.where("_t_kept").isEmpty():
+        return single
+    once = joined.where(F.col("_t_kept")).dropDuplicates(["_t_id", "_t_mark"]).select(*cols)
+    return single.unionByName(once)
+
+
 def publish(spark: SparkSession, name: str, blob: bytes) -> str:
     """Write a small file to the shared folder through Spark's file systems;
     returns its path, for ``SparkContext.addFile`` or ``addPyFile``."""

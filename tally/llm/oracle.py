@@ -115,5 +115,49 @@ from h left join f on f.place = 1 and f.page_id is not distinct from h.page_id
 """
 
 
+OP6 = r"""
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as w
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.w) + 1),
+         lambda i: q.w[i] * c.w[i])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.w) = len(c.w) where q.vec_id % 100 = 0),
+r as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
+
+OP9 = r"""
+with recursive k as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+t as (
+  select array_to_string(w, ' ') as key, any_value(w) as w, count(*) as n, min(doc_id) as id
+  from k where len(w) > 0 group by 1),
+g as (
+  select distinct id, unnest(case when len(w) < 5 then [key] else list_transform(range(1, len(w) - 3),
+         lambda i: array_to_string(w[i:i + 4], ' ')) end) as shingle from t),
+z as (select id, count(*) as size from g group by id),
+p as (
+  select a.id as a, b.id as b, count(*) as same from g a join g b on a.shingle = b.shingle and a.id <> b.id
+  group by 1, 2),
+l as (
+  select p.a, p.b from p join z x on x.id = p.a join z y on y.id = p.b
+  where 5 * same >= 4 * (x.size + y.size - same)),
+reach(a, b) as (
+  select id, id from t union select r.a, l.b from reach r join l on l.a = r.b),
+c as (select a, min(b) as class_id from reach group by a),
+m as (select l.a, sum(t.n) as n from l join t on t.id = l.b group by l.a)
+select k.doc_id, coalesce(c.class_id, k.doc_id) as class_id,
+       cast(case when t.id is null then 0 else t.n - 1 + coalesce(m.n, 0) end as bigint) as n_links
+from k left join t on t.key = array_to_string(k.w, ' ') and len(k.w) > 0
+left join c on c.a = t.id left join m on m.a = t.id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": OP3, "op4_chat_format": OP4, "op8_exact_dedup": OP8, "op10_url_filter": OP10}
+    return {"op3_source_mix": OP3, "op4_chat_format": OP4, "op6_topk_search": OP6,
+            "op8_exact_dedup": OP8, "op9_jaccard_join": OP9,
+            "op10_url_filter": OP10}

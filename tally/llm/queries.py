@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup, source_mix, url_filter
+from . import (chat_format, exact_dedup, jaccard_join, piece_codec, secret_scan, source_mix, topk_search,
+               url_filter)
 from .common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(load(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(load(spark, sf_dir, "documents")).drop("repeats")
 
@@ -24,13 +29,27 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digests(chat_format.format_chats(log))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(load(spark, sf_dir, "embeddings"))
+
+
+def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_corpus(load(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(load(spark, sf_dir, "documents")).drop("row_mark")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(load(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(load(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_source_mix, op4_chat_format, op8_exact_dedup, op10_url_filter)}
+    return {f.__name__: f for f in (
+        op1_secret_scan, op3_source_mix, op4_chat_format, op6_topk_search, op7_piece_codec, op8_exact_dedup,
+        op9_jaccard_join, op10_url_filter)}
