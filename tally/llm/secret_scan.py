@@ -5,14 +5,13 @@ Base kinds (fixed patterns, leftmost non-overlapping per kind): ``assign``,
 
 Novelty.  A candidate is a run of 16 or more key characters that mixes
 character classes, stands at most ``REACH`` characters behind a sensitive
-word (password, auth, credential, ...) and touches no base span.  It is
-compressed by zstandard with a raw-content dictionary made of common code
-identifiers and of the text around it (``AROUND`` characters on both sides,
-without the candidate).  The bytes it adds over an empty input are its
-marginal cost; a string that repeats what is near it or is made of
-identifiers costs a few bytes, a random one about a byte per character.
-Candidates with at least ``NOVELTY`` bytes per character become spans of
-kind ``novel``.
+word (password, auth, credential, ...) and touches no base span.  The text
+around it (``AROUND`` characters on both sides) is compressed by zstandard,
+primed with a dictionary of common code identifiers, once with and once
+without the candidate.  The difference is its marginal cost: a string that
+repeats what is near it or is made of identifiers costs about half a byte
+per character, a random one a byte or more.  Candidates with at least
+``NOVELTY`` bytes per character become spans of kind ``novel``.
 
 One pass over the documents in Arrow batches, no shuffle; a task holds one
 batch.  The dictionary is a constant, so nothing is broadcast.
@@ -51,7 +50,7 @@ SENSITIVE = re.compile(
     re.IGNORECASE | re.ASCII)
 REACH = 64
 AROUND = 512
-NOVELTY = 0.7
+NOVELTY = 0.9
 
 IDENTIFIERS = """
 import from return class def self function const var let public private protected static final void
@@ -72,7 +71,9 @@ js py java cpp txt csv log md readme version release license copyright author de
 password passwd secret token api_key apikey access_key private_key public_key client_id client_secret
 authorization bearer basic credential credentials certificate signature
 """.split()
-_DICTIONARY = " ".join(IDENTIFIERS).encode()
+_DICTIONARY = ("_".join(IDENTIFIERS) + " " + " ".join(IDENTIFIERS)).encode()
+_USUAL = " ".join(IDENTIFIERS[::3]).encode()[:AROUND]
+_press: zstandard.ZstdCompressor | None = None
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -85,13 +86,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def marginal_bytes(candidate: str, before: str, after: str) -> int:
-    """Bytes that ``candidate`` adds when identifiers and its surroundings are known."""
-    primed = zstandard.ZstdCompressionDict(
-        _DICTIONARY + b"\n" + after.encode("utf-8", "replace") + b"\n" + before.encode("utf-8", "replace"),
-        dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    press = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False,
-                                     write_checksum=False, write_dict_id=False)
-    return len(press.compress(candidate.encode())) - len(press.compress(b""))
+    """Bytes that ``candidate`` adds to its compressed surroundings."""
+    global _press
+    if _press is None:  # once per worker
+        _press = zstandard.ZstdCompressor(
+            level=3, dict_data=zstandard.ZstdCompressionDict(_DICTIONARY, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_content_size=False, write_checksum=False, write_dict_id=False)
+    head = before.encode("utf-8", "replace")
+    tail = after.encode("utf-8", "replace")
+    if len(head) + len(tail) < AROUND:  # too little text to know what is usual
+        head = _USUAL + head
+    return len(_press.compress(head + candidate.encode() + tail)) - len(_press.compress(head + tail))
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: float = NOVELTY
