@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_format, exact_dedup, jaccard_join, piece_codec, secret_scan, source_mix, topk_search,
-               url_filter)
+from . import (chat_format, exact_dedup, jaccard_join, license_scan, piece_codec, secret_scan, source_mix,
+               topk_search, toxicity, url_filter)
 from .common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(load(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(load(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(load(spark, sf_dir, "documents")).drop("repeats")
 
@@ -29,6 +33,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digests(chat_format.format_chats(log))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")).drop("row_mark")
+
+
 def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(load(spark, sf_dir, "embeddings"))
 
@@ -51,5 +59,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_secret_scan, op3_source_mix, op4_chat_format, op6_topk_search, op7_piece_codec, op8_exact_dedup,
-        op9_jaccard_join, op10_url_filter)}
+        op1_secret_scan, op2_license_scan, op3_source_mix, op4_chat_format, op5_toxicity, op6_topk_search,
+        op7_piece_codec, op8_exact_dedup, op9_jaccard_join, op10_url_filter)}
