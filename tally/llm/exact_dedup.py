@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, materialise, null_safe, row_mark, small_side, text_of
+from .common import SPACE_CLASS, keep_rows, materialise, null_safe, row_mark, small_side, text_of
 
 MIN_CHUNK = 256
 MAX_CHUNK = 4096
@@ -106,10 +106,11 @@ def exact_duplicates(docs: DataFrame, low: int = MIN_CHUNK, high: int = MAX_CHUN
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
     text_sha256, and ``row_mark`` (digest of the text as given)."""
     book = materialise(recipes(docs, low, high, digest_bits), "recipes")
-    often = book.groupBy("_recipe").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-    repeated = materialise(
-        book.join(often.select("_recipe"), "_recipe", "left_semi").select("doc_id", "_mark"),
-        "repeated-recipes")
+    often = materialise(
+        book.groupBy("_recipe").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_recipe"),
+        "frequent-recipes")
+    repeated = materialise(book.join(often, "_recipe", "left_semi").select("doc_id", "_mark"),
+                           "repeated-recipes")
     ordinals = _clashes(docs, repeated, low, high, digest_bits)
     if ordinals is None:
         listed = book.withColumn("_ordinals", F.lit(None).cast("array<struct<_pos:int,_ordinal:bigint>>"))
@@ -121,13 +122,16 @@ def exact_duplicates(docs: DataFrame, low: int = MIN_CHUNK, high: int = MAX_CHUN
         "_recipe", F.coalesce("_ordinals", F.array().cast("array<struct<_pos:int,_ordinal:bigint>>"))))
     order = F.struct((-F.col("_chars")).alias("a"), F.col("doc_id").isNull().alias("b"),
                      F.col("doc_id").alias("c"), F.col("_mark").alias("d"))
-    groups = listed.groupBy("_list").agg(
-        F.sum("_copies").alias("group_size"), F.min(order).alias("_first"))
-    joined = listed.join(groups, "_list")
-    stays = (F.col("doc_id").eqNullSafe(F.col("_first.c"))
-             & (F.col("_mark") == F.col("_first.d")))
+    # only groups of several rows are written and joined back; others stand alone
+    groups = materialise(listed.groupBy("_list").agg(
+        F.sum("_copies").alias("_size"), F.count(F.lit(1)).alias("_rows"),
+        F.min(order).alias("_first")).where("_rows > 1").drop("_rows"), "groups")
+    joined = listed.join(groups, "_list", "left")
+    alone = F.col("_first").isNull()
+    stays = alone | (F.col("doc_id").eqNullSafe(F.col("_first.c")) & (F.col("_mark") == F.col("_first.d")))
     return joined.select(
-        "doc_id", F.col("_first.c").alias("keep_id"), "group_size", stays.alias("_stays"),
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("_first.c")).alias("keep_id"),
+        F.coalesce("_size", "_copies").alias("group_size"), stays.alias("_stays"),
         "text_sha256", F.col("_mark").alias("row_mark"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_n")).select(
         "doc_id", "keep_id", "group_size", (F.col("_stays") & (F.col("_n") == 1)).alias("kept"),
@@ -135,23 +139,6 @@ def exact_duplicates(docs: DataFrame, low: int = MIN_CHUNK, high: int = MAX_CHUN
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with one row of each group of equal texts.
-
-    The rows to drop are written as (doc_id, digest) pairs; the corpus itself
-    meets them in one join, broadcast when the pairs are small.  Rows that
-    repeat the row that stays are collapsed to one."""
-    cols = docs.columns
-    marks = materialise(
-        exact_duplicates(docs).groupBy(F.col("doc_id").alias("_t_id"),
-                                       F.col("row_mark").alias("_t_mark")).agg(
-            F.max("kept").alias("_t_kept"), F.count(F.lit(1)).alias("_t_rows")).where(
-            "not _t_kept or _t_rows > 1"), "duplicates")
-    marked = docs.withColumn("_t_row", row_mark())
-    side = small_side(marks)
-    joined = marked.join(side, null_safe(marked, side, [("doc_id", "_t_id"), ("_t_row", "_t_mark")]),
-                         "left")
-    single = joined.where(F.col("_t_mark").isNull()).select(*cols)
-    if marks.where("_t_kept").isEmpty():
-        return single
-    once = joined.where(F.col("_t_kept")).dropDuplicates(["_t_id", "_t_mark"]).select(*cols)
-    return single.unionByName(once)
+    """``docs`` (all columns) with one row of each group of equal texts.  Rows
+    that repeat the row that stays are collapsed to one."""
+    return keep_rows(docs, exact_duplicates(docs).select("doc_id", "row_mark", "kept"), "exact")
