@@ -14,7 +14,6 @@ Layout:
     operators/  reusable DataFrame operators (windows, ids, lists, joins)
     plans/      the named analytics per case family, the query catalog and
                 the independent DuckDB oracle SQL
-    streaming/  intentionally empty (no streaming in the source analytics)
 """
 
 __all__ = ["session"]

@@ -29,8 +29,10 @@ STRICT = "strict"
 NULL_TEXT = "null"
 BLANK_TIME = "1900-01-01 00:00:00"
 
-NUMBER_PATTERN = r"([0-9]+(\.[0-9]+)?)"
-INTEGER_PATTERN = r"([0-9]+)"
+# The units that are removed behind a number.  What is left
+# must be a number as a whole.
+NUMBER_PATTERN = r"(?i)^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)\s*(?:km)?\s*$"
+INTEGER_PATTERN = r"(?i)^\s*([+-]?\d+)\s*(?:minutes|minute|mins|min)?\s*$"
 
 
 def _check_mode(mode: str) -> None:
@@ -44,28 +46,23 @@ def _is_blank_or_null_text(c: Column) -> Column:
 
 
 def blank_null_like(col: ColumnOrName) -> Column:
-    """NULL or the text 'null' (any case) -> '' ; other values unchanged."""
+    """NULL, the text 'null' (any case) or only blanks -> '' ; other values
+    unchanged (C1, C3, M6)."""
     c = _c(col)
-    return F.when(F.coalesce(F.lower(F.trim(c)), F.lit(NULL_TEXT)) == NULL_TEXT,
+    return F.when(F.coalesce(F.lower(F.trim(c)), F.lit("")).isin("", NULL_TEXT),
                   F.lit("")).otherwise(c)
 
 
-def blank_null_text(col: ColumnOrName) -> Column:
-    """Only the text 'null' -> '' ; real NULLs stay NULL."""
-    c = _c(col)
-    return F.when(F.lower(F.trim(c)) == NULL_TEXT, F.lit("")).otherwise(c)
-
-
 # The parsers below take the raw text and fold the 'null'-text step
 # in: 'null' and '' are both "blank".  Each references its input only
 # twice, so when Catalyst pushes a filter on a cleaned column below the
 # projection (substituting the expression), the predicate stays small.
 
 def parse_number(col: ColumnOrName, mode: str = REFERENCE) -> Column:
-    """Leading decimal number of a text with a unit suffix ('13.4 km') -> double (C4).
+    """A decimal number, with or without its unit behind it ('13.4 km') -> double (C4).
 
     Blank or 'null' text -> 0.0 (reference) / NULL (strict); NULL -> NULL;
-    text without a number -> NULL.
+    text that is not a number as a whole -> NULL.
     """
     _check_mode(mode)
     c = _c(col)
@@ -76,9 +73,10 @@ def parse_number(col: ColumnOrName, mode: str = REFERENCE) -> Column:
 
 
 def parse_int(col: ColumnOrName, mode: str = REFERENCE) -> Column:
-    """Leading integer of '32 minutes', '15 minute', '20mins', '10' -> int.
+    """'32 minutes', '15 minute', '20mins', '10' -> int.
 
-    Blank or 'null' text -> 0 (reference) / NULL (strict); NULL -> NULL.
+    Blank or 'null' text -> 0 (reference) / NULL (strict); NULL -> NULL;
+    text that is not a whole number as a whole -> NULL.
     """
     _check_mode(mode)
     c = _c(col)
@@ -107,10 +105,11 @@ LIST_SEPARATOR = r" *, *"
 
 
 def list_items(col: ColumnOrName) -> Column:
-    """Comma-separated text -> array of space-trimmed, non-empty items.
+    """Comma-separated text -> array of space-trimmed items.
 
-    Built from ``split`` on a separator that absorbs surrounding blanks and
-    ``array_remove`` of empty items: both are code-generated built-ins, no
-    per-element lambda.
+    A blank text has no items; an item of a text that is not blank may be
+    empty and is kept.  ``split`` on a separator that absorbs surrounding
+    blanks is a code-generated built-in, no per-element lambda.
     """
-    return F.array_remove(F.split(F.trim(_c(col)), LIST_SEPARATOR), "")
+    c = F.trim(_c(col))
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, LIST_SEPARATOR))

@@ -1,20 +1,18 @@
 """Reusable DataFrame operators."""
 
-from .aggs import (count_if, distinct_if, net_amount, percentiles, signed_amount,
+from .aggs import (count_if, flags_per, net_amount, percentiles, signed_amount,
                    sum_if, top_k)
 from .clean import clean_deliveries, clean_orders, with_record_id
 from .ids import with_dense_id
-from .joins import (bounded_broadcast, drop_excluded, flag_membership,
-                    gaps_at_least, role_day_pairs)
+from .joins import bounded_broadcast, flag_membership, gaps_at_least
 from .lists import explode_list, sorted_text_list
-from .windows import (first_per, next_in_order, next_in_sequence, previous_value,
-                      rank_top, rank_within, running_sum)
+from .windows import (first_per, join_ranks, next_in_order, previous_value, rank_top,
+                      rank_within, ranks_of, running_sum)
 
 __all__ = [
-    "count_if", "distinct_if", "net_amount", "percentiles", "signed_amount", "sum_if",
+    "count_if", "flags_per", "net_amount", "percentiles", "signed_amount", "sum_if",
     "top_k", "clean_deliveries", "clean_orders", "with_record_id", "with_dense_id",
-    "bounded_broadcast", "drop_excluded", "flag_membership", "gaps_at_least",
-    "role_day_pairs",
-    "explode_list", "sorted_text_list", "first_per", "next_in_order", "next_in_sequence",
-    "previous_value", "rank_top", "rank_within", "running_sum",
+    "bounded_broadcast", "flag_membership", "gaps_at_least",
+    "explode_list", "sorted_text_list", "first_per", "join_ranks", "next_in_order",
+    "previous_value", "rank_top", "rank_within", "ranks_of", "running_sum",
 ]

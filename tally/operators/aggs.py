@@ -1,14 +1,14 @@
 """Aggregate building blocks.
 
 All of these are built-in Spark aggregates, so they run with partial
-(map-side) aggregation; conditional distinct counts plan as an ``Expand``
-plus a two-level aggregate, which spreads a hot group over its distinct
-values.
+(map-side) aggregation.  Several conditional distinct counts of one key are
+per-key flags that are then summed (``flags_per``): one pass over the rows,
+without the row copies of an ``Expand``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +26,13 @@ def sum_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
-def distinct_if(cond: Column, value: ColumnOrName) -> Column:
-    """COUNT(DISTINCT CASE WHEN cond THEN value END)."""
-    return F.count_distinct(F.when(cond, _c(value)))
+def flags_per(df: DataFrame, key: str, flags: Mapping[str, Column], total: str) -> DataFrame:
+    """COUNT(DISTINCT CASE WHEN cond THEN key END) for every named condition, and
+    COUNT(DISTINCT key) as ``total``: one flag per key and condition, then sums."""
+    per = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.max(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in flags.items()])
+    return per.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in flags],
+                   F.count(key).alias(total))
 
 
 def signed_amount(type_col: ColumnOrName, amount_col: ColumnOrName,
@@ -45,18 +49,19 @@ def net_amount(type_col: ColumnOrName, amount_col: ColumnOrName,
 
 
 def percentiles(df: DataFrame, by: Sequence[str], value: ColumnOrName,
-                ps: Sequence[float], names: Sequence[str], digits: int = 4) -> DataFrame:
+                ps: Sequence[float], names: Sequence[str], digits: int | None = None) -> DataFrame:
     """Exact interpolated percentiles per group (PERCENTILE_CONT, A19/W11).
 
     Spark's exact ``percentile`` keeps a value->count map per group as its
     partial buffer, so memory grows with the number of distinct values, not
     with the number of rows; for day counts that is bounded by the calendar.
-    Results are rounded to ``digits`` decimals (interpolation of the same
-    values differs in the last binary digit between engines).
+    ``digits`` rounds the results, for comparisons between engines, whose
+    interpolations differ in the last binary digit; by default nothing is rounded.
     """
     arr = F.percentile(_c(value), F.array(*[F.lit(float(p)) for p in ps])).alias("_p")
     out = df.groupBy(*by).agg(arr)
-    return out.select(*by, *[F.round(F.col("_p")[i], digits).alias(n) for i, n in enumerate(names)])
+    value_of = lambda i: F.col("_p")[i] if digits is None else F.round(F.col("_p")[i], digits)
+    return out.select(*by, *[value_of(i).alias(n) for i, n in enumerate(names)])
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -1,22 +1,21 @@
 """Stable dense row ids without a single-partition window.
 
 ``row_number() over (order by ...)`` with no partition pulls every row into
-one task.  Here the rows are range-partitioned and sorted on the full
-order key (Spark samples the key to cut ranges, so a hot leading key is
-split over several partitions), each row gets its position inside its
-partition, and a per-partition offset (one row per partition, a bounded
-table) is added.
+one task.  Here equal rows are counted first (combined map-side, so a row
+that repeats a billion times is one row from then on), the distinct rows are
+range-partitioned and sorted on the order key and their remaining columns,
+and every distinct row gets the first id of its copies: a running count
+inside its partition plus the partition's offset (one row per partition, a
+bounded table).  Copies are written out again behind that, long runs in
+chunks that Spark deals over tasks.
 
-The ranged rows, with their partition number and position, are written
-once as a parquet table under the cluster's checkpoint folder
-(``spark.checkpoint.dir``) and read back: the counts and the rows then come
-from the same materialised data even if executors are lost or a stage is
-re-run (range bounds are sampled, so recomputing the ranged frame could cut
-the ranges differently).  A parquet table is one write job and is read back
-columnar, which is cheaper than ``DataFrame.checkpoint``.
+The ranged distinct rows are written once as a parquet table under the
+cluster's checkpoint folder (``spark.checkpoint.dir``) and read back: counts
+and rows then come from the same data even if executors are lost (range
+bounds are sampled, so recomputing the ranged frame could cut it
+differently).
 
-The id equals ``row_number()`` over the same order key; rows that tie on
-the whole key are interchangeable (they are equal in every ordered column).
+The id equals ``row_number()`` over the order key and then all other columns.
 """
 
 from __future__ import annotations
@@ -29,11 +28,11 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-_POS_BITS = 33  # monotonically_increasing_id = partition << 33 | index
+COPIES_AT_ONCE = 100_000
 
 
 def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "record_id",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, copies_at_once: int = COPIES_AT_ONCE) -> DataFrame:
     """Add ``id_col`` = row_number() over ``order_cols`` (see module doc).
 
     Without ``num_partitions`` the range exchange uses the session's shuffle
@@ -42,24 +41,32 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "recor
     """
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark)
-    order_cols = list(order_cols)
-    by_range = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-                else df.repartitionByRange(*order_cols))
+    order = [*order_cols, *[c for c in df.columns if c not in order_cols]]
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    by_range = (distinct.repartitionByRange(num_partitions, *order) if num_partitions
+                else distinct.repartitionByRange(*order))
     ranged = (
         by_range
-        .sortWithinPartitions(*order_cols)
+        .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())
     )
     path = f"{folder.rstrip('/')}/tally-dense-id-{uuid.uuid4().hex}"
     ranged.write.parquet(path)
     ranged = spark.read.parquet(path)
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = ranged.groupBy("_part").agg(F.sum("_copies").alias("_n"), F.max("_copies").alias("_most"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: bounded by the partition count, safe to broadcast
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    pos = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), _POS_BITS)
-    return ranged.join(F.broadcast(offsets), "_part").select(
-        *[F.col(c) for c in df.columns],
-        (F.col("_offset") + pos + 1).alias(id_col),
-    )
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy("_mono").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranged.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(
+        F.broadcast(offsets), "_part").withColumn("_first", F.col("_offset") + F.col("_before") + 1)
+    step = F.lit(copies_at_once).cast("long")
+    chunk = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("_copies") - 1, step))
+    first = first.withColumn("_chunk", F.explode(chunk))
+    if (sizes.agg(F.max("_most")).first()[0] or 0) > copies_at_once:
+        first = first.repartition("_first", "_chunk")
+    many = F.least(step, F.col("_copies") - F.col("_chunk") * step)
+    ids = F.transform(F.sequence(F.lit(0).cast("long"), many - 1),
+                      lambda i: F.col("_first") + F.col("_chunk") * step + i)
+    return first.select(*df.columns, F.explode(ids).alias(id_col))

@@ -55,12 +55,6 @@ def flag_membership(facts: DataFrame, members: DataFrame, key: str, fact_date: s
     return joined.withColumn(out, flag).drop("_first_member_date")
 
 
-def drop_excluded(items: DataFrame, excluded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``items`` whose key tuple is not in ``excluded`` (NOT IN on
-    non-null keys, J10) as a left-anti join."""
-    return items.join(excluded.select(*keys).distinct(), list(keys), "left_anti")
-
-
 def gaps_at_least(starts: DataFrame, targets: DataFrame, key: str, day: str,
                   cuts: Sequence[int]) -> DataFrame:
     """Per cut c: the number of (start, target) pairs of the same key with
@@ -74,11 +68,13 @@ def gaps_at_least(starts: DataFrame, targets: DataFrame, key: str, day: str,
     #distinct target days) rows to its window, which is linear and bounded by
     the calendar, never the product of the two sides.
 
-    ``starts`` / ``targets``: (key, day) rows, one per event (duplicates count).
+    ``starts`` / ``targets``: (key, day) rows, one per event (duplicates count);
+    rows without a day have no gap and are left out.
     Returns (cut, pairs, gap_sum); gap sums are decimal(38,0).
     """
     dec = "decimal(38,0)"
     epoch = F.lit("1970-01-01").cast("date")
+    starts, targets = starts.where(F.col(day).isNotNull()), targets.where(F.col(day).isNotNull())
     a = (starts.select(key, F.datediff(F.col(day), epoch).alias("_d"))
          .groupBy(key, "_d").agg(F.count(F.lit(1)).cast(dec).alias("_wa")))
     b = (targets.select(key, F.datediff(F.col(day), epoch).alias("_b"))
@@ -101,23 +97,3 @@ def gaps_at_least(starts: DataFrame, targets: DataFrame, key: str, day: str,
     return hits.groupBy(F.col("_cut").alias("cut")).agg(
         F.sum(F.col("_wb") * F.col("_f")).cast(dec).alias("pairs"),
         F.sum(F.col("_wb") * (F.col("_b") * F.col("_f") - F.col("_g"))).cast(dec).alias("gap_sum"))
-
-
-def role_day_pairs(events: DataFrame, key: str, role_col: str, day_col: str,
-                   role_a: str, role_b: str) -> DataFrame:
-    """Per key, every (role-a day, role-b day) pair with its multiplicity.
-
-    Equivalent to ``A LEFT JOIN B ON key`` where A, B are the events of
-    the two roles, without emitting one row per event pair: each role is
-    first counted per (key, day), so a key contributes at most
-    (#distinct A days) x (#distinct B days) rows, bounded by the calendar,
-    whatever the number of events.  Columns: key, a_day, b_day (NULL when
-    the key has no B event), weight (number of event pairs represented).
-    """
-    a = (events.where(F.col(role_col) == role_a).groupBy(key, day_col)
-         .agg(F.count(F.lit(1)).alias("_na")).withColumnRenamed(day_col, "a_day"))
-    b = (events.where(F.col(role_col) == role_b).groupBy(key, day_col)
-         .agg(F.count(F.lit(1)).alias("_nb")).withColumnRenamed(day_col, "b_day"))
-    j = a.join(b, key, "left")
-    return j.select(key, "a_day", "b_day",
-                    (F.col("_na") * F.coalesce(F.col("_nb"), F.lit(1))).alias("weight"))

@@ -13,10 +13,11 @@ from ..functions.semantics import ColumnOrName, _c
 
 
 def explode_list(df: DataFrame, list_col: str, out: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per trimmed, non-empty item of a comma-separated text column.
+    """One row per trimmed item of a comma-separated text column.
 
     Rows whose text is blank produce no row (the source guards the split
-    with ``<> ''``).  ``explode`` is a narrow generator: no shuffle.
+    with ``<> ''``); empty items of other rows are rows.  ``explode`` is a
+    narrow generator: no shuffle.
     """
     return df.select(*keep, F.explode(list_items(F.col(list_col))).alias(out))
 

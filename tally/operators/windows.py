@@ -6,24 +6,19 @@ data.  The operators here therefore:
 
 * answer "first / last row per key" with aggregates (``min_by`` / ``max_by``
   over a struct order key), which combine map-side before the shuffle;
-* answer "rank = 1" with a rank filter that Spark plans as a partial
-  ``WindowGroupLimit`` before the exchange (only the top rows of each key
-  leave a map task);
-* compute full ranks and "next value" on a key split by a second, bounded
-  level (the order date): the heavy per-row work is partitioned by
-  (key, date), and only one small row per (key, date) goes through a window
-  partitioned by key.  The number of rows per key in that window is bounded
-  by the number of distinct dates, not by the number of events;
-* offer ``next_in_order`` for data where even one (key, date) may be hot:
-  rows are numbered globally and every window partition is a fixed-size
-  bucket of positions.
+* answer "rank = 1 with ties" by joining the rows with their key's best value
+  (an aggregate), so tied rows of a hot key stay where the join puts them;
+* compute full ranks from counts per (key, order value): only one small row
+  per (key, order value) goes through a window partitioned by key;
+* answer "next row" (``next_in_order``) on globally numbered rows: every
+  window partition is a fixed-size bucket of positions, whatever the keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 Cols = Sequence[str]
@@ -49,16 +44,19 @@ def first_per(df: DataFrame, by: Cols | str, order: Cols | str, value_cols: Cols
     return out.select(*by, *[F.col(f"_picked.{c}").alias(c) for c in value_cols])
 
 
-def rank_top(df: DataFrame, by: Cols | str, order: Sequence[Column], k: int = 1,
-             ties: bool = True) -> DataFrame:
-    """Rows whose rank within ``by`` is <= k (``rank`` keeps ties, else
-    ``row_number``).  The rank filter is planned with a partial
-    WindowGroupLimit ahead of the shuffle, so each map task forwards at most
-    the top rows of every key."""
+def rank_top(df: DataFrame, by: Cols | str, order_col: str, largest: bool = False) -> DataFrame:
+    """Rows whose rank within ``by`` is 1 (ties kept): those that have their
+    key's smallest (or largest) ``order_col``.
+
+    The best value per key is an aggregate combined map-side; the rows meet
+    it in an equi-join that adaptive execution can split for a hot key."""
     by = _as_list(by)
-    w = Window.partitionBy(*by).orderBy(*order)
-    fn = F.rank() if ties else F.row_number()
-    return df.withColumn("_rk", fn.over(w)).where(F.col("_rk") <= k).drop("_rk")
+    best = (F.max if largest else F.min)(order_col).alias("_best")
+    side = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in by]).agg(best)
+    cond = F.col(order_col).eqNullSafe(F.col("_best"))
+    for k in by:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(side, cond, "left_semi")
 
 
 def rank_within(df: DataFrame, by: Cols | str, order_col: str,
@@ -70,60 +68,29 @@ def rank_within(df: DataFrame, by: Cols | str, order_col: str,
     combined), a running sum over that small aggregate, and an equi-join
     back on (group, order value).  The big side is shuffled once, by
     (group, order value), so a hot group is spread over its order values.
-    ``order_col`` must not be NULL.
+    NULLs order first and keys are matched null-safe.
     """
+    ranks = ranks_of(df, by, order_col, rank_col)
+    return join_ranks(df, ranks, [*_as_list(by), order_col], rank_col)
+
+
+def ranks_of(df: DataFrame, by: Cols | str, order_col: str, rank_col: str = "rank") -> DataFrame:
+    """(by, order_col, rank): the ranks of ``rank_within``, one row per order value."""
     by = _as_list(by)
     counts = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*by).orderBy(order_col)
          .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(*by, order_col,
-                          (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(rank_col))
-    return df.join(ranks, [*by, order_col], "left")
-
-
-def next_in_sequence(df: DataFrame, key: Cols | str, day_col: str, tiebreak: str,
-                     value_cols: Cols | str, prefix: str = "next_") -> DataFrame:
-    """Adds ``lead(value, 1) over (partition by key order by day_col, tiebreak)``.
-
-    Two levels instead of one window per key:
-
-    1. within (key, day): ``lead`` ordered by ``tiebreak``; the last row of a
-       day is detected by a NULL lead of the tie-break key;
-    2. per (key, day) the first row of that day is an aggregate
-       (``min_by``); a window over these day rows (partitioned by key,
-       bounded by the number of days) gives each day the first row of the
-       next day;
-    3. the last row of each day takes that value through an equi-join on
-       (key, day), which reuses the (key, day) partitioning of step 1.
-
-    The first rows come from an aggregate rather than from the window output
-    of step 1: the window output would be planned as a second full shuffle
-    of the events (column pruning gives it another shape, so the exchange is
-    not reused), whereas the aggregate shuffles map-side-reduced rows.
-    """
-    key, value_cols = _as_list(key), _as_list(value_cols)
-    parts = [*key, day_col]
-    w_day = Window.partitionBy(*parts).orderBy(tiebreak)
-    within = df.select(
-        "*",
-        F.lead(tiebreak, 1).over(w_day).isNull().alias("_last_of_day"),
-        *[F.lead(c, 1).over(w_day).alias(f"_in_day_{c}") for c in value_cols],
-    )
-    firsts = df.groupBy(*parts).agg(
-        F.min_by(F.struct(*value_cols), F.col(tiebreak)).alias("_first"))
-    w_key = Window.partitionBy(*key).orderBy(day_col)
-    next_day = firsts.select(
-        *parts,
-        *[F.lead(F.col(f"_first.{c}"), 1).over(w_key).alias(f"_next_day_{c}")
-          for c in value_cols],
-    )
-    joined = within.join(next_day, parts, "left")
-    out = joined.select(
-        *df.columns,
-        *[F.when(F.col("_last_of_day"), F.col(f"_next_day_{c}"))
-          .otherwise(F.col(f"_in_day_{c}")).alias(f"{prefix}{c}") for c in value_cols],
-    )
-    return out
+    return counts.select(*by, order_col,
+                         (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(rank_col))
+
+
+def join_ranks(df: DataFrame, ranks: DataFrame, keys: Cols, rank_col: str) -> DataFrame:
+    """``df`` with ``rank_col`` of the matching row of ``ranks`` (null-safe keys)."""
+    side = ranks.select(*[F.col(k).alias(f"_r_{k}") for k in keys], rank_col)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return df.join(side, cond, "left").select(*df.columns, rank_col)
 
 
 def next_in_order(df: DataFrame, key: Cols | str, order: Cols | str, value_cols: Cols | str,
@@ -138,9 +105,9 @@ def next_in_order(df: DataFrame, key: Cols | str, order: Cols | str, value_cols:
     bucket through a join with one row per bucket.  A next row that belongs
     to another key gives NULL.  ``order`` must be unique within a key.
 
-    Costs one range shuffle, one write of the ranged rows to the checkpoint
-    folder and one shuffle by bucket; ``next_in_sequence`` is cheaper when no
-    single (key, day) is hot.
+    NULL order values come first.  Costs one count of equal rows, one range
+    shuffle, one write of the ranged rows to the checkpoint folder and one
+    shuffle by bucket.
     """
     from .ids import with_dense_id  # local import: ids imports session helpers
 

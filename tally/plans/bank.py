@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import (days_between, int_avg, int_div, month_floor,
                                    pct)
-from ..operators.aggs import (distinct_if, net_amount, percentiles, signed_amount,
+from ..operators.aggs import (flags_per, net_amount, percentiles, signed_amount,
                               sum_if, top_k)
 from ..operators.joins import bounded_broadcast
 from ..operators.windows import previous_value, running_sum
@@ -40,15 +40,17 @@ def unique_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def nodes_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
-    """K2: node rows per region (COUNT, not distinct, as in the source)."""
+    """K2: node rows per region (COUNT, not distinct, as in the source), in
+    order of that count."""
     return _with_region(nodes, regions).groupBy("region_name").agg(
-        F.count("node_id").alias("number_nodes"))
+        F.count("node_id").alias("number_nodes")).orderBy("number_nodes", "region_name")
 
 
 def customers_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
-    """K3: distinct customers per region."""
+    """K3: distinct customers per region, in order of that count."""
     return _with_region(nodes, regions).groupBy("region_name").agg(
-        F.count_distinct("customer_id").alias("customers_count"))
+        F.count_distinct("customer_id").alias("customers_count")).orderBy(
+        "customers_count", "region_name")
 
 
 def avg_reallocation_days(nodes: DataFrame, sentinel: str = OPEN_END) -> DataFrame:
@@ -60,7 +62,7 @@ def avg_reallocation_days(nodes: DataFrame, sentinel: str = OPEN_END) -> DataFra
 def reallocation_percentiles(nodes: DataFrame, regions: DataFrame,
                              ps: Sequence[float] = PERCENTILES,
                              names: Sequence[str] = PERCENTILE_NAMES,
-                             sentinel: str = OPEN_END) -> DataFrame:
+                             sentinel: str = OPEN_END, digits: int | None = None) -> DataFrame:
     """K5: exact interpolated percentiles of |days| per region (one row each).
 
     The source computes a windowed percentile for every row and removes the
@@ -68,7 +70,7 @@ def reallocation_percentiles(nodes: DataFrame, regions: DataFrame,
     """
     d = F.abs(days_between(F.col("end_date"), F.col("start_date")))
     n = _with_region(_closed(nodes, sentinel), regions).select("region_name", d.alias("days"))
-    return percentiles(n, ["region_name"], "days", ps, names)
+    return percentiles(n, ["region_name"], "days", ps, names, digits)
 
 
 def txn_totals(txns: DataFrame) -> DataFrame:
@@ -97,7 +99,7 @@ def active_customers_by_month(txns: DataFrame, min_deposits: int = 2) -> DataFra
         sum_if(t.ilike("%withdrawal")).alias("withdrawal_count"))
     active = per.where((F.col("deposit_count") >= min_deposits)
                        & ((F.col("purchase_count") >= 1) | (F.col("withdrawal_count") >= 1)))
-    return active.groupBy("month_no").agg(F.count(F.lit(1)).alias("customers"))
+    return active.groupBy("month_no").agg(F.count(F.lit(1)).alias("customers")).orderBy("month_no")
 
 
 def closing_balance(txns: DataFrame) -> DataFrame:
@@ -135,10 +137,8 @@ def balance_growth_pct(txns: DataFrame, threshold: float = 0.05,
         m = previous_value(m, "customer_id", "month_start", "total_amount", "_prev")
         inc = int_div(F.col("closing_balance") - F.col("_prev"), F.col("_prev"))
     m = m.withColumn("closing_balance_increase", inc)
-    agg = m.agg(
-        distinct_if(F.col("closing_balance_increase") > F.lit(threshold), "customer_id")
-        .alias("customers_with_increase"),
-        F.count_distinct("customer_id").alias("total_customers"))
+    agg = flags_per(m, "customer_id", {"customers_with_increase":
+                    F.col("closing_balance_increase") > F.lit(threshold)}, "total_customers")
     return agg.select(
         "customers_with_increase", "total_customers",
         int_div(F.col("customers_with_increase") * 100, F.col("total_customers"))
@@ -148,5 +148,5 @@ def balance_growth_pct(txns: DataFrame, threshold: float = 0.05,
 __all__ = [
     "unique_nodes", "nodes_per_region", "customers_per_region", "avg_reallocation_days",
     "reallocation_percentiles", "txn_totals", "avg_deposits", "active_customers_by_month",
-    "closing_balance", "balance_growth_pct", "pct",
+    "closing_balance", "balance_growth_pct",
 ]

@@ -7,11 +7,10 @@ runner_id, pickup_time, distance, duration, cancellation) with one row per
 order, and the small dimensions ``names`` (pizza_id, pizza_name),
 ``recipes`` (pizza_id, toppings), ``toppings`` (topping_id, topping_name).
 
-Scale notes.  Item rows meet the deliveries in one join on ``order_id``
-(one shuffle of each side, or none when the deliveries are small enough to
-broadcast); aggregates keyed by the order then reuse that partitioning, and
-aggregates keyed by something small (pizza, runner, customer) combine
-map-side.  Per-pizza totals are counted before they meet the recipe, so item
+Scale notes.  Item rows are counted per order and the columns that a question
+reads (``_per_order``) before they meet the deliveries: the counts combine
+map-side, so an order with any number of items reaches the join as a few
+rows, and what follows weighs those rows by their count.  Per-pizza totals are counted before they meet the recipe, so item
 rows are never multiplied by recipe rows.  Ingredient lists are built per record with array
 functions on the record's own row (no join, no shuffle).  Ratings joined on
 the customer alone (quirk Q17) are counted per (customer, rating) first, so
@@ -28,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import list_items
-from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div,
-                                   minutes_crossed, round_ratio, scaled, us_week,
+from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div, measured,
+                                   minutes_crossed, round_half, round_ratio, us_week,
                                    weekday_name)
 from ..operators.clean import with_record_id
 from ..operators.ids import with_dense_id
@@ -44,7 +43,6 @@ DEFAULT_PRICE = 10
 SURCHARGE_TOPPING = "cheese"
 SURCHARGE_FEE = 1
 RUNNER_RATE = "0.30"
-MILLI = 1000  # distances are summed as exact 1/1000 units
 
 # The eight enumerated order-item labels of the source, as
 # (pizza_id, exclusions, extras, label).  Other combinations get NULL.
@@ -68,10 +66,22 @@ def delivered(deliveries: DataFrame) -> DataFrame:
     return deliveries.where(F.col("cancellation") == "")
 
 
-def _delivered_items(orders: DataFrame, deliveries: DataFrame,
+def _per_order(orders: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Item rows counted per order and ``keys`` (combined map-side): ``_rows``, and
+    ``_n`` of those with a pizza."""
+    return orders.groupBy("order_id", *keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("pizza_id").alias("_n"))
+
+
+def _delivered_items(orders: DataFrame, deliveries: DataFrame, keys: Sequence[str] = (),
                      cols: Sequence[str] = ()) -> DataFrame:
-    """Item rows of delivered orders, with extra delivery columns."""
-    return orders.join(delivered(deliveries).select("order_id", *cols), "order_id")
+    """Counted item rows of delivered orders, with extra delivery columns."""
+    return _per_order(orders, keys).join(delivered(deliveries).select("order_id", *cols), "order_id")
+
+
+def _total(count: str, out: str) -> Column:
+    """Sum of counts as a count: 0, not NULL, without rows."""
+    return F.coalesce(F.sum(count), F.lit(0)).alias(out)
 
 
 def _items_per(orders: DataFrame, keys: Sequence[str], out: str = "_n") -> DataFrame:
@@ -83,8 +93,8 @@ def price_of(name: Column, prices: Mapping[str, int] = PRICES,
              default: int = DEFAULT_PRICE) -> Column:
     expr = None
     for k, v in prices.items():
-        expr = (F.when(name == k, F.lit(v)) if expr is None
-                else expr.when(name == k, F.lit(v)))
+        expr = (F.when(ci_eq(name, k), F.lit(v)) if expr is None
+                else expr.when(ci_eq(name, k), F.lit(v)))
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
@@ -138,8 +148,9 @@ def deliveries_per_runner(deliveries: DataFrame) -> DataFrame:
 
 def delivered_by_type(orders: DataFrame, names: DataFrame, deliveries: DataFrame) -> DataFrame:
     """V4: delivered items per pizza name."""
-    per = _delivered_items(orders, deliveries).join(_dim(names), "pizza_id", "left")
-    return per.groupBy("pizza_name").agg(F.count("pizza_id").alias("total_delivered"))
+    per = _delivered_items(orders, deliveries, ["pizza_id"]).groupBy("pizza_id").agg(
+        F.sum("_n").alias("_n")).join(_dim(names), "pizza_id", "left")
+    return per.groupBy("pizza_name").agg(F.sum("_n").alias("total_delivered"))
 
 
 def ordered_by_customer_type(orders: DataFrame, names: DataFrame) -> DataFrame:
@@ -171,16 +182,18 @@ def _unchanged(orders: DataFrame) -> Column:
 
 def changed_vs_unchanged(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """V7: delivered items with at least one change / with none, per customer."""
-    per = _delivered_items(orders, deliveries)
+    marked = orders.select("order_id", "customer_id", "pizza_id", _changed(orders).alias("_c"),
+                           _unchanged(orders).alias("_u"))
+    per = _delivered_items(marked, deliveries, ["customer_id", "_c", "_u"])
     return per.groupBy("customer_id").agg(
-        F.sum(F.when(_changed(orders), 1).otherwise(0)).alias("change"),
-        F.sum(F.when(_unchanged(orders), 1).otherwise(0)).alias("no_changes"))
+        F.sum(F.when(F.col("_c"), F.col("_rows")).otherwise(0)).alias("change"),
+        F.sum(F.when(F.col("_u"), F.col("_rows")).otherwise(0)).alias("no_changes"))
 
 
 def both_changes(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """V8: delivered items with both exclusions and extras."""
     both = orders.where((F.col("exclusions") != "") & (F.col("extras") != ""))
-    return _delivered_items(both, deliveries).agg(F.count("pizza_id").alias("pizza_count"))
+    return _delivered_items(both, deliveries).agg(_total("_n", "pizza_count"))
 
 
 def volume_by_hour(orders: DataFrame) -> DataFrame:
@@ -211,23 +224,22 @@ def avg_pickup_minutes(orders: DataFrame, deliveries: DataFrame,
     fields, one value per item row.  ``per_order=True`` instead averages the
     minutes crossed from order to pickup, one value per order.
     """
-    j = _delivered_items(orders, deliveries, ["runner_id", "pickup_time"])
+    j = _delivered_items(orders, deliveries, ["order_time"], ["runner_id", "pickup_time"])
     if per_order:
-        j = j.select("runner_id", "order_id", "order_time", "pickup_time").distinct()
+        j = j.select("runner_id", "order_id", "order_time", "pickup_time", F.lit(1).alias("_rows")).distinct()
         d = minutes_crossed("order_time", "pickup_time")
     else:
         d = F.abs(F.minute("order_time") - F.minute("pickup_time"))
-    return j.groupBy("runner_id").agg(int_avg(d).alias("avg_time"))
+    weight = F.when(d.isNotNull(), F.col("_rows"))
+    return j.groupBy("runner_id").agg(int_div(F.sum(d * weight), F.sum(weight)).alias("avg_time"))
 
 
 def _order_pickup(orders: DataFrame, deliveries: DataFrame, cond: Column) -> DataFrame:
-    """Items per (order, pickup time, order time) of deliveries passing ``cond``.
-
-    The join is on ``order_id``; the grouping keys start with it, so the
-    aggregate reuses the join's partitioning."""
-    j = orders.join(deliveries.where(cond).select("order_id", "pickup_time"), "order_id")
-    return j.groupBy("order_id", "pickup_time", "order_time").agg(
-        F.count("order_id").alias("num_pizza"))
+    """Items per (order, pickup time, order time) of deliveries passing ``cond``:
+    counted before the join, summed where an order has several deliveries."""
+    j = _per_order(orders, ["order_time"]).join(
+        deliveries.where(cond).select("order_id", "pickup_time"), "order_id")
+    return j.groupBy("order_id", "pickup_time", "order_time").agg(F.sum("_rows").alias("num_pizza"))
 
 
 def prep_time_by_size(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -246,11 +258,13 @@ def avg_distance_per_customer(orders: DataFrame, deliveries: DataFrame) -> DataF
     ``mode='strict'`` to leave them out.  Items without a delivery row or
     with a NULL distance are ignored by the average.
     """
-    j = orders.join(deliveries.select("order_id", "distance"), "order_id", "left")
+    j = _per_order(orders, ["customer_id"]).join(
+        deliveries.select("order_id", "distance"), "order_id", "left")
     agg = j.groupBy("customer_id").agg(
-        F.sum(scaled("distance", MILLI)).alias("_s"), F.count("distance").alias("_k"))
+        F.sum(measured("distance") * F.col("_rows").cast("decimal(17,0)")).alias("_s"),
+        F.sum(F.when(F.col("distance").isNotNull(), F.col("_rows"))).alias("_k"))
     return agg.select("customer_id",
-                      round_ratio(F.col("_s"), F.col("_k") * MILLI, 2).alias("avg_distance"))
+                      round_half(F.col("_s").cast("double") / F.col("_k"), 2).alias("avg_distance"))
 
 
 def delivery_time_range(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -265,18 +279,19 @@ def delivery_time_range(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
 
 
 def _speed(distance: str, duration: str) -> Column:
-    """round(60 * distance / duration, 1) in km/h, exact; NULL for 0 minutes."""
-    return round_ratio(scaled(distance, MILLI) * 60, F.col(duration).cast("long") * MILLI, 1)
+    """round(60 * distance / duration, 1) in km/h; NULL for 0 minutes."""
+    return round_half(F.lit(60.0) * F.col(distance) / F.nullif(F.col(duration), F.lit(0)), 1)
 
 
-def runner_speed(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Speed of every delivery with its item count."""
+def runner_speed(orders: DataFrame, deliveries: DataFrame, ordered: bool = False) -> DataFrame:
+    """Speed of every delivery with its item count; ``ordered`` sorts by runner."""
     per = _items_per(orders, ["order_id"], "total_pizza")
     d = deliveries.where(F.col("distance") != 0).select(
         "runner_id", "order_id", "distance", "duration")
     j = d.join(per, "order_id").distinct()
-    return j.select("runner_id", "order_id", "distance", "duration", "total_pizza",
-                    _speed("distance", "duration").alias("speed_kmh"))
+    out = j.select("runner_id", "order_id", "distance", "duration", "total_pizza",
+                   _speed("distance", "duration").alias("speed_kmh"))
+    return out.orderBy("runner_id", "order_id") if ordered else out
 
 
 def success_pct(deliveries: DataFrame) -> DataFrame:
@@ -296,16 +311,16 @@ def _list_counts(orders: DataFrame, col: str, toppings: DataFrame, out: str) ->
     counts = items.groupBy("_item").agg(F.count(F.lit(1)).alias(out))
     t = toppings.select("topping_id", "topping_name")
     return counts.join(_dim(t), F.col("_item").try_cast("int") == F.col("topping_id")).select(
-        "topping_name", out)
+        "topping_name", out).orderBy(F.desc(out), "topping_name")
 
 
 def top_extras(orders: DataFrame, toppings: DataFrame) -> DataFrame:
-    """How often each topping was added as an extra."""
+    """How often each topping was added as an extra, most common first."""
     return _list_counts(orders, "extras", toppings, "extras_count")
 
 
 def top_exclusions(orders: DataFrame, toppings: DataFrame) -> DataFrame:
-    """How often each topping was excluded."""
+    """How often each topping was excluded, most common first."""
     return _list_counts(orders, "exclusions", toppings, "excluded_count")
 
 
@@ -347,20 +362,22 @@ def recipe_arrays(recipe_rows: DataFrame, names: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("topping_name", "topping_id"))).alias("_sorted"))
     per = per.join(_dim(names), "pizza_id")
     plain = F.transform(F.col("_sorted"), lambda t: t["topping_name"])
-    doubled = F.transform(F.col("_sorted"), lambda t: F.concat(F.lit("2x"), t["topping_name"]))
-    head = F.concat(F.col("pizza_name"), F.lit(":"))
+    doubled = F.transform(F.col("_sorted"), lambda t: concat_text(F.lit("2x"), t["topping_name"]))
+    head = concat_text("pizza_name", F.lit(":"))
     return per.select(
         "pizza_id", "pizza_name",
         F.transform(F.col("_sorted"), lambda t: F.struct(t["topping_id"].alias("topping_id"),
                                                           t["topping_name"].alias("topping_name")))
         .alias("_recipe"),
-        F.concat(head, F.array_join(plain, ",")).alias("_plain"),
-        F.concat(head, F.array_join(doubled, ",")).alias("_doubled"),
+        concat_text(head, F.array_join(plain, ",")).alias("_plain"),
+        concat_text(head, F.array_join(doubled, ",")).alias("_doubled"),
     )
 
 
-def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFrame) -> DataFrame:
-    """V24: 'name:item,item,...' per record, items sorted, '2x' marks.
+def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFrame,
+                     ordered: bool = False) -> DataFrame:
+    """V24: 'name:item,item,...' per record, items sorted, '2x' marks;
+    ``ordered`` sorts the records by id.
 
     Reference behaviour (quirk Q14): the membership test for the '2x' mark
     reads the outer topping id, so every remaining topping of a record that
@@ -379,16 +396,17 @@ def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFram
     excl = list_items(F.col("exclusions"))
     has_extra = F.trim(F.col("extras")) != ""
     keep = lambda t: ~F.array_contains(excl, t["topping_id"])
-    label = lambda t: F.when(has_extra, F.concat(F.lit("2x"), t["topping_name"])).otherwise(
+    label = lambda t: F.when(has_extra, concat_text(F.lit("2x"), t["topping_name"])).otherwise(
         t["topping_name"])
-    filtered = F.concat(F.col("pizza_name"), F.lit(":"),
-                        F.array_join(F.transform(F.filter(F.col("_recipe"), keep), label), ","))
+    filtered = concat_text("pizza_name", F.lit(":"),
+                           F.array_join(F.transform(F.filter(F.col("_recipe"), keep), label), ","))
     no_excl = F.size(excl) == 0
     text = (F.when(no_excl & has_extra, F.col("_doubled"))
             .when(no_excl, F.col("_plain"))
             .otherwise(filtered))
-    out = j.where(no_excl | F.exists(F.col("_recipe"), keep))
-    return out.select("record_id", text.alias("ingredients_list"))
+    out = j.where(no_excl | F.exists(F.col("_recipe"), keep)).select(
+        "record_id", text.alias("ingredients_list"))
+    return out.orderBy("record_id") if ordered else out
 
 
 def ingredient_lists_corrected(records: DataFrame, names: DataFrame, recipe_rows: DataFrame,
@@ -407,7 +425,7 @@ def ingredient_lists_corrected(records: DataFrame, names: DataFrame, recipe_rows
     base = records.join(_dim(recipe_rows), "pizza_id").where(
         ~F.array_contains(excl, F.col("topping_id")))
     base = base.select("record_id", F.when(F.array_contains(extras, F.col("topping_id")),
-                                           F.concat(F.lit("2x"), F.col("topping_name")))
+                                           concat_text(F.lit("2x"), "topping_name"))
                        .otherwise(F.col("topping_name")).alias("item"))
     extra_rows = records.select("record_id", "pizza_id", F.explode(extras).alias("topping_id"))
     extra_rows = extra_rows.join(_dim(recipe_rows.select("pizza_id", "topping_id")),
@@ -419,8 +437,7 @@ def ingredient_lists_corrected(records: DataFrame, names: DataFrame, recipe_rows
         sorted_text_list("item").alias("_items"))
     heads = records.join(_dim(names), "pizza_id").select("record_id", "pizza_name")
     return heads.join(lists, "record_id").select(
-        "record_id", F.concat(F.col("pizza_name"), F.lit(":"), F.col("_items"))
-        .alias("ingredients_list"))
+        "record_id", concat_text("pizza_name", F.lit(":"), "_items").alias("ingredients_list"))
 
 
 def order_item_composed(records: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
@@ -449,15 +466,16 @@ def order_item_composed(records: DataFrame, names: DataFrame, toppings: DataFram
 
 def _delivered_per_pizza(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Delivered item count per pizza (a handful of rows)."""
-    return _delivered_items(orders, deliveries).groupBy("pizza_id").agg(
-        F.count(F.lit(1)).alias("_n"))
+    return _delivered_items(orders, deliveries, ["pizza_id"]).groupBy("pizza_id").agg(
+        F.sum("_rows").alias("_n"))
 
 
 def ingredient_totals(orders: DataFrame, deliveries: DataFrame, recipe_rows: DataFrame) -> DataFrame:
     """Base-recipe topping uses over delivered items (quirk Q15:
-    extras and exclusions are ignored)."""
+    extras and exclusions are ignored), most used first."""
     per = _delivered_per_pizza(orders, deliveries).join(_dim(recipe_rows), "pizza_id")
-    return per.groupBy("topping_name").agg(F.sum("_n").alias("total_time"))
+    return per.groupBy("topping_name").agg(F.sum("_n").alias("total_time")).orderBy(
+        F.desc("total_time"), "topping_name")
 
 
 def revenue(orders: DataFrame, deliveries: DataFrame, names: DataFrame,
@@ -514,9 +532,9 @@ def delivery_report(orders: DataFrame, deliveries: DataFrame, ratings: DataFrame
     """
     d = delivered(deliveries).where(F.col("distance") != 0).select(
         "order_id", "runner_id", "pickup_time", "duration", "distance")
-    j = orders.join(d, "order_id").groupBy(
+    j = _per_order(orders, ["customer_id", "order_time"]).join(d, "order_id").groupBy(
         "order_id", "customer_id", "order_time", "runner_id", "pickup_time", "duration",
-        "distance").agg(F.count("pizza_id").alias("_n"))
+        "distance").agg(F.sum("_n").alias("_n"))
     if by_order:
         rc = ratings.groupBy("order_id", "customer_id", "rating").agg(
             F.count(F.lit(1)).alias("_r"))
@@ -540,21 +558,22 @@ def net_revenue(orders: DataFrame, deliveries: DataFrame, names: DataFrame,
     """Revenue of delivered orders minus runner pay, rounded to units.
 
     Reference behaviour (quirk Q18): pay = rate x **duration**;
-    ``per='distance'`` pays per kilometre as the question states.  Exact:
-    prices are integers and the rate a decimal fraction p/q.
+    ``per='distance'`` pays per kilometre as the question states.  Prices and
+    minutes are integers and the rate is a decimal fraction, so the default is
+    exact; kilometres are summed as decimals.
     """
     fr = Fraction(rate)
-    items = orders.join(_dim(names), "pizza_id")
+    items = _per_order(orders, ["pizza_id"]).join(_dim(names), "pizza_id")
     per_order = items.groupBy("order_id").agg(
-        F.sum(price_of(F.col("pizza_name"), prices, default)).alias("total_price"))
+        F.sum(F.col("_rows") * price_of(F.col("pizza_name"), prices, default)).alias("total_price"))
     d = delivered(deliveries).select("order_id", "duration", "distance")
     j = per_order.join(d, "order_id")
     if per == "duration":
-        qty, unit = F.col("duration").cast("long"), 1
-    elif per == "distance":
-        qty, unit = scaled("distance", MILLI), MILLI
-    else:
-        raise ValueError("per must be 'duration' or 'distance'")
-    agg = j.agg(F.sum("total_price").alias("_p"), F.sum(qty).alias("_q"))
-    num = F.col("_p") * (fr.denominator * unit) - F.col("_q") * fr.numerator
-    return agg.select(round_ratio(num, F.lit(fr.denominator * unit), 0).alias("sum_value"))
+        agg = j.agg(F.sum("total_price").alias("_p"), F.sum(F.col("duration").cast("long")).alias("_q"))
+        num = F.col("_p") * fr.denominator - F.col("_q") * fr.numerator
+        return agg.select(round_ratio(num, F.lit(fr.denominator), 0).alias("sum_value"))
+    if per == "distance":
+        agg = j.agg(F.sum("total_price").alias("_p"), F.sum(measured("distance")).alias("_q"))
+        pay = F.col("_q").cast("double") * F.lit(float(fr))
+        return agg.select(round_half(F.col("_p") - pay, 0).alias("sum_value"))
+    raise ValueError("per must be 'duration' or 'distance'")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.semantics import ci_eq
 from ..operators.aggs import top_k
 from ..operators.joins import flag_membership
-from ..operators.windows import first_per, rank_top, rank_within
+from ..operators.windows import first_per, join_ranks, rank_top, ranks_of
 
 
 def _money(c):
@@ -80,8 +80,8 @@ def favourite_item(sales: DataFrame, menu: DataFrame, top: int | None = None) ->
         "customer_id", "product_id", "product_name").agg(F.count(F.lit(1)).alias("counts"))
     if top is not None:
         per = top_k(per, top, [F.col("customer_id"), F.col("product_id")])
-    top = rank_top(per, "customer_id", [F.col("counts").desc()], k=1, ties=True)
-    return top.select("customer_id", "product_name")
+    best = rank_top(per, "customer_id", "counts", largest=True)
+    return best.select("customer_id", "product_name")
 
 
 def _member_sales(sales: DataFrame, members: DataFrame) -> DataFrame:
@@ -92,8 +92,7 @@ def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
     """First purchase(s) on or after the join date (all items of that day)."""
     s = _member_sales(sales, members).where(F.col("order_date") >= F.col("join_date"))
     s = s.join(menu, "product_id")
-    top = rank_top(s, "customer_id", [F.col("order_date").asc()], k=1, ties=True)
-    return top.select("customer_id", F.col("join_date").alias("became_member"),
+    return rank_top(s, "customer_id", "order_date").select("customer_id", F.col("join_date").alias("became_member"),
                       F.col("order_date").alias("first_purchased"),
                       F.col("product_name").alias("item"))
 
@@ -150,7 +149,7 @@ def bonus_points_until(sales: DataFrame, menu: DataFrame, members: DataFrame,
     d = F.col("order_date")
     cond = (d >= F.col("join_date")) & (d < F.lit(str(end)).cast("date"))
     if first_week_only:
-        cond = cond & (d < F.date_add(F.col("join_date"), 7))
+        cond = cond & d.between(F.col("join_date"), F.date_add(F.col("join_date"), 6))
     s = _member_sales(sales, members).where(cond).join(menu, "product_id")
     return s.groupBy("customer_id").agg(
         _money(F.sum(F.col("price") * multiplier)).alias("total_points"))
@@ -166,9 +165,15 @@ def membership_table(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
 
 def membership_ranking(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """L11 plus the rank of each member purchase by date within
-    (customer, flag); NULL for non-member rows."""
+    (customer, flag); NULL for non-member rows.
+
+    Only member rows are ranked, from counts per (customer, date) over the
+    columns that decides on: the menu contributes its key alone.
+    """
     t = membership_table(sales, menu, members)
-    r = rank_within(t, ["customer_id", "member"], "order_date", "_rank")
+    flagged = flag_membership(sales.join(menu.select("product_id"), "product_id"), members,
+                              "customer_id", "order_date", "join_date", "member")
+    ranks = ranks_of(flagged.where(F.col("member") == "Y"), ["customer_id", "member"], "order_date", "_rank")
+    r = join_ranks(t, ranks, ["customer_id", "member", "order_date"], "_rank")
     return r.select("customer_id", "order_date", "product_name", "price", "member",
-                    F.when(F.col("member") == "N", F.lit(None).cast("int"))
-                    .otherwise(F.col("_rank").cast("int")).alias("ranking"))
+                    F.col("_rank").cast("int").alias("ranking"))

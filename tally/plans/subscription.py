@@ -13,11 +13,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import int_div, pct, year_range
-from ..operators.aggs import count_if, distinct_if
+from ..functions.semantics import ci_eq, int_div, pct, year_range
+from ..operators.aggs import count_if, flags_per
 from ..operators.joins import bounded_broadcast, gaps_at_least
-from ..operators.windows import (first_per, next_in_order, next_in_sequence,
-                                 previous_value)
+from ..operators.windows import first_per, next_in_order, previous_value
 
 # Plan names used by the analytics.
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = (
@@ -49,7 +48,7 @@ def customer_count(subs: DataFrame, plans: DataFrame) -> DataFrame:
 
 def starts_by_month(subs: DataFrame, plans: DataFrame, plan_name: str = TRIAL) -> DataFrame:
     """Starts of one plan per month number (years merged)."""
-    s = with_plan(subs, plans).where(F.col("plan_name") == plan_name)
+    s = with_plan(subs, plans).where(ci_eq("plan_name", plan_name))
     return s.groupBy(F.month("start_date").alias("month_no")).agg(
         F.count("start_date").alias("start_date_values"))
 
@@ -62,59 +61,46 @@ def starts_after_year(subs: DataFrame, plans: DataFrame, year: int) -> DataFrame
 
 def churn_pct(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """100 * churned customers / all customers, 1 decimal."""
-    s = with_plan(subs, plans)
-    agg = s.agg(F.count_distinct("customer_id").alias("total"),
-                distinct_if(F.col("plan_name") == CHURN, "customer_id").alias("churned"))
+    agg = flags_per(with_plan(subs, plans), "customer_id",
+                    {"churned": ci_eq("plan_name", CHURN)}, "total")
     return agg.select(pct("churned", "total", 1).alias("round_1decimals"))
 
 
-def with_next_plan(subs: DataFrame, plans: DataFrame, method: str = "day") -> DataFrame:
-    """Each event with the plan name of the customer's next event.
+def with_next_plan(subs: DataFrame, plans: DataFrame) -> DataFrame:
+    """Each event with plan name and date of the customer's next event.
 
-    ``method="day"`` splits each customer by day (one shuffle of the events);
-    ``method="global"`` uses globally numbered rows and is safe even when a
-    single customer-day holds a large share of all events.
+    Events without a date come first.  Rows are numbered globally, so neither
+    a hot customer nor a hot customer-day meets in one task.
     """
-    s = with_plan(subs, plans)
-    if method == "global":
-        return next_in_order(s, "customer_id", ["start_date", "subscription_id"],
-                             ["plan_name"], prefix="next_")
-    if method != "day":
-        raise ValueError("method must be 'day' or 'global'")
-    return next_in_sequence(s, "customer_id", "start_date", "subscription_id",
-                            ["plan_name"], prefix="next_")
+    return next_in_order(with_plan(subs, plans), "customer_id", ["start_date", "subscription_id"],
+                         ["plan_name", "start_date"], prefix="next_")
 
 
-def churn_after_trial_pct(subs: DataFrame, plans: DataFrame, method: str = "day") -> DataFrame:
+def churn_after_trial_pct(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """Trial rows directly followed by churn, per 100 customers, 1 decimal.
 
     Reference behaviour (quirk Q9): counts rows, not distinct customers.
     """
-    s = with_next_plan(subs, plans, method)
-    agg = s.agg(
-        count_if((F.col("next_plan_name") == CHURN) & (F.col("plan_name") == TRIAL),
-                 "customer_id").alias("cust_count"),
-        F.count_distinct("customer_id").alias("total"))
+    s = with_next_plan(subs, plans)
+    hit = ci_eq("next_plan_name", CHURN) & ci_eq("plan_name", TRIAL)
+    per = s.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        count_if(hit).alias("_hits"))
+    agg = per.agg(F.sum("_hits").alias("cust_count"), F.count("customer_id").alias("total"))
     return agg.select(pct("cust_count", "total", 1).alias("churn_percentage_round"))
 
 
 def next_plan_after_trial(subs: DataFrame, plans: DataFrame,
-                          denominator: int | None = 1000, method: str = "day") -> DataFrame:
+                          denominator: int | None = 1000) -> DataFrame:
     """Customers whose trial is directly followed by each paid plan or churn.
 
     Percentages divide by ``denominator`` (1000 in the reference, quirk Q10);
     ``denominator=None`` divides by the real number of customers instead.
     """
-    s = with_next_plan(subs, plans, method)
-    trial = F.col("plan_name") == TRIAL
-    nxt = F.col("next_plan_name")
-    counts = s.agg(
-        distinct_if(trial & (nxt == BASIC), "customer_id").alias("total_basic"),
-        distinct_if(trial & (nxt == PRO_MONTHLY), "customer_id").alias("total_pro"),
-        distinct_if(trial & (nxt == PRO_ANNUAL), "customer_id").alias("total_annual"),
-        distinct_if(trial & (nxt == CHURN), "customer_id").alias("total_churn"),
-        F.count_distinct("customer_id").alias("_customers"),
-    )
+    trial = ci_eq("plan_name", TRIAL)
+    after = {"total_basic": BASIC, "total_pro": PRO_MONTHLY, "total_annual": PRO_ANNUAL,
+             "total_churn": CHURN}
+    counts = flags_per(with_next_plan(subs, plans), "customer_id",
+                       {n: trial & ci_eq("next_plan_name", p) for n, p in after.items()}, "_customers")
     den = F.lit(denominator) if denominator is not None else F.col("_customers")
     return counts.select(
         "total_basic", "total_pro", "total_annual", "total_churn",
@@ -138,7 +124,7 @@ def plan_mix_at(subs: DataFrame, plans: DataFrame, as_of: _dt.date | str,
     if in_force:
         s = first_per(s, "customer_id", ["start_date", "subscription_id"],
                       ["plan_name"], last=True)
-    name = F.col("plan_name")
+    name = F.lower("plan_name")
     agg = s.agg(
         F.count("customer_id").alias("total_customer"),
         count_if(name == TRIAL, "customer_id").alias("_trial"),
@@ -162,7 +148,7 @@ def upgrades_in_year(subs: DataFrame, plans: DataFrame, year: int,
                      plan_name: str = PRO_ANNUAL) -> DataFrame:
     """Distinct customers starting ``plan_name`` within ``year``."""
     s = with_plan(subs.where(year_range("start_date", year, year)), plans)
-    return s.where(F.col("plan_name") == plan_name).agg(
+    return s.where(ci_eq("plan_name", plan_name)).agg(
         F.count_distinct("customer_id").alias("total"))
 
 
@@ -170,6 +156,20 @@ def _epoch_day(c: str):
     return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("decimal(38,0)")
 
 
+def _role_sums(s: DataFrame, start_plan: str, target_plan: str) -> DataFrame:
+    """Per customer: dated rows and their day sums of both roles (t, st, a, sa),
+    and all rows of both roles, dated or not (every_t, every_a)."""
+    dec = "decimal(38,0)"
+    dated = F.col("start_date").isNotNull()
+    one = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast(dec)
+    days = lambda cond: F.sum(F.when(cond & dated, _epoch_day("start_date")).otherwise(0))
+    start, target = ci_eq("plan_name", start_plan), ci_eq("plan_name", target_plan)
+    return s.where(start | target).groupBy("customer_id").agg(
+        one(start & dated).alias("t"), days(start).alias("st"),
+        one(target & dated).alias("a"), days(target).alias("sa"),
+        one(start).alias("every_t"), one(target).alias("every_a"))
+
+
 def avg_days_to_plan(subs: DataFrame, plans: DataFrame, start_plan: str = TRIAL,
                      target_plan: str = PRO_ANNUAL) -> DataFrame:
     """Integer average of days from a start-plan row to a target-plan row.
@@ -183,13 +183,7 @@ def avg_days_to_plan(subs: DataFrame, plans: DataFrame, start_plan: str = TRIAL,
     map-side combined aggregates.
     """
     s = with_plan(subs, plans)
-    name = F.col("plan_name")
-    per_customer = s.where(name.isin(start_plan, target_plan)).groupBy("customer_id").agg(
-        F.sum(F.when(name == start_plan, 1).otherwise(0)).cast("decimal(38,0)").alias("t"),
-        F.sum(F.when(name == start_plan, _epoch_day("start_date")).otherwise(0)).alias("st"),
-        F.sum(F.when(name == target_plan, 1).otherwise(0)).cast("decimal(38,0)").alias("a"),
-        F.sum(F.when(name == target_plan, _epoch_day("start_date")).otherwise(0)).alias("sa"),
-    )
+    per_customer = _role_sums(s, start_plan, target_plan)
     tot = per_customer.agg(
         F.sum(F.col("t") * F.col("sa") - F.col("a") * F.col("st")).alias("diff_sum"),
         F.sum(F.col("t") * F.col("a")).alias("pairs"))
@@ -206,22 +200,14 @@ def bucket_labels() -> list[tuple[int, int | None, str]]:
     return out
 
 
-def day_bucket(days):
-    """Bucket label of a day count; NULL for negative or missing counts."""
-    expr = None
-    for lo, hi, label in bucket_labels():
-        cond = days.between(lo, hi) if hi is not None else days > lo - 1
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
-
-
 def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TRIAL,
                          target_plan: str = PRO_ANNUAL) -> DataFrame:
     """The U10 pairs counted and averaged per 30-day bucket.
 
     Reference behaviour (quirk Q12): the open last bucket is labelled
-    '271-300'; start rows without a target row, and negative gaps, fall in
-    a NULL bucket that is counted (only the negative gaps enter its average).
+    '271-300'; start rows without a target row, pairs with a missing date and
+    negative gaps fall in a NULL bucket that is counted (only the negative
+    gaps enter its average).  Ordered by bucket, the NULL bucket first.
 
     No pair is materialised: ``gaps_at_least`` counts the pairs with a gap of
     at least each bucket's lower bound (a range join answered by running
@@ -230,7 +216,7 @@ def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TR
     gap of at least 0, plus the start rows of customers without a target.
     """
     s = with_plan(subs, plans)
-    name = F.col("plan_name")
+    name = F.lower("plan_name")
     starts = s.where(name == start_plan).select("customer_id", "start_date")
     targets = s.where(name == target_plan).select("customer_id", "start_date")
     labels = bucket_labels()
@@ -251,18 +237,16 @@ def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TR
     buckets = buckets.select("dayss", "_n", "_s", F.col("_n").alias("_k"))
 
     # NULL bucket: negative gaps, plus start rows whose customer has no target
-    per_customer = s.where(name.isin(start_plan, target_plan)).groupBy("customer_id").agg(
-        F.sum(F.when(name == start_plan, 1).otherwise(0)).cast("decimal(38,0)").alias("t"),
-        F.sum(F.when(name == start_plan, _epoch_day("start_date")).otherwise(0)).alias("st"),
-        F.sum(F.when(name == target_plan, 1).otherwise(0)).cast("decimal(38,0)").alias("a"),
-        F.sum(F.when(name == target_plan, _epoch_day("start_date")).otherwise(0)).alias("sa"))
+    per_customer = _role_sums(s, start_plan, target_plan)
     # one aggregate over a union: all pairs and lonely start rows (from the
     # per-customer sums), minus the pairs with a non-negative gap
     dec = "decimal(38,0)"
+    # pairs with a missing date are counted and have no gap; so are lonely start rows
     all_rows = per_customer.select(
         (F.col("t") * F.col("a")).alias("_k"),
         (F.col("t") * F.col("sa") - F.col("a") * F.col("st")).cast(dec).alias("_s"),
-        F.when(F.col("a") == 0, F.col("t")).otherwise(zero).alias("_lonely"))
+        (F.col("every_t") * F.greatest(F.col("every_a"), F.lit(1)) - F.col("t") * F.col("a"))
+        .cast(dec).alias("_lonely"))
     non_negative = ge.where(F.col("cut") == cuts[0]).select(
         (-F.col("pairs")).alias("_k"), (-F.col("gap_sum")).cast(dec).alias("_s"),
         zero.alias("_lonely"))
@@ -271,26 +255,18 @@ def days_to_plan_buckets(subs: DataFrame, plans: DataFrame, start_plan: str = TR
         F.sum("_k").alias("_k"), F.sum("_s").alias("_s"), F.sum("_lonely").alias("_lonely"))
     neg = neg.select("dayss", (F.col("_k") + F.col("_lonely")).alias("_n"), "_s", "_k")
     out = buckets.unionByName(neg).where(F.col("_n") > 0)
-    return out.select("dayss", F.col("_n").cast("long").alias("number_of_customers"),
+    low = F.split("dayss", "-")[0].cast("int")
+    return out.orderBy(low.asc_nulls_first()).select("dayss", F.col("_n").cast("long").alias("number_of_customers"),
                       int_div(F.col("_s"), F.col("_k")).cast("long").alias("average_day"))
 
 
 def downgrades_in_year(subs: DataFrame, plans: DataFrame, year: int,
-                       from_plan: str = PRO_MONTHLY, to_plan: str = BASIC,
-                       method: str = "day") -> DataFrame:
+                       from_plan: str = PRO_MONTHLY, to_plan: str = BASIC) -> DataFrame:
     """Customers whose ``from_plan`` row is directly followed by a
     ``to_plan`` row starting within ``year`` (a question the source answers
-    in prose only).  ``method`` as in ``with_next_plan``."""
-    s = with_plan(subs, plans)
-    if method == "global":
-        n = next_in_order(s, "customer_id", ["start_date", "subscription_id"],
-                          ["plan_name", "start_date"], prefix="next_")
-    elif method == "day":
-        n = next_in_sequence(s, "customer_id", "start_date", "subscription_id",
-                             ["plan_name", "start_date"], prefix="next_")
-    else:
-        raise ValueError("method must be 'day' or 'global'")
-    hit = n.where((F.col("plan_name") == from_plan) & (F.col("next_plan_name") == to_plan)
+    in prose only)."""
+    n = with_next_plan(subs, plans)
+    hit = n.where(ci_eq("plan_name", from_plan) & ci_eq("next_plan_name", to_plan)
                   & year_range("next_start_date", year, year))
     return hit.agg(F.count_distinct("customer_id").alias("downgraded_customers"))
 

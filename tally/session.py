@@ -9,6 +9,7 @@ when the session has none (never on a configured cluster).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,13 +21,17 @@ from pyspark.sql import SparkSession
 # On a cluster set the same value in spark.executor.extraJavaOptions.
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
-# Settings every session should carry for these analytics: UTC so that
-# timestamp_ntz <-> timestamp conversions are identity, ANSI on so bad casts
-# fail loudly unless a try_* form is used on purpose, AQE for runtime
-# coalescing and skew-join splitting.
+# The dialect rules rely on these in every query: UTC so that timestamp_ntz <->
+# timestamp conversions are identity, ANSI so that bad casts fail loudly unless
+# a try_* form is used on purpose.
 ANALYTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+
+# How plans run is the cluster's choice; the local session asks for runtime
+# coalescing and skew-join splitting.
+ADAPTIVE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -46,7 +51,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
         .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
-    for k, v in ANALYTIC_CONF.items():
+    for k, v in (ANALYTIC_CONF | ADAPTIVE_CONF).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -55,16 +60,19 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def apply_analytic_conf(spark: SparkSession) -> None:
-    """Pin the session settings the dialect rules rely on."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin the session settings the dialect rules rely on: time zone and ANSI casts."""
+    for k, v in ANALYTIC_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) a fresh folder is
-    created under the system temp dir.
+    as is.  Only when nothing is configured and the master is local (tests) a
+    fresh folder is created under the system temp dir; on a cluster a missing
+    shared folder is an error, as executors would write to their own disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not re.match(r"local(\[[^-]*\])?$", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tally-ckpt-"))
     return sc.getCheckpointDir()

@@ -14,8 +14,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tally.operators import (first_per, next_in_sequence, percentiles, rank_top,
-                             rank_within, role_day_pairs, with_dense_id)
+from tally.operators import (first_per, next_in_order, percentiles, rank_top,
+                             rank_within, with_dense_id)
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +29,8 @@ def events(spark):
     return spark.createDataFrame(data, "k int, d date, id int, v string").repartition(6)
 
 
-def test_next_in_sequence_equals_lead(events):
-    got = next_in_sequence(events, "k", "d", "id", ["v"], prefix="n_")
+def test_next_in_order_equals_lead(events):
+    got = next_in_order(events, "k", ["d", "id"], ["v"], prefix="n_", rows_per_bucket=50)
     w = Window.partitionBy("k").orderBy("d", "id")
     want = events.withColumn("n_v", F.lead("v").over(w))
     assert rows(got, "id", "n_v") == rows(want, "id", "n_v")
@@ -52,13 +52,37 @@ def test_first_and_last_per(events):
     assert rows(got, "k", "id") == rows(last, "k", "id")
 
 
-def test_rank_top_keeps_ties_and_plans_group_limit(events):
-    got = rank_top(events, "k", [F.col("d").asc()], k=1)
+def test_rank_top_keeps_ties(events):
+    got = rank_top(events, "k", "d")
     mins = events.groupBy("k").agg(F.min("d").alias("d"))
     want = events.join(mins, ["k", "d"])
     assert rows(got, "id") == rows(want, "id")
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    nulls = events.withColumn("k", F.when(F.col("k") > 2, F.col("k")))
+    best = nulls.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("d").desc())))
+    assert rows(rank_top(nulls, "k", "d", largest=True), "id") == rows(best.where("r = 1"), "id")
+
+
+def test_rank_within_takes_null_keys_and_values(spark):
+    df = spark.createDataFrame([(None, 1), (None, None), (1, None), (1, 2), (1, 2), (1, 3)], "k int, d int")
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy("d")))
+    assert rows(rank_within(df, "k", "d", "r")) == rows(want)
+
+
+def test_dense_ids_split_a_run_of_equal_rows(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("a"),
+                                     F.lit("x").alias("b")).repartition(6)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        got = with_dense_id(df, ["a"], "rid", num_partitions=8, copies_at_once=100)
+        want = df.withColumn("rid", F.row_number().over(Window.orderBy("a", "b")))
+        assert rows(got) == rows(want)
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("*").alias("n")).collect()]
+        assert max(sizes) < 1500   # the run of 2000 equal rows is not one task
+    finally:
+        spark.conf.set(conf, old)
 
 
 def test_with_dense_id_equals_row_number(events):
@@ -80,15 +104,6 @@ def test_with_dense_id_with_merged_ranges(spark, events):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_role_day_pairs_weights_equal_event_pairs(spark, events):
-    roles = events.withColumn("role", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b"))
-    got = role_day_pairs(roles, "k", "role", "d", "a", "b")
-    a = roles.where("role = 'a'").select("k", F.col("d").alias("a_day"))
-    b = roles.where("role = 'b'").select("k", F.col("d").alias("b_day"))
-    brute = a.join(b, "k", "left").groupBy("k", "a_day", "b_day").agg(F.count("*").alias("weight"))
-    assert rows(got) == rows(brute.select("k", "a_day", "b_day", "weight"))
-
-
 def test_gaps_at_least_equals_brute_force(spark, events):
     from tally.operators import gaps_at_least
     starts = events.where(F.col("id") % 3 == 0).select("k", "d")

@@ -14,8 +14,9 @@ def test_contract_keys_match():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 64
-    for name in qs:
-        assert "llm" not in name and not name.startswith("op")
+    families = ("subscription_", "bank_", "loyalty_", "delivery_")
+    own = [n for n in qs if n.startswith(families)]
+    assert len(own) >= 80 and set(own) <= set(sql)
 
 
 def test_entry_runs(spark):

@@ -7,8 +7,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SMOKE_SF
+from tally.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")   # static plans
     try:
         out = {n: fn(spark, SMOKE_SF)._jdf.queryExecution().executedPlan().toString()
-               for n, fn in E.queries().items()}
+               for n, fn in catalog.queries().items()}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     return out
@@ -37,9 +37,31 @@ def test_input_scans_are_pruned(plans):
                 assert schema.count(":") <= 4, (name, schema)
 
 
-def test_rank_filters_use_group_limit(plans):
-    for name in ("loyalty_favourite_item", "loyalty_first_after_join"):
-        assert "WindowGroupLimit" in plans[name], name
+def test_no_row_copies_for_conditional_distinct_counts(plans):
+    for name in ("subscription_churn_pct", "subscription_next_plan_after_trial", "bank_balance_growth_pct"):
+        assert "Expand" not in plans[name], name
+
+
+def test_items_are_counted_per_order_before_they_meet_deliveries(plans):
+    for name in ("delivery_delivered_by_type", "delivery_changed_vs_unchanged", "delivery_both_changes",
+                 "delivery_avg_pickup_minutes", "delivery_prep_time_by_size", "delivery_time_range",
+                 "delivery_avg_distance_per_customer", "delivery_runner_speed", "delivery_report",
+                 "delivery_revenue", "delivery_revenue_with_surcharge", "delivery_net_revenue",
+                 "delivery_ingredient_totals"):
+        lines = plans[name].splitlines()
+        at = next(i for i, x in enumerate(lines) if "FileScan" in x and "l_orderkey" in x)
+        depth = lambda x: re.search(r"[A-Za-z*]", x).start()
+        joins, here = 0, depth(lines[at])
+        for x in reversed(lines[:at]):          # the operators above the scan, from below
+            if depth(x) >= here:
+                continue
+            here = depth(x)
+            if "HashAggregate" in x:
+                break
+            joins += "Join" in x
+        else:
+            raise AssertionError(name)
+        assert joins <= 1, name                 # only the binding's own join of items and orders
 
 
 def test_year_filter_reaches_the_scan(plans):

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tally.functions import semantics as S
-from tally.operators import next_in_order, next_in_sequence, rank_within
+from tally.operators import next_in_order, rank_within
 
 
 def half_away(n: int, d: int, digits: int):
@@ -83,9 +83,6 @@ def test_lead_and_rank_match_pandas(spark, seed):
     srt = pdf.sort_values(["k", "d", "id"])
     srt["n_v"] = srt.groupby("k")["v"].shift(-1)
     want = {r.id: (None if pd.isna(r.n_v) else r.n_v) for r in srt.itertuples()}
-    got = {r.id: r.n_v for r in next_in_sequence(df, "k", "d", "id", ["v"], "n_").collect()}
-    assert got == want
-
     for bucket in (7, 1000):
         glob = next_in_order(df, "k", ["d", "id"], ["v"], "n_", rows_per_bucket=bucket)
         assert {r.id: r.n_v for r in glob.collect()} == want

@@ -63,15 +63,23 @@ def test_m6_trimmed_items_join_numeric_key(spark):
 
 
 def test_c1_c3_null_like_to_blank(spark):
-    df = spark.createDataFrame([(None,), ("null",), ("",), ("1, 5",), ("NULL",)], "e string")
+    df = spark.createDataFrame([(None,), ("null",), ("",), ("1, 5",), ("NULL",), ("  ",)], "e string")
     assert [r.x for r in df.select(C.blank_null_like("e").alias("x")).collect()] == [
-        "", "", "", "1, 5", ""]
+        "", "", "", "1, 5", "", ""]
 
 
-def test_c2_only_null_text_blanked(spark):
-    df = spark.createDataFrame([(None,), ("null",), ("20km",)], "e string")
-    assert [r.x for r in df.select(C.blank_null_text("e").alias("x")).collect()] == [
-        None, "", "20km"]
+def test_list_items_keep_empty_items_of_texts_that_are_not_blank(spark):
+    df = spark.createDataFrame([("1,,4",), (" 1 , 5 ,",), ("",), ("  ",), (None,)], "l string")
+    assert [r.x for r in df.select(C.list_items("l").alias("x")).collect()] == [
+        ["1", "", "4"], ["1", "5", ""], [], [], None]
+
+
+def test_c4_c5_take_the_whole_text_as_a_number(spark):
+    texts = [".5km", "-5 km", "1,234 km", "abc12", "1e3", "13.4 KM", "12.5 minutes", "1 h 20 min", "7"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(C.parse_number("t").alias("d"), C.parse_int("t").alias("i")).collect()
+    assert [r.d for r in got] == [0.5, -5.0, None, None, 1000.0, 13.4, None, None, 7.0]
+    assert [r.i for r in got] == [None, None, None, None, None, None, None, None, 7]
 
 
 @pytest.mark.parametrize("mode,blank", [(C.REFERENCE, 0.0), (C.STRICT, None)])
