@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.bindings import CaseTables, bind
+from ..functions.cleaning import STRICT
 from ..operators.clean import clean_deliveries, clean_orders
+from ..session import ensure_checkpoint_dir
 from . import bank as K
 from . import delivery as V
 from . import loyalty as L
@@ -58,6 +60,11 @@ SUBSCRIPTION: dict[str, Query] = {
         lambda t: U.downgrades_in_year(t.subscriptions, t.plans, UPGRADE_YEAR)),
     "subscription_new_customer_growth": _q(
         lambda t: U.new_customer_growth(t.subscriptions, t.plans)),
+    # corrected variants (Q10, Q11)
+    "subscription_next_plan_after_trial_share": _q(
+        lambda t: U.next_plan_after_trial(t.subscriptions, t.plans, denominator=None)),
+    "subscription_plan_mix_in_force": _q(
+        lambda t: U.plan_mix_at(t.subscriptions, t.plans, MIX_AS_OF, in_force=True)),
 }
 
 
@@ -67,13 +74,17 @@ BANK: dict[str, Query] = {
     "bank_customers_per_region": _q(lambda t: K.customers_per_region(t.customer_nodes, t.regions)),
     "bank_avg_reallocation_days": _q(lambda t: K.avg_reallocation_days(t.customer_nodes)),
     "bank_reallocation_percentiles": _q(
-        lambda t: K.reallocation_percentiles(t.customer_nodes, t.regions)),
+        # rounded for the comparison: interpolation differs in the last binary digit
+        lambda t: K.reallocation_percentiles(t.customer_nodes, t.regions, digits=9)),
     "bank_txn_totals": _q(lambda t: K.txn_totals(t.customer_transactions)),
     "bank_avg_deposits": _q(lambda t: K.avg_deposits(t.customer_transactions)),
     "bank_active_customers_by_month": _q(
         lambda t: K.active_customers_by_month(t.customer_transactions)),
     "bank_closing_balance": _q(lambda t: K.closing_balance(t.customer_transactions)),
     "bank_balance_growth_pct": _q(lambda t: K.balance_growth_pct(t.customer_transactions)),
+    # corrected variant (Q19)
+    "bank_balance_growth_corrected": _q(
+        lambda t: K.balance_growth_pct(t.customer_transactions, corrected=True)),
 }
 
 
@@ -92,6 +103,12 @@ LOYALTY: dict[str, Query] = {
     "loyalty_membership_table": _q(lambda t: L.membership_table(t.sales, t.menu, t.members)),
     "loyalty_membership_ranking": _q(
         lambda t: L.membership_ranking(t.sales, t.menu, t.members)),
+    # corrected variants (Q2, Q4) and the source's cut-off
+    "loyalty_most_purchased_by_count": _q(
+        lambda t: L.most_purchased(t.sales, t.menu, by_count=True)),
+    "loyalty_bonus_points_first_week": _q(
+        lambda t: L.bonus_points_until(t.sales, t.menu, t.members, BONUS_END, first_week_only=True)),
+    "loyalty_favourite_item_top7": _q(lambda t: L.favourite_item(t.sales, t.menu, top=7)),
 }
 
 
@@ -107,8 +124,27 @@ def _recipe_rows(t: CaseTables) -> DataFrame:
     return V.recipe_items(t.pizza_recipes, t.pizza_toppings)
 
 
+_numbered: dict[tuple[str, str], DataFrame] = {}
+
+
 def _records(t: CaseTables) -> DataFrame:
-    return V.order_records(_orders(t))
+    """Numbered order items: written once per application and data directory,
+    and shared by the queries that read them (``release_records`` removes them)."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _numbered:
+        _numbered[key] = V.order_records(_orders(t))
+    return _numbered[key]
+
+
+def release_records(spark: SparkSession) -> None:
+    """Delete the numbered order items this application has written."""
+    app, jvm = spark.sparkContext.applicationId, spark._jvm
+    folder = ensure_checkpoint_dir(spark)
+    for key in [k for k in _numbered if k[0] == app]:
+        for f in {f.rsplit("/", 1)[0] for f in _numbered.pop(key).inputFiles()}:
+            if "tally-dense-id-" in f:
+                path = jvm.org.apache.hadoop.fs.Path(folder, f.rsplit("/", 1)[1])
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 DELIVERY: dict[str, Query] = {
@@ -151,6 +187,26 @@ DELIVERY: dict[str, Query] = {
     "delivery_ratings_table": _q(lambda t: V.ratings_table(t.rating_source)),
     "delivery_report": _q(lambda t: V.delivery_report(_orders(t), _deliveries(t), t.rating_source)),
     "delivery_net_revenue": _q(lambda t: V.net_revenue(_orders(t), _deliveries(t), t.pizza_names)),
+    # corrected variants (Q5, Q6, Q8, Q13, Q14, Q17, Q18)
+    "delivery_max_items_delivered": _q(
+        lambda t: V.max_items_in_order(_orders(t), _deliveries(t))),
+    "delivery_avg_pickup_minutes_per_order": _q(
+        lambda t: V.avg_pickup_minutes(_orders(t), _deliveries(t), per_order=True)),
+    "delivery_order_item_composed": _q(
+        lambda t: V.order_item_composed(_records(t), t.pizza_names, t.pizza_toppings)),
+    "delivery_clean_deliveries_strict": _q(
+        lambda t: clean_deliveries(t.runner_orders_raw, STRICT)),
+    "delivery_ingredient_lists_corrected": _q(
+        lambda t: V.ingredient_lists_corrected(_records(t), t.pizza_names, _recipe_rows(t),
+                                               t.pizza_toppings)),
+    "delivery_report_by_order": _q(
+        lambda t: V.delivery_report(_orders(t), _deliveries(t), t.rating_source, by_order=True)),
+    "delivery_net_revenue_per_distance": _q(
+        lambda t: V.net_revenue(_orders(t), _deliveries(t), t.pizza_names, per="distance")),
+    # the menu questions over one item per part
+    "delivery_recipe_items": _q(lambda t: V.recipe_items(t.part_recipes, t.pizza_toppings)),
+    "delivery_standard_ingredients": _q(
+        lambda t: V.standard_ingredients(t.part_recipes, t.part_names, t.pizza_toppings)),
 }
 
 

@@ -201,6 +201,18 @@ class CaseTables:
     def plans(self) -> DataFrame:
         return tables.plans(self.spark)
 
+    # a menu that grows with the data: one item per part, three toppings each
+    @cached_property
+    def part_names(self) -> DataFrame:
+        return self._load("part").select(F.col("p_partkey").alias("pizza_id"),
+                                         F.col("p_name").alias("pizza_name"))
+
+    @cached_property
+    def part_recipes(self) -> DataFrame:
+        k = F.col("p_partkey")
+        return self._load("part").select(k.alias("pizza_id"), F.concat_ws(
+            ", ", _text(k % 25), _text((k + 8) % 25), _text((k + 17) % 25)).alias("toppings"))
+
     # ------------------------------------------------------------------- bank
     @cached_property
     def regions(self) -> DataFrame:
