@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from llm_data import empty_docs, messy_docs, messy_rows
+from tally.llm import piece_codec as P
+
+spm = pytest.importorskip("sentencepiece")
+
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(P.MODEL_PATH, "rb") as f:
+        return P.PieceTransducer(f.read())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return spm.SentencePieceProcessor(model_file=P.MODEL_PATH)
+
+
+def texts():
+    rng = random.Random(8)
+    letters = "ab the  \n\té日本€<>s/🙂ИЖ한 \x00​'.,0123"
+    out = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    for n in range(40):
+        out += [" " * n, " " * n + "the", "a" + " " * n + "b", "\n" * n + " x", "x \n" * n]
+    return out + ["a" * 500, "ha" * 300, "<s>", "<unk>", "<0x41>", "</s>[INST]", "▁", "a▁b", "word " * 2000]
+
+
+def test_shortest_paths_are_the_library_pieces(codec, library):
+    for t in texts():
+        assert codec.encode(t).tolist() == library.encode(t), repr(t)
+
+
+def test_round_trip(codec):
+    for t in texts():
+        assert codec.decode(codec.encode(t)) == t.replace("▁", " ")
+
+
+def test_admissible_pairs_are_those_that_merging_leaves(codec):
+    rng = random.Random(1)
+    pieces = [p for p in codec.ids if "▁▁" not in p]
+    for _ in range(3000):
+        a, b = rng.choice(pieces), rng.choice(pieces)
+        assert codec._fit(codec.ids[a], codec.ids[b]) == (codec._merged(a + b) == [a, b])
+
+
+def test_unigram_models_take_the_least_cost_path(codec):
+    uni = P.PieceTransducer.__new__(P.PieceTransducer)
+    uni.__dict__.update(codec.__dict__)
+    vocabulary = {"▁": -2.0, "a": -1.0, "b": -1.5, "ab": -2.25, "ba": -1.91, "▁a": -2.9, "aba": -3.3}
+    uni.bpe, uni.text_of = False, list(vocabulary)
+    uni.score = list(vocabulary.values())
+    uni.ids = {p: i for i, p in enumerate(vocabulary)}
+    uni.lead = {p[:n]: -2 for p in vocabulary for n in range(1, len(p))} | uni.ids
+    uni.low = -20.0
+
+    def all_paths(s):
+        if not s:
+            yield 0.0, []
+        for p, w in vocabulary.items():
+            if s.startswith(p):
+                for c, rest in all_paths(s[len(p):]):
+                    yield c - w, [uni.ids[p], *rest]
+
+    for s in ("▁abab", "▁aba", "ababba", "bbaab"):
+        assert uni.shortest_path(s) == min(all_paths(s))[1]
+
+
+def test_corpus_rows(spark, library):
+    docs = messy_docs(spark)
+    got = sorted(((r["doc_id"], r["ids"], r["decoded"], r["n_pieces"]) for r in P.encode_corpus(docs).collect()), key=repr)
+    want = []
+    for r in messy_rows():
+        ids = library.encode(r[1] or "")
+        want.append((r[0], ids, r[1] or "", len(ids)))
+    assert got == sorted(want, key=repr)
+    back = P.decode_corpus(P.encode_corpus(docs)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in back), key=repr) == sorted(
+        ((r[0], r[1] or "") for r in messy_rows()), key=repr)
+    assert P.encode_corpus(empty_docs(spark)).count() == 0
