@@ -157,7 +157,39 @@ left join c on c.a = t.id left join m on m.a = t.id
 """
 
 
+OP2_UNITS = r"""
+t as (select doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\n]+', ' ', 'g') as norm from documents),
+u as (
+  select distinct doc_id, unnest(list_concat(string_split(norm, chr(10)),
+         string_split_regex(norm, ' *\n(?: *\n)+ *'), [norm])) as unit from t),
+w as (select doc_id, unit, list_filter(string_split_regex(unit, '[ \n]+'), lambda x: x <> '') as w from u),
+g as (
+  select doc_id, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as a
+  from w where len(w) > 1),
+"""
+
+
+def _op2() -> str:
+    """Every unit against every template, without bounds or anchors."""
+    from .license_scan import TEMPLATES, THRESHOLD, bigram_set, plain_words
+    rows = ", ".join(f"({i}, '{name}', ['" + "', '".join(bigram_set(plain_words(text))) + "'])"
+                     for i, (name, text) in enumerate(TEMPLATES))
+    return f"""
+with {OP2_UNITS.strip()}
+l(n, name, b) as (values {rows}),
+d as (
+  select doc_id, unit, name, 2.0::double * len(list_intersect(a, b)) / (len(a) + len(b)) as dice
+  from g join l on list_has_any(a, b)),
+m as (select * from d where dice >= {THRESHOLD}
+      qualify row_number() over (partition by doc_id, unit order by dice desc, name) = 1),
+r as (select doc_id, first(name order by dice desc, name) as license, max(dice) as dice,
+             string_agg(distinct name, ',' order by name) as licenses from m group by doc_id)
+select t.doc_id, r.license, r.dice, coalesce(r.licenses, '') as licenses
+from t left join r on r.doc_id = t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": OP3, "op4_chat_format": OP4, "op6_topk_search": OP6,
+    return {"op2_license_scan": _op2(), "op3_source_mix": OP3, "op4_chat_format": OP4, "op6_topk_search": OP6,
             "op8_exact_dedup": OP8, "op9_jaccard_join": OP9,
             "op10_url_filter": OP10}
