@@ -49,7 +49,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, row_mark, ship_package, small_side, text_of
@@ -101,9 +101,9 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _least_count(grams: DataFrame, most: int) -> int:
+def _least_count(grams: DataFrame, count: Column, most: int) -> int:
     """The smallest count from which on at most ``most`` n-grams remain."""
-    total = F.least(F.col("toxic") + F.col("plain"), F.lit(1000))
+    total = F.least(count, F.lit(1000))
     sizes = grams.groupBy(total.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()  # <= 1000 rows
     kept, least = 0, 1001
     for n, m in sorted(((r["n"], r["m"]) for r in sizes), reverse=True):
@@ -127,8 +127,8 @@ def train(rows: DataFrame) -> Ratios | None:
     grams, contexts, shared = {}, {}, {}
     for n in range(ORDER, 0, -1):
         if n > SHARED:
-            least = _least_count(level, GRAMS)
-            often = F.col("toxic") + F.col("plain") >= least
+            count = F.col("toxic") + F.col("plain")
+            often = count >= _least_count(level, count, GRAMS)
             less = lambda c: F.when(often, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))).otherwise(0.0)
             grams[n] = level.where(often).select("gram", "toxic", "plain").toPandas()
             contexts[n] = level.groupBy(F.substring("gram", 1, n - 1).alias("context")).agg(
@@ -136,7 +136,8 @@ def train(rows: DataFrame) -> Ratios | None:
                 F.sum(less("toxic")).alias("kept_toxic"), F.sum(less("plain")).alias("kept_plain"),
                 F.max(often).alias("_any")).where("_any").drop("_any").toPandas()
         else:
-            shared[n] = level.orderBy(F.desc("any"), "gram").limit(GRAMS).select("gram", "any").toPandas()
+            often = F.col("any") >= _least_count(level, F.col("any"), GRAMS)
+            shared[n] = level.where(often).select("gram", "any").toPandas()
         if n > 1:
             level = level.groupBy(F.expr(f"substring(gram, 2, {n - 1})").alias("gram")).agg(
                 F.sum(seen("toxic")).cast("long").alias("toxic"), F.sum(seen("plain")).cast("long").alias("plain"),
