@@ -101,17 +101,19 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _least_count(grams: DataFrame, count: Column, most: int) -> int:
-    """The smallest count from which on at most ``most`` n-grams remain."""
-    total = F.least(count, F.lit(1000))
-    sizes = grams.groupBy(total.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()  # <= 1000 rows
-    kept, least = 0, 1001
+def _often(grams: DataFrame, count: Column, most: int) -> Column:
+    """Condition that keeps the most frequent n-grams, at most ``most`` of them.
+    Counts are compared by eighths of their binary logarithm, so the histogram
+    has at most 505 rows whatever the corpus."""
+    level = F.floor(F.log2(F.greatest(count, F.lit(1)).cast("double")) * 8)
+    sizes = grams.groupBy(level.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()
+    kept, least = 0, 1000
     for n, m in sorted(((r["n"], r["m"]) for r in sizes), reverse=True):
         kept += m
         if kept > most:
             break
         least = n
-    return least
+    return level >= least
 
 
 def train(rows: DataFrame) -> Ratios | None:
@@ -127,8 +129,7 @@ def train(rows: DataFrame) -> Ratios | None:
     grams, contexts, shared = {}, {}, {}
     for n in range(ORDER, 0, -1):
         if n > SHARED:
-            count = F.col("toxic") + F.col("plain")
-            often = count >= _least_count(level, count, GRAMS)
+            often = _often(level, F.col("toxic") + F.col("plain"), GRAMS)
             less = lambda c: F.when(often, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))).otherwise(0.0)
             grams[n] = level.where(often).select("gram", "toxic", "plain").toPandas()
             contexts[n] = level.groupBy(F.substring("gram", 1, n - 1).alias("context")).agg(
@@ -136,7 +137,7 @@ def train(rows: DataFrame) -> Ratios | None:
                 F.sum(less("toxic")).alias("kept_toxic"), F.sum(less("plain")).alias("kept_plain"),
                 F.max(often).alias("_any")).where("_any").drop("_any").toPandas()
         else:
-            often = F.col("any") >= _least_count(level, F.col("any"), GRAMS)
+            often = _often(level, F.col("any"), GRAMS)
             shared[n] = level.where(often).select("gram", "any").toPandas()
         if n > 1:
             level = level.groupBy(F.expr(f"substring(gram, 2, {n - 1})").alias("gram")).agg(
