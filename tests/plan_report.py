@@ -48,7 +48,7 @@ def summarise(text: str) -> dict:
 
 if __name__ == "__main__":
     from tally.session import local_session
-    import __spark_entry__ as E
+    from tally.plans import catalog
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     spark = local_session(8)
@@ -57,7 +57,7 @@ if __name__ == "__main__":
         # as at 100 TB: no fact or customer table fits under the broadcast
         # threshold; only the explicit, size-checked dimension hints remain
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         if names and name not in names:
             continue
         df = fn(spark, sf)

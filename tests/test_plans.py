@@ -94,3 +94,18 @@ def test_fixed_dimensions_are_broadcast_without_the_auto_threshold(spark):
         assert "BroadcastHashJoin" not in txt2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_numbered_records_are_written_once_and_released(spark):
+    import os
+    catalog.release_records(spark)
+    run = catalog.queries()
+    files = set()
+    for name in ("delivery_extras_exploded", "delivery_exclusions_exploded", "delivery_ingredient_lists"):
+        files |= {f for f in run[name](spark, SMOKE_SF).inputFiles() if "tally-dense-id" in f}
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    assert len(folders) == 1
+    path = folders.pop().removeprefix("file://")
+    assert os.path.isdir(path)
+    catalog.release_records(spark)
+    assert not os.path.exists(path)
