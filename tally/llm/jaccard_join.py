@@ -4,9 +4,10 @@ Documents are sets of five-word shingles (words: runs without white space);
 two texts are linked when the Jaccard coefficient of their sets is 0.8 or
 more.  A text of one to four words is a single shingle.
 
-The forest.  Each of ``TREES`` prefix tries holds every text under a 64-bit
-label of eight 8-bit MinHash slices, first slice first, so label order is
-trie order and a prefix of depth d is the label shifted right.  Matching
+The forest.  Each of ``TREES`` prefix tries holds every text under a label of
+up to ``MAX_DEPTH`` MinHash slices, first slice in the highest bits, so label
+order is trie order and a prefix of depth d is the label without its low
+bits.  Matching
 starts at the full depth and the prefix is shortened level by level until
 the expected recall of a pair exactly at the threshold, 1 - (1 - t^d)^TREES,
 reaches ``RECALL``; only slices of that depth are computed.
@@ -51,12 +52,12 @@ from .common import keep_rows, materialise, null_safe, row_mark, ship_package, s
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
-TREES = 16
-MAX_DEPTH = 8
-RECALL = 0.995
+TREES = 20
+MAX_DEPTH = 6
+RECALL = 0.9999
 BLOCK = 256
 BLOCK_WORDS = 4_000_000
-SLICE_BITS = 8
+SLICE_BITS = 10
 CHUNK_WORDS = 1 << 17        # words hashed at once: temporaries stay in the cache
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +151,7 @@ def _sketch(trees: int, depth: int):
     return run
 
 
-def sketch(docs: DataFrame, trees: int = TREES, depth: int = 5) -> DataFrame:
+def sketch(docs: DataFrame, trees: int = TREES, depth: int = 4) -> DataFrame:
     src = docs.select("doc_id", row_mark().alias("_mark"), text_of().alias("_text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(
@@ -283,11 +284,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select(
-            "n", F.least("n", "m").alias("m"))
-        large = both.join(low, F.col("a") == F.col("n")).where("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
+        # written first, so that the joins have exchanges on both sides and a hub's edges can be split
+        low = materialise(both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select(
+            "n", F.least("n", "m").alias("m")), "low")
+        large = materialise(both.join(low, F.col("a") == F.col("n")).where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        least = materialise(large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")), "least")
         small = large.join(least, F.col("a") == F.col("n")).where("b <> m").select(
             F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialise(small.unionByName(
