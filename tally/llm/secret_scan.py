@@ -5,12 +5,12 @@ Base kinds (fixed patterns, leftmost non-overlapping per kind): ``assign``,
 
 Novelty.  A candidate is a run of 16 or more key characters that mixes
 character classes, stands at most ``REACH`` characters behind a sensitive
-word (password, auth, credential, ...) and touches no base span.  The text
+word (password, auth, credential, ...); it may lie in a base span.  The text
 around it (``AROUND`` characters on both sides) is compressed by zstandard,
 primed with a dictionary of common code identifiers, once with and once
 without the candidate.  The difference is its marginal cost: a string that
 repeats what is near it or is made of identifiers costs about half a byte
-per character, a random one a byte or more.  Candidates with at least
+per character, a random one about a byte.  Candidates with at least
 ``NOVELTY`` bytes per character become spans of kind ``novel``.
 
 One pass over the documents in Arrow batches, no shuffle; a task holds one
@@ -50,7 +50,7 @@ SENSITIVE = re.compile(
     re.IGNORECASE | re.ASCII)
 REACH = 64
 AROUND = 512
-NOVELTY = 0.9
+NOVELTY = 0.8
 
 IDENTIFIERS = """
 import from return class def self function const var let public private protected static final void
@@ -99,27 +99,21 @@ def marginal_bytes(candidate: str, before: str, after: str) -> int:
     return len(_press.compress(head + candidate.encode() + tail)) - len(_press.compress(head + tail))
 
 
-def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: float = NOVELTY
-                ) -> list[tuple[int, int, str]]:
-    """Incompressible strings in a sensitive context that no base span touches."""
-    out = []
+def novel_spans(text: str, novelty: float = NOVELTY) -> list[tuple[int, int, str]]:
+    """Incompressible strings in a sensitive context."""
+    out: list[tuple[int, int, str]] = []
     words = [m.end() for m in SENSITIVE.finditer(text)]
     if not words:
         return out
-    w = b = 0
+    w = 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
         while w < len(words) and words[w] <= start:
             w += 1
         if not w or start - words[w - 1] > REACH:
             continue
-        while b < len(base) and base[b][1] <= start:
-            b += 1
-        if any(s < end and e > start for s, e, _ in base[b:b + 4]):
-            continue
         run = m.group()
-        classes = sum(bool(re.search(c, run)) for c in ("[a-z]", "[A-Z]", "[0-9]"))
-        if classes < 2:
+        if sum(bool(re.search(c, run)) for c in ("[a-z]", "[A-Z]", "[0-9]")) < 2:
             continue
         cost = marginal_bytes(run, text[max(0, start - AROUND):start], text[end:end + AROUND])
         if cost >= novelty * len(run):
@@ -138,7 +132,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             text = texts[i].as_py()
             base = base_spans(text)
-            more = novel_spans(text, base)
+            more = novel_spans(text)
             kinds = [k for _, _, k in base]
             row = (kinds.count("assign"), kinds.count("access"), kinds.count("hex"),
                    hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), len(more))
