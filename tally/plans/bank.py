@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.semantics import (days_between, int_avg, int_div, month_floor,
-                                   pct)
+from ..functions.semantics import days_between, int_avg, int_div, month_floor
 from ..operators.aggs import (flags_per, net_amount, percentiles, signed_amount,
                               sum_if, top_k)
 from ..operators.joins import bounded_broadcast
