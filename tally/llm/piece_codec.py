@@ -21,7 +21,7 @@ front of every run of U+2581 (and around characters of no piece); the pieces
 of such a segment are remembered in a bounded table per worker.
 
 The corpus is read in Arrow batches without a shuffle.  The model file's
-bytes (half a MB) travel with the task.
+bytes (half a MB) are broadcast.
 
 Defined results: a null or empty text has no pieces and decodes to the empty
 text; every row is encoded by itself; whole texts are encoded; an empty
@@ -31,7 +31,6 @@ back, except that U+2581 in a text comes back as a space.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
 from array import array
@@ -46,7 +45,7 @@ from .common import ship_package, text_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -141,7 +140,7 @@ class PieceTransducer:
         found = self.fits.get(key)
         if found is None:
             found = self._fit(left, right)
-            if len(self.fits) >= 4 * REMEMBERED:
+            if len(self.fits) >= 2 * REMEMBERED:
                 self.fits.clear()
             self.fits[key] = found
         return found
@@ -294,20 +293,36 @@ class _Recent(dict):
         return found
 
 
-_compiled: dict[str, PieceTransducer] = {}
+class ModelFile:
+    """A model's bytes; broadcast, they are compiled once per worker, and the
+    worker drops what it has compiled with the broadcast."""
 
+    def __init__(self, model: bytes):
+        self.model = model
+        self._codec: PieceTransducer | None = None
+
+    def __getstate__(self):
+        return self.model
+
+    def __setstate__(self, model):
+        self.__init__(model)
+
+    @property
+    def codec(self) -> PieceTransducer:
+        if self._codec is None:
+            self._codec = PieceTransducer(self.model)
+        return self._codec
 
-def compiled(model: bytes) -> PieceTransducer:
-    """The transducer of a model, compiled once per worker."""
-    key = hashlib.sha256(model).hexdigest()
-    if key not in _compiled:
-        _compiled[key] = PieceTransducer(model)
-    return _compiled[key]
+
+def _shared(df: DataFrame, model_path: str):
+    ship_package(df.sparkSession)
+    with open(model_path, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(ModelFile(f.read()))
 
 
-def _encode(model: bytes):
+def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = compiled(model)
+        codec = shared.value.codec
         for batch in batches:
             texts = batch.column(1)
             parts, counts, decoded = [], [], []
@@ -339,23 +354,19 @@ def _batch(batch: pa.RecordBatch, start: int, parts: list[np.ndarray], counts: l
 
 def encode_corpus(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, n_pieces, ids, decoded for every row of ``docs``."""
-    ship_package(docs.sparkSession)
-    with open(model_path, "rb") as f:
-        model = f.read()
+    shared = _shared(docs, model_path)
     src = docs.select("doc_id", text_of().alias("_text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(
-        _encode(model), f"doc_id {kind}, n_pieces bigint, ids array<int>, decoded string")
+        _encode(shared), f"doc_id {kind}, n_pieces bigint, ids array<int>, decoded string")
 
 
 def decode_corpus(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, text from piece ids (doc_id, ids); null ids give the empty text."""
-    ship_package(encoded.sparkSession)
-    with open(model_path, "rb") as f:
-        model = f.read()
+    shared = _shared(encoded, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = compiled(model)
+        codec = shared.value.codec
         for batch in batches:
             ids = batch.column(1)
             texts = [codec.decode(np.array(ids[i].as_py() or [], dtype=np.int32))

@@ -57,7 +57,7 @@ from .common import materialise, row_mark, ship_package, small_side, text_of
 FOLDS = 5
 ORDER = 6
 SHARED = 3
-GRAMS = 1 << 17
+GRAMS = 1 << 16
 DISCOUNT = 0.75
 WINDOW = 50
 TOP = 3
@@ -65,7 +65,7 @@ TELLING = 2.0
 FIT_ROWS = 20_000
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"\w+")
-_HELD_WORDS = 300_000
+_HELD_WORDS = 100_000
 
 
 def words_of(text: str) -> list[str]:
