@@ -94,9 +94,18 @@ def publish(spark: SparkSession, name: str, blob: bytes) -> str:
 _shipped: set[str] = set()
 
 
+# A batch of documents in a Python worker, and its copy in the JVM, stay small
+# whatever the texts' lengths.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package (once per application), so that
-    functions run there import it whatever the executors' paths are."""
+    functions run there import it whatever the executors' paths are, and bound
+    the session's Arrow batches."""
+    for k, v in ARROW_CONF.items():
+        spark.conf.set(k, v)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
