@@ -23,11 +23,13 @@ telling words, and the excess of telling words per word.  A logistic function
 fitted on labelled rows the models have not seen makes them a probability.
 
 Spark does the counting over all labelled training rows, without sampling:
-tasks count n-grams of their texts, Spark sums them and derives the shorter
-orders as aggregates.  Per order the n-grams kept are those at or above the
-smallest count that leaves at most ``GRAMS`` of them; what is pruned becomes
-backoff weight.  So the model sent to the scoring tasks has a fixed largest
-size (6 * ``GRAMS`` numbers) whatever the corpus.
+tasks count n-grams of their texts, Spark sums them, derives the shorter
+orders as aggregates and the log ratios by joins of neighbouring orders.
+Every n-gram is kept whatever its count, so the model grows with the training
+texts.  It is never held in memory: its sorted n-grams and their numbers are
+streamed into two files of the shared folder, handed out with
+``SparkContext.addFile`` and mapped by the scoring tasks, which look up the
+words of their texts by binary search.
 
 Labelled rows are dealt by r = crc32(doc_id as text) mod ``FOLDS``: r = 0 is
 held out, r = 4 fits the logistic function (at most ``FIT_ROWS`` rows, in
@@ -44,20 +46,21 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, row_mark, ship_package, small_side, text_of
+from .common import materialise, publish_all, row_mark, ship_package, small_side, text_of
 
 FOLDS = 5
 ORDER = 6
 SHARED = 3
-GRAMS = 1 << 16
 DISCOUNT = 0.75
 WINDOW = 50
 TOP = 3
@@ -66,6 +69,9 @@ FIT_ROWS = 20_000
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"\w+")
 _HELD_WORDS = 100_000
+_NEW_WORDS = 20_000
+_KEY = np.dtype(f"<U{ORDER}")
+_BACKOFF = "\x04"  # ends the key of a context; no n-gram holds it
 
 
 def words_of(text: str) -> list[str]:
@@ -101,51 +107,83 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _often(grams: DataFrame, count: Column, most: int) -> Column:
-    """Condition that keeps the most frequent n-grams, at most ``most`` of them.
-    Counts are compared by eighths of their binary logarithm, so the histogram
-    has at most 505 rows whatever the corpus."""
-    level = F.floor(F.log2(F.greatest(count, F.lit(1)).cast("double")) * 8)
-    sizes = grams.groupBy(level.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()
-    kept, least = 0, 1000
-    for n, m in sorted(((r["n"], r["m"]) for r in sizes), reverse=True):
-        kept += m
-        if kept > most:
-            break
-        least = n
-    return level >= least
-
-
-def train(rows: DataFrame) -> Ratios | None:
+def train(rows: DataFrame) -> MappedRatios | None:
     """Models from labelled rows (_text, _toxic); None if a class is missing."""
     level = materialise(
         rows.mapInArrow(_count_grams, "gram string, toxic bigint, plain bigint")
-        .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
+        .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+        .withColumn("any", F.lit(1).cast("long")), f"grams-{ORDER}")
     totals = level.agg(F.sum("toxic"), F.sum("plain")).first()
     if not totals[0] or not totals[1]:
         return None
     seen = lambda c: F.when(F.col(c) > 0, 1).otherwise(0)
-    level = level.withColumn("any", F.lit(1).cast("long"))
-    grams, contexts, shared = {}, {}, {}
-    for n in range(ORDER, 0, -1):
-        if n > SHARED:
-            often = _often(level, F.col("toxic") + F.col("plain"), GRAMS)
-            less = lambda c: F.when(often, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))).otherwise(0.0)
-            grams[n] = level.where(often).select("gram", "toxic", "plain").toPandas()
-            contexts[n] = level.groupBy(F.substring("gram", 1, n - 1).alias("context")).agg(
-                F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"),
-                F.sum(less("toxic")).alias("kept_toxic"), F.sum(less("plain")).alias("kept_plain"),
-                F.max(often).alias("_any")).where("_any").drop("_any").toPandas()
-        else:
-            often = _often(level, F.col("any"), GRAMS)
-            shared[n] = level.where(often).select("gram", "any").toPandas()
-        if n > 1:
-            level = level.groupBy(F.expr(f"substring(gram, 2, {n - 1})").alias("gram")).agg(
-                F.sum(seen("toxic")).cast("long").alias("toxic"), F.sum(seen("plain")).cast("long").alias("plain"),
-                F.count(F.lit(1)).alias("any"))
-    return Ratios(*_tables(grams, contexts, shared))
+    levels = {ORDER: level}
+    for n in range(ORDER - 1, 0, -1):
+        levels[n] = materialise(levels[n + 1].groupBy(F.expr(f"substring(gram, 2, {n})").alias("gram")).agg(
+            F.sum(seen("toxic")).cast("long").alias("toxic"), F.sum(seen("plain")).cast("long").alias("plain"),
+            F.count(F.lit(1)).alias("any")), f"grams-{n}")
+    return _write_model(rows.sparkSession, materialise(_log_ratios(levels), "ratios"))
+
+
+def _log_ratios(levels: dict[int, DataFrame]) -> DataFrame:
+    """key, value: the log ratio of every n-gram above the shared orders, and
+    that of the backoff weights of every context (key ends in ``_BACKOFF``).
+    The end of an n-gram is an n-gram of the order below, so no join loses one."""
+    left = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
+    total, kinds = levels[1].agg(F.sum("any"), F.count(F.lit(1))).first()
+    lower = levels[1].select(F.col("gram").alias("_end"), (
+        (left("any") + DISCOUNT * kinds / (kinds + 1)) / F.lit(float(total))).alias("_p"))
+    out = []
+    for n in range(2, ORDER + 1):
+        context, end = F.expr(f"substring(gram, 1, {n - 1})"), F.expr(f"substring(gram, 2, {n - 1})")
+        level = levels[n].withColumn("_context", context).withColumn("_end", end)
+        if n <= SHARED:
+            sums = level.groupBy("_context").agg(F.sum("any").alias("_sum"), F.count(F.lit(1)).alias("_kinds"))
+            lower = materialise(level.join(sums, "_context").join(lower, "_end").select(F.col("gram").alias("_end"), (
+                (left("any") + DISCOUNT * F.col("_kinds") * F.col("_p")) / F.col("_sum")).alias("_p")), f"p-{n}")
+            continue
+        if n == SHARED + 1:
+            lower = lower.select("_end", F.col("_p").alias("_p_toxic"), F.col("_p").alias("_p_plain"))
+        sums = level.groupBy("_context").agg(
+            *(F.sum(c).alias(f"_n_{c}") for c in ("toxic", "plain")),
+            *(F.sum(left(c)).alias(f"_k_{c}") for c in ("toxic", "plain")))
+        known = lambda c: F.col(f"_n_{c}") > 0
+        sums = materialise(sums.select("_context", "_n_toxic", "_n_plain", *(
+            F.when(known(c), 1 - F.col(f"_k_{c}") / F.col(f"_n_{c}")).otherwise(1.0).alias(f"_w_{c}")
+            for c in ("toxic", "plain"))), f"contexts-{n}")
+        lower = materialise(level.join(sums, "_context").join(lower, "_end").select(
+            F.col("gram").alias("_end"), *(
+                (F.when(known(c), left(c) / F.col(f"_n_{c}")).otherwise(0.0)
+                 + F.col(f"_w_{c}") * F.col(f"_p_{c}")).alias(f"_p_{c}") for c in ("toxic", "plain"))), f"p-{n}")
+        out += [lower.select(F.col("_end").alias("key"), F.log(F.col("_p_toxic") / F.col("_p_plain")).alias("value")),
+                sums.select(F.concat("_context", F.lit(_BACKOFF)).alias("key"),
+                            F.log(F.col("_w_toxic") / F.col("_w_plain")).alias("value"))]
+    table = out[0]
+    for more in out[1:]:
+        table = table.unionByName(more)
+    return table
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = np.array(batch.column(0).to_pylist(), dtype=_KEY).tobytes()
+        values = batch.column(1).to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([keys], pa.binary()), pa.array([values], pa.binary())],
+                                         names=["keys", "values"])
 
 
+def _write_model(spark: SparkSession, table: DataFrame) -> MappedRatios:
+    """Sorted keys and their values as two files, streamed by the driver one
+    partition at a time.  Spark orders strings as numpy does, by code points."""
+    packed = table.orderBy("key").mapInArrow(_pack, "keys binary, values binary")
+    run = uuid.uuid4().hex
+    names = [f"toxicity-keys-{run}.bin", f"toxicity-values-{run}.bin"]
+    for path in publish_all(spark, names, packed.toLocalIterator()):
+        spark.sparkContext.addFile(path)
+    return MappedRatios(*names)
+
+
+# The same model from tables in memory: the definition that tests compare with.
 def _shared_model(shared: dict) -> Callable[[str], float]:
     """Interpolated continuation probabilities of the orders for both classes."""
     counts = {n: dict(zip(t["gram"], t["any"].astype(float))) for n, t in shared.items()}
@@ -231,7 +269,12 @@ class Ratios:
         return out
 
     def features(self, text: str) -> tuple[float, ...] | None:
-        words = words_of(text)
+        return self._features(words_of(text))
+
+    def features_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
+        return map(self.features, texts)
+
+    def _features(self, words: list[str]) -> tuple[float, ...] | None:
         n = len(words)
         if not n:
             return None
@@ -245,6 +288,71 @@ class Ratios:
                 float(np.maximum(ratios - TELLING, 0).sum()) / n)
 
 
+class MappedRatios(Ratios):
+    """The same read from sorted files, whatever their size, that Spark hands
+    out; words not met lately are looked up many at a time."""
+
+    def __init__(self, keys: str, values: str):
+        self.names = keys, values
+        self.keys = self.values = None
+        self.known = _Recent(self.word)
+
+    def __getstate__(self):
+        return self.names
+
+    def _look_up(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(found, value or 0) of keys."""
+        if self.keys is None:  # once per worker
+            self.keys, self.values = (
+                np.memmap(SparkFiles.get(name), dtype=kind, mode="r").view(np.ndarray)
+                for name, kind in zip(self.names, (_KEY, "<f8")))
+        wanted = np.array(grams, dtype=_KEY)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        found = self.keys[at] == wanted
+        return found, np.where(found, self.values[at], 0.0)
+
+    def _gram_ratios(self, grams: list[str]) -> np.ndarray:
+        out, live = np.zeros(len(grams)), np.arange(len(grams))
+        for n in range(ORDER, SHARED, -1):
+            if not grams:
+                break
+            found, values = self._look_up(grams)
+            out[live] += values
+            live, grams = live[~found], [g for g, f in zip(grams, found.tolist()) if not f]
+            if grams:
+                out[live] += self._look_up([g[:-1] + _BACKOFF for g in grams])[1]
+                grams = [g[1:] for g in grams]
+        return out
+
+    def _word_ratios(self, words: list[str]) -> np.ndarray:
+        ids: dict[str, int] = {}
+        at = [ids.setdefault(m[k:k + ORDER], len(ids)) for m in map(marked, words) for k in range(len(m) - ORDER + 1)]
+        ends = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+        return np.add.reduceat(self._gram_ratios(list(ids))[at], ends)
+
+    def word(self, word: str) -> float:
+        return float(self._word_ratios([word])[0])
+
+    def features_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
+        held: list[list[str]] = []
+        new: dict[str, None] = {}
+
+        def flush() -> Iterator[tuple[float, ...] | None]:
+            if new:
+                for word, ratio in zip(new, self._word_ratios(list(new)).tolist()):
+                    self.known.keep(word, ratio)
+            yield from map(self._features, held)
+            held.clear()
+            new.clear()
+
+        for text in texts:
+            held.append(words_of(text))
+            new.update((w, None) for w in held[-1] if len(w) <= 64 and w not in self.known and w not in self.known.older)
+            if len(new) >= _NEW_WORDS:
+                yield from flush()
+        yield from flush()
+
+
 class _Recent(dict):
     """Log ratios of the words met last, in two generations of bounded size."""
 
@@ -257,12 +365,15 @@ class _Recent(dict):
         found = self.older.get(word)
         if found is None:
             found = self.ratio(word)
+        self.keep(word, found)
+        return found
+
+    def keep(self, word: str, found: float) -> None:
         if len(word) <= 64:
             if len(self) >= _HELD_WORDS:
                 self.older = dict(self)
                 self.clear()
             self[word] = found
-        return found
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -305,7 +416,7 @@ def _features(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            found = [model.features(t.as_py()) for t in batch.column(0)]
+            found = list(model.features_of(t.as_py() for t in batch.column(0)))
             rows = [f for f in found if f is not None]
             keep = pa.array([f is not None for f in found], pa.bool_())
             yield pa.RecordBatch.from_arrays(
@@ -319,8 +430,8 @@ def _score(shared):
         model, weights, empty = shared.value
         for batch in batches:
             scores = np.full(batch.num_rows, empty)
-            for i, text in enumerate(batch.column(1)):
-                x = model.features(text.as_py()) if model is not None else None
+            texts = (t.as_py() for t in batch.column(1))
+            for i, x in enumerate(model.features_of(texts) if model is not None else ()):
                 if x is not None:
                     z = float(np.dot(weights[:-1], x) + weights[-1])
                     scores[i] = 1 / (1 + math.exp(-min(max(z, -500.0), 500.0)))
@@ -372,8 +483,8 @@ def _keep_clean(docs: DataFrame, shared) -> DataFrame:
         model, weights, empty = shared.value
         for batch in batches:
             keep = []
-            for text in batch.column(at):
-                x = model.features(str(text.as_py() or "")) if model is not None else None
+            texts = (str(t.as_py() or "") for t in batch.column(at))
+            for x in model.features_of(texts) if model is not None else [None] * batch.num_rows:
                 z = float(np.dot(weights[:-1], x) + weights[-1]) if x is not None else (0.0 if empty >= 0.5 else -1.0)
                 keep.append(z < 0)
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -95,3 +95,41 @@ def test_missing_classes_messy_rows_and_stage(spark):
     kept = T.drop_toxic(docs, plain)
     assert kept.columns == docs.columns and kept.count() == docs.count()
     assert T.score_toxicity(empty_docs(spark), plain).count() == 0
+
+
+def test_model_keeps_every_gram_of_a_large_vocabulary(spark):
+    """More n-grams of each order than any fixed bound of 65,536, most seen once."""
+    from collections import Counter
+    import pandas as pd
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = [" ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(100)) for _ in range(300)]
+    rows = spark.createDataFrame([(t, int(i % 10 == 0)) for i, t in enumerate(text)], "_text string, _toxic int")
+    T.ship_package(spark)
+    model = T.train(rows)
+    counts = [Counter(), Counter()]
+    for i, t in enumerate(text):
+        for w in t.split():
+            m = T.marked(w)
+            counts[i % 10 == 0].update(m[k:k + T.ORDER] for k in range(len(w) + 1))
+    level = pd.DataFrame([(g, counts[1][g], counts[0][g], 1) for g in set(counts[0]) | set(counts[1])],
+                         columns=["gram", "toxic", "plain", "any"])
+    grams, contexts, shared = {}, {}, {}
+    for n in range(T.ORDER, 0, -1):
+        if n > T.SHARED:
+            grams[n] = level[["gram", "toxic", "plain"]]
+            less = level[["toxic", "plain"]].sub(T.DISCOUNT).clip(lower=0)
+            contexts[n] = level.assign(context=level.gram.str[:-1], kt=less.toxic, ko=less.plain).groupby("context").agg(
+                t=("toxic", "sum"), o=("plain", "sum"), kt=("kt", "sum"), ko=("ko", "sum")).reset_index()
+        else:
+            shared[n] = level[["gram", "any"]]
+        level = level.assign(gram=level.gram.str[1:], toxic=(level.toxic > 0) * 1, plain=(level.plain > 0) * 1, any=1).groupby(
+            "gram").sum().reset_index()
+    assert len(grams[T.ORDER]) > 1 << 16
+    whole = T.Ratios(*T._tables(grams, contexts, shared))
+    words_in = sorted({w for t in text[:20] for w in t.split()}) + ["neverseen", "zz", "é"]
+    want = [whole.word(w) for w in words_in]
+    assert np.allclose(model._word_ratios(words_in), want)
+    assert np.allclose([model.word(w) for w in words_in[:50]], want[:50])
+    rare = [w for w in text[0].split()]  # toxic words seen once keep their class evidence
+    assert min(model.word(w) for w in rare) > 1
