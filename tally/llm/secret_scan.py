@@ -3,15 +3,21 @@
 Base kinds (fixed patterns, leftmost non-overlapping per kind): ``assign``,
 ``access`` and ``hex``.
 
-Novelty.  A candidate is a run of 16 or more key characters that mixes
-character classes, stands at most ``REACH`` characters behind a sensitive
-word (password, auth, credential, ...); it may lie in a base span.  The text
-around it (``AROUND`` characters on both sides) is compressed by zstandard,
-primed with a dictionary of common code identifiers, once with and once
-without the candidate.  The difference is its marginal cost: a string that
-repeats what is near it or is made of identifiers costs about half a byte
-per character, a random one about a byte.  Candidates with at least
-``NOVELTY`` bytes per character become spans of kind ``novel``.
+Novelty.  Runs of key characters are parted at ``=`` (padding at the end
+stays), so that a name in front of a value is its context.  A part of
+``LEAST`` or more characters is a candidate if a sensitive word (password,
+auth, credential, ...) ends in front of it, in its run or at most ``REACH``
+characters before the run, or if only a line break with its indent, quotes or
+comment marks parts it from a candidate of the line before: lines of one key
+are one block.  It may lie in a base span.  The text around the block
+(``AROUND`` characters on both sides) is compressed by zstandard, primed with
+a dictionary of common code identifiers, once with and once without the
+candidate.  The difference is its marginal cost: a string that repeats what
+is near it (or a line of its own block) or is made of identifiers costs about
+half a byte per character, a random one about a byte.  Candidates with at
+least ``NOVELTY`` bytes per character become spans of kind ``novel``, whatever
+characters they are made of.  Costs are whole bytes, so they tell nothing
+about strings shorter than ``LEAST``.
 
 One pass over the documents in Arrow batches, no shuffle; a task holds one
 batch.  The dictionary is a constant, so nothing is broadcast.
@@ -26,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,7 +50,10 @@ HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 KINDS = ("assign", "access", "hex", "novel")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+PART = re.compile(r"[A-Za-z0-9+/_.-]+(?:=+$)?")
+NEXT_LINE = re.compile(r"""[\x20\t"',;+\\]*\r?\n[\x20\t"'#*/>|+-]*""")
+LEAST = 8
 SENSITIVE = re.compile(
     r"passw|passphrase|pwd|secret|token|api.?key|private.?key|access.?key|credential|auth|bearer|"
     r"signature|session.?id|license.?key|certificate|connection.?string",
@@ -99,25 +109,44 @@ def marginal_bytes(candidate: str, before: str, after: str) -> int:
     return len(_press.compress(head + candidate.encode() + tail)) - len(_press.compress(head + tail))
 
 
-def novel_spans(text: str, novelty: float = NOVELTY) -> list[tuple[int, int, str]]:
-    """Incompressible strings in a sensitive context."""
-    out: list[tuple[int, int, str]] = []
+def candidates(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Blocks of strings in a sensitive context: those of adjacent lines together."""
     words = [m.end() for m in SENSITIVE.finditer(text)]
     if not words:
-        return out
+        return
+    block: list[tuple[int, int]] = []
     w = 0
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        while w < len(words) and words[w] <= start:
-            w += 1
-        if not w or start - words[w - 1] > REACH:
-            continue
-        run = m.group()
-        if sum(bool(re.search(c, run)) for c in ("[a-z]", "[A-Z]", "[0-9]")) < 2:
-            continue
-        cost = marginal_bytes(run, text[max(0, start - AROUND):start], text[end:end + AROUND])
-        if cost >= novelty * len(run):
-            out.append((start, end, "novel"))
+    for m in RUN.finditer(text, words[0]):
+        for part in PART.finditer(m.group()):
+            start, end = m.start() + part.start(), m.start() + part.end()
+            if end - start < LEAST:
+                continue
+            while w < len(words) and words[w] <= start:
+                w += 1
+            follows = bool(block) and NEXT_LINE.fullmatch(text, block[-1][1], start) is not None
+            if not follows:
+                if block:
+                    yield block
+                block = []
+                if not w or m.start() - words[w - 1] > REACH:
+                    continue
+            block.append((start, end))
+    if block:
+        yield block
+
+
+def novel_spans(text: str, novelty: float = NOVELTY) -> list[tuple[int, int, str]]:
+    """Incompressible strings in a sensitive context."""
+    out: list[tuple[int, int, str]] = []
+    for block in candidates(text):
+        copies = Counter(text[start:end] for start, end in block)
+        for start, end in block:
+            run = text[start:end]
+            # lines of one key tell nothing about each other, unless they repeat
+            first, last = (block[0][0], block[-1][1]) if copies[run] == 1 else (start, end)
+            cost = marginal_bytes(run, text[max(0, first - AROUND):first], text[last:last + AROUND])
+            if cost >= novelty * len(run):
+                out.append((start, end, "novel"))
     return out
 
 
