@@ -1,21 +1,23 @@
-"""Near duplicates: n-gram Jaccard join by a MinHash LSH forest (operator 9).
+"""Near duplicates: n-gram Jaccard join by MinHash banding (operator 9).
 
 Documents are sets of five-word shingles (words: runs without white space);
 two texts are linked when the Jaccard coefficient of their sets is 0.8 or
 more.  A text of one to four words is a single shingle.
 
-The forest.  Each of ``TREES`` prefix tries holds every text under a label of
-up to ``MAX_DEPTH`` MinHash slices, first slice in the highest bits, so label
-order is trie order and a prefix of depth d is the label without its low
-bits.  Matching
-starts at the full depth and the prefix is shortened level by level until
-the expected recall of a pair exactly at the threshold, 1 - (1 - t^d)^TREES,
-reaches ``RECALL``; only slices of that depth are computed.
+Banding of one fixed depth, not a forest: no trie is sorted, and no prefix is
+matched or shortened per text or bucket.  Each of ``TREES`` trees holds every
+text under a label of d MinHash slices, and texts meet under equal labels.
+d is the largest depth, at most ``MAX_DEPTH``, at which the expected recall of
+a pair exactly at the threshold, 1 - (1 - t^d)^TREES, reaches ``RECALL``; it
+follows from these constants alone (4 for the values below).  A forest
+shortens prefixes to find the nearest few texts whatever their distance; here
+the threshold is fixed, so a deeper prefix would lose pairs at the threshold
+and a shorter one would only add candidates.
 
 1. *Sketch*, where documents are read: text key (128-bit digest of the word
    list), label per tree.  No shingle leaves the task.
 2. *Text classes*: copies collapse to one class with a weight.
-3. *Buckets*: classes under one prefix.  Buckets with the same members in
+3. *Buckets*: classes under one label.  Buckets with the same members in
    several trees are kept once (by member count and two xor digests).
 4. *Blocks*: a bucket of many classes is dealt into parts of about
    ``BLOCK`` classes (or ``BLOCK_WORDS`` words) and every pair of parts is one
