@@ -3,7 +3,8 @@
 Every normalised text (white space deleted, null counted as empty) is cut
 into chunks where its content says so: after at least ``MIN_CHUNK``
 characters a chunk ends behind the first boundary pair, and at
-``MAX_CHUNK`` characters at the latest.  Cutting depends on the text alone,
+``MAX_CHUNK`` characters at the latest.  Boundary characters lie below U+0250, so
+texts in other scripts are mostly cut every ``MAX_CHUNK`` characters.  Cutting depends on the text alone,
 so equal texts have equal chunk lists and the other way round.
 
 1. Each document is reduced, where it is read, to its *recipe*: the ordered
