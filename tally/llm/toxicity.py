@@ -47,8 +47,9 @@ from __future__ import annotations
 import math
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,7 @@ BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"\w+")
 _HELD_WORDS = 100_000
 _NEW_WORDS = 20_000
+_HELD_TEXT = 1 << 21
 _KEY = np.dtype(f"<U{ORDER}")
 _BACKOFF = "\x04"  # ends the key of a context; no n-gram holds it
 
@@ -269,16 +271,16 @@ class Ratios:
         return out
 
     def features(self, text: str) -> tuple[float, ...] | None:
-        return self._features(words_of(text))
+        return self._features(words_of(text), self.known)
 
     def features_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
         return map(self.features, texts)
 
-    def _features(self, words: list[str]) -> tuple[float, ...] | None:
+    def _features(self, words: list[str], ratio: dict[str, float]) -> tuple[float, ...] | None:
         n = len(words)
         if not n:
             return None
-        ratios = np.fromiter(map(self.known.__getitem__, words), dtype=np.float64, count=n)
+        ratios = np.fromiter(map(ratio.__getitem__, words), dtype=np.float64, count=n)
         chars = np.fromiter(map(len, words), dtype=np.float64, count=n) + 1
         r, c = np.concatenate([[0.0], np.cumsum(ratios)]), np.concatenate([[0.0], np.cumsum(chars)])
         w = min(WINDOW, n)
@@ -325,8 +327,8 @@ class MappedRatios(Ratios):
         return out
 
     def _word_ratios(self, words: list[str]) -> np.ndarray:
-        ids: dict[str, int] = {}
-        at = [ids.setdefault(m[k:k + ORDER], len(ids)) for m in map(marked, words) for k in range(len(m) - ORDER + 1)]
+        ids: dict[str, int] = defaultdict(count().__next__)
+        at = [ids[m[k:k + ORDER]] for m in map(marked, words) for k in range(len(m) - ORDER + 1)]
         ends = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
         return np.add.reduceat(self._gram_ratios(list(ids))[at], ends)
 
@@ -335,21 +337,32 @@ class MappedRatios(Ratios):
 
     def features_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
         held: list[list[str]] = []
-        new: dict[str, None] = {}
+        ratios: dict[str, float] = {}
+        new: list[str] = []
+        size = 0
 
         def flush() -> Iterator[tuple[float, ...] | None]:
             if new:
-                for word, ratio in zip(new, self._word_ratios(list(new)).tolist()):
+                for word, ratio in zip(new, self._word_ratios(new).tolist()):
+                    ratios[word] = ratio
                     self.known.keep(word, ratio)
-            yield from map(self._features, held)
-            held.clear()
-            new.clear()
+            for words in held:
+                yield self._features(words, ratios)
+            for part in (held, ratios, new):
+                part.clear()
 
         for text in texts:
             held.append(words_of(text))
-            new.update((w, None) for w in held[-1] if len(w) <= 64 and w not in self.known and w not in self.known.older)
-            if len(new) >= _NEW_WORDS:
+            size += len(text)
+            for word in set(held[-1]).difference(ratios):
+                found = self.known.find(word)
+                if found is None:
+                    new.append(word)
+                    found = 0.0  # until it is looked up
+                ratios[word] = found
+            if len(new) >= _NEW_WORDS or size >= _HELD_TEXT:
                 yield from flush()
+                size = 0
         yield from flush()
 
 
@@ -362,10 +375,18 @@ class _Recent(dict):
         self.older: dict[str, float] = {}
 
     def __missing__(self, word: str) -> float:
-        found = self.older.get(word)
+        found = self.find(word)
         if found is None:
             found = self.ratio(word)
-        self.keep(word, found)
+            self.keep(word, found)
+        return found
+
+    def find(self, word: str) -> float | None:
+        found = self.get(word)
+        if found is None:
+            found = self.older.get(word)
+            if found is not None:
+                self.keep(word, found)
         return found
 
     def keep(self, word: str, found: float) -> None:
