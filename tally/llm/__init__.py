@@ -13,4 +13,7 @@ the driver contract only when it can be imported.  One module per operator:
 8  exact_dedup    content-defined chunk recipes
 9  jaccard_join   MinHash LSH forest with exact verification
 10 url_filter     sorted digest array
+11 filter_audit   sparse document-term matrix, filters in every order
+12 quality        nearest-neighbour voting over latent-semantic vectors
+13 vector_codes   product codes by limb-split exact matrix products
 """

@@ -189,7 +189,82 @@ from t left join r on r.doc_id = t.doc_id
 """
 
 
+OP11 = r"""
+with recursive d as (
+  select doc_id, coalesce(text, '') as text, coalesce(lang, '') as part from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by text) as first from d),
+f as (
+  select doc_id, part, len(w) < 200 as a, 100 * len(list_distinct(w)) < 50 * len(w) as b,
+         100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) as c,
+         regexp_matches(text, '[#$%&*|]') as d, coalesce(doc_id > first, false) as e from w),
+m as (
+  select part, [a, b, c, d, e] as fails, coalesce(doc_id in (select doc_id from labels where quality = 1), false) as good,
+         coalesce(doc_id in (select doc_id from labels where toxic = 1), false) as toxic, count(*) as n
+  from f group by all),
+o(filter_order) as (
+  select '' union all
+  select filter_order || l from o, (values ('A'), ('B'), ('C'), ('D'), ('E')) t(l)
+  where strpos(filter_order, l) = 0 and length(filter_order) < 5),
+s as (
+  select part, filter_order, step, substr(filter_order, step, 1) as letter, good, toxic, n,
+         fails[strpos('ABCDE', substr(filter_order, step, 1))] as failing, len(list_filter(fails, lambda x: x)) as n_fails,
+         len(list_filter(range(1, step), lambda i: fails[strpos('ABCDE', substr(filter_order, i, 1))])) as earlier
+  from m, o, range(1, 6) t(step) where length(filter_order) = 5),
+g as (
+  select part, filter_order, cast(step as integer) as step, letter,
+         cast(sum(if(earlier = 0 and not failing, n, 0)) as bigint) as kept,
+         cast(sum(if(earlier = 0 and failing, n, 0)) as bigint) as removed,
+         cast(sum(if(earlier > 0 and failing, n, 0)) as bigint) as redundant,
+         cast(sum(if(failing and n_fails = 1, n, 0)) as bigint) as unique_fails,
+         cast(sum(if(earlier = 0 and failing and good, n, 0)) as bigint) as good_lost,
+         cast(sum(if(earlier = 0 and failing and toxic, n, 0)) as bigint) as toxic_lost
+  from s group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from g
+"""
+
+_OP13_KEPT = r"""
+k as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as w
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(embedding) > 0 and len(embedding) % 4 = 0),
+v as (
+  select *, row_number() over (order by vec_id nulls last, w) as r from k
+  where len(w) = (select len(w) from k group by 1 order by count(*) desc, 1 desc limit 1)),
+x as (select r, p, w[p * len(w) // 4 + 1:(p + 1) * len(w) // 4] as x from v, range(4) t(p)),
+c0 as (select p, r - 1 as e, x as c from x where r <= 256)"""
+
+
+def _op13() -> str:
+    """Four rounds written out: nearest entries, then floors of the means."""
+    steps = [_OP13_KEPT]
+    for i in range(5):
+        steps.append(f"""
+a{i} as (
+  select r, p, min(struct_pack(d := list_sum(list_transform(range(1, len(x) + 1),
+         lambda i: (x[i] - c[i]) * (x[i] - c[i]))), e := e)) as m from x join c{i} using (p) group by r, p)""")
+        if i < 4:
+            steps.append(f"""
+u{i} as (
+  select p, e, pos, sum(val) as s, cast(count(*) as hugeint) as n from (
+    select p, m.e as e, unnest(x) as val, unnest(range(len(x))) as pos from a{i} join x using (r, p)) group by all),
+n{i} as (
+  select p, e, list(cast((s - (s % n + n) % n) // n as bigint) order by pos) as c from u{i} group by p, e),
+c{i + 1} as (select p, e, coalesce(n.c, o.c) as c from c{i} o left join n{i} n using (p, e))""")
+    return "with " + ",".join(steps).strip() + r""",
+h as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from c4),
+g as (
+  select vec_id, label, string_agg(format('{:02x}', m.e), '' order by p) as code, cast(sum(m.d) as bigint) as error
+  from a4 join v using (r) group by r, vec_id, label)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from g, h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_license_scan": _op2(), "op3_source_mix": OP3, "op4_chat_format": OP4, "op6_topk_search": OP6,
             "op8_exact_dedup": OP8, "op9_jaccard_join": OP9,
-            "op10_url_filter": OP10}
+            "op10_url_filter": OP10, "op11_filter_audit": OP11, "op13_vector_codes": _op13()}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_format, exact_dedup, jaccard_join, license_scan, piece_codec, secret_scan, source_mix,
-               topk_search, toxicity, url_filter)
+from . import (chat_format, exact_dedup, filter_audit, jaccard_join, license_scan, piece_codec, quality,
+               secret_scan, source_mix, topk_search, toxicity, url_filter, vector_codes)
 from .common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +57,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(load(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_vectors(load(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_license_scan, op3_source_mix, op4_chat_format, op5_toxicity, op6_topk_search,
-        op7_piece_codec, op8_exact_dedup, op9_jaccard_join, op10_url_filter)}
+        op7_piece_codec, op8_exact_dedup, op9_jaccard_join, op10_url_filter, op11_filter_audit, op12_quality,
+        op13_vector_codes)}

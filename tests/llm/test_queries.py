@@ -19,12 +19,16 @@ COLUMNS = {
     "op6_topk_search": ["query_id", "rank", "vec_id", "score"],
     "op8_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op10_url_filter": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost",
+                          "toxic_lost", "shapley"],
+    "op12_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op13_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
 
 
 def test_one_query_per_operator_is_registered():
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(E.queries())
     assert set(oracle.oracle_sql()) <= set(names)
 
@@ -35,7 +39,7 @@ def test_query_equals_its_sql(spark, name):
     assert result[0] == "ok" and not result[3], result
 
 
-@pytest.mark.parametrize("name", ["op1_secret_scan", "op5_toxicity"])
+@pytest.mark.parametrize("name", ["op1_secret_scan", "op5_toxicity", "op12_quality"])
 def test_contract_columns_without_sql(spark, name):
     df = E.queries()[name](spark, SMOKE_SF)
     assert df.columns[:len(COLUMNS[name])] == COLUMNS[name]
