@@ -8,19 +8,19 @@ and lost of good and of toxic documents; ``shapley`` is a filter's removals
 summed over all orders.
 
 Method.  One pass cuts the documents into shards of about ``SHARD_BYTES`` of text
-and writes each as a local word list and CSR arrays (row bounds, local columns,
-counts).  The words of all shards are dealt by range over (word, shard) and
-numbered where they lie: a word's number is its place among the different words
-of its partition plus the partition's offset (a running sum over one row per
-partition, less the words that go on across an edge).  A word of every document
-spreads over partitions, since the shard is part of the range.  Each shard then
-meets its own word numbers and becomes a CSR shard over global columns.  Row sums
-(words) and counts of nonzero cells (different words) decide A and B, the other
-flags are attached by document, and one aggregate counts documents by part, set
-of failed filters and labels; only those counts meet the 120 orders.
-
-What moves: one row per word and shard, the CSR arrays once, a digest and the
-flags per document.  No task holds more than a shard or one document.
+and writes each as a word list and CSR arrays over it (row bounds, columns,
+counts).  The global dictionary is the distinct words of all shards, each with a
+code: its 63-bit hash, or, for words that share a hash (counted over the whole
+dictionary; about n^2 / 2^64 of n words), a negative number of their own.  So a
+code stands for one word, and a shard turns its columns into codes where it
+lies, without a join.  Row sums (words) and counts of nonzero cells (different
+codes) decide A and B, the other flags are attached by document, and one
+aggregate counts documents by part, set of failed filters and labels; only
+those counts meet the 120 orders.
+
+What moves: the different words of each task once, a hash per different word, a
+digest and the flags per document.  No task holds more than a shard or one
+document, and a word of every document is one row per task.
 
 Results.  A null text is empty: no words, so A fails and B does not.  A null lang
 counts as the empty string.  Repeated rows are documents like others; with equal
@@ -41,12 +41,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, materialise, ship_package, text_of
 
 SHARD_BYTES = 8 << 20
+CODE_BITS = 63
 MIN_WORDS = 200
 MIN_DISTINCT_PCT = 50
 MAX_CAPITALS_PCT = 3
@@ -125,34 +126,26 @@ def _shards(shard_bytes: int):
     return run
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Place of each word among the different words of this sorted partition
-    (columns: word, shard, pos); the word itself only where it comes first."""
-    last, place, part = None, -1, TaskContext.get().partitionId()
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        word = batch.column(0)
-        fresh = np.ones(len(word), bool)
-        fresh[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
-        fresh[0] = last is None or word[0].as_py() != last
-        places = place + np.cumsum(fresh)
-        place, last = int(places[-1]), word[len(word) - 1].as_py()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(word), part, np.int32)), batch.column(1), batch.column(2), pa.array(places, pa.int64()),
-             pc.if_else(pa.array(fresh), word, pa.scalar(None, word.type)).cast(pa.string())],
-            names=["part", "shard", "pos", "place", "word"])
-
-
-def _globally(local: pa.Table, numbers: pa.Table) -> pa.Table:
-    """A shard with its columns as global word numbers, ascending in each row."""
-    ids = np.zeros(numbers.num_rows, np.int64)
-    ids[numbers.column("pos").to_numpy()] = numbers.column("word_id").to_numpy()
-    cols, counts, bounds = (local.column(n).combine_chunks().flatten().to_numpy() for n in ("cols", "counts", "bounds"))
-    cols, rows = ids[cols], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((cols, rows))
-    local = local.set_column(local.column_names.index("cols"), "cols", _one(cols[order], pa.int64()))
-    return local.set_column(local.column_names.index("counts"), "counts", _one(counts[order], pa.int32()))
+def _globally(clashes):
+    """The shards with codes for columns, ascending in each row.  ``clashes``:
+    the words with codes of their own, if any."""
+    own = None if not clashes else (pa.array(list(clashes), pa.string()), np.array(list(clashes.values()), np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard = {n: batch.column(n).slice(i, 1) for n in batch.schema.names}
+                codes = shard.pop("codes").flatten().to_numpy()
+                words = shard.pop("words").flatten()
+                if own is not None:
+                    found = pc.index_in(words, value_set=own[0]).fill_null(-1).to_numpy()
+                    codes = np.where(found < 0, codes, own[1][found])
+                cols, counts, bounds = (shard[n].flatten().to_numpy() for n in ("cols", "counts", "bounds"))
+                cols, rows = codes[cols], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+                order = np.lexsort((cols, rows))
+                shard |= {"cols": _one(cols[order], pa.int64()), "counts": _one(counts[order], pa.int32())}
+                yield pa.RecordBatch.from_arrays(list(shard.values()), names=list(shard))
+    return run
 
 
 def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,53 +153,64 @@ def _row_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             own = {n: batch.column(n).slice(i, 1).flatten() for n in batch.schema.names if n != "shard"}
-            bounds = own["bounds"].to_numpy()
+            bounds, cols = own["bounds"].to_numpy(), own["cols"].to_numpy()
             upto = np.concatenate([[0], np.cumsum(own["counts"].to_numpy(), dtype=np.int64)])
+            fresh = np.ones(len(cols) + 1, np.int64)  # cells whose code differs from the one before in the row
+            fresh[1:-1] = cols[1:] != cols[:-1]
+            fresh[bounds] = 1
+            nonzero = np.concatenate([[0], np.cumsum(fresh[:-1])])
             yield pa.RecordBatch.from_arrays(
                 [own["doc_ids"], own["parts"], own["digests"], pa.array(upto[bounds[1:]] - upto[bounds[:-1]]),
-                 pa.array(np.diff(bounds)), own["chars"], own["capitals"], own["specials"]],
+                 pa.array(nonzero[bounds[1:]] - nonzero[bounds[:-1]]), own["chars"], own["capitals"], own["specials"]],
                 names=["doc_id", "part", "digest", "n_words", "n_distinct", "n_chars", "n_capitals", "n_special"])
 
 
 class TermMatrix:
-    """The document-term matrix of a corpus: ``dictionary`` (word_id, word) and
-    ``shards`` (CSR arrays over word_id, with the documents of the rows)."""
+    """The document-term matrix of a corpus: ``dictionary`` (word, code) and
+    ``shards`` (CSR arrays over codes, with the documents of the rows)."""
 
-    def __init__(self, docs: DataFrame, shard_bytes: int = SHARD_BYTES):
+    def __init__(self, docs: DataFrame, shard_bytes: int = SHARD_BYTES, code_bits: int = CODE_BITS):
         ship_package(docs.sparkSession)
         src = docs.select(text_of().alias("text"), "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
                           F.unhex(F.sha2(text_of(), 256)).alias("digest"))
-        self.id_kind = src.schema["doc_id"].dataType.simpleString()
-        kinds = f"{CELLS}, {DOCS}, doc_ids array<{self.id_kind}>"
-        local = materialise(src.mapInArrow(_shards(shard_bytes), f"{kinds}, words array<string>"), "local-shards")
-        cells = local.select("shard", F.posexplode("words").alias("pos", "word")).select("word", "shard", "pos")
-        self._cells = materialise(
-            cells.repartitionByRange("word", "shard").sortWithinPartitions("word", "shard").mapInArrow(
-                _number, "part int, shard long, pos int, place long, word string"), "word-places")
-        edges = self._cells.where("word is not null").groupBy("part").agg(
-            F.min_by("word", "place").alias("first"), F.max_by("word", "place").alias("last"),
-            F.count(F.lit(1)).alias("n"))
-        w = Window.orderBy("part")  # one row per partition
-        goes_on = F.coalesce(F.col("first") == F.lag("last").over(w), F.lit(False))
-        edges = edges.select("part", "n", goes_on.alias("goes_on"))
-        self._offsets = materialise(edges.select(
-            "part", "goes_on", (F.sum("n").over(w) - F.col("n") - F.sum(F.col("goes_on").cast("long")).over(w)).alias("offset")),
-            "word-offsets")
-        numbers = self._numbered().select("shard", "pos", "word_id")
-        self.shards = local.drop("words").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(_globally, kinds)
-
-    def _numbered(self) -> DataFrame:
-        return self._cells.join(F.broadcast(self._offsets), "part").withColumn("word_id", F.col("offset") + F.col("place"))
+        self._id_kind = src.schema["doc_id"].dataType.simpleString()
+        self._kinds = f"{CELLS}, {DOCS}, doc_ids array<{self._id_kind}>"
+        self._code = lambda w: F.xxhash64(w).bitwiseAND((1 << code_bits) - 1)
+        self._local = materialise(src.mapInArrow(_shards(shard_bytes), f"{self._kinds}, words array<string>"), "term-shards")
+        self._words = self._local.select(F.explode("words").alias("word")).distinct()
+        self._clashes = self._find_clashes()
+
+    def _find_clashes(self) -> dict[str, int]:
+        """Codes of the words whose hash another word has: almost always none,
+        and n^2 / 2^64 of n words."""
+        shared = self._words.groupBy(self._code("word").alias("code")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        codes = [r["code"] for r in shared.collect()]
+        if not codes:
+            return {}
+        words = self._words.where(self._code("word").isin(codes)).collect()
+        return {w: -1 - i for i, w in enumerate(sorted(r["word"] for r in words))}
 
     @property
     def dictionary(self) -> DataFrame:
-        return self._numbered().where("word is not null and not (goes_on and place = 0)").select("word_id", "word")
+        code = self._code("word")
+        for w, c in self._clashes.items():
+            code = F.when(F.col("word") == w, F.lit(c)).otherwise(code)
+        return self._words.select("word", code.alias("code"))
+
+    def _coded(self) -> DataFrame:
+        return self._local.withColumn("codes", F.transform("words", self._code))
+
+    @property
+    def shards(self) -> DataFrame:
+        return self._coded().mapInArrow(_globally(self._clashes), self._kinds)
 
     def documents(self) -> DataFrame:
         """doc_id, part, digest, n_words, n_distinct, n_chars, n_capitals, n_special per row of the matrix."""
-        return self.shards.mapInArrow(
-            _row_sums, f"doc_id {self.id_kind}, part string, digest binary, n_words long, n_distinct long, "
-                       "n_chars long, n_capitals long, n_special long")
+        globally = _globally(self._clashes)
+        return self._coded().mapInArrow(
+            lambda batches: _row_sums(globally(batches)),
+            f"doc_id {self._id_kind}, part string, digest binary, n_words long, n_distinct long, "
+            "n_chars long, n_capitals long, n_special long")
 
 
 def filter_flags(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -67,13 +67,15 @@ def test_messy_rows_equal_brute_force(spark, shard_bytes):
     assert sorted(map(tuple, got.collect())) == brute(rows(), LABEL_ROWS)
 
 
-def test_matrix_holds_every_word_under_one_number(spark):
+@pytest.mark.parametrize("code_bits", [A.CODE_BITS, 5])
+def test_matrix_holds_every_word_under_one_code_even_when_hashes_clash(spark, code_bits):
     texts = [(i, "the " * (i % 3 + 1) + words(random.Random(i % 7), 40), None) for i in range(60)]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string").repartition(6)
-    m = A.TermMatrix(docs, shard_bytes=500)
-    names = dict(m.dictionary.collect())
-    assert sorted(names) == list(range(len(names))) and len(set(names.values())) == len(names)
-    assert list(names.values()) == [names[i] for i in names]
+    m = A.TermMatrix(docs, shard_bytes=500, code_bits=code_bits)
+    rows = m.dictionary.collect()
+    names = {r["code"]: r["word"] for r in rows}
+    assert len(names) == len(rows) and {r["word"] for r in rows} == {w for _, t, _ in texts for w in t.split()}
+    assert any(c < 0 for c in names) == (code_bits == 5)
     got = {}
     for s in m.shards.collect():
         for i, d in enumerate(s["doc_ids"]):
@@ -81,13 +83,8 @@ def test_matrix_holds_every_word_under_one_number(spark):
             assert cols == sorted(cols)
             got[d] = {names[c]: n for c, n in zip(cols, counts)}
     assert got == {d: Counter(t.split()) for d, t, _ in texts}
-
-
-def test_a_word_that_fills_many_partitions_keeps_one_number(spark):
-    docs = spark.createDataFrame([(i, "the", None) for i in range(500)], "doc_id bigint, text string, lang string")
-    m = A.TermMatrix(docs.repartition(40), shard_bytes=1)
-    assert m.dictionary.collect() == [(0, "the")]
-    assert {c for s in m.shards.collect() for c in s["cols"]} == {0}
+    assert {(r["doc_id"], r["n_words"], r["n_distinct"]) for r in m.documents().collect()} == {
+        (d, len(t.split()), len(set(t.split()))) for d, t, _ in texts}
 
 
 def test_empty_tables(spark):
