@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, materialise, ship_package, text_of
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 CODE_BITS = 63
 MIN_WORDS = 200
 MIN_DISTINCT_PCT = 50
@@ -60,6 +60,7 @@ _SPECIAL = np.array([chr(b) in SPECIAL for b in range(256)])
 _INNER = np.array([b & 0xC0 == 0x80 for b in range(256)])  # bytes that begin no code point
 
 CELLS = "shard long, cols array<long>, counts array<int>, bounds array<long>"
+LOCAL_CELLS = CELLS.replace("cols array<long>", "cols array<int>")
 DOCS = "parts array<string>, digests array<binary>, chars array<long>, capitals array<long>, specials array<long>"
 
 
@@ -107,7 +108,7 @@ def _shards(shard_bytes: int):
             words, bounds, cols, counts = _cells(text)
             chars = np.diff(np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1])
             return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), _one(cols, pa.int64()), _one(counts, pa.int32()), _one(bounds, pa.int64()),
+                [pa.array([number], pa.int64()), _one(cols, pa.int32()), _one(counts, pa.int32()), _one(bounds, pa.int64()),
                  _one(part.cast(pa.string())), _one(digest.cast(pa.binary())), _one(chars - _hits(text, _INNER), pa.int64()),
                  _one(_hits(text, _CAPITAL), pa.int64()), _one(_hits(text, _SPECIAL), pa.int64()), _one(doc_id),
                  _one(words.cast(pa.string()))],
@@ -136,9 +137,8 @@ def _globally(clashes):
             for i in range(batch.num_rows):
                 shard = {n: batch.column(n).slice(i, 1) for n in batch.schema.names}
                 codes = shard.pop("codes").flatten().to_numpy()
-                words = shard.pop("words").flatten()
                 if own is not None:
-                    found = pc.index_in(words, value_set=own[0]).fill_null(-1).to_numpy()
+                    found = pc.index_in(shard.pop("words").flatten(), value_set=own[0]).fill_null(-1).to_numpy()
                     codes = np.where(found < 0, codes, own[1][found])
                 cols, counts, bounds = (shard[n].flatten().to_numpy() for n in ("cols", "counts", "bounds"))
                 cols, rows = codes[cols], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -174,9 +174,10 @@ class TermMatrix:
         src = docs.select(text_of().alias("text"), "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
                           F.unhex(F.sha2(text_of(), 256)).alias("digest"))
         self._id_kind = src.schema["doc_id"].dataType.simpleString()
-        self._kinds = f"{CELLS}, {DOCS}, doc_ids array<{self._id_kind}>"
+        rows = f"{DOCS}, doc_ids array<{self._id_kind}>"
+        self._kinds = f"{CELLS}, {rows}"
         self._code = lambda w: F.xxhash64(w).bitwiseAND((1 << code_bits) - 1)
-        self._local = materialise(src.mapInArrow(_shards(shard_bytes), f"{self._kinds}, words array<string>"), "term-shards")
+        self._local = materialise(src.mapInArrow(_shards(shard_bytes), f"{LOCAL_CELLS}, {rows}, words array<string>"), "term-shards")
         self._words = self._local.select(F.explode("words").alias("word")).distinct()
         self._clashes = self._find_clashes()
 
@@ -198,7 +199,8 @@ class TermMatrix:
         return self._words.select("word", code.alias("code"))
 
     def _coded(self) -> DataFrame:
-        return self._local.withColumn("codes", F.transform("words", self._code))
+        coded = self._local.withColumn("codes", F.transform("words", self._code))
+        return coded if self._clashes else coded.drop("words")
 
     @property
     def shards(self) -> DataFrame:
