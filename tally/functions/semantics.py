@@ -76,16 +76,31 @@ def pct(part: ColumnOrName, whole: ColumnOrName, digits: int = 1) -> Column:
 
 
 def round_half(x: ColumnOrName, digits: int = 0) -> Column:
-    """A double rounded to ``digits`` decimals, half away from zero."""
+    """A double rounded to ``digits`` decimals, half away from zero.  From 2^52
+    units of the last digit on a double has nothing to round."""
     x, scale = _c(x).cast("double"), float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    units = F.abs(x) * F.lit(scale)
+    rounded = F.signum(x) * F.floor(units + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(units < F.lit(2.0 ** 52), rounded).otherwise(x)
 
 
-def measured(x: ColumnOrName) -> Column:
-    """A measured double as a decimal, so that sums do not depend on their
-    order.  Twelve decimals hold every value the text columns can spell
-    without an exponent below 1e-12; values must be under 1e8."""
-    return _c(x).cast("decimal(20,12)")
+# Below this a measured value is added as a decimal.
+EXACT_BELOW = 1e8
+
+
+def measured_sum(x: ColumnOrName, times: ColumnOrName | None = None) -> Column:
+    """SUM of a measured double (each value ``times`` often) as a double.
+
+    Values below 1e8 are added as decimals with twelve places, which hold every
+    value the text columns can spell without an exponent below 1e-12, so the sum
+    does not depend on the order of the rows.  Larger values, infinities and NaN
+    are added as doubles (their last digits depend on the order) and on top."""
+    x = _c(x).cast("double")
+    n = F.lit(1) if times is None else _c(times)
+    small = F.abs(x) < F.lit(EXACT_BELOW)
+    exact = F.sum(F.when(small, x.cast("decimal(20,12)") * n.cast("decimal(17,0)"))).cast("double")
+    large = F.sum(F.when(~small, x * n.cast("double")))
+    return F.when(large.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + large)
 
 
 # --------------------------------------------------------------------------

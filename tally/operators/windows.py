@@ -94,7 +94,7 @@ def join_ranks(df: DataFrame, ranks: DataFrame, keys: Cols, rank_col: str) -> Da
 
 
 def next_in_order(df: DataFrame, key: Cols | str, order: Cols | str, value_cols: Cols | str,
-                  prefix: str = "next_", rows_per_bucket: int = 1_000_000) -> DataFrame:
+                  prefix: str = "next_", rows_per_bucket: int = 1_000_000, unique: bool = False) -> DataFrame:
     """``lead(value, 1) over (partition by key order by order)`` for any skew.
 
     The rows get a global dense position in (key, order) order
@@ -105,15 +105,15 @@ def next_in_order(df: DataFrame, key: Cols | str, order: Cols | str, value_cols:
     bucket through a join with one row per bucket.  A next row that belongs
     to another key gives NULL.  ``order`` must be unique within a key.
 
-    NULL order values come first.  Costs one count of equal rows, one range
-    shuffle, one write of the ranged rows to the checkpoint folder and one
-    shuffle by bucket.
+    NULL order values come first.  Costs one range shuffle, one write of the
+    ranged rows to the checkpoint folder and one shuffle by bucket, and without
+    ``unique`` (no two rows equal in key and order) one count of equal rows.
     """
     from .ids import with_dense_id  # local import: ids imports session helpers
 
     key, order, value_cols = _as_list(key), _as_list(order), _as_list(value_cols)
     carried = [*key, *value_cols]
-    r = with_dense_id(df, [*key, *order], "_rid")
+    r = with_dense_id(df, [*key, *order], "_rid", unique=unique)
     r = r.withColumn("_b", F.call_function("div", F.col("_rid") - 1, F.lit(rows_per_bucket)))
     w = Window.partitionBy("_b").orderBy("_rid")
     within = r.withColumn("_nx", F.lead(F.struct(*carried), 1).over(w))
@@ -134,7 +134,8 @@ def running_sum(df: DataFrame, by: Cols | str, order: str, value: str,
     """Running total per group (W8 rows frame / W9 default range frame).
 
     Meant for frames that are already aggregated to one row per (group,
-    period): the window then holds at most one row per period per group.
+    period): the window then holds at most one row per period per group.  For
+    raw rows see ``scan.running_in_order``.
     """
     by = _as_list(by)
     w = Window.partitionBy(*by).orderBy(order)

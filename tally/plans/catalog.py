@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.bindings import CaseTables, bind
 from ..functions.cleaning import STRICT
 from ..operators.clean import clean_deliveries, clean_orders
-from ..session import ensure_checkpoint_dir
 from . import bank as K
 from . import delivery as V
 from . import loyalty as L
@@ -124,27 +123,10 @@ def _recipe_rows(t: CaseTables) -> DataFrame:
     return V.recipe_items(t.pizza_recipes, t.pizza_toppings)
 
 
-_numbered: dict[tuple[str, str], DataFrame] = {}
-
-
 def _records(t: CaseTables) -> DataFrame:
-    """Numbered order items: written once per application and data directory,
-    and shared by the queries that read them (``release_records`` removes them)."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _numbered:
-        _numbered[key] = V.order_records(_orders(t))
-    return _numbered[key]
-
-
-def release_records(spark: SparkSession) -> None:
-    """Delete the numbered order items this application has written."""
-    app, jvm = spark.sparkContext.applicationId, spark._jvm
-    folder = ensure_checkpoint_dir(spark)
-    for key in [k for k in _numbered if k[0] == app]:
-        for f in {f.rsplit("/", 1)[0] for f in _numbered.pop(key).inputFiles()}:
-            if "tally-dense-id-" in f:
-                path = jvm.org.apache.hadoop.fs.Path(folder, f.rsplit("/", 1)[1])
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Numbered order items.  Every call numbers the rows that are there now; to
+    share the numbers, keep the frame of ``delivery.order_records``."""
+    return V.order_records(_orders(t))
 
 
 DELIVERY: dict[str, Query] = {

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import list_items
-from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div, measured,
+from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div, measured_sum,
                                    minutes_crossed, round_half, round_ratio, us_week,
                                    weekday_name)
 from ..operators.clean import with_record_id
@@ -261,10 +261,10 @@ def avg_distance_per_customer(orders: DataFrame, deliveries: DataFrame) -> DataF
     j = _per_order(orders, ["customer_id"]).join(
         deliveries.select("order_id", "distance"), "order_id", "left")
     agg = j.groupBy("customer_id").agg(
-        F.sum(measured("distance") * F.col("_rows").cast("decimal(17,0)")).alias("_s"),
+        measured_sum("distance", "_rows").alias("_s"),
         F.sum(F.when(F.col("distance").isNotNull(), F.col("_rows"))).alias("_k"))
     return agg.select("customer_id",
-                      round_half(F.col("_s").cast("double") / F.col("_k"), 2).alias("avg_distance"))
+                      round_half(F.col("_s") / F.col("_k"), 2).alias("avg_distance"))
 
 
 def delivery_time_range(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -573,7 +573,7 @@ def net_revenue(orders: DataFrame, deliveries: DataFrame, names: DataFrame,
         num = F.col("_p") * fr.denominator - F.col("_q") * fr.numerator
         return agg.select(round_ratio(num, F.lit(fr.denominator), 0).alias("sum_value"))
     if per == "distance":
-        agg = j.agg(F.sum("total_price").alias("_p"), F.sum(measured("distance")).alias("_q"))
-        pay = F.col("_q").cast("double") * F.lit(float(fr))
+        agg = j.agg(F.sum("total_price").alias("_p"), measured_sum("distance").alias("_q"))
+        pay = F.col("_q") * F.lit(float(fr))
         return agg.select(round_half(F.col("_p") - pay, 0).alias("sum_value"))
     raise ValueError("per must be 'duration' or 'distance'")

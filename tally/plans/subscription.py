@@ -70,10 +70,11 @@ def with_next_plan(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """Each event with plan name and date of the customer's next event.
 
     Events without a date come first.  Rows are numbered globally, so neither
-    a hot customer nor a hot customer-day meets in one task.
+    a hot customer nor a hot customer-day meets in one task; ``subscription_id``
+    makes them unique.
     """
     return next_in_order(with_plan(subs, plans), "customer_id", ["start_date", "subscription_id"],
-                         ["plan_name", "start_date"], prefix="next_")
+                         ["plan_name", "start_date"], prefix="next_", unique=True)
 
 
 def churn_after_trial_pct(subs: DataFrame, plans: DataFrame) -> DataFrame:

@@ -70,14 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured and the master is local (tests) a
+    as is; this library writes below one folder of its own in it, which goes when
+    the application ends (``release_work`` empties it before).  Only when nothing is configured and the master is local (tests) a
     fresh folder is created under the system temp dir; on a cluster a missing
     shared folder is an error, as executors would write to their own disks.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    if sc.getCheckpointDir():
+        return _work_dir(spark)
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if conf_dir:
@@ -86,4 +86,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tally-ckpt-"))
-    return sc.getCheckpointDir()
+    return _work_dir(spark)
+
+
+_work: dict[str, str] = {}
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``: any store that Spark can write to."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def _work_dir(spark: SparkSession) -> str:
+    """The library's folder below the checkpoint folder.  The file system removes
+    it when the driver's JVM ends."""
+    sc = spark.sparkContext
+    path = f"{sc.getCheckpointDir().rstrip('/')}/tally-work"
+    if _work.get(sc.applicationId) != path:
+        fs, found = hadoop_path(spark, path)
+        fs.mkdirs(found)
+        fs.deleteOnExit(found)
+        _work[sc.applicationId] = path
+    return path
+
+
+def release_work(spark: SparkSession) -> int:
+    """Delete every intermediate table this application has written so far, for
+    long sessions; returns how many.  Frames that still read them cannot run
+    again, so call it when their results have been written or collected."""
+    fs, found = hadoop_path(spark, ensure_checkpoint_dir(spark))
+    tables = fs.listStatus(found)
+    for t in tables:
+        fs.delete(t.getPath(), True)
+    return len(tables)

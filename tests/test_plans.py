@@ -96,16 +96,48 @@ def test_fixed_dimensions_are_broadcast_without_the_auto_threshold(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_numbered_records_are_written_once_and_released(spark):
+def test_numbered_records_follow_the_data(spark, tmp_path):
+    """The same folder with other rows gives other answers, in one application."""
+    d = str(tmp_path)
+    for t in ("orders", "part", "customer", "nation"):
+        spark.read.parquet(f"{SMOKE_SF}/{t}.parquet").write.parquet(f"{d}/{t}.parquet")
+    items = spark.read.parquet(f"{SMOKE_SF}/lineitem.parquet")
+    items.write.parquet(f"{d}/lineitem.parquet")
+    run = catalog.queries()["delivery_extras_exploded"]
+    assert run(spark, d).count() == run(spark, SMOKE_SF).count()
+    items.limit(100).write.mode("overwrite").parquet(f"{d}/lineitem.parquet")
+    few = run(spark, d).agg({"record_id": "max"}).first()[0]
+    assert few <= 100
+
+
+def test_intermediate_tables_go_with_the_application(tmp_path):
+    """Nothing is left in the checkpoint folder after a session."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    code = f"""
+import os, sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as E
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+E.queries()["subscription_next_plan_after_trial"](spark, {SMOKE_SF!r}).collect()
+print("DURING", sum("tally" in d for _, ds, _ in os.walk({str(tmp_path)!r}) for d in ds))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "DURING 0" not in out.stdout and "DURING" in out.stdout, out.stderr[-2000:]
     import os
-    catalog.release_records(spark)
-    run = catalog.queries()
-    files = set()
-    for name in ("delivery_extras_exploded", "delivery_exclusions_exploded", "delivery_ingredient_lists"):
-        files |= {f for f in run[name](spark, SMOKE_SF).inputFiles() if "tally-dense-id" in f}
-    folders = {f.rsplit("/", 1)[0] for f in files}
-    assert len(folders) == 1
-    path = folders.pop().removeprefix("file://")
-    assert os.path.isdir(path)
-    catalog.release_records(spark)
-    assert not os.path.exists(path)
+    left = [d for _, ds, _ in os.walk(tmp_path) for d in ds if "tally" in d]
+    assert left == []
+
+
+def test_release_work_empties_the_folder(spark):
+    from tally.operators import with_dense_id
+    from tally.session import ensure_checkpoint_dir, hadoop_path, release_work
+    release_work(spark)
+    with_dense_id(spark.range(10).toDF("x"), ["x"]).collect()
+    assert release_work(spark) == 1
+    fs, path = hadoop_path(spark, ensure_checkpoint_dir(spark))
+    assert fs.exists(path) and len(fs.listStatus(path)) == 0

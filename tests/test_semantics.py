@@ -130,3 +130,33 @@ def test_year_range_is_pushed_as_date_range(spark, tmp_path):
     assert df.count() == 1
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(d" in plan
+
+
+def test_measured_sums_have_no_cap(spark):
+    """Distances of 1e8 and more, infinities and NaN do not fail the query."""
+    rows = [("a", 0.1, 3), ("a", 0.2, 1), ("b", 1e8, 2), ("b", 0.25, 1), ("c", 1e15, 1), ("c", 1.0, 1), ("d", 1e300, 2),
+            ("e", float("inf"), 1), ("e", 1.0, 1), ("f", None, 1), ("g", float("nan"), 1), ("h", -123456789.0, 1)]
+    df = spark.createDataFrame(rows, "k string, x double, n long").groupBy("k").agg(S.measured_sum("x", "n").alias("s"))
+    got = dict(df.collect())
+    assert got["g"] != got.pop("g")
+    assert got == {"a": 0.5, "b": 2e8 + 0.25, "c": 1e15 + 1, "d": 2e300, "e": float("inf"), "f": None,
+                   "h": -123456789.0}
+
+
+def test_round_half_of_large_values(spark):
+    df = spark.createDataFrame([(1e300,), (-1e300,), (2.0 ** 60,), (2.345,), (float("inf"),), (None,)], "x double")
+    got = [r[0] for r in df.select(S.round_half("x", 2)).collect()]
+    assert got == [1e300, -1e300, 2.0 ** 60, 2.35, float("inf"), None]
+
+
+def test_v14_with_very_long_distances(spark):
+    from tally.operators.clean import clean_deliveries
+    from tally.plans import delivery as V
+    orders = spark.createDataFrame([(1, 1, 1, "", "", None), (2, 2, 1, "", "", None)],
+                                   "order_id int, customer_id int, pizza_id int, exclusions string, extras string, "
+                                   "order_time timestamp_ntz")
+    raw = spark.createDataFrame([(1, 1, None, "123456789 km", "10", None), (2, 1, None, "7.5km", "10", None)],
+                                "order_id int, runner_id int, pickup_time string, distance string, duration string, "
+                                "cancellation string")
+    got = dict(V.avg_distance_per_customer(orders, clean_deliveries(raw)).collect())
+    assert got == {1: 123456789.0, 2: 7.5}
