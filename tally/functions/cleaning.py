@@ -40,7 +40,7 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be {REFERENCE!r} or {STRICT!r}, got {mode!r}")
 
 
-def _is_blank_or_null_text(c: Column) -> Column:
+def blank_or_null_text(c: Column) -> Column:
     """'' or the text 'null' (any case, blanks around); NULL for NULL input."""
     return F.lower(F.trim(c)).isin("", NULL_TEXT)
 
@@ -68,7 +68,7 @@ def parse_number(col: ColumnOrName, mode: str = REFERENCE) -> Column:
     c = _c(col)
     parsed = F.nullif(F.regexp_extract(c, NUMBER_PATTERN, 1), F.lit("")).try_cast("double")
     if mode == REFERENCE:
-        return F.coalesce(parsed, F.when(_is_blank_or_null_text(c), F.lit(0.0)))
+        return F.coalesce(parsed, F.when(blank_or_null_text(c), F.lit(0.0)))
     return parsed
 
 
@@ -82,7 +82,7 @@ def parse_int(col: ColumnOrName, mode: str = REFERENCE) -> Column:
     c = _c(col)
     parsed = F.nullif(F.regexp_extract(c, INTEGER_PATTERN, 1), F.lit("")).try_cast("int")
     if mode == REFERENCE:
-        return F.coalesce(parsed, F.when(_is_blank_or_null_text(c), F.lit(0)))
+        return F.coalesce(parsed, F.when(blank_or_null_text(c), F.lit(0)))
     return parsed
 
 
@@ -96,7 +96,7 @@ def parse_ts(col: ColumnOrName, mode: str = REFERENCE) -> Column:
     c = _c(col)
     parsed = c.try_cast("timestamp_ntz")
     if mode == REFERENCE:
-        return F.coalesce(parsed, F.when(_is_blank_or_null_text(c),
+        return F.coalesce(parsed, F.when(blank_or_null_text(c),
                                          F.lit(BLANK_TIME).cast("timestamp_ntz")))
     return parsed
 

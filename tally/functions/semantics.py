@@ -159,6 +159,24 @@ def ci_eq(col: ColumnOrName, value: str | Column) -> Column:
     return F.lower(_c(col)) == F.lower(_lit(value))
 
 
+# Equality of the source's texts: case does not count, nor do blanks at the end.
+TEXT_COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def dialect_text(col: ColumnOrName) -> Column:
+    """The text under the source's rules (M5): in GROUP BY, DISTINCT, joins and
+    ORDER BY, ``'Cheese'``, ``'CHEESE'`` and ``'cheese  '`` are one value.  Spark's collated
+    strings do this in the shuffle's hash and in comparisons, so nothing is
+    rewritten.  Which of the spellings a group shows is open; ``plain_text`` of it
+    is not."""
+    return F.collate(_c(col).cast("string"), TEXT_COLLATION)
+
+
+def plain_text(col: ColumnOrName) -> Column:
+    """One spelling of a dialect text: small letters without blanks at the end."""
+    return F.lower(F.rtrim(F.collate(_c(col), "UTF8_BINARY")))
+
+
 def ci_like(col: ColumnOrName, pattern: str) -> Column:
     """Case-insensitive LIKE."""
     return _c(col).ilike(pattern)

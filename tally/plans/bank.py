@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.semantics import days_between, int_avg, int_div, month_floor
 from ..operators.aggs import (flags_per, net_amount, percentiles, signed_amount,
                               sum_if, top_k)
+from ..operators.distinct import count_stored, stored_ids
 from ..operators.joins import bounded_broadcast
+from ..operators.quantiles import exact_percentiles
+from ..operators.scan import running_in_order
 from ..operators.windows import previous_value, running_sum
 
 # The open-ended end date, and the percentile levels with
@@ -144,8 +147,50 @@ def balance_growth_pct(txns: DataFrame, threshold: float = 0.05,
         .alias("percentage_increase"))
 
 
+def running_balance(log: DataFrame) -> DataFrame:
+    """K9 per transaction: the customer's balance after every transaction, and the
+    change of the signed amount since the previous one (W7, W8 over raw rows).
+
+    ``log``: txn_id (unique), customer_id, txn_date, txn_type, txn_amount."""
+    signed = log.select("txn_id", "customer_id", "txn_date", signed_amount("txn_type", "txn_amount").alias("signed_amount"))
+    run = running_in_order(signed, "customer_id", ["txn_date", "txn_id"], {"balance": "signed_amount"},
+                           {"previous_amount": "signed_amount"}, unique=True)
+    return run.withColumn("change", F.col("signed_amount") - F.col("previous_amount"))
+
+
+def balance_on_day(log: DataFrame) -> DataFrame:
+    """The balance at the end of each transaction's day: all transactions of the
+    day count in every row of it (W9, RANGE frame over raw rows)."""
+    signed = log.select("customer_id", "txn_date", signed_amount("txn_type", "txn_amount").alias("signed_amount"))
+    return running_in_order(signed, "customer_id", "txn_date", {"balance": "signed_amount"}, frame="range")
+
+
+def amount_percentiles(log: DataFrame, customer_regions: DataFrame, regions: DataFrame,
+                       ps: Sequence[float] = PERCENTILES, names: Sequence[str] = PERCENTILE_NAMES,
+                       digits: int | None = None) -> DataFrame:
+    """K5's percentiles of a continuous column: exact percentiles of the transaction
+    values per region, whatever their number of distinct values."""
+    named = _with_region(customer_regions, regions).select("customer_id", "region_name")
+    return exact_percentiles(log.select("customer_id", "txn_value").join(named, "customer_id"),
+                             ["region_name"], "txn_value", ps, names, digits)
+
+
+def customer_bitmaps(log: DataFrame, customer_regions: DataFrame) -> DataFrame:
+    """region_id, month_start, id_range, bits: the customers with transactions, as
+    bitmaps that can be stored and merged (K3, K8 without the rows)."""
+    by_region = log.select("customer_id", month_floor("txn_date").alias("month_start")).join(customer_regions, "customer_id")
+    return stored_ids(by_region, ["region_id", "month_start"], "customer_id")
+
+
+def customers_between(bitmaps: DataFrame, regions: DataFrame, first_month: str, last_month: str) -> DataFrame:
+    """Distinct customers per region over any range of months, from stored bitmaps."""
+    months = bitmaps.where(F.col("month_start").between(F.lit(first_month).cast("date"), F.lit(last_month).cast("date")))
+    return _with_region(count_stored(months, ["region_id"], "customers"), regions).select("region_name", "customers")
+
+
 __all__ = [
     "unique_nodes", "nodes_per_region", "customers_per_region", "avg_reallocation_days",
     "reallocation_percentiles", "txn_totals", "avg_deposits", "active_customers_by_month",
-    "closing_balance", "balance_growth_pct",
+    "closing_balance", "balance_growth_pct", "running_balance", "balance_on_day",
+    "amount_percentiles", "customer_bitmaps", "customers_between",
 ]

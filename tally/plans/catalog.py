@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.bindings import CaseTables, bind
 from ..functions.cleaning import STRICT
-from ..operators.clean import clean_deliveries, clean_orders
+from ..operators.clean import accepted, clean_checked, clean_deliveries, clean_orders, rejected
 from . import bank as K
 from . import delivery as V
 from . import loyalty as L
@@ -27,6 +28,9 @@ MIX_AS_OF = "1998-12-31"
 UPGRADE_YEAR = 1998
 POINTS_PRODUCT = "blue bolt"
 BONUS_END = "1998-01-01"
+MONTHS = ("1996-11-01", "1997-04-01")
+BEFORE_JOIN_DAYS = 30
+NEW_PIZZA = (10_000_000, "Supreme", "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +63,7 @@ SUBSCRIPTION: dict[str, Query] = {
         lambda t: U.downgrades_in_year(t.subscriptions, t.plans, UPGRADE_YEAR)),
     "subscription_new_customer_growth": _q(
         lambda t: U.new_customer_growth(t.subscriptions, t.plans)),
+    "subscription_starts_of_paid_plans": _q(lambda t: U.starts_of_plans(t.subscriptions, t.plans)),
     # corrected variants (Q10, Q11)
     "subscription_next_plan_after_trial_share": _q(
         lambda t: U.next_plan_after_trial(t.subscriptions, t.plans, denominator=None)),
@@ -84,9 +89,21 @@ BANK: dict[str, Query] = {
     # corrected variant (Q19)
     "bank_balance_growth_corrected": _q(
         lambda t: K.balance_growth_pct(t.customer_transactions, corrected=True)),
+    # over single transactions
+    "bank_running_balance": _q(lambda t: K.running_balance(t.transaction_log)),
+    "bank_balance_on_day": _q(lambda t: K.balance_on_day(t.transaction_log)),
+    "bank_amount_percentiles": _q(
+        lambda t: K.amount_percentiles(t.transaction_log, t.customer_regions, t.regions, digits=6)),
+    "bank_customers_between_months": _q(lambda t: K.customers_between(
+        K.customer_bitmaps(t.transaction_log, t.customer_regions), t.regions, *MONTHS)),
 }
 
 
+def _some_without(df: DataFrame, by: str) -> DataFrame:
+    """``df`` without a customer in the rows whose ``by`` is divisible by 11."""
+    return df.withColumn("customer_id", F.when(F.col(by) % 11 != 0, F.col("customer_id")))
+
+
 LOYALTY: dict[str, Query] = {
     "loyalty_spend_per_customer": _q(lambda t: L.spend_per_customer(t.sales, t.menu)),
     "loyalty_visit_days": _q(lambda t: L.visit_days(t.sales)),
@@ -108,6 +125,11 @@ LOYALTY: dict[str, Query] = {
     "loyalty_bonus_points_first_week": _q(
         lambda t: L.bonus_points_until(t.sales, t.menu, t.members, BONUS_END, first_week_only=True)),
     "loyalty_favourite_item_top7": _q(lambda t: L.favourite_item(t.sales, t.menu, top=7)),
+    "loyalty_purchases_before_join": _q(lambda t: L.purchases_before_join(t.sales, t.members, BEFORE_JOIN_DAYS)),
+    "loyalty_sales_of_others": _q(lambda t: L.sales_of_others(_some_without(t.sales, "product_id"), t.members)),
+    "loyalty_sales_of_others_null_member": _q(
+        lambda t: L.sales_of_others(t.sales, _some_without(t.members, "customer_id"))),
+    "loyalty_items_per_day": _q(lambda t: L.items_per_day(t.sales, t.menu)),
 }
 
 
@@ -185,7 +207,13 @@ DELIVERY: dict[str, Query] = {
         lambda t: V.delivery_report(_orders(t), _deliveries(t), t.rating_source, by_order=True)),
     "delivery_net_revenue_per_distance": _q(
         lambda t: V.net_revenue(_orders(t), _deliveries(t), t.pizza_names, per="distance")),
+    "delivery_ingredients_left": _q(lambda t: V.ingredients_left(_records(t), _recipe_rows(t))),
+    "delivery_items_with_delivery": _q(lambda t: V.items_with_delivery(_orders(t), _deliveries(t))),
+    "delivery_cancellations_by_text": _q(lambda t: V.cancellations_by_text(t.runner_orders_dirty)),
+    "delivery_rejected_values": _q(lambda t: rejected(clean_checked(t.runner_orders_dirty), ["order_id"])),
+    "delivery_accepted_values": _q(lambda t: accepted(clean_checked(t.runner_orders_dirty))),
     # the menu questions over one item per part
+    "delivery_menu_with_item": _q(lambda t: V.menu_with_item(t.part_names, t.part_recipes, *NEW_PIZZA)),
     "delivery_recipe_items": _q(lambda t: V.recipe_items(t.part_recipes, t.pizza_toppings)),
     "delivery_standard_ingredients": _q(
         lambda t: V.standard_ingredients(t.part_recipes, t.part_names, t.pizza_toppings)),

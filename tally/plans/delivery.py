@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import list_items
-from ..functions.semantics import (ci_eq, ci_like, concat_text, int_avg, int_div, measured_sum,
-                                   minutes_crossed, round_half, round_ratio, us_week,
+from ..functions.semantics import (ci_eq, ci_like, concat_text, dialect_text, int_avg, int_div, measured_sum,
+                                   minutes_crossed, plain_text, round_half, round_ratio, us_week,
                                    weekday_name)
+from ..operators.anti import drop_excluded
 from ..operators.clean import with_record_id
 from ..operators.ids import with_dense_id
 from ..operators.joins import bounded_broadcast
 from ..operators.lists import explode_list, sorted_text_list
+from ..operators.skew import hot_join
 from ..sources.tables import append_rows, rows_table
 
 # Menu prices of the pricing questions (name -> price, any
@@ -409,59 +411,84 @@ def ingredient_lists(records: DataFrame, names: DataFrame, recipe_rows: DataFram
     return out.orderBy("record_id") if ordered else out
 
 
+def _with_topping_names(names: DataFrame, toppings: DataFrame) -> DataFrame:
+    """The pizzas, each with ``_by_id``: topping id (text) -> its names, the menu's
+    toppings as one value, whatever the number of orders."""
+    per = toppings.groupBy(F.col("topping_id").cast("string").alias("_id")).agg(
+        F.array_sort(F.collect_list("topping_name")).alias("_names"))
+    by_id = per.agg(F.map_from_entries(F.collect_list(F.struct("_id", "_names")))).scalar()
+    return _dim(names.select("pizza_id", "pizza_name", by_id.alias("_by_id")))
+
+
+def _named(ids: Column, names: Column) -> Column:
+    """The names of listed topping ids, in the order of the list; unknown ids have none."""
+    return F.flatten(F.transform(ids, lambda i: F.coalesce(F.try_element_at(names, i), F.array().cast("array<string>"))))
+
+
 def ingredient_lists_corrected(records: DataFrame, names: DataFrame, recipe_rows: DataFrame,
                                toppings: DataFrame) -> DataFrame:
     """V24 corrected (quirk Q14 fixed): only toppings listed as extras get
-    '2x', extras outside the recipe are added once, excluded toppings are
+    '2x', extras outside the recipe are added, excluded toppings are
     removed; items sorted.
 
-    Recipe items are matched per record on the record's own lists; extras
-    outside the recipe come from the exploded extras (an anti join against
-    the recipe rows) joined to the topping names.  Both parts are unioned and
-    folded per record (one shuffle by ``record_id``).
+    Everything stands on the record's own row: its two lists, one broadcast row
+    per pizza and the menu's names.  No shuffle.
     """
-    excl = list_items(F.col("exclusions"))
-    extras = list_items(F.col("extras"))
-    base = records.join(_dim(recipe_rows), "pizza_id").where(
-        ~F.array_contains(excl, F.col("topping_id")))
-    base = base.select("record_id", F.when(F.array_contains(extras, F.col("topping_id")),
-                                           concat_text(F.lit("2x"), "topping_name"))
-                       .otherwise(F.col("topping_name")).alias("item"))
-    extra_rows = records.select("record_id", "pizza_id", F.explode(extras).alias("topping_id"))
-    extra_rows = extra_rows.join(_dim(recipe_rows.select("pizza_id", "topping_id")),
-                                 ["pizza_id", "topping_id"], "left_anti")
-    t = toppings.select(F.col("topping_id").cast("string").alias("topping_id"), "topping_name")
-    extra_rows = extra_rows.join(_dim(t), "topping_id").select(
-        "record_id", F.col("topping_name").alias("item"))
-    lists = base.unionByName(extra_rows).groupBy("record_id").agg(
-        sorted_text_list("item").alias("_items"))
-    heads = records.join(_dim(names), "pizza_id").select("record_id", "pizza_name")
-    return heads.join(lists, "record_id").select(
-        "record_id", concat_text("pizza_name", F.lit(":"), "_items").alias("ingredients_list"))
+    recipe = _dim(recipe_rows.groupBy("pizza_id").agg(
+        F.collect_list(F.struct("topping_id", "topping_name")).alias("_recipe")))
+    excl, extras = list_items(F.col("exclusions")), list_items(F.col("extras"))
+    j = records.join(_with_topping_names(names, toppings), "pizza_id").join(recipe, "pizza_id", "left")
+    parts = F.coalesce("_recipe", F.array().cast(recipe.schema["_recipe"].dataType))
+    kept = F.filter(parts, lambda t: ~F.array_contains(excl, t["topping_id"]))
+    own = F.transform(kept, lambda t: F.when(F.array_contains(extras, t["topping_id"]), concat_text(
+        F.lit("2x"), t["topping_name"])).otherwise(t["topping_name"]))
+    ids = F.transform(parts, lambda t: t["topping_id"])
+    added = _named(F.filter(extras, lambda e: ~F.array_contains(ids, e)), F.col("_by_id"))
+    items = j.select("record_id", "pizza_name", F.array_sort(F.concat(own, added)).alias("_items"))
+    return items.where(F.size("_items") > 0).select(
+        "record_id", concat_text("pizza_name", F.lit(":"), F.array_join("_items", ",")).alias("ingredients_list"))
+
+
+def ingredients_left(records: DataFrame, recipe_rows: DataFrame) -> DataFrame:
+    """record_id, topping_id, topping_name: the recipe of every record without its
+    exclusions (J10, correlated NOT IN on the record, as a relation)."""
+    items = records.select("record_id", "pizza_id").join(_dim(recipe_rows), "pizza_id")
+    excluded = exclusions_exploded(records).select("record_id", F.col("topp_id").alias("topping_id"))
+    return drop_excluded(items, excluded, ["record_id"], "topping_id").select("record_id", "topping_id", "topping_name")
+
+
+def items_with_delivery(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Every item row with the runner and distance of its order (J2, J12), where
+    one order may hold any share of the items."""
+    items = orders.select("order_id", "customer_id", "pizza_id")
+    return hot_join(items, deliveries.select("order_id", "runner_id", "distance"), ["order_id"], "left").select(
+        "order_id", "customer_id", "pizza_id", "runner_id", "distance")
+
+
+def cancellations_by_text(deliveries: DataFrame) -> DataFrame:
+    """Deliveries per cancellation note under the source's text rules: case and
+    blanks at the end make no difference (P4, A2, T1)."""
+    return deliveries.groupBy(dialect_text("cancellation").alias("_c")).agg(F.count(F.lit(1)).alias("deliveries")).orderBy(
+        "_c").select(plain_text("_c").alias("cancellation"), "deliveries")
+
+
+def menu_with_item(names: DataFrame, recipes: DataFrame, pizza_id: int, pizza_name: str, toppings: str) -> DataFrame:
+    """V31 as a table: pizza_id, pizza_name, toppings of the menu with one item appended."""
+    new_names, new_recipes = add_menu_item(names, recipes, pizza_id, pizza_name, toppings)
+    return new_names.join(new_recipes, "pizza_id").select("pizza_id", "pizza_name", "toppings")
 
 
 def order_item_composed(records: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """V21 composed (quirk Q8 fixed): '<name>[ - Exclude a, b][ - Extra c, d]'
-    for every record, topping names in the order the ids are listed."""
-    t = toppings.select(F.col("topping_id").cast("string").alias("_tid"), "topping_name")
-
-    def named(col: str, out: str) -> DataFrame:
-        items = records.select("record_id", F.posexplode(list_items(F.col(col))).alias("_pos", "_tid"))
-        items = items.join(_dim(t), "_tid")
-        return items.groupBy("record_id").agg(F.array_sort(F.collect_list(
-            F.struct("_pos", "topping_name"))).alias(out))
-
-    ex, xt = named("exclusions", "_ex"), named("extras", "_xt")
-    j = records.join(_dim(names), "pizza_id").join(ex, "record_id", "left").join(xt, "record_id", "left")
-
+    for every record, topping names in the order the ids are listed.  Per row,
+    against one broadcast row per pizza and the menu's names."""
     def part(col: str, word: str) -> Column:
-        names_ = F.array_join(F.transform(F.col(col), lambda x: x["topping_name"]), ", ")
-        return F.when(F.size(F.coalesce(F.col(col), F.array())) > 0,
-                      F.concat(F.lit(f" - {word} "), names_)).otherwise(F.lit(""))
+        listed = _named(list_items(F.col(col)), F.col("_by_id"))
+        return F.when(F.size(listed) > 0, F.concat(F.lit(f" - {word} "), F.array_join(listed, ", "))).otherwise(F.lit(""))
 
-    return j.select("record_id", "order_id", "pizza_id", "pizza_name", "exclusions", "extras",
-                    F.concat(F.col("pizza_name"), part("_ex", "Exclude"), part("_xt", "Extra"))
-                    .alias("order_item"))
+    return records.join(_with_topping_names(names, toppings), "pizza_id").select(
+        "record_id", "order_id", "pizza_id", "pizza_name", "exclusions", "extras",
+        F.concat(F.col("pizza_name"), part("exclusions", "Exclude"), part("extras", "Extra")).alias("order_item"))
 
 
 def _delivered_per_pizza(orders: DataFrame, deliveries: DataFrame) -> DataFrame:

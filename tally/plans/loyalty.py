@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import ci_eq
 from ..operators.aggs import top_k
+from ..operators.anti import BLOOM_BITS, not_in
+from ..operators.bands import within_days
 from ..operators.joins import flag_membership
+from ..operators.lists import string_agg
 from ..operators.windows import first_per, join_ranks, rank_top, ranks_of
 
 
@@ -119,6 +122,25 @@ def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
         "just_before_join_order_date")
 
 
+def purchases_before_join(sales: DataFrame, members: DataFrame, days: int = 30) -> DataFrame:
+    """Every purchase within ``days`` days before joining (J6 as a band join)."""
+    return within_days(sales, members, "customer_id", "order_date", "join_date", 1, days, "days_before").select(
+        "customer_id", "join_date", "order_date", "product_id", "days_before")
+
+
+def sales_of_others(sales: DataFrame, members: DataFrame) -> DataFrame:
+    """Sales whose customer is not in the members (J8: NOT IN against a query,
+    null-aware): with a NULL among the members there are none, and sales without a
+    customer do not count."""
+    return not_in(sales, "customer_id", members, bloom_bits=BLOOM_BITS).select("customer_id", "order_date", "product_id")
+
+
+def items_per_day(sales: DataFrame, menu: DataFrame) -> DataFrame:
+    """The names of all items sold on a day, in order (A18 for groups of any size)."""
+    named = sales.join(menu, "product_id").select("order_date", "product_name")
+    return string_agg(named, ["order_date"], "product_name", "items", sep=", ")
+
+
 def spend_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Purchases and amount per member before joining."""
     s = _member_sales(sales, members).where(F.col("order_date") < F.col("join_date"))

@@ -53,6 +53,13 @@ def starts_by_month(subs: DataFrame, plans: DataFrame, plan_name: str = TRIAL) -
         F.count("start_date").alias("start_date_values"))
 
 
+def starts_of_plans(subs: DataFrame, plans: DataFrame, plan_names: Iterable[str] = (BASIC, PRO_MONTHLY, PRO_ANNUAL)) -> DataFrame:
+    """Starts per month of the plans in a list."""
+    s = with_plan(subs, plans).where(F.lower("plan_name").isin([p.lower() for p in plan_names]))
+    return s.groupBy(F.trunc("start_date", "month").alias("month_start"), "plan_name").agg(
+        F.count(F.lit(1)).alias("starts"))
+
+
 def starts_after_year(subs: DataFrame, plans: DataFrame, year: int) -> DataFrame:
     """U4: events per plan with a start date after ``year``."""
     s = with_plan(subs.where(year_range("start_date", first_year=year + 1)), plans)

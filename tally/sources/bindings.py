@@ -148,6 +148,18 @@ class CaseTables:
             cancellation.alias("cancellation"),
         )
 
+    @cached_property
+    def runner_orders_dirty(self) -> DataFrame:
+        """Raw deliveries with texts that cleaning cannot read, some spelled oddly."""
+        raw, k = self.runner_orders_raw, F.col("order_id")
+        text = {"distance": (17, 3, "about 12km"), "duration": (19, 5, "ten minutes"), "pickup_time": (23, 7, "soon")}
+        odd = F.when(k % 3 == 0, F.upper("cancellation")).when(k % 3 == 1, F.concat("cancellation", F.lit("  "))).otherwise(
+            F.col("cancellation"))
+        return raw.select("order_id", "runner_id", *[
+            F.when(k % m == r, F.lit(t)).otherwise(F.col(c)).alias(c)
+            for c, (m, r, t) in sorted(text.items(), key=lambda x: raw.columns.index(x[0]))],
+            odd.alias("cancellation")).select(*raw.columns)
+
     @cached_property
     def runners(self) -> DataFrame:
         s = self._load("supplier").select("s_suppkey")
@@ -253,6 +265,27 @@ class CaseTables:
             F.floor("o_totalprice").cast("long").alias("txn_amount"),
         )
 
+    @cached_property
+    def transaction_log(self) -> DataFrame:
+        """Single transactions, with an id and the amount as measured."""
+        o = self._load("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+        status = F.col("o_orderstatus")
+        txn_type = F.lit(None).cast("string")
+        for code, name in TXN_TYPES.items():
+            txn_type = F.when(status == code, F.lit(name)).otherwise(txn_type)
+        return o.select(
+            F.col("o_orderkey").alias("txn_id"), F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("txn_date"), txn_type.alias("txn_type"),
+            F.floor("o_totalprice").cast("long").alias("txn_amount"),
+            F.col("o_totalprice").alias("txn_value"))
+
+    @cached_property
+    def customer_regions(self) -> DataFrame:
+        c = self._load("customer").select("c_custkey", "c_nationkey")
+        n = self._load("nation").select("n_nationkey", "n_regionkey")
+        return c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey).select(
+            F.col("c_custkey").alias("customer_id"), F.col("n_regionkey").alias("region_id"))
+
 
 def bind(spark: SparkSession, sf_dir: str) -> CaseTables:
     return CaseTables(spark, sf_dir)

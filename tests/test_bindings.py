@@ -27,6 +27,9 @@ SPARK_SIDE = {
     "regions": lambda t: t.regions,
     "customer_nodes": lambda t: t.customer_nodes,
     "customer_transactions": lambda t: t.customer_transactions,
+    "transaction_log": lambda t: t.transaction_log,
+    "customer_regions": lambda t: t.customer_regions,
+    "runner_orders_dirty": lambda t: t.runner_orders_dirty,
 }
 
 
