@@ -57,6 +57,16 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -
     return cond
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each made longer until ``df`` has no such column (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def keep_rows(docs: DataFrame, decisions: DataFrame, label: str) -> DataFrame:
     """The rows of ``docs`` (all columns) that ``decisions`` (doc_id, row_mark,
     kept) keeps; of rows equal in doc_id and text at most one.
@@ -64,18 +74,19 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, label: str) -> DataFrame:
     Only rows to drop, or kept rows that repeat, are written as marks; the
     corpus meets them in one join, broadcast when the marks are small."""
     cols = docs.columns
+    row, own_id, mark, kept, rows = free_names(docs, "_t_row", "_t_id", "_t_mark", "_t_kept", "_t_rows")
     marks = materialise(
-        decisions.groupBy(F.col("doc_id").alias("_t_id"), F.col("row_mark").alias("_t_mark")).agg(
-            F.max("kept").alias("_t_kept"), F.count(F.lit(1)).alias("_t_rows")).where(
-            "not _t_kept or _t_rows > 1"), f"marks-{label}")
-    marked = docs.withColumn("_t_row", row_mark())
+        decisions.groupBy(F.col("doc_id").alias(own_id), F.col("row_mark").alias(mark)).agg(
+            F.max("kept").alias(kept), F.count(F.lit(1)).alias(rows)).where(
+            ~F.col(kept) | (F.col(rows) > 1)), f"marks-{label}")
+    marked = docs.withColumn(row, row_mark())
     side = small_side(marks)
-    joined = marked.join(side, null_safe(marked, side, [("doc_id", "_t_id"), ("_t_row", "_t_mark")]),
-                         "left")
-    single = joined.where(F.col("_t_mark").isNull()).select(*cols)
-    if marks.where("_t_kept").isEmpty():
+    joined = marked.join(side, null_safe(marked, side, [("doc_id", own_id), (row, mark)]), "left")
+    same = [F.col(f"`{c}`") for c in cols]
+    single = joined.where(F.col(mark).isNull()).select(*same)
+    if marks.where(kept).isEmpty():
         return single
-    once = joined.where(F.col("_t_kept")).dropDuplicates(["_t_id", "_t_mark"]).select(*cols)
+    once = joined.where(F.col(kept)).dropDuplicates([own_id, mark]).select(*same)
     return single.unionByName(once)
 
 

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, materialise, small_side, text_of
+from .common import SPACE_CLASS, free_names, materialise, small_side, text_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)          # budget as a fraction of all sizes: 150 %
@@ -161,11 +161,9 @@ def sample(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int = MAX_
     texts are not moved: a row needs only its own digest and its source's row."""
     cols = docs.columns
     _, plan = mix_plan(docs, weights, share, max_epochs, seed)
-    side = small_side(plan.select(F.col("source").alias("_t_source"), "whole", "upto", "fill").select(
-        "_t_source", F.struct("whole", "upto", "fill").alias("_t_plan")))
-    marked = docs.withColumn("_t_key", F.col("source").cast("string")).withColumn(
-        "_t_digest", order_digest(seed))
-    joined = marked.join(side, marked["_t_key"].eqNullSafe(side["_t_source"]))
-    out = joined.withColumn("_t_n", _repeats("_t_digest", "_t_plan.", max_epochs).cast("int")).where(
-        "_t_n > 0")
-    return out.withColumn("_t_i", F.explode(F.array_repeat(F.lit(1), F.col("_t_n")))).select(*cols)
+    key, digest, source, own, n, i = free_names(docs, "_t_key", "_t_digest", "_t_source", "_t_plan", "_t_n", "_t_i")
+    side = small_side(plan.select(F.col("source").alias(source), F.struct("whole", "upto", "fill").alias(own)))
+    marked = docs.withColumn(key, F.col("source").cast("string")).withColumn(digest, order_digest(seed))
+    joined = marked.join(side, marked[key].eqNullSafe(side[source]))
+    out = joined.withColumn(n, _repeats(digest, f"{own}.", max_epochs).cast("int")).where(F.col(n) > 0)
+    return out.withColumn(i, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in cols])

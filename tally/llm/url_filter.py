@@ -60,8 +60,8 @@ class DigestArray:
     """Sorted 64-bit keys with their full strings, readable from one mapped file."""
 
     def __init__(self, buffer: np.ndarray):
-        n, m = (int(x) for x in buffer[:16].view("<u8"))
-        at = 16
+        n, m, self.host_labels = (int(x) for x in buffer[:24].view("<u8"))
+        at = 24
         self.keys = buffer[at:at + 8 * n].view("<u8")
         at += 8 * n
         self.offsets = buffer[at:at + 8 * (n + 1)].view("<u8")
@@ -82,7 +82,8 @@ class DigestArray:
         blobs = ["\x00".join(r[1:]).encode() for r in rows]
         offsets = np.cumsum([0, *map(len, blobs)]).astype("<u8")
         lengths = np.array(sorted({len(r[2]) for r in rows}), dtype="<u8")
-        head = np.array([len(rows), len(lengths)], dtype="<u8")
+        labels = max((h.count(".") + 1 for _, h, _, _ in rows), default=0)
+        head = np.array([len(rows), len(lengths), labels], dtype="<u8")
         keys = np.array([r[0] for r in rows], dtype="<u8")
         return b"".join([head.tobytes(), keys.tobytes(), offsets.tobytes(), lengths.tobytes(), *blobs])
 
@@ -111,15 +112,26 @@ class DigestArray:
                 i += 1
         return best
 
+    def _suffixes(self, host: str) -> list[str]:
+        """The host's last labels, as many as a rule has at most: a rule's host has no
+        more, so longer suffixes are not built."""
+        out, at = [], len(host)
+        for _ in range(self.host_labels if host else 0):
+            at = host.rfind(".", 0, at)
+            if at + 1 < len(host):
+                out.append(host[at + 1:])
+            if at < 0:
+                break
+        return out
+
     def judge(self, urls: list[str | None], default: str) -> list[tuple[str, str, str | None, str]]:
         parsed = [split_url(u) for u in urls]
         candidates = []
         for row, (host, path) in enumerate(parsed):
-            labels = host.split(".") if host else []
-            suffixes = [".".join(labels[i:]) for i in range(len(labels))]
+            suffixes = self._suffixes(host)
             for n in self.path_lengths:
                 if n <= len(path):
-                    candidates += [(row, s, path[:n]) for s in suffixes if s]
+                    candidates += [(row, s, path[:n]) for s in suffixes]
         found = self.probe(candidates)
         return [(h, p, found[i][0] + found[i][1], found[i][2]) if i in found else (h, p, None, default)
                 for i, (h, p) in enumerate(parsed)]

@@ -46,3 +46,17 @@ def test_no_rules_and_empty_table(spark):
     assert U.filter_urls(empty).count() == 0
     one = spark.createDataFrame([(1, "http://a.com/")], "page_id bigint, url string")
     assert [tuple(r) for r in U.filter_urls(one, rules=()).collect()] == [(1, "a.com", "/", None, "allow")]
+
+
+def test_hosts_of_very_many_labels_take_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    array = U.DigestArray(np.frombuffer(U.DigestArray.pack(U.RULES), dtype=np.uint8))
+    urls = ["http://" + "a." * 100_000 + "www.example.com/en/1", "http://" + "a." * 100_000 + "net", "http://" + "." * 50_000,
+            "http://..net/es/", "http://net./es/", "http://.example.com./en/"]
+    tracemalloc.start()
+    got = array.judge(urls, "allow")
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [brute(u, U.RULES) for u in urls] and most < 10_000_000
