@@ -1,19 +1,23 @@
 """License scan: Dice coefficient over word bigrams (operator 2).
 
-A text is normalised (lower case, everything but letters and digits a single
-space) and compared with licence templates in three kinds of units: its
-lines, its paragraphs (parted by blank lines) and the whole text.  A unit and
-a template are sets of word bigrams; their Dice coefficient is
-2 |A and B| / (|A| + |B|).  A unit's licence is its best template with at
-least ``THRESHOLD``.
+A text is normalised to its words (lower case, runs of letters and digits), so
+line breaks, paragraphs, comment marks and punctuation make no difference.  A
+licence template of n words is compared with every run of n consecutive words of
+the text (the whole text, if it has fewer): run and template are sets of word
+bigrams, and their Dice coefficient is 2 |A and B| / (|A| + |B|).  A template's
+hit is its best run, the first of equals, if it reaches ``THRESHOLD``.  A hit that
+overlaps a better hit of another licence does not count, so a notice is reported
+once, under the licence that fits best.
 
 Pruning, all of it exact:
 
-* sizes: the coefficient is at most 2 min / (|A| + |B|), so a template is
-  compared only with units of t/(2-t) to (2-t)/t times its size;
 * anchors: every template has a set of words such that too few of its
-  bigrams are without them to reach the threshold.  A unit without an
-  anchor word matches no template, and most texts contain none at all.
+  bigrams are without them to reach the threshold.  A text without an
+  anchor word matches no template, and most texts contain none at all;
+* sizes: a Dice coefficient t needs t/(2-t) of the template's bigrams in common.
+  Templates with fewer in the whole text are skipped.  So are the runs that
+  begin in a stretch of n words that, with the next stretch, has fewer: a text of
+  any length is cut into such stretches, and only runs near a notice are rated.
 
 One expression per document (higher-order functions), no shuffle.
 
@@ -65,6 +69,20 @@ TEMPLATES = (
      WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
      General Public License for more details."""),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
      associated documentation files (the "Software"), to deal in the Software without restriction, including without
      limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
@@ -102,48 +120,65 @@ def anchors(bigrams: list[str], threshold: float) -> set[str]:
     return chosen
 
 
-def _words(unit: Column) -> Column:
-    return F.array_remove(F.split(unit, r"[ \n]+"), "")
+def _bigrams(words: Column) -> Column:
+    """The bigrams of a word list, place by place."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def _bigrams(words: Column) -> Column:
-    heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    tails = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.array_distinct(F.zip_with(heads, tails, lambda a, b: F.concat(a, F.lit(" "), b)))
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _best_run(grams: Column, t: Column, threshold: float) -> Column:
+    """(d, name, first, after) of the template's best run; null below the threshold.
+    ``d`` is the negative coefficient, so the smallest struct is the best."""
+    total = F.size(grams)
+    long = F.least(t["places"], total)  # places of a run
+
+    def rated(stretches: Column) -> Column:
+        held = lambda k: F.coalesce(F.get(stretches, k), F.lit(0))
+        near = F.filter(F.sequence(F.lit(0), F.size(stretches) - 1), lambda k: held(k) + held(k + 1) >= t["need"])
+        near = F.filter(near, lambda k: k * long + 1 <= total - long + 1)
+        starts = F.flatten(F.transform(near, lambda k: F.sequence(
+            k * long + 1, F.least((k + 1) * long, total - long + 1))))
+
+        def rate(at: Column) -> Column:
+            run = F.slice(grams, at, long)
+            same = F.size(F.array_intersect(run, t["grams"]))
+            return F.struct((-(same * 2.0) / (F.size(F.array_distinct(run)) + F.size(t["grams"]))).alias("d"),
+                            t["name"].alias("name"), at.alias("first"), (at + long).alias("after"))
+        return F.array_min(F.filter(F.transform(starts, rate), lambda h: h["d"] <= -threshold))
+
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.call_function("div", total - 1, long).cast("int")),
+        lambda k: F.size(F.array_intersect(F.slice(grams, k * long + 1, long), t["grams"])))
+    return _let(stretches, rated)
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, license (best, null if none), dice, licenses (of all units, joined by commas)."""
-    packed = [(name, bigram_set(plain_words(text))) for name, text in templates]
-    packed = [(n, b) for n, b in packed if b]
-    smallest = min(len(b) for _, b in packed)
-    words = sorted(set().union(*(anchors(b, threshold) for _, b in packed)))
+    """doc_id, license (best, null if none), dice, licenses (all that count, joined by commas)."""
+    packed = [(name, len(w) - 1, bigram_set(w)) for name, w in ((n, plain_words(t)) for n, t in templates) if len(w) > 1]
+    words = sorted(set().union(*(anchors(b, threshold) for *_, b in packed)))
     anchored = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(words)})(?![\p{{L}}\p{{N}}])"
-    least = max(1, math.ceil(threshold / (2 - threshold) * smallest - 1e-9))
-
-    norm = docs.select("doc_id", F.regexp_replace(
-        F.lower(text_of()), r"[^\p{L}\p{N}\n]+", " ").alias("_norm"))
-    units = F.concat(F.split("_norm", "\n"), F.split("_norm", r" *\n(?: *\n)+ *"), F.array("_norm"))
-    found = norm.select("doc_id", F.when(
-        F.col("_norm").rlike(anchored),
-        F.filter(F.array_distinct(units), lambda u: u.rlike(anchored))).alias("_units"))
-    sets = found.select("doc_id", F.filter(
-        F.transform("_units", lambda u: _bigrams(_words(u))), lambda b: F.size(b) >= least).alias("_sets"))
-
-    def best(grams: Column) -> Column:
-        a = F.size(grams)
-        rated = []
-        for name, b in packed:
-            n = len(b)
-            near = (a >= threshold / (2 - threshold) * n - 1e-9) & (a <= (2 - threshold) / threshold * n + 1e-9)
-            same = F.size(F.array_intersect(grams, F.array(*[F.lit(x) for x in b])))
-            rated.append(F.when(near, F.struct((same * 2.0 / (a + n)).alias("dice"), F.lit(name).alias("name"))))
-        fit = F.filter(F.array(*rated), lambda r: r["dice"] >= threshold)
-        # highest coefficient, then smallest name
-        return F.array_min(F.transform(fit, lambda r: F.struct((-r["dice"]).alias("d"), r["name"].alias("name"))))
-
-    hits = sets.select("doc_id", F.filter(F.transform("_sets", best), lambda h: h.isNotNull()).alias("_hits"))
+    known = F.array(*[F.struct(
+        F.lit(name).alias("name"), F.lit(places).alias("places"),
+        F.lit(math.ceil(threshold / (2 - threshold) * len(b) - 1e-9)).alias("need"),
+        F.lit(b).alias("grams")) for name, places, b in packed])
+
+    text = F.lower(text_of())
+    lists = docs.select("doc_id", F.when(text.rlike(anchored), F.array_remove(
+        F.split(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "), " "), "")).alias("_words"))
+    grams = lists.select("doc_id", _bigrams(F.col("_words")).alias("_grams"))
+    fit = F.filter(known, lambda t: F.size(F.array_intersect("_grams", t["grams"])) >= t["need"])
+    hits = grams.select("doc_id", F.when(F.size("_grams") > 0, F.filter(
+        F.transform(fit, lambda t: _best_run(F.col("_grams"), t, threshold)), lambda h: h.isNotNull())).alias("_hits"))
+    rank = lambda h: F.struct(h["d"], h["name"])
+    covered = lambda h, g: ((g["name"] != h["name"]) & (rank(g) < rank(h))
+                            & (g["first"] < h["after"]) & (h["first"] < g["after"]))
+    counted = hits.select("doc_id", F.filter("_hits", lambda h: ~F.exists("_hits", lambda g: covered(h, g))).alias("_hits"))
     top = F.array_min("_hits")
-    return hits.select(
+    return counted.select(
         "doc_id", top["name"].alias("license"), (-top["d"]).alias("dice"),
         F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.col("_hits.name"))), ","), F.lit("")).alias("licenses"))

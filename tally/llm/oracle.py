@@ -157,35 +157,38 @@ left join c on c.a = t.id left join m on m.a = t.id
 """
 
 
-OP2_UNITS = r"""
-t as (select doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\n]+', ' ', 'g') as norm from documents),
-u as (
-  select distinct doc_id, unnest(list_concat(string_split(norm, chr(10)),
-         string_split_regex(norm, ' *\n(?: *\n)+ *'), [norm])) as unit from t),
-w as (select doc_id, unit, list_filter(string_split_regex(unit, '[ \n]+'), lambda x: x <> '') as w from u),
-g as (
-  select doc_id, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as a
-  from w where len(w) > 1),
-"""
-
-
 def _op2() -> str:
-    """Every unit against every template, without bounds or anchors."""
+    """Every run of a template's number of words, without anchors or stretches."""
     from .license_scan import TEMPLATES, THRESHOLD, bigram_set, plain_words
-    rows = ", ".join(f"({i}, '{name}', ['" + "', '".join(bigram_set(plain_words(text))) + "'])"
+    rows = ", ".join(f"({i}, '{name}', {len(plain_words(text)) - 1}, ['" + "', '".join(bigram_set(plain_words(text))) + "'])"
                      for i, (name, text) in enumerate(TEMPLATES))
-    return f"""
-with {OP2_UNITS.strip()}
-l(n, name, b) as (values {rows}),
+    return rf"""
+with w as (
+  select row_number() over () as r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') as w
+  from documents),
+g as (
+  select r, doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as g from w),
+l(n, name, places, b) as (values {rows}),
+c as (
+  select r, n, count(distinct gram) as same from (select r, unnest(g) as gram from g) x
+  join (select n, unnest(b) as gram from l) y using (gram) group by r, n),
+k as (
+  select r, n, name, b, g, least(places, len(g)) as long from c join l using (n) join g using (r)
+  where 2.0::double * same / (same + len(b)) >= {THRESHOLD}),
+s as (
+  select r, n, name, pos, pos + long as after, g[pos:pos + long - 1] as run, b
+  from (select *, unnest(range(1, len(g) - long + 2)) as pos from k)),
 d as (
-  select doc_id, unit, name, 2.0::double * len(list_intersect(a, b)) / (len(a) + len(b)) as dice
-  from g join l on list_has_any(a, b)),
-m as (select * from d where dice >= {THRESHOLD}
-      qualify row_number() over (partition by doc_id, unit order by dice desc, name) = 1),
-r as (select doc_id, first(name order by dice desc, name) as license, max(dice) as dice,
-             string_agg(distinct name, ',' order by name) as licenses from m group by doc_id)
-select t.doc_id, r.license, r.dice, coalesce(r.licenses, '') as licenses
-from t left join r on r.doc_id = t.doc_id
+  select r, n, name, pos, after, 2.0::double * len(list_intersect(run, b)) / (len(list_distinct(run)) + len(b)) as dice from s),
+h as (
+  select * from d where dice >= {THRESHOLD} qualify row_number() over (partition by r, n order by dice desc, pos) = 1),
+m as (
+  select * from h where not exists (
+    select 1 from h o where o.r = h.r and o.name <> h.name and o.pos < h.after and h.pos < o.after
+      and (o.dice > h.dice or (o.dice = h.dice and o.name < h.name)))),
+z as (select r, first(name order by dice desc, name) as license, max(dice) as dice,
+             string_agg(distinct name, ',' order by name) as licenses from m group by r)
+select doc_id, license, dice, coalesce(licenses, '') as licenses from w left join z using (r)
 """
 
 
