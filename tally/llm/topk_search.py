@@ -6,23 +6,28 @@ every candidate gets one more coordinate, sqrt(M^2 - |x|^2) with M the
 largest norm of its tree, and every query a 0 there: the Euclidean distance
 d then satisfies d^2 = |q|^2 + M^2 - 2 * score, so the nearest are the best.
 
-* *Index.*  Vectors are dealt by a hash of their id to trees of about
-  ``TREE_ROWS`` vectors (per dimension).  A tree is bulk-loaded into pages: a
-  leaf holds at most ``PAGE`` vectors, an inner page at most ``FANOUT`` entries;
-  an entry has a routing object, a covering radius and the distance to the
-  routing object of its parent.  Trees are written as rows.
-* *Search.*  Queries are gathered in blocks of ``QUERY_BLOCK``; every block
-  meets every tree.  Pages are opened best-first by d(q, routing) - radius,
-  until that exceeds the distance of the k-th best.  Before a distance is
-  computed, the stored parent distance gives |d(q, parent) - d(o, parent)|
-  as a lower bound; what it rules out is not computed.  Scores are whole
-  numbers, and a bound must exceed the k-th distance by a rounding margin,
+* *Index.*  Vectors are dealt to the nearest of at most ``PIVOTS`` pivots per
+  dimension (rows with the smallest hashes of their ids), so a tree holds
+  vectors that lie together; a cell of more than ``TREE_ROWS`` is split by a
+  hash of the id.  A tree is bulk-loaded into pages: a leaf holds at most ``PAGE``
+  vectors, an inner page at most ``FANOUT`` entries; an entry has a routing object,
+  a covering radius and the distance to the routing object of its parent.
+* *Home search.*  The queries of a tree are searched in it as it is built.  The
+  score of the k-th best found is a floor for every other tree.
+* *Search.*  Queries go in blocks of ``QUERY_BLOCK`` to all other trees, each of
+  which is moved once.  Pages are opened best-first by d(q, routing) - radius,
+  until that exceeds the distance of the k-th best (at first the floor's); a tree
+  whose covering radius cannot reach it ends at its first page.  Before a
+  distance is computed, the stored parent distance gives |d(q, parent) - d(o,
+  parent)| as a lower bound; what it rules out is not computed.  Scores are
+  whole numbers, and a bound must exceed the k-th distance by a rounding margin,
   so ties are resolved exactly.
-* *Merge.*  k rows per query and tree are ranked; Spark limits them per query
-  before the shuffle.
+* *Merge.*  At most k rows per query and tree are ranked; Spark limits them per
+  query before the shuffle.
 
 No pair of query and candidate is ever written; an executor holds one tree
-and one block of queries.
+and one block of queries.  Trees are dealt to as many partitions as there are
+trees, up to ``MAX_TASKS``.
 
 Defined results: rows with a null id, a null vector, or null or non-finite
 components take no part; rows equal in id and vector count once; a query
@@ -47,10 +52,12 @@ from .common import materialise, ship_package, small_side
 SCALE = 1024
 K = 10
 QUERY_STEP = 100
-TREE_ROWS = 16384
+TREE_ROWS = 4096
 PAGE = 256
 FANOUT = 16
 QUERY_BLOCK = 1024
+PIVOTS = 1024
+MAX_TASKS = 20_000
 
 
 class MTree:
@@ -85,6 +92,7 @@ class MTree:
                           np.array([self.to_parent[c] for c in kids]))
                       for p, kids in enumerate(self.children) if kids}
         self.first = self.routing[0] if n else None
+        self.products = 0  # inner products computed so far
         del self.routing, self._rng
 
     def _grow(self, lifted, members, parent, order) -> int:
@@ -115,8 +123,9 @@ class MTree:
             self.children[page].append(self._grow(lifted, g, routing, order))
         return page
 
-    def search(self, query: np.ndarray, own, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best candidates, best first, ties to smaller ids."""
+    def search(self, query: np.ndarray, own, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best candidates, best first, ties to smaller ids.
+        With a ``floor`` those below that score may be missing."""
         none = np.zeros(0, dtype=np.int64)
         if not len(self.ids):
             return none, none
@@ -126,7 +135,8 @@ class MTree:
         lifted = np.append(query.astype(np.float64), 0.0)
         base = float(lifted @ lifted) + self.top
         margin = 1e-6 * (1.0 + base ** 0.5)
-        ids, scores, far = none, none, float("inf")
+        ids, scores = none, none
+        far = reach = float("inf") if floor is None else max(0.0, base - 2.0 * float(floor)) ** 0.5
         start = float(np.sqrt(((lifted - self.first) ** 2).sum()))
         queue = [(max(0.0, start - self.radius[0]), 0, start)]
         while queue:
@@ -149,6 +159,7 @@ class MTree:
                                      & (self.ids[a:b] != own))
             if not len(hit):
                 continue
+            self.products += len(hit)
             value = store[hit] @ q
             if exact:
                 value = value.astype(np.int64)
@@ -157,7 +168,7 @@ class MTree:
             best = np.lexsort((all_ids, -all_scores))[:k]
             ids, scores = all_ids[best], all_scores[best]
             if len(ids) == k:
-                far = max(0.0, base - 2.0 * float(scores[-1])) ** 0.5
+                far = min(reach, max(0.0, base - 2.0 * float(scores[-1])) ** 0.5)
         return ids, scores
 
 
@@ -174,35 +185,71 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
-def _build(page: int, fanout: int):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        dim, part, ways = (x.as_py() for x in key)
-        tree = MTree(table["_id"].to_numpy().astype(np.int64), _matrix(table["_vector"], dim), page, fanout)
-        return pa.table({"_dim": pa.array([dim], pa.int32()), "_tree": pa.array([part], pa.int64()),
-                         "_blocks": pa.array([ways], pa.int64()),
-                         "_pages": pa.array([pickle.dumps(tree, protocol=5)], pa.binary())})
+def _cells(pivots: dict[int, np.ndarray]):
+    """Adds the nearest pivot of each vector's dimension (columns: _id, _dim, _vector, _asked)."""
+    def run(batches):
+        for batch in batches:
+            dims = batch.column(1).to_numpy()
+            cell = np.zeros(batch.num_rows, np.int64)
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                centres = pivots.get(dim)
+                if dim and centres is not None and len(centres) > 1:
+                    rows = _matrix(batch.column(2).take(pa.array(at)), dim).astype(np.float64)
+                    cell[at] = ((centres ** 2).sum(axis=1)[None, :] - 2 * rows @ centres.T).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "_cell"])
     return run
 
 
-def _gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    dim, block = (x.as_py() for x in key)
-    held = (table["_id"].to_numpy().astype(np.int64), _matrix(table["_vector"], dim))
-    return pa.table({"_dim": pa.array([dim], pa.int32()), "_block": pa.array([block], pa.int64()),
-                     "_queries": pa.array([pickle.dumps(held, protocol=5)], pa.binary())})
+def _found(out: tuple[list, list, list]) -> pa.Array:
+    kind = pa.struct([(n, pa.int64()) for n in ("query_id", "vec_id", "score")])
+    rows = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in out], fields=list(kind))
+    return pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+
+
+def _look(tree: MTree, ids, vectors, floors, k: int) -> tuple[list, list, list]:
+    out = ([], [], [])
+    for own, vector, floor in zip(ids, vectors, floors):
+        found, scores = tree.search(vector, own, k, floor)
+        out[0].extend([own] * len(found))
+        out[1].extend(found.tolist())
+        out[2].extend(scores.tolist())
+    return out
+
+
+def _build(page: int, fanout: int, k: int, query_block: int):
+    """One row per tree: its pages, blocks of its own queries with the scores of
+    their k-th best here, and what the queries find here."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        dim, number = (x.as_py() for x in key)
+        ids, vectors = table["_id"].to_numpy().astype(np.int64), _matrix(table["_vector"], dim)
+        tree = MTree(ids, vectors, page, fanout)
+        asked = np.flatnonzero(table["_asked"].to_numpy(zero_copy_only=False))
+        own, rows = ids[asked].tolist(), vectors[asked]
+        out = _look(tree, own, rows, [None] * len(own), k)
+        scores: dict[int, list[int]] = {}
+        for q, s in zip(out[0], out[2]):
+            scores.setdefault(q, []).append(s)
+        floors = [min(scores[q]) if len(scores.get(q, ())) == k else None for q in own]
+        blocks = [pickle.dumps((own[i:i + query_block], rows[i:i + query_block], floors[i:i + query_block]), protocol=5)
+                  for i in range(0, len(own), query_block)]
+        return pa.table({"_dim": pa.array([dim], pa.int32()), "_tree": pa.array([number], pa.int64()),
+                         "_pages": pa.array([pickle.dumps(tree, protocol=5)], pa.binary()),
+                         "_blocks": pa.array([blocks], pa.list_(pa.binary())), "_found": _found(out)})
+    return run
 
 
 def _search(k: int):
-    def run(table: pa.Table) -> pa.Table:
-        out = ([], [], [])
-        for pages, queries in zip(table["_pages"], table["_queries"]):
-            tree = pickle.loads(pages.as_py())
-            ids, vectors = pickle.loads(queries.as_py())
-            for own, vector in zip(ids.tolist(), vectors):
-                found, scores = tree.search(vector, own, k)
-                out[0].extend([own] * len(found))
-                out[1].extend(found.tolist())
-                out[2].extend(scores.tolist())
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), out)})
+    """What each block finds in the tree beside it (columns: _dim, _tree, _pages, _block)."""
+    def run(batches):
+        last, tree = None, None
+        for batch in batches:
+            for dim, number, pages, block in zip(*batch.columns):
+                if (dim, number) != last:
+                    last, tree = (dim, number), pickle.loads(pages.as_buffer())
+                out = _look(tree, *pickle.loads(block.as_py()), k)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
+                                                 names=["query_id", "vec_id", "score"])
     return run
 
 
@@ -221,24 +268,39 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = K, scale:
           query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of every query.
     ``is_query`` is a condition on ``_id``; by default ids divisible by 100."""
-    ship_package(vectors.sparkSession)
+    spark = vectors.sparkSession
+    ship_package(spark)
     asked = F.col("_id") % QUERY_STEP == 0 if is_query is None else is_query
-    whole = materialise(whole_vectors(vectors, scale), "vectors")
-    sizes = materialise(whole.groupBy("_dim").agg(
-        F.ceil(F.count(F.lit(1)) / tree_rows).cast("long").alias("_trees"),
-        F.ceil(F.sum(F.when(asked, 1).otherwise(0)) / query_block).cast("long").alias("_blocks")), "dims")
-    dealt = whole.join(small_side(sizes), "_dim")
-    trees = dealt.where("_blocks > 0").withColumn(
-        "_tree", F.pmod(F.xxhash64("_id"), F.col("_trees"))).groupBy("_dim", "_tree", "_blocks").applyInArrow(
-        _build(page, fanout), "_dim int, _tree long, _blocks long, _pages binary")
-    queries = dealt.where(asked).withColumn(
-        "_block", F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_blocks"))).groupBy("_dim", "_block").applyInArrow(
-        _gather, "_dim int, _block long, _queries binary")
-    trees = materialise(trees, "trees")
-    met = trees.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).join(
-        queries, ["_dim", "_block"])
-    found = met.groupBy("_dim", "_tree", "_block").applyInArrow(
-        _search(k), "query_id long, vec_id long, score long")
+    whole = materialise(whole_vectors(vectors, scale).withColumn("_asked", F.coalesce(asked, F.lit(False))), "vectors")
+    # dimensions without a query need no tree; one row per dimension
+    dims = {r["_dim"]: min(PIVOTS, -(-r["n"] // tree_rows)) for r in whole.groupBy("_dim").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_asked").alias("any")).where("any").collect()}
+    held = whole.where(F.col("_dim").isin(list(dims)))
+    first = Window.partitionBy("_dim").orderBy(F.xxhash64("_id", F.lit(3)), "_id")
+    pivots: dict[int, list] = {}
+    for r in held.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= PIVOTS).orderBy("_dim", "_n").collect():
+        if len(pivots.setdefault(r["_dim"], [])) < dims[r["_dim"]]:
+            pivots[r["_dim"]].append(r["_vector"])
+    centres = {d: np.array(v, np.float64).reshape(len(v), d) for d, v in pivots.items()}
+    celled = materialise(held.mapInArrow(
+        _cells(centres), "_id long, _dim int, _vector array<long>, _asked boolean, _cell long"), "cells")
+    ways = small_side(materialise(celled.groupBy("_dim", "_cell").agg(
+        F.ceil(F.count(F.lit(1)) / tree_rows).cast("long").alias("_ways")), "cell-sizes"))
+    dealt = celled.join(ways, ["_dim", "_cell"]).withColumn(
+        "_tree", F.col("_cell") * (1 << 32) + F.pmod(F.xxhash64("_id"), F.col("_ways")))
+    n_trees = ways.agg(F.sum("_ways")).first()[0] or 0
+    parts = max(1, min(n_trees, MAX_TASKS))
+    built = materialise(dealt.repartition(parts, "_dim", "_tree").groupBy("_dim", "_tree").applyInArrow(
+        _build(page, fanout, k, query_block),
+        "_dim int, _tree long, _pages binary, _blocks array<binary>, "
+        "_found array<struct<query_id: long, vec_id: long, score: long>>"), "trees")
+    home = built.select(F.explode("_found").alias("_f")).select("_f.*")
+    others = built.groupBy("_dim").agg(F.collect_list("_tree").alias("_trees"))
+    blocks = built.select("_dim", F.col("_tree").alias("_home"), F.explode("_blocks").alias("_block")).join(
+        others, "_dim").withColumn("_tree", F.explode("_trees")).where("_tree <> _home").drop("_trees")
+    trees = built.select("_dim", "_tree", "_pages").repartition(parts, "_dim", "_tree")
+    met = trees.join(blocks.repartition(parts, "_dim", "_tree"), ["_dim", "_tree"])
+    away = met.select("_dim", "_tree", "_pages", "_block").mapInArrow(_search(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+    return home.unionByName(away).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

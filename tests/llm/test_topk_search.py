@@ -64,3 +64,34 @@ def test_empty_and_no_queries(spark):
     assert K.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
     assert K.top_k(spark.createDataFrame([(1, [1.0], 0, 1)], SCHEMA)).count() == 0
     assert K.top_k(spark.createDataFrame([(100, [1.0], 0, 1)], SCHEMA)).count() == 0
+
+
+def test_floors_keep_all_that_reach_them():
+    rng = np.random.default_rng(2)
+    points = rng.integers(-50, 50, size=(600, 5))
+    tree = K.MTree(np.arange(600), points, page=16, fanout=4)
+    for q in points[:30]:
+        ids, scores = tree.search(q, -1, 10)
+        for floor in (int(scores[4]), int(scores[0]), int(scores[0]) + 1):
+            got = tree.search(q, -1, 10, floor)
+            reach = [(i, s) for i, s in zip(ids.tolist(), scores.tolist()) if s >= floor]
+            assert [(i, s) for i, s in zip(got[0].tolist(), got[1].tolist()) if s >= floor] == reach
+
+
+def test_floors_and_cells_save_products_on_clustered_vectors():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 16)) * 4000
+    points = np.concatenate([c + rng.normal(size=(200, 16)) * 30 for c in centres]).astype(np.int64)
+    trees = [K.MTree(np.arange(200) + 200 * i, points[200 * i:200 * i + 200], page=32) for i in range(12)]
+    q = points[3]
+    _, scores = trees[0].search(q, 3, 10)
+    for t in trees[1:]:
+        t.search(q, 3, 10, int(scores.min()))
+    assert sum(t.products for t in trees) < 0.3 * len(points)
+
+
+def test_every_tree_is_a_task(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)], 0, 1) for i in range(900)]
+    got = K.top_k(spark.createDataFrame(rows, SCHEMA), tree_rows=100)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
