@@ -35,23 +35,37 @@ goal as (
 part as (
   select *, case when n > 0 then floor(target / n) else 0 end as times from goal),
 want as (select *, target - times * n as rest from part),
-ord as (
-  select s.*, w.n, w.target, w.times, w.rest,
-         sum(size) over (partition by s.source order by digest) as upto
-  from s join want w on s.source is not distinct from w.source),
-cut as (
-  select source, rest - coalesce(max(upto) filter (upto <= rest), 0) as missing from ord
-  where rest > 0 group by source, rest),
+k0 as (select source, rest as missing, '' as upto from want where rest > 0)"""
+
+
+def _op3() -> str:
+    """A first cut and three refills written out, then the nearest fill."""
+    steps = [OP3]
+    for i in range(4):
+        fits = "true" if i == 0 else "s.size <= k.missing"
+        steps.append(f"""
+r{i} as (
+  select s.source, s.digest, k.missing, sum(s.size) over (partition by s.source order by s.digest) as run
+  from s join k{i} k on s.source is not distinct from k.source where s.digest > k.upto and {fits}),
+e{i} as (select source, max(run) as got, max(digest) as upto from r{i} where run <= missing group by source),
+k{i + 1} as (
+  select k.source, k.missing - coalesce(e.got, 0) as missing, coalesce(e.upto, k.upto) as upto
+  from k{i} k left join e{i} e on e.source is not distinct from k.source)""")
+    steps.append("""
 fill as (
-  select o.source, min(struct_pack(a := abs(o.size - c.missing), b := o.digest)).b as digest
-  from ord o join cut c on o.source is not distinct from c.source
-  where o.upto > o.rest and abs(o.size - c.missing) < c.missing group by o.source)
-select o.doc_id, cast(o.size as bigint) as size, cast(o.n as bigint) as source_size, o.target,
-       cast(o.size * least(2, o.times + case when (o.rest > 0 and o.upto <= o.rest)
-            or coalesce(o.digest = f.digest, false) then 1 else 0 end) as bigint) as taken
-from ord o left join fill f on o.source is not distinct from f.source
+  select s.source, min(struct_pack(a := abs(s.size - k.missing), b := s.digest)).b as digest
+  from s join k4 k on s.source is not distinct from k.source
+  where s.digest > k.upto and abs(s.size - k.missing) < k.missing group by s.source),
+more as (""" + " union ".join(f"select source, digest from r{i} where run <= missing" for i in range(4))
+                 + " union select source, digest from fill)")
+    return ",".join(steps) + """
+select s.doc_id, cast(s.size as bigint) as size, cast(w.n as bigint) as source_size, w.target,
+       cast(s.size * least(2, w.times + if(m.digest is null, 0, 1)) as bigint) as taken
+from s join want w on s.source is not distinct from w.source
+left join more m on m.digest = s.digest and m.source is not distinct from s.source
 """
 
+
 OP4 = r"""
 with c as (
   select conv_id, turn, role, text from conversations
@@ -268,6 +282,6 @@ from g, h
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": _op2(), "op3_source_mix": OP3, "op4_chat_format": OP4, "op6_topk_search": OP6,
+    return {"op2_license_scan": _op2(), "op3_source_mix": _op3(), "op4_chat_format": OP4, "op6_topk_search": OP6,
             "op8_exact_dedup": OP8, "op9_jaccard_join": OP9,
             "op10_url_filter": OP10, "op11_filter_audit": OP11, "op13_vector_codes": _op13()}

@@ -11,13 +11,15 @@ without iterating.  The comparison is done on whole numbers
 Sampling: a source whose target is ``e`` times its size takes each document
 ``floor(e)`` times, and once more the documents that come first in a seeded
 order (the md5 of seed, doc_id and text) as long as they fit into the rest
-of the target.  Where that order is cut is found in two steps, sums over
-4096 prefix buckets of the digest and then the documents of the one bucket
-that holds the cut, so no window runs over all documents of a source.  Of
-the documents behind the cut, the one whose size is nearest to what is
-still missing is taken too, if that brings the source nearer to its target.
-Every later decision needs only the document's own digest and its source's
-row.
+of the target.  The cut can fall before a long document, so ``REFILLS`` more
+rounds go on behind it with the documents that are no longer than what is still
+missing, in the same order and by the same cut.  Of the documents behind the
+last cut, the one whose size is nearest to what is missing then is taken too, if
+that brings the source nearer to its target.  Where an order is cut is found in
+two steps, sums over 4096 prefix buckets of the digest and then the documents of
+the one bucket that holds the cut, so no window runs over all documents of a
+source.  Every later decision needs only the document's own digest and size and
+its source's row.
 
 Defined results: a null text has size 0; documents without words take no
 words; null is a source of its own, last in order; a source without words
@@ -38,6 +40,8 @@ SHARE = (3, 2)          # budget as a fraction of all sizes: 150 %
 MAX_EPOCHS = 2
 SEED = "mix-1"
 BUCKET_DIGITS = 3       # 16**3 prefix buckets
+REFILLS = 3
+ANY_SIZE = (1 << 63) - 1
 
 
 def word_count(text: Column) -> Column:
@@ -86,7 +90,8 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int = MA
              seed: str = SEED) -> tuple[DataFrame, DataFrame]:
     """(sizes, plan): one narrow row per document (doc_id, source, size,
     ``_digest``), and one row per source with its target, whole repetitions
-    and the digest up to which documents are taken once more."""
+    and which documents are taken once more: ``rounds`` (those with after < digest <=
+    upto and at most ``most`` words) and ``fill`` (the one with this digest)."""
     sizes = materialise(docs.select(
         "doc_id", F.col("source").cast("string").alias("source"),
         word_count(text_of()).alias("size"), order_digest(seed).alias("_digest")), "mix-sizes")
@@ -98,49 +103,65 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int = MA
     goal = targets.withColumn("whole", F.floor(epochs)).withColumn(
         "_rest", F.col("target") - F.col("whole") * F.col("source_size"))
 
-    prefix = F.substring("_digest", 1, BUCKET_DIGITS)
-    in_order = Window.partitionBy("source").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    buckets = sizes.groupBy("source", prefix.alias("_bucket")).agg(
-        F.sum("size").alias("_in_bucket")).withColumn(
-        "_before", F.coalesce(F.sum("_in_bucket").over(in_order), F.lit(0)))
-    goal_side = small_side(goal.select(F.col("source").alias("_s"), "_rest"))
-    cut = buckets.join(goal_side, buckets["source"].eqNullSafe(goal_side["_s"])).where(
-        (F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_in_bucket") >= F.col("_rest"))
-    ).groupBy("_s", "_rest").agg(F.min_by(F.struct("_bucket", "_before"), "_bucket").alias("_cut"))
-    # the documents of the bucket that holds the cut; equal digests count as one
-    cut = materialise(cut.select(F.col("_s"), "_rest", F.col("_cut._bucket").alias("_b"),
-                                 F.col("_cut._before").alias("_start")), "mix-cuts")
-    cut_side = small_side(cut)
-    near = sizes.join(cut_side, sizes["source"].eqNullSafe(cut_side["_s"])
-                      & (prefix == cut_side["_b"])).groupBy("_s", "_rest", "_b", "_start", "_digest").agg(
-        F.sum("size").alias("_size"))
-    fine = Window.partitionBy("_s").orderBy("_digest")
-    taken = near.withColumn("_end", F.col("_start") + F.sum("_size").over(
-        fine.rowsBetween(Window.unboundedPreceding, 0))).where("_end <= _rest")
-    last = taken.groupBy(F.col("_s").alias("_l")).agg(F.max("_digest").alias("_upto"), F.max("_end").alias("_end"))
-    known = cut.join(last, F.col("_s").eqNullSafe(F.col("_l")), "left").select(
-        "_s", "_rest",
-        # without a taken document in the bucket, all digests below the bucket are taken
-        F.coalesce("_upto", "_b").alias("_upto"), F.coalesce("_end", "_start").alias("_end"))
-    known = materialise(known, "mix-known")
+    known = materialise(goal.where("_rest > 0").select(
+        F.col("source").alias("_s"), F.col("_rest").alias("_missing"), F.lit("").alias("_upto"),
+        F.array().cast(f"array<{_ROUND}>").alias("_rounds")), "mix-goals")
+    for i in range(REFILLS + 1):
+        known = _next_round(sizes, known, i)
     known_side = small_side(known)
-    missing = F.col("_rest") - F.col("_end")
-    off = F.abs(F.col("size") - missing)
+    off = F.abs(F.col("size") - F.col("_missing"))
     fill = sizes.join(known_side, sizes["source"].eqNullSafe(known_side["_s"])).where(
-        (F.col("_digest") > F.col("_upto")) & (off < missing)).groupBy(F.col("_s").alias("_f")).agg(
+        (F.col("_digest") > F.col("_upto")) & (off < F.col("_missing"))).groupBy(F.col("_s").alias("_f")).agg(
         F.min(F.struct(off.alias("a"), F.col("_digest").alias("b"))).alias("_fill"))
-    out = goal.join(known.select(F.col("_s").alias("_k"), "_upto"),
+    out = goal.join(known.select(F.col("_s").alias("_k"), "_rounds"),
                     F.col("source").eqNullSafe(F.col("_k")), "left")
     out = out.join(fill, F.col("source").eqNullSafe(F.col("_f")), "left")
     plan = out.select("source", "source_size", "target", F.col("whole").cast("long").alias("whole"),
-                      F.col("_upto").alias("upto"), F.col("_fill.b").alias("fill"))
+                      F.coalesce("_rounds", F.array().cast(f"array<{_ROUND}>")).alias("rounds"),
+                      F.col("_fill.b").alias("fill"))
     return sizes, materialise(plan, "mix-plan")
 
 
-def _repeats(digest: str, plan: str, max_epochs: int) -> Column:
-    more = F.when((F.col(digest) <= F.col(f"{plan}upto")) | (F.col(digest) == F.col(f"{plan}fill")),
-                  1).otherwise(0)
+_ROUND = "struct<after: string, upto: string, most: bigint>"
+
+
+def _next_round(sizes: DataFrame, known: DataFrame, number: int) -> DataFrame:
+    """``known`` (one row per source: _s, _missing, _upto, _rounds) after one more
+    round over the documents behind ``_upto``: all of them in round 0, then those
+    with at most ``_missing`` words."""
+    side = small_side(known)
+    most = F.lit(ANY_SIZE) if number == 0 else F.floor("_missing").cast("long")
+    rows = sizes.join(side, sizes["source"].eqNullSafe(side["_s"])).where(
+        (F.col("_digest") > F.col("_upto")) & (F.col("size") <= most)).select("_s", "_digest", "size", "_missing")
+    prefix = F.substring("_digest", 1, BUCKET_DIGITS)
+    in_order = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = rows.groupBy("_s", "_missing", prefix.alias("_bucket")).agg(
+        F.sum("size").alias("_in"), F.max("_digest").alias("_last")).withColumn("_end", F.sum("_in").over(in_order))
+    fits = F.col("_end") <= F.col("_missing")
+    cut = materialise(buckets.groupBy("_s", "_missing").agg(
+        F.max(F.when(fits, F.col("_end"))).alias("_end"), F.max(F.when(fits, F.col("_last"))).alias("_last"),
+        F.min(F.when(~fits, F.col("_bucket"))).alias("_b")).select(
+        F.col("_s").alias("_c"), "_missing", F.coalesce("_end", F.lit(0)).alias("_start"), "_last", "_b"), f"mix-cut-{number}")
+    # the documents of the bucket that holds the cut; equal digests count as one
+    cut_side = small_side(cut.drop("_missing"))
+    near = rows.join(cut_side, rows["_s"].eqNullSafe(cut_side["_c"]) & (prefix == cut_side["_b"])).groupBy(
+        "_s", "_missing", "_start", "_digest").agg(F.sum("size").alias("_size"))
+    fine = Window.partitionBy("_s").orderBy("_digest").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = near.withColumn("_end", F.col("_start") + F.sum("_size").over(fine)).where("_end <= _missing").groupBy(
+        F.col("_s").alias("_l")).agg(F.max("_digest").alias("_fine"), F.max("_end").alias("_end"))
+    new = cut.join(last, F.col("_c").eqNullSafe(F.col("_l")), "left").select(
+        "_c", F.coalesce("_fine", "_last").alias("_to"), F.coalesce("_end", "_start").alias("_got"))
+    upto = F.coalesce("_to", "_upto")
+    return materialise(known.join(new, F.col("_s").eqNullSafe(F.col("_c")), "left").select(
+        "_s", (F.col("_missing") - F.coalesce("_got", F.lit(0))).alias("_missing"), upto.alias("_upto"),
+        F.concat("_rounds", F.array(F.struct(F.col("_upto").alias("after"), upto.alias("upto"), most.alias("most"))))
+        .alias("_rounds")), f"mix-known-{number}")
+
+
+def _repeats(digest: str, size: Column, plan: str, max_epochs: int) -> Column:
+    d = F.col(digest)
+    taken = F.exists(F.col(f"{plan}rounds"), lambda r: (d > r["after"]) & (d <= r["upto"]) & (size <= r["most"]))
+    more = F.when(taken | F.coalesce(d == F.col(f"{plan}fill"), F.lit(False)), 1).otherwise(0)
     return F.least(F.col(f"{plan}whole") + more, F.lit(max_epochs).cast("long"))
 
 
@@ -149,21 +170,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int = MAX_EPO
     """doc_id, size, source_size, target, taken, repeats for every document."""
     sizes, plan = mix_plan(docs, weights, share, max_epochs, seed)
     side = small_side(plan.withColumnRenamed("source", "_s"))
+    repeats = _repeats("_digest", F.col("size"), "", max_epochs)
     return sizes.join(side, sizes["source"].eqNullSafe(side["_s"])).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * _repeats("_digest", "", max_epochs)).alias("taken"),
-        _repeats("_digest", "", max_epochs).alias("repeats"))
+        "doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
 
 
 def sample(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs: int = MAX_EPOCHS,
            seed: str = SEED) -> DataFrame:
     """``docs`` (all columns), each row as often as the mix takes it.  The
-    texts are not moved: a row needs only its own digest and its source's row."""
+    texts are not moved: a row needs only its own digest and size and its source's row."""
     cols = docs.columns
     _, plan = mix_plan(docs, weights, share, max_epochs, seed)
     key, digest, source, own, n, i = free_names(docs, "_t_key", "_t_digest", "_t_source", "_t_plan", "_t_n", "_t_i")
-    side = small_side(plan.select(F.col("source").alias(source), F.struct("whole", "upto", "fill").alias(own)))
+    side = small_side(plan.select(F.col("source").alias(source), F.struct("whole", "rounds", "fill").alias(own)))
     marked = docs.withColumn(key, F.col("source").cast("string")).withColumn(digest, order_digest(seed))
     joined = marked.join(side, marked[key].eqNullSafe(side[source]))
-    out = joined.withColumn(n, _repeats(digest, f"{own}.", max_epochs).cast("int")).where(F.col(n) > 0)
+    out = joined.withColumn(n, _repeats(digest, word_count(text_of()), f"{own}.", max_epochs).cast("int")).where(F.col(n) > 0)
     return out.withColumn(i, F.explode(F.array_repeat(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in cols])

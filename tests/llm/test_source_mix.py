@@ -40,6 +40,34 @@ def test_targets_and_taken_words(spark):
         assert abs(taken[s] - target[s]) <= 20  # half a document
 
 
+def test_small_documents_behind_a_long_one_fill_the_target(spark):
+    """One very long document cannot hold up the rest: each source ends within half
+    of its smallest document that still fits, or 0.5 %, of its target."""
+    rows = [(i, "w " * (20_000 if i % 500 == 3 else 100 + i % 7), f"s{i % 3}") for i in range(3000)]
+    got = M.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        s = f"s{r['doc_id'] % 3}"
+        taken[s] += r["taken"]
+        target[s] = r["target"]
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+    for s in target:
+        assert abs(taken[s] - target[s]) <= max(0.005 * target[s], 53), (s, taken[s], target[s])
+
+
+def test_sources_of_the_given_table_come_near_their_targets(spark):
+    """Within 0.5 % of the target, or half the smallest document that was not taken once more."""
+    from conftest import CHECK_SF
+    docs = spark.read.parquet(f"{CHECK_SF}/documents.parquet")
+    taken, target, sizes = Counter(), {}, defaultdict(list)
+    for r in M.mix(docs).join(docs.select("doc_id", "source"), "doc_id").collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        sizes[r["source"]].append((r["repeats"], r["size"]))
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= max(0.005 * t, min(sizes[s])[1] / 2), s
+
+
 def test_sample_repeats_rows_as_the_mix_says(spark):
     docs = messy_docs(spark)
     want = defaultdict(int)
