@@ -26,10 +26,18 @@ Spark does the counting over all labelled training rows, without sampling:
 tasks count n-grams of their texts, Spark sums them, derives the shorter
 orders as aggregates and the log ratios by joins of neighbouring orders.
 Every n-gram is kept whatever its count, so the model grows with the training
-texts.  It is never held in memory: its sorted n-grams and their numbers are
-streamed into two files of the shared folder, handed out with
-``SparkContext.addFile`` and mapped by the scoring tasks, which look up the
-words of their texts by binary search.
+texts.  It stays a written table and meets the corpus in joins:
+
+1. *Shards*, where documents are read: about ``SHARD_TEXT`` characters of texts
+   become one written row, the texts as codes of the shard's different words.
+2. The different words of all shards are taken apart into n-grams, the
+   different n-grams are joined with the model, and sums per word are the log
+   ratios of words.  A word travels once per shard, not once per use.
+3. Each shard gets the ratios of its words back and gives four figures per row.
+
+Nothing of the model goes to the driver, to a broadcast or to one task; the
+driver holds the fitting rows and five weights.  Words of more than
+``LONG_WORD`` characters are joined by their MD5.
 
 Labelled rows are dealt by r = crc32(doc_id as text) mod ``FOLDS``: r = 0 is
 held out, r = 4 fits the logistic function (at most ``FIT_ROWS`` rows, in
@@ -48,16 +56,16 @@ import math
 import re
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, publish_all, row_mark, ship_package, small_side, text_of
+from .common import free_names, materialise, null_safe, row_mark, ship_package, small_side, text_of
 
 FOLDS = 5
 ORDER = 6
@@ -70,10 +78,10 @@ FIT_ROWS = 20_000
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"\w+")
 _HELD_WORDS = 100_000
-_NEW_WORDS = 20_000
-_HELD_TEXT = 1 << 21
-_KEY = np.dtype(f"<U{ORDER}")
+SHARD_TEXT = 1 << 22
+LONG_WORD = 32
 _BACKOFF = "\x04"  # ends the key of a context; no n-gram holds it
+_FIGURES = ("x0", "x1", "x2", "x3")
 
 
 def words_of(text: str) -> list[str]:
@@ -109,8 +117,9 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def train(rows: DataFrame) -> MappedRatios | None:
-    """Models from labelled rows (_text, _toxic); None if a class is missing."""
+def train(rows: DataFrame) -> DataFrame | None:
+    """The table of log ratios (key, value) learnt from labelled rows (_text,
+    _toxic); None if a class is missing."""
     level = materialise(
         rows.mapInArrow(_count_grams, "gram string, toxic bigint, plain bigint")
         .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
@@ -124,7 +133,7 @@ def train(rows: DataFrame) -> MappedRatios | None:
         levels[n] = materialise(levels[n + 1].groupBy(F.expr(f"substring(gram, 2, {n})").alias("gram")).agg(
             F.sum(seen("toxic")).cast("long").alias("toxic"), F.sum(seen("plain")).cast("long").alias("plain"),
             F.count(F.lit(1)).alias("any")), f"grams-{n}")
-    return _write_model(rows.sparkSession, materialise(_log_ratios(levels), "ratios"))
+    return materialise(_log_ratios(levels), "ratios")
 
 
 def _log_ratios(levels: dict[int, DataFrame]) -> DataFrame:
@@ -166,23 +175,66 @@ def _log_ratios(levels: dict[int, DataFrame]) -> DataFrame:
     return table
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = np.array(batch.column(0).to_pylist(), dtype=_KEY).tobytes()
-        values = batch.column(1).to_numpy(zero_copy_only=False).astype("<f8").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([keys], pa.binary()), pa.array([values], pa.binary())],
-                                         names=["keys", "values"])
+def _word_key(word: Column) -> Column:
+    """The word, or a digest of a long one (no word holds a space)."""
+    return F.when(F.char_length(word) <= LONG_WORD, word).otherwise(F.concat(F.lit(" "), F.md5(word)))
 
 
-def _write_model(spark: SparkSession, table: DataFrame) -> MappedRatios:
-    """Sorted keys and their values as two files, streamed by the driver one
-    partition at a time.  Spark orders strings as numpy does, by code points."""
-    packed = table.orderBy("key").mapInArrow(_pack, "keys binary, values binary")
-    run = uuid.uuid4().hex
-    names = [f"toxicity-keys-{run}.bin", f"toxicity-values-{run}.bin"]
-    for path in publish_all(spark, names, packed.toLocalIterator()):
-        spark.sparkContext.addFile(path)
-    return MappedRatios(*names)
+def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, word) -> (key, gram, n): the n-grams of each word."""
+    def block() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(grams, pa.string()),
+                                           pa.array(ns, pa.int64())], names=["key", "gram", "n"])
+
+    for batch in batches:
+        keys, grams, ns = [], [], []
+        for key, word in zip(batch.column(0).to_pylist(), batch.column(1)):
+            m = marked(word.as_py())
+            for gram, n in Counter(m[k:k + ORDER] for k in range(len(m) - ORDER + 1)).items():
+                keys.append(key)
+                grams.append(gram)
+                ns.append(n)
+                if len(keys) >= _HELD_WORDS:
+                    yield block()
+                    keys, grams, ns = [], [], []
+        if keys:
+            yield block()
+
+
+def _gram_ratios(grams: DataFrame, table: DataFrame) -> DataFrame:
+    """(gram, ratio) of different n-grams of the highest order: that of the longest
+    known end and of the backoff weights on the way to it.  Most are known as they are."""
+    own = table.select(F.col("key").alias("_k"), F.col("value").alias("_v"))
+    met = materialise(grams.join(own, F.col("gram") == F.col("_k"), "left").select("gram", "_v"), "grams-met")
+    keys, kinds = [], []
+    for n in range(ORDER, SHARED, -1):
+        at = ORDER - n + 1
+        keys.append(F.concat(F.substring("gram", at, n - 1), F.lit(_BACKOFF)))
+        kinds.append(f"b{n}")
+        if n > SHARED + 1:
+            keys.append(F.substring("gram", at + 1, n - 1))
+            kinds.append(f"v{n - 1}")
+    steps = met.where("_v is null").select(
+        "gram", F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), k.alias("key")) for kind, k in zip(kinds, keys))))
+        .alias("_step")).select("gram", "_step.kind", "_step.key")
+    found = steps.join(own, F.col("key") == F.col("_k"), "left").groupBy("gram").agg(
+        *(F.max(F.when(F.col("kind") == kind, F.col("_v"))).alias(kind) for kind in kinds))
+    ratio = F.lit(0.0)
+    for n in range(SHARED + 1, ORDER + 1):  # from the shortest end to the longest
+        ratio = F.coalesce(F.col(f"b{n}"), F.lit(0.0)) + (
+            ratio if n == SHARED + 1 else F.coalesce(F.col(f"v{n - 1}"), ratio))
+    return met.where("_v is not null").select("gram", F.col("_v").alias("ratio")).unionByName(
+        found.select("gram", ratio.alias("ratio")))
+
+
+def word_ratios(words: DataFrame, table: DataFrame) -> DataFrame:
+    """(key, ratio): the log ratio of every different word of ``words`` (word)."""
+    parts = materialise(
+        words.groupBy(_word_key(F.col("word")).alias("key")).agg(F.min("word").alias("word"))
+        .mapInArrow(_grams_of, "key string, gram string, n bigint"), "word-grams")
+    ratios = materialise(_gram_ratios(parts.select("gram").distinct(), table), "gram-ratios")
+    return materialise(parts.join(ratios, "gram").groupBy("key").agg(
+        F.sum(F.col("n") * F.col("ratio")).alias("ratio")), "word-ratios")
 
 
 # The same model from tables in memory: the definition that tests compare with.
@@ -245,17 +297,10 @@ def _tables(grams: dict, contexts: dict, shared: dict) -> tuple[dict[str, float]
 
 
 class Ratios:
-    """Log ratios of the two models, per character and per word."""
+    """Log ratios of words from tables in memory."""
 
     def __init__(self, grams: dict[str, float], backoff: dict[str, float]):
         self.grams, self.backoff = grams, backoff
-        self.known = _Recent(self.word)
-
-    def __getstate__(self):
-        return self.grams, self.backoff
-
-    def __setstate__(self, state):
-        self.__init__(*state)
 
     def word(self, word: str) -> float:
         m, out, grams, backoff = marked(word), 0.0, self.grams, self.backoff
@@ -270,131 +315,89 @@ class Ratios:
                 g = g[1:]
         return out
 
-    def features(self, text: str) -> tuple[float, ...] | None:
-        return self._features(words_of(text), self.known)
-
-    def features_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
-        return map(self.features, texts)
-
-    def _features(self, words: list[str], ratio: dict[str, float]) -> tuple[float, ...] | None:
-        n = len(words)
-        if not n:
-            return None
-        ratios = np.fromiter(map(ratio.__getitem__, words), dtype=np.float64, count=n)
-        chars = np.fromiter(map(len, words), dtype=np.float64, count=n) + 1
-        r, c = np.concatenate([[0.0], np.cumsum(ratios)]), np.concatenate([[0.0], np.cumsum(chars)])
-        w = min(WINDOW, n)
-        best = ((r[w:] - r[:-w]) / (c[w:] - c[:-w])).max()
-        top = np.partition(ratios, max(0, n - TOP))[-TOP:]
-        return (float(r[-1] / c[-1]), float(best), float(top.sum()) / TOP,
-                float(np.maximum(ratios - TELLING, 0).sum()) / n)
-
-
-class MappedRatios(Ratios):
-    """The same read from sorted files, whatever their size, that Spark hands
-    out; words not met lately are looked up many at a time."""
-
-    def __init__(self, keys: str, values: str):
-        self.names = keys, values
-        self.keys = self.values = None
-        self.known = _Recent(self.word)
-
-    def __getstate__(self):
-        return self.names
-
-    def _look_up(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(found, value or 0) of keys."""
-        if self.keys is None:  # once per worker
-            self.keys, self.values = (
-                np.memmap(SparkFiles.get(name), dtype=kind, mode="r").view(np.ndarray)
-                for name, kind in zip(self.names, (_KEY, "<f8")))
-        wanted = np.array(grams, dtype=_KEY)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        found = self.keys[at] == wanted
-        return found, np.where(found, self.values[at], 0.0)
-
-    def _gram_ratios(self, grams: list[str]) -> np.ndarray:
-        out, live = np.zeros(len(grams)), np.arange(len(grams))
-        for n in range(ORDER, SHARED, -1):
-            if not grams:
-                break
-            found, values = self._look_up(grams)
-            out[live] += values
-            live, grams = live[~found], [g for g, f in zip(grams, found.tolist()) if not f]
-            if grams:
-                out[live] += self._look_up([g[:-1] + _BACKOFF for g in grams])[1]
-                grams = [g[1:] for g in grams]
-        return out
 
-    def _word_ratios(self, words: list[str]) -> np.ndarray:
-        ids: dict[str, int] = defaultdict(count().__next__)
-        at = [ids[m[k:k + ORDER]] for m in map(marked, words) for k in range(len(m) - ORDER + 1)]
-        ends = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
-        return np.add.reduceat(self._gram_ratios(list(ids))[at], ends)
+def figures(ratios: np.ndarray, chars: np.ndarray) -> tuple[float, ...]:
+    """The four figures of a text from its words' log ratios and numbers of characters."""
+    n, w = len(ratios), min(WINDOW, len(ratios))
+    r, c = np.concatenate([[0.0], np.cumsum(ratios)]), np.concatenate([[0.0], np.cumsum(chars)])
+    best = ((r[w:] - r[:-w]) / (c[w:] - c[:-w])).max()
+    top = np.partition(ratios, max(0, n - TOP))[-TOP:]
+    return (float(r[-1] / c[-1]), float(best), float(top.sum()) / TOP,
+            float(np.maximum(ratios - TELLING, 0).sum()) / n)
+
+
+def _code_kind(words: int) -> str:
+    return "<u2" if words <= 1 << 16 else "<u4"
 
-    def word(self, word: str) -> float:
-        return float(self._word_ratios([word])[0])
-
-    def features_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
-        held: list[list[str]] = []
-        ratios: dict[str, float] = {}
-        new: list[str] = []
-        size = 0
-
-        def flush() -> Iterator[tuple[float, ...] | None]:
-            if new:
-                for word, ratio in zip(new, self._word_ratios(new).tolist()):
-                    ratios[word] = ratio
-                    self.known.keep(word, ratio)
-            for words in held:
-                yield self._features(words, ratios)
-            for part in (held, ratios, new):
-                part.clear()
-
-        for text in texts:
-            held.append(words_of(text))
-            size += len(text)
-            for word in set(held[-1]).difference(ratios):
-                found = self.known.find(word)
-                if found is None:
-                    new.append(word)
-                    found = 0.0  # until it is looked up
-                ratios[word] = found
-            if len(new) >= _NEW_WORDS or size >= _HELD_TEXT:
-                yield from flush()
-                size = 0
-        yield from flush()
-
-
-class _Recent(dict):
-    """Log ratios of the words met last, in two generations of bounded size."""
-
-    def __init__(self, ratio: Callable[[str], float]):
-        super().__init__()
-        self.ratio = ratio
-        self.older: dict[str, float] = {}
-
-    def __missing__(self, word: str) -> float:
-        found = self.find(word)
-        if found is None:
-            found = self.ratio(word)
-            self.keep(word, found)
-        return found
-
-    def find(self, word: str) -> float | None:
-        found = self.get(word)
-        if found is None:
-            found = self.older.get(word)
-            if found is not None:
-                self.keep(word, found)
-        return found
 
-    def keep(self, word: str, found: float) -> None:
-        if len(word) <= 64:
-            if len(self) >= _HELD_WORDS:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
+def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, mark, text) -> one row per ``SHARD_TEXT`` characters."""
+    press = zstandard.ZstdCompressor(level=1)
+    names = ["shard", "doc_ids", "marks", "sizes", "codes", "words"]
+    ids: list = []
+    marks: list[int] = []
+    codes: list[np.ndarray] = []
+    known: dict[str, int] = defaultdict(count().__next__)
+    size, kind = 0, None
+
+    def row() -> pa.RecordBatch:
+        flat = np.concatenate(codes).astype(_code_kind(len(known)))
+        cells = [uuid.uuid4().hex, ids, marks, [len(c) for c in codes], press.compress(flat.tobytes()), list(known)]
+        kinds = [pa.string(), pa.list_(kind), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(),
+                 pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=names)
+
+    for batch in batches:
+        kind = batch.column(0).type
+        for doc_id, mark, text in zip(*(batch.column(c) for c in range(3))):
+            text = text.as_py()
+            words = words_of(text)
+            ids.append(doc_id.as_py())
+            marks.append(mark.as_py())
+            codes.append(np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words)))
+            size += len(text) + 16
+            if size >= SHARD_TEXT:
+                yield row()
+                ids, marks, codes, known, size = [], [], [], defaultdict(count().__next__), 0
+    if ids:
+        yield row()
+
+
+def _shard_figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_ids, marks, sizes, codes, found) -> doc_id, row_mark and the four figures."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids, marks = batch.column(0)[i].values, batch.column(1)[i].values
+            sizes = batch.column(2)[i].values.to_numpy()
+            rows: list[tuple] = [(None,) * 4] * len(sizes)
+            if sizes.any():
+                found = batch.column(4)[i].values
+                ratio, chars = np.zeros(len(found)), np.zeros(len(found))
+                at = found.field(0).to_numpy()
+                ratio[at], chars[at] = found.field(1).to_numpy(), found.field(2).to_numpy() + 1
+                flat = np.frombuffer(zstandard.decompress(batch.column(3)[i].as_py()), dtype=_code_kind(len(found)))
+                ends = np.cumsum(sizes, dtype=np.int64)
+                rows = [figures(ratio[flat[e - n:e]], chars[flat[e - n:e]]) if n else r
+                        for r, n, e in zip(rows, sizes.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [ids, marks, *(pa.array([r[k] for r in rows], pa.float64()) for k in range(4))],
+                names=["doc_id", "row_mark", *_FIGURES])
+
+
+def text_figures(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """doc_id, row_mark and the four figures (null without words) of every row."""
+    src = docs.select("doc_id", row_mark().alias("_mark"), text_of().alias("_text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    shards = materialise(src.mapInArrow(
+        _shard, f"shard string, doc_ids array<{kind}>, marks array<bigint>, sizes array<int>, codes binary, "
+                "words array<string>"), "shards")
+    uses = shards.select("shard", F.posexplode("words").alias("at", "word"))
+    ratios = word_ratios(uses.select("word"), table)
+    found = uses.select("shard", "at", _word_key(F.col("word")).alias("key"), F.char_length("word").alias("chars")).join(
+        ratios, "key").groupBy("shard").agg(F.collect_list(F.struct("at", "ratio", "chars")).alias("found"))
+    return materialise(shards.drop("words").join(found, "shard", "left").select(
+        "doc_ids", "marks", "sizes", "codes", "found").mapInArrow(
+        _shard_figures, f"doc_id {kind}, row_mark bigint, " + ", ".join(f"{x} double" for x in _FIGURES)), "figures")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -433,81 +436,43 @@ def _rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
         "_text", "_toxic")
 
 
-def _features(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            found = list(model.features_of(t.as_py() for t in batch.column(0)))
-            rows = [f for f in found if f is not None]
-            keep = pa.array([f is not None for f in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([r[i] for r in rows], pa.float64()) for i in range(4)),
-                 batch.column(1).filter(keep)], names=["x0", "x1", "x2", "x3", "y"])
-    return run
-
-
-def _score(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, weights, empty = shared.value
-        for batch in batches:
-            scores = np.full(batch.num_rows, empty)
-            texts = (t.as_py() for t in batch.column(1))
-            for i, x in enumerate(model.features_of(texts) if model is not None else ()):
-                if x is not None:
-                    z = float(np.dot(weights[:-1], x) + weights[-1])
-                    scores[i] = 1 / (1 + math.exp(-min(max(z, -500.0), 500.0)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(scores),
-                 pa.array((scores >= 0.5).astype(np.int32))],
-                names=["doc_id", "row_mark", "score", "predicted"])
-    return run
-
-
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
-    """(models, logistic weights, score of empty texts)."""
-    train_ids, fit_ids = _marks(labels, fit_rows)
-    model = train(_rows(docs, train_ids))
-    if model is None:
-        return None, None, 0.0
-    xy = _rows(docs, fit_ids).mapInArrow(
-        _features(docs.sparkSession.sparkContext.broadcast(model)),
-        "x0 double, x1 double, x2 double, x3 double, y int").toPandas()
-    y = xy["y"].to_numpy().astype(float)
-    if not len(y) or y.min() == y.max():  # no contrast to fit on: the telling words decide
-        return model, np.array([0.0, 0.0, 1.0, 0.0, -TELLING]), 0.0
-    return model, fit_logistic(xy[["x0", "x1", "x2", "x3"]].to_numpy(), y), float(y.mean())
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted, row_mark for every row of ``docs``."""
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, fit_rows))
-    src = docs.select("doc_id", text_of().alias("_text"), row_mark().alias("_mark"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    scored = src.mapInArrow(_score(shared), f"doc_id {kind}, row_mark bigint, score double, predicted int")
+    train_ids, fit_ids = _marks(labels, fit_rows)
+    table = train(_rows(docs, train_ids))
+    if table is None:
+        scored = docs.select("doc_id", row_mark().alias("row_mark"), F.lit(0.0).alias("score"))
+    else:
+        rows = text_figures(docs, table)
+        weights, empty = _fit(rows, fit_ids, fit_rows)
+        z = F.lit(float(weights[-1]))
+        for w, x in zip(weights[:-1], _FIGURES):
+            z = z + F.lit(float(w)) * F.col(x)
+        z = F.least(F.greatest(z, F.lit(-500.0)), F.lit(500.0))
+        scored = rows.select("doc_id", "row_mark", F.coalesce(1 / (1 + F.exp(-z)), F.lit(empty)).alias("score"))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "row_mark")
+    return scored.select("doc_id", held.alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "row_mark")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (all columns) without the rows predicted toxic.  The texts are
-    scored where they are read and not moved."""
-    ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    return _keep_clean(docs, shared)
-
-
-def _keep_clean(docs: DataFrame, shared) -> DataFrame:
-    at = docs.columns.index("text")
+def _fit(rows: DataFrame, fit_ids: DataFrame, fit_rows: int) -> tuple[np.ndarray, float]:
+    """(logistic weights, score of empty texts) from at most ``fit_rows`` rows with words."""
+    side = small_side(fit_ids)
+    xy = rows.where("x0 is not null").join(side, F.col("doc_id") == F.col("_id")).orderBy(
+        F.md5(F.col("_id").cast("string")), "_id", "row_mark").limit(fit_rows).select(*_FIGURES, "_toxic").toPandas()
+    y = xy["_toxic"].to_numpy().astype(float)
+    if not len(y) or y.min() == y.max():  # no contrast to fit on: the telling words decide
+        return np.array([0.0, 0.0, 1.0, 0.0, -TELLING]), 0.0
+    return fit_logistic(xy[list(_FIGURES)].to_numpy(), y), float(y.mean())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, weights, empty = shared.value
-        for batch in batches:
-            keep = []
-            texts = (str(t.as_py() or "") for t in batch.column(at))
-            for x in model.features_of(texts) if model is not None else [None] * batch.num_rows:
-                z = float(np.dot(weights[:-1], x) + weights[-1]) if x is not None else (0.0 if empty >= 0.5 else -1.0)
-                keep.append(z < 0)
-            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` (all columns) without the rows predicted toxic.  Only the marks
+    of those rows are written; the corpus meets them in one anti join, broadcast
+    when they are small."""
+    own_id, mark, row = free_names(docs, "_t_id", "_t_mark", "_t_row")
+    toxic = materialise(score_toxicity(docs, labels).where("predicted = 1").select(
+        F.col("doc_id").alias(own_id), F.col("row_mark").alias(mark)).distinct(), "toxic")
+    marked_docs, side = docs.withColumn(row, row_mark()), small_side(toxic)
+    return marked_docs.join(side, null_safe(marked_docs, side, [("doc_id", own_id), (row, mark)]), "left_anti").drop(row)

@@ -106,7 +106,7 @@ def test_model_keeps_every_gram_of_a_large_vocabulary(spark):
     text = [" ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(100)) for _ in range(300)]
     rows = spark.createDataFrame([(t, int(i % 10 == 0)) for i, t in enumerate(text)], "_text string, _toxic int")
     T.ship_package(spark)
-    model = T.train(rows)
+    table = T.train(rows)
     counts = [Counter(), Counter()]
     for i, t in enumerate(text):
         for w in t.split():
@@ -127,9 +127,53 @@ def test_model_keeps_every_gram_of_a_large_vocabulary(spark):
             "gram").sum().reset_index()
     assert len(grams[T.ORDER]) > 1 << 16
     whole = T.Ratios(*T._tables(grams, contexts, shared))
-    words_in = sorted({w for t in text[:20] for w in t.split()}) + ["neverseen", "zz", "é"]
+    words_in = sorted({w for t in text[:20] for w in t.split()}) + ["neverseen", "zz", "é", "qz" * 4000, "x" * T.LONG_WORD]
     want = [whole.word(w) for w in words_in]
-    assert np.allclose(model._word_ratios(words_in), want)
-    assert np.allclose([model.word(w) for w in words_in[:50]], want[:50])
-    rare = [w for w in text[0].split()]  # toxic words seen once keep their class evidence
-    assert min(model.word(w) for w in rare) > 1
+    key = T._word_key(T.F.col("word"))
+    asked = spark.createDataFrame([(w,) for w in words_in * 2], "word string")
+    found = {r["key"]: r["ratio"] for r in T.word_ratios(asked, table).collect()}
+    keys = {r["word"]: r["key"] for r in asked.distinct().withColumn("key", key).collect()}
+    got = {w: found[keys[w]] for w in words_in}
+    assert len(found) == len(words_in) and np.allclose([got[w] for w in words_in], want)
+    assert min(got[w] for w in text[0].split()) > 1  # toxic words seen once keep their class evidence
+
+
+def test_figures_of_shards_equal_those_of_texts(spark):
+    """Rows of several shards, repeated, empty and very long ones, and words of any length."""
+    rng = random.Random(5)
+    T.ship_package(spark)
+    train = spark.createDataFrame([(words(rng, 40), i % 2) for i in range(60)], "_text string, _toxic int")
+    table = T.train(train)
+    grams = {r["key"]: r["value"] for r in table.collect()}
+    model = T.Ratios({k: v for k, v in grams.items() if not k.endswith(T._BACKOFF)},
+                     {k[:-1]: v for k, v in grams.items() if k.endswith(T._BACKOFF)})
+    texts = [words(rng, n) for n in (1, 2, 3, 49, 50, 51, 400, 3000)] + ["", None, " . ", "q" * 5000, "É é x" * 30]
+    texts += [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(500_000))]  # over a shard and 65,536 words
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, "other text"), (None, "null id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for parts in (1, 4):
+        got = T.text_figures(docs.repartition(parts), table).collect()
+        assert len(got) == len(rows)
+        want = []
+        for i, t in rows:
+            w = T.words_of(t or "")
+            ratio = {x: model.word(x) for x in set(w)}
+            want.append((i, T.figures(np.array([ratio[x] for x in w]), np.array([len(x) + 1.0 for x in w]))
+                         if w else (None,) * 4))
+        order = lambda r: (r[0] is None, r[0] or 0, r[1][0] or 0)
+        for (i, x), (j, y) in zip(sorted(want, key=order), sorted(
+                ((r["doc_id"], tuple(r[k] for k in T._FIGURES)) for r in got), key=order)):
+            assert i == j and (x == y if x[0] is None else np.allclose(x, y))
+
+
+def test_drop_toxic_keeps_columns_of_any_name(spark):
+    docs, labels = corpus()
+    lab = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    rows = [(i, t, i, "m", None) for i, t in docs] + [(docs[0][0], docs[0][1], 0, "m", None)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, _t_id int, _T_MARK string, _t_row string")
+    kept = T.drop_toxic(d, lab)
+    assert kept.columns == d.columns
+    bad = {i for i, t in docs if "vile" in t or "grumble" in t}
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert len(set(ids) ^ (set(range(900)) - bad)) < 30
+    assert ids.count(0) in (0, 2)  # repeated rows stay or go together
