@@ -6,6 +6,7 @@ import io
 import os
 import uuid
 import zipfile
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +103,22 @@ def publish(spark: SparkSession, name: str, blob: bytes) -> str:
     return path.toString()
 
 
+def publish_all(spark: SparkSession, names: list[str], parts: Iterable) -> list[str]:
+    """Like ``publish`` for files of any size that grow together: every row of
+    ``parts`` has the next bytes of each file, and only one row is held."""
+    jvm = spark._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark), name) for name in names]
+    outs = [p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p) for p in paths]
+    try:
+        for row in parts:
+            for out, blob in zip(outs, row):
+                out.write(bytearray(blob))
+    finally:
+        for out in outs:
+            out.close()
+    return [p.toString() for p in paths]
+
+
 _shipped: set[str] = set()
 
 

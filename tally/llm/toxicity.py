@@ -26,18 +26,19 @@ Spark does the counting over all labelled training rows, without sampling:
 tasks count n-grams of their texts, Spark sums them, derives the shorter
 orders as aggregates and the log ratios by joins of neighbouring orders.
 Every n-gram is kept whatever its count, so the model grows with the training
-texts.  It stays a written table and meets the corpus in joins:
+texts.  It is a written table, and texts meet it in one of two ways that give
+the same figures:
 
-1. *Shards*, where documents are read: about ``SHARD_TEXT`` characters of texts
-   become one written row, the texts as codes of the shard's different words.
-2. The different words of all shards are taken apart into n-grams, the
-   different n-grams are joined with the model, and sums per word are the log
-   ratios of words.  A word travels once per shard, not once per use.
-3. Each shard gets the ratios of its words back and gives four figures per row.
+* A model of at most ``MAPPED_ROWS`` rows (``_KEY`` and a double each: 128 MB) is
+  streamed, sorted, into two files that Spark hands out; scoring tasks map them
+  and look up the words of many texts at once by binary search.
+* A larger one is joined.  Where documents are read, about ``SHARD_TEXT``
+  characters of texts become one written row: the texts as codes of the shard's
+  different words.  The different n-grams of each shard are joined with the
+  model, and each shard gets the ratios of its n-grams back.  Nothing of the
+  model then goes to the driver, to a broadcast or to one task.
 
-Nothing of the model goes to the driver, to a broadcast or to one task; the
-driver holds the fitting rows and five weights.  Words of more than
-``LONG_WORD`` characters are joined by their MD5.
+The driver holds the fitting rows and five weights.
 
 Labelled rows are dealt by r = crc32(doc_id as text) mod ``FOLDS``: r = 0 is
 held out, r = 4 fits the logistic function (at most ``FIT_ROWS`` rows, in
@@ -56,16 +57,19 @@ import math
 import re
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_names, materialise, null_safe, row_mark, ship_package, small_side, text_of
+from .common import (
+    free_names, materialise, null_safe, publish_all, row_mark, ship_package, small_side, text_of,
+)
 
 FOLDS = 5
 ORDER = 6
@@ -78,8 +82,11 @@ FIT_ROWS = 20_000
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"\w+")
 _HELD_WORDS = 100_000
-SHARD_TEXT = 1 << 22
-LONG_WORD = 32
+_NEW_WORDS = 20_000
+_HELD_TEXT = 1 << 21
+MAPPED_ROWS = 1 << 22
+SHARD_TEXT = 1 << 24
+_KEY = np.dtype(f"<U{ORDER}")
 _BACKOFF = "\x04"  # ends the key of a context; no n-gram holds it
 _FIGURES = ("x0", "x1", "x2", "x3")
 
@@ -175,30 +182,23 @@ def _log_ratios(levels: dict[int, DataFrame]) -> DataFrame:
     return table
 
 
-def _word_key(word: Column) -> Column:
-    """The word, or a digest of a long one (no word holds a space)."""
-    return F.when(F.char_length(word) <= LONG_WORD, word).otherwise(F.concat(F.lit(" "), F.md5(word)))
-
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = np.array(batch.column(0).to_pylist(), dtype=_KEY).tobytes()
+        values = batch.column(1).to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([keys], pa.binary()), pa.array([values], pa.binary())],
+                                         names=["keys", "values"])
 
-def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, word) -> (key, gram, n): the n-grams of each word."""
-    def block() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(grams, pa.string()),
-                                           pa.array(ns, pa.int64())], names=["key", "gram", "n"])
 
-    for batch in batches:
-        keys, grams, ns = [], [], []
-        for key, word in zip(batch.column(0).to_pylist(), batch.column(1)):
-            m = marked(word.as_py())
-            for gram, n in Counter(m[k:k + ORDER] for k in range(len(m) - ORDER + 1)).items():
-                keys.append(key)
-                grams.append(gram)
-                ns.append(n)
-                if len(keys) >= _HELD_WORDS:
-                    yield block()
-                    keys, grams, ns = [], [], []
-        if keys:
-            yield block()
+def _write_model(spark: SparkSession, table: DataFrame) -> MappedRatios:
+    """Sorted keys and their values as two files, streamed by the driver one
+    partition at a time.  Spark orders strings as numpy does, by code points."""
+    packed = table.orderBy("key").mapInArrow(_pack, "keys binary, values binary")
+    run = uuid.uuid4().hex
+    names = [f"toxicity-keys-{run}.bin", f"toxicity-values-{run}.bin"]
+    for path in publish_all(spark, names, packed.toLocalIterator()):
+        spark.sparkContext.addFile(path)
+    return MappedRatios(*names)
 
 
 def _gram_ratios(grams: DataFrame, table: DataFrame) -> DataFrame:
@@ -227,16 +227,6 @@ def _gram_ratios(grams: DataFrame, table: DataFrame) -> DataFrame:
         found.select("gram", ratio.alias("ratio")))
 
 
-def word_ratios(words: DataFrame, table: DataFrame) -> DataFrame:
-    """(key, ratio): the log ratio of every different word of ``words`` (word)."""
-    parts = materialise(
-        words.groupBy(_word_key(F.col("word")).alias("key")).agg(F.min("word").alias("word"))
-        .mapInArrow(_grams_of, "key string, gram string, n bigint"), "word-grams")
-    ratios = materialise(_gram_ratios(parts.select("gram").distinct(), table), "gram-ratios")
-    return materialise(parts.join(ratios, "gram").groupBy("key").agg(
-        F.sum(F.col("n") * F.col("ratio")).alias("ratio")), "word-ratios")
-
-
 # The same model from tables in memory: the definition that tests compare with.
 def _shared_model(shared: dict) -> Callable[[str], float]:
     """Interpolated continuation probabilities of the orders for both classes."""
@@ -326,56 +316,198 @@ def figures(ratios: np.ndarray, chars: np.ndarray) -> tuple[float, ...]:
             float(np.maximum(ratios - TELLING, 0).sum()) / n)
 
 
-def _code_kind(words: int) -> str:
-    return "<u2" if words <= 1 << 16 else "<u4"
+def text_figures_of(words: list[str], ratio: dict[str, float]) -> tuple[float, ...] | None:
+    n = len(words)
+    if not n:
+        return None
+    return figures(np.fromiter(map(ratio.__getitem__, words), dtype=np.float64, count=n),
+                   np.fromiter(map(len, words), dtype=np.float64, count=n) + 1)
+
+
+class MappedRatios:
+    """Log ratios read from sorted files that Spark hands out; words not met
+    lately are looked up many at a time."""
+
+    def __init__(self, keys: str, values: str):
+        self.names = keys, values
+        self.keys = self.values = None
+        self.known = _Recent(self.word)
+
+    def __getstate__(self):
+        return self.names
+
+    def __setstate__(self, names):
+        self.__init__(*names)
+
+    def _look_up(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(found, value or 0) of keys."""
+        if self.keys is None:  # once per worker
+            self.keys, self.values = (
+                np.memmap(SparkFiles.get(name), dtype=kind, mode="r").view(np.ndarray)
+                for name, kind in zip(self.names, (_KEY, "<f8")))
+        wanted = np.array(grams, dtype=_KEY)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        found = self.keys[at] == wanted
+        return found, np.where(found, self.values[at], 0.0)
+
+    def _gram_ratios(self, grams: list[str]) -> np.ndarray:
+        out, live = np.zeros(len(grams)), np.arange(len(grams))
+        for n in range(ORDER, SHARED, -1):
+            if not grams:
+                break
+            found, values = self._look_up(grams)
+            out[live] += values
+            live, grams = live[~found], [g for g, f in zip(grams, found.tolist()) if not f]
+            if grams:
+                out[live] += self._look_up([g[:-1] + _BACKOFF for g in grams])[1]
+                grams = [g[1:] for g in grams]
+        return out
 
+    def _word_ratios(self, words: list[str]) -> np.ndarray:
+        ids: dict[str, int] = defaultdict(count().__next__)
+        at = [ids[m[k:k + ORDER]] for m in map(marked, words) for k in range(len(m) - ORDER + 1)]
+        ends = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+        return np.add.reduceat(self._gram_ratios(list(ids))[at], ends)
 
-def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, mark, text) -> one row per ``SHARD_TEXT`` characters."""
-    press = zstandard.ZstdCompressor(level=1)
-    names = ["shard", "doc_ids", "marks", "sizes", "codes", "words"]
-    ids: list = []
-    marks: list[int] = []
-    codes: list[np.ndarray] = []
-    known: dict[str, int] = defaultdict(count().__next__)
-    size, kind = 0, None
+    def word(self, word: str) -> float:
+        return float(self._word_ratios([word])[0])
+
+    def figures_of(self, texts: Iterable[str]) -> Iterator[tuple[float, ...] | None]:
+        held: list[list[str]] = []
+        ratios: dict[str, float] = {}
+        new: list[str] = []
+        size = 0
+
+        def flush() -> Iterator[tuple[float, ...] | None]:
+            if new:
+                for word, ratio in zip(new, self._word_ratios(new).tolist()):
+                    ratios[word] = ratio
+                    self.known.keep(word, ratio)
+            for words in held:
+                yield text_figures_of(words, ratios)
+            for part in (held, ratios, new):
+                part.clear()
+
+        for text in texts:
+            held.append(words_of(text))
+            size += len(text)
+            for word in set(held[-1]).difference(ratios):
+                found = self.known.find(word)
+                if found is None:
+                    new.append(word)
+                    found = 0.0  # until it is looked up
+                ratios[word] = found
+            if len(new) >= _NEW_WORDS or size >= _HELD_TEXT:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+
+class _Recent(dict):
+    """Log ratios of the words met last, in two generations of bounded size."""
+
+    def __init__(self, ratio: Callable[[str], float]):
+        super().__init__()
+        self.ratio = ratio
+        self.older: dict[str, float] = {}
+
+    def __missing__(self, word: str) -> float:
+        found = self.find(word)
+        if found is None:
+            found = self.ratio(word)
+            self.keep(word, found)
+        return found
+
+    def find(self, word: str) -> float | None:
+        found = self.get(word)
+        if found is None:
+            found = self.older.get(word)
+            if found is not None:
+                self.keep(word, found)
+        return found
+
+    def keep(self, word: str, found: float) -> None:
+        if len(word) <= 64:
+            if len(self) >= _HELD_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+
+
+def _code_kind(words: int) -> str:
+    return "<u2" if words <= 1 << 16 else "<u4"
 
-    def row() -> pa.RecordBatch:
-        flat = np.concatenate(codes).astype(_code_kind(len(known)))
-        cells = [uuid.uuid4().hex, ids, marks, [len(c) for c in codes], press.compress(flat.tobytes()), list(known)]
-        kinds = [pa.string(), pa.list_(kind), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(),
-                 pa.list_(pa.string())]
-        return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=names)
 
+def _shard(limit: int):
+    """(doc_id, mark, text) -> one row per ``limit`` characters."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        names = ["shard", "doc_ids", "marks", "sizes", "codes", "words"]
+        ids: list = []
+        marks: list[int] = []
+        codes: list[np.ndarray] = []
+        known: dict[str, int] = defaultdict(count().__next__)
+        size, kind = 0, None
+
+        def row() -> pa.RecordBatch:
+            flat = np.concatenate(codes).astype(_code_kind(len(known)))
+            cells = [uuid.uuid4().hex, ids, marks, [len(c) for c in codes], press.compress(flat.tobytes()), list(known)]
+            kinds = [pa.string(), pa.list_(kind), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(),
+                     pa.list_(pa.string())]
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=names)
+
+        for batch in batches:
+            kind = batch.column(0).type
+            for doc_id, mark, text in zip(*(batch.column(c) for c in range(3))):
+                text = text.as_py()
+                words = words_of(text)
+                ids.append(doc_id.as_py())
+                marks.append(mark.as_py())
+                codes.append(np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words)))
+                size += len(text) + 16
+                if size >= limit:
+                    yield row()
+                    ids, marks, codes, known, size = [], [], [], defaultdict(count().__next__), 0
+        if ids:
+            yield row()
+    return run
+
+
+def _grams_of(words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different n-grams in order of appearance, their places word by word, first place of each word)."""
+    ids: dict[str, int] = defaultdict(count().__next__)
+    at = [ids[m[k:k + ORDER]] for m in map(marked, words) for k in range(len(m) - ORDER + 1)]
+    return list(ids), np.array(at, dtype=np.int64), np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+
+
+def _shard_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, words) -> (shard, at, gram): the different n-grams of each shard."""
     for batch in batches:
-        kind = batch.column(0).type
-        for doc_id, mark, text in zip(*(batch.column(c) for c in range(3))):
-            text = text.as_py()
-            words = words_of(text)
-            ids.append(doc_id.as_py())
-            marks.append(mark.as_py())
-            codes.append(np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words)))
-            size += len(text) + 16
-            if size >= SHARD_TEXT:
-                yield row()
-                ids, marks, codes, known, size = [], [], [], defaultdict(count().__next__), 0
-    if ids:
-        yield row()
+        for shard, words in zip(batch.column(0).to_pylist(), batch.column(1)):
+            grams = _grams_of(words.as_py())[0]
+            for k in range(0, len(grams), _HELD_WORDS):
+                some = grams[k:k + _HELD_WORDS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard] * len(some), pa.string()),
+                     pa.array(np.arange(k, k + len(some), dtype=np.int32)), pa.array(some, pa.string())],
+                    names=["shard", "at", "gram"])
 
 
 def _shard_figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_ids, marks, sizes, codes, found) -> doc_id, row_mark and the four figures."""
+    """(doc_ids, marks, sizes, codes, words, found) -> doc_id, row_mark and the four figures."""
     for batch in batches:
         for i in range(batch.num_rows):
             ids, marks = batch.column(0)[i].values, batch.column(1)[i].values
             sizes = batch.column(2)[i].values.to_numpy()
             rows: list[tuple] = [(None,) * 4] * len(sizes)
             if sizes.any():
-                found = batch.column(4)[i].values
-                ratio, chars = np.zeros(len(found)), np.zeros(len(found))
-                at = found.field(0).to_numpy()
-                ratio[at], chars[at] = found.field(1).to_numpy(), found.field(2).to_numpy() + 1
-                flat = np.frombuffer(zstandard.decompress(batch.column(3)[i].as_py()), dtype=_code_kind(len(found)))
+                words, found = batch.column(4)[i].as_py(), batch.column(5)[i].values
+                gram_ratio = np.zeros(len(found))
+                gram_ratio[found.field(0).to_numpy()] = found.field(1).to_numpy()
+                _, at, starts = _grams_of(words)
+                ratio = np.add.reduceat(gram_ratio[at], starts)
+                chars = np.fromiter(map(len, words), dtype=np.float64, count=len(words)) + 1
+                flat = np.frombuffer(zstandard.decompress(batch.column(3)[i].as_py()), dtype=_code_kind(len(words)))
                 ends = np.cumsum(sizes, dtype=np.int64)
                 rows = [figures(ratio[flat[e - n:e]], chars[flat[e - n:e]]) if n else r
                         for r, n, e in zip(rows, sizes.tolist(), ends.tolist())]
@@ -384,20 +516,35 @@ def _shard_figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 names=["doc_id", "row_mark", *_FIGURES])
 
 
-def text_figures(docs: DataFrame, table: DataFrame) -> DataFrame:
+def _mapped_figures(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            rows = [f or (None,) * 4 for f in model.figures_of(t.as_py() for t in batch.column(2))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], pa.float64()) for k in range(4))],
+                names=["doc_id", "row_mark", *_FIGURES])
+    return run
+
+
+def text_figures(docs: DataFrame, table: DataFrame, mapped_rows: int = MAPPED_ROWS,
+                 shard_text: int = SHARD_TEXT) -> DataFrame:
     """doc_id, row_mark and the four figures (null without words) of every row."""
     src = docs.select("doc_id", row_mark().alias("_mark"), text_of().alias("_text"))
     kind = src.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {kind}, row_mark bigint, " + ", ".join(f"{x} double" for x in _FIGURES)
+    if table.count() <= mapped_rows:
+        spark = docs.sparkSession
+        shared = spark.sparkContext.broadcast(_write_model(spark, table))
+        return materialise(src.mapInArrow(_mapped_figures(shared), out), "figures")
     shards = materialise(src.mapInArrow(
-        _shard, f"shard string, doc_ids array<{kind}>, marks array<bigint>, sizes array<int>, codes binary, "
+        _shard(shard_text), f"shard string, doc_ids array<{kind}>, marks array<bigint>, sizes array<int>, codes binary, "
                 "words array<string>"), "shards")
-    uses = shards.select("shard", F.posexplode("words").alias("at", "word"))
-    ratios = word_ratios(uses.select("word"), table)
-    found = uses.select("shard", "at", _word_key(F.col("word")).alias("key"), F.char_length("word").alias("chars")).join(
-        ratios, "key").groupBy("shard").agg(F.collect_list(F.struct("at", "ratio", "chars")).alias("found"))
-    return materialise(shards.drop("words").join(found, "shard", "left").select(
-        "doc_ids", "marks", "sizes", "codes", "found").mapInArrow(
-        _shard_figures, f"doc_id {kind}, row_mark bigint, " + ", ".join(f"{x} double" for x in _FIGURES)), "figures")
+    grams = shards.select("shard", "words").mapInArrow(_shard_grams, "shard string, at int, gram string")
+    ratios = materialise(_gram_ratios(grams.select("gram").distinct(), table), "gram-ratios")
+    found = grams.join(ratios, "gram").groupBy("shard").agg(F.collect_list(F.struct("at", "ratio")).alias("found"))
+    return materialise(shards.join(found, "shard", "left").select(
+        "doc_ids", "marks", "sizes", "codes", "words", "found").mapInArrow(_shard_figures, out), "figures")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:

@@ -127,18 +127,17 @@ def test_model_keeps_every_gram_of_a_large_vocabulary(spark):
             "gram").sum().reset_index()
     assert len(grams[T.ORDER]) > 1 << 16
     whole = T.Ratios(*T._tables(grams, contexts, shared))
-    words_in = sorted({w for t in text[:20] for w in t.split()}) + ["neverseen", "zz", "é", "qz" * 4000, "x" * T.LONG_WORD]
+    words_in = sorted({w for t in text[:20] for w in t.split()}) + ["neverseen", "zz", "é", "qz" * 4000]
     want = [whole.word(w) for w in words_in]
-    key = T._word_key(T.F.col("word"))
-    asked = spark.createDataFrame([(w,) for w in words_in * 2], "word string")
-    found = {r["key"]: r["ratio"] for r in T.word_ratios(asked, table).collect()}
-    keys = {r["word"]: r["key"] for r in asked.distinct().withColumn("key", key).collect()}
-    got = {w: found[keys[w]] for w in words_in}
-    assert len(found) == len(words_in) and np.allclose([got[w] for w in words_in], want)
-    assert min(got[w] for w in text[0].split()) > 1  # toxic words seen once keep their class evidence
+    docs = spark.createDataFrame(list(enumerate(words_in)), "doc_id bigint, text string")
+    for mapped_rows in (0, T.MAPPED_ROWS):
+        got = {words_in[r["doc_id"]]: r["x0"] * (len(words_in[r["doc_id"]]) + 1)
+               for r in T.text_figures(docs, table, mapped_rows).collect()}
+        assert np.allclose([got[w] for w in words_in], want)
+        assert min(got[w] for w in text[0].split()) > 1  # toxic words seen once keep their class evidence
 
 
-def test_figures_of_shards_equal_those_of_texts(spark):
+def test_figures_of_both_ways_equal_those_of_texts(spark):
     """Rows of several shards, repeated, empty and very long ones, and words of any length."""
     rng = random.Random(5)
     T.ship_package(spark)
@@ -148,11 +147,11 @@ def test_figures_of_shards_equal_those_of_texts(spark):
     model = T.Ratios({k: v for k, v in grams.items() if not k.endswith(T._BACKOFF)},
                      {k[:-1]: v for k, v in grams.items() if k.endswith(T._BACKOFF)})
     texts = [words(rng, n) for n in (1, 2, 3, 49, 50, 51, 400, 3000)] + ["", None, " . ", "q" * 5000, "É é x" * 30]
-    texts += [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(500_000))]  # over a shard and 65,536 words
+    texts += [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(100_000))]  # more than 65,536 words
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, "other text"), (None, "null id")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for parts in (1, 4):
-        got = T.text_figures(docs.repartition(parts), table).collect()
+    for parts, mapped_rows, shard_text in ((1, 0, T.SHARD_TEXT), (4, 0, 20_000), (4, T.MAPPED_ROWS, T.SHARD_TEXT)):
+        got = T.text_figures(docs.repartition(parts), table, mapped_rows, shard_text).collect()
         assert len(got) == len(rows)
         want = []
         for i, t in rows:
