@@ -19,14 +19,20 @@ and a shorter one would only add candidates.
 2. *Text classes*: copies collapse to one class with a weight.
 3. *Buckets*: classes under one label.  Buckets with the same members in
    several trees are kept once (by member count and two xor digests).
-4. *Blocks*: a bucket of many classes is dealt into parts of about
-   ``BLOCK`` classes (or ``BLOCK_WORDS`` words) and every pair of parts is one
-   block, so no task gathers an unbounded bucket and no pair is written.
-   Only texts that share a bucket are read again for their shingles.
-5. *Exact verification* per block: intersection counts of whole sets.  A pair
-   is counted in the first tree that holds it together.  A block returns
-   per class its weighted link count and a spanning star.
-6. *Classes of documents*: connected components of the links, by alternating
+4. *Units*: buckets that share classes form a candidate component.  Near copies
+   meet in most trees, so a component whose pairs are no more than those of its
+   buckets together is compared as one unit, each of its pairs once; the
+   buckets of others (long chains) are units of their own.  Either way every
+   pair that shares a label is compared.
+5. *Blocks*: a unit of many classes is dealt into parts of about ``BLOCK``
+   classes (or ``BLOCK_WORDS`` words) and every pair of parts is one block, so
+   no task gathers an unbounded unit and no pair is written.  A text is sent
+   to as many blocks as its unit has parts.  Only texts that share a bucket
+   are read again for their shingles.
+6. *Exact verification* per block: intersection counts of whole sets.  A pair
+   of buckets is counted in the first tree that holds it together.  A block
+   returns per class its weighted link count and a spanning star.
+7. *Classes of documents*: connected components of the links, by alternating
    large-star and small-star steps over written tables.
 
 Result: one row per row of the input: doc_id, class_id (smallest doc_id of
@@ -47,7 +53,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep_rows, materialise, null_safe, row_mark, ship_package, small_side, text_of
@@ -57,8 +63,9 @@ THRESHOLD = Fraction(4, 5)
 TREES = 20
 MAX_DEPTH = 6
 RECALL = 0.9999
-BLOCK = 256
-BLOCK_WORDS = 4_000_000
+BLOCK = 1024
+BLOCK_WORDS = 2_000_000
+WHOLE = -1                   # in place of a tree: the unit is a whole component
 SLICE_BITS = 10
 CHUNK_WORDS = 1 << 17        # words hashed at once: temporaries stay in the cache
 
@@ -115,7 +122,7 @@ def _labels(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
     return out
 
 
-def _sketch(trees: int, depth: int):
+def _sketch(trees: int, depth: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2)
@@ -139,7 +146,7 @@ def _sketch(trees: int, depth: int):
                     continue
                 keys.append(hashlib.md5(words.tobytes()).hexdigest())
                 rows.append(i)
-                sets.append(shingle_digests(words))
+                sets.append(shingle_digests(words, shingle))
                 held += len(words)
                 if held >= CHUNK_WORDS:
                     flush()
@@ -153,55 +160,61 @@ def _sketch(trees: int, depth: int):
     return run
 
 
-def sketch(docs: DataFrame, trees: int = TREES, depth: int = 4) -> DataFrame:
+def sketch(docs: DataFrame, trees: int = TREES, depth: int = 4, shingle: int = SHINGLE) -> DataFrame:
     src = docs.select("doc_id", row_mark().alias("_mark"), text_of().alias("_text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(
-        _sketch(trees, depth),
+        _sketch(trees, depth, shingle),
         f"doc_id {kind}, _mark bigint, _key string, _words bigint, _labels array<bigint>")
 
 
-def _with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_shingles(shingle: int):
     """(key, weight, labels, blocks, text) -> one row per block with the text's shingle set."""
     names = ["_block", "_tree", "_lo", "_hi", "_part", "_key", "_weight", "_labels", "_set"]
     limit = 8 << 20
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(),
              pa.binary(), pa.binary()]
 
-    for batch in batches:
-        out: list[list] = [[] for _ in names]
-        size = 0
-        for i in range(batch.num_rows):
-            key, weight, labels, blocks, text = (batch.column(c)[i].as_py() for c in range(5))
-            words = word_digests(text)
-            if hashlib.md5(words.tobytes()).hexdigest() != key:
-                continue
-            held = np.unique(shingle_digests(words)).tobytes()
-            marks = np.array(labels, dtype=np.int64).tobytes()
-            for b in blocks:
-                row = (b["_block"], b["_tree"], b["_lo"], b["_hi"], b["_part"], key, weight, marks, held)
-                for column, value in zip(out, row):
-                    column.append(value)
-                size += len(held) + len(marks) + 100
-                if size >= limit:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
-                    out, size = [[] for _ in names], 0
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
-
-
-def intersections(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
-    """Pairwise intersection sizes of sorted distinct arrays."""
-    m = len(sets)
-    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            size = 0
+            for i in range(batch.num_rows):
+                key, weight, labels, blocks, text = (batch.column(c)[i].as_py() for c in range(5))
+                words = word_digests(text)
+                if hashlib.md5(words.tobytes()).hexdigest() != key:
+                    continue
+                held = np.unique(shingle_digests(words, shingle)).tobytes()
+                marks = np.array(labels, dtype=np.int64).tobytes()
+                for b in blocks:
+                    row = (b["_block"], b["_tree"], b["_lo"], b["_hi"], b["_part"], key, weight,
+                           b"" if b["_tree"] == WHOLE else marks, held)
+                    for column, value in zip(out, row):
+                        column.append(value)
+                    size += len(held) + len(marks) + 100
+                    if size >= limit:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+                        out, size = [[] for _ in names], 0
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+    return run
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray] | None = None, columns: int = 8192) -> np.ndarray:
+    """Intersection sizes of sorted distinct arrays: of ``left`` with ``right``, or of ``left`` with itself."""
+    sets, n = left + (right or []), len(left)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     flat = np.concatenate(sets)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    first = np.concatenate([[True], flat[1:] != flat[:-1]])
-    group = np.cumsum(first) - 1
-    shared = np.bincount(group)[group] > 1
+    group = np.cumsum(np.concatenate([[False], flat[1:] != flat[:-1]]))
+    if right is None:
+        shared = (np.bincount(group) > 1)[group]
+    else:
+        in_right = np.bincount(group, weights=owner >= n)
+        shared = ((in_right > 0) & (in_right < np.bincount(group)))[group]
     group, owner = group[shared], owner[shared]
-    out = np.zeros((m, m), dtype=np.float64)
+    out = np.zeros((n, n if right is None else len(right)), dtype=np.float64)
     if not len(group):
         return out
     column = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]).astype(np.int64)]))
@@ -209,22 +222,31 @@ def intersections(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
     for a, b in zip(cuts[:-1], cuts[1:]):
         if a == b:
             continue
-        block = np.zeros((m, column[b - 1] - column[a] + 1), dtype=np.float32)
+        block = np.zeros((len(sets), column[b - 1] - column[a] + 1), dtype=np.float32)
         block[owner[a:b], column[a:b] - column[a]] = 1
-        out += block @ block.T
+        out += block[:n] @ (block if right is None else block[n:]).T
     return out
 
 
 def block_links(tree: int, parts: np.ndarray, lo: int, hi: int, labels: np.ndarray,
                 sets: list[np.ndarray], threshold: Fraction) -> np.ndarray:
     """Which pairs of the block are linked and first meet in this tree."""
-    sizes = np.array([len(s) for s in sets], dtype=np.float64)
-    inter = intersections(sets)
     num, den = threshold.numerator, threshold.denominator
-    linked = den * inter >= num * (sizes[:, None] + sizes[None, :] - inter)
-    np.fill_diagonal(linked, False)
-    if lo != hi:
-        linked &= parts[:, None] != parts[None, :]
+
+    def close(inter: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        return den * inter >= num * (sizes[rows][:, None] + sizes[columns][None, :] - inter)
+
+    sizes = np.array([len(s) for s in sets], dtype=np.float64)
+    if lo == hi:
+        every = np.arange(len(sets))
+        linked = close(intersections(sets), every, every)
+        np.fill_diagonal(linked, False)
+    else:
+        linked = np.zeros((len(sets), len(sets)), dtype=bool)
+        a, b = np.flatnonzero(parts == lo), np.flatnonzero(parts == hi)
+        if len(a) and len(b):
+            linked[np.ix_(a, b)] = close(intersections([sets[i] for i in a], [sets[i] for i in b]), a, b)
+            linked |= linked.T
     for t in range(tree):
         linked &= labels[:, t][:, None] != labels[:, t][None, :]
     return linked
@@ -232,20 +254,20 @@ def block_links(tree: int, parts: np.ndarray, lo: int, hi: int, labels: np.ndarr
 
 def _stars(linked: np.ndarray, keys: list[str]) -> list[str]:
     """Smallest key of each member's component inside the block."""
-    root = [None] * len(keys)
+    fresh, root = np.ones(len(keys), dtype=bool), [""] * len(keys)
     for start in sorted(range(len(keys)), key=keys.__getitem__):
-        if root[start] is not None:
-            continue
-        stack, root[start] = [start], keys[start]
+        stack = [start] if fresh[start] else []
+        fresh[start] = False
         while stack:
-            for j in np.flatnonzero(linked[stack.pop()]).tolist():
-                if root[j] is None:
-                    root[j] = keys[start]
-                    stack.append(j)
+            at = stack.pop()
+            root[at] = keys[start]
+            met = np.flatnonzero(linked[at] & fresh)
+            fresh[met] = False
+            stack += met.tolist()
     return root
 
 
-def _verify(threshold: Fraction, trees: int):
+def _verify(threshold: Fraction):
     def one(rows: dict) -> pa.RecordBatch | None:
         if len(rows) < 2:
             return None
@@ -258,7 +280,7 @@ def _verify(threshold: Fraction, trees: int):
         hit = np.flatnonzero(linked.any(axis=1))
         if not len(hit):
             return None
-        roots, links = _stars(linked, keys), linked.astype(np.int64) @ weights
+        roots, links = _stars(linked, keys), linked @ weights
         return pa.RecordBatch.from_arrays(
             [pa.array([keys[i] for i in hit], pa.string()), pa.array([roots[i] for i in hit], pa.string()),
              pa.array(links[hit], pa.int64())], names=["_key", "_root", "_links"])
@@ -302,20 +324,13 @@ def components(edges: DataFrame) -> DataFrame:
         state = found
 
 
-def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, trees: int = TREES,
-                    max_depth: int = MAX_DEPTH, recall: float = RECALL, block: int = BLOCK,
-                    block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, class_id, n_links, kept (one row of each class), row_mark for
-    every row of ``docs``."""
-    ship_package(docs.sparkSession)
-    depth = depth_for(float(threshold), trees, max_depth, recall)
-    sketches = materialise(sketch(docs, trees, depth), "sketches")
-    first = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"),
-                     F.col("_mark").alias("c"))
-    texts = materialise(sketches.where("_key is not null").groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_weight"), F.min(first).alias("_first"),
-        F.max("_words").alias("_words"), F.min("_labels").alias("_labels")), "texts")
+def _parts(rows: str, words: str, block: int, block_words: int) -> Column:
+    return F.greatest(F.ceil(F.col(rows) / block), F.ceil(F.col(words) / block_words)).cast("long")
+
 
+def text_blocks(texts: DataFrame, block: int = BLOCK, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(_key, _blocks) of the texts that share a bucket: the blocks each is compared in.
+    ``texts`` has _key, _words and _labels."""
     entries = texts.select("_key", "_words", F.posexplode("_labels").alias("_tree", "_label"))
     buckets = entries.groupBy("_tree", "_label").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_words").alias("_w"),
@@ -323,18 +338,51 @@ def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, trees: int
         F.bit_xor(F.xxhash64("_key", F.lit(1))).alias("_y")).where("_n > 1")
     kept = materialise(buckets.groupBy("_n", "_x", "_y").agg(
         F.min(F.struct("_tree", "_label")).alias("_at"), F.max("_w").alias("_w")).select(
-        "_at._tree", "_at._label",
-        F.greatest(F.ceil(F.col("_n") / block), F.ceil(F.col("_w") / block_words)).cast("long").alias("_parts")),
-        "buckets")
-    inside = entries.join(small_side(kept), ["_tree", "_label"]).withColumn(
-        "_part", F.pmod(F.xxhash64("_key", "_tree"), F.col("_parts")))
+        "_at._tree", "_at._label", "_n", _parts("_n", "_w", block, block_words).alias("_parts")), "buckets")
+    inside = materialise(entries.join(small_side(kept), ["_tree", "_label"]), "entries")
+
+    heads = materialise(inside.groupBy("_tree", "_label").agg(
+        F.min("_key").alias("_head"), F.max("_n").cast("double").alias("_n")), "heads")
+    roots = components(inside.join(heads.drop("_n"), ["_tree", "_label"]).select(
+        F.col("_key").alias("a"), F.col("_head").alias("b")))
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    costs = heads.join(members, F.col("_head") == F.col("node")).groupBy("root").agg(
+        F.sum(F.col("_n") * F.col("_n")).alias("_cost"))
+    sizes = members.join(texts.select("_key", "_words"), F.col("node") == F.col("_key")).groupBy("root").agg(
+        F.count(F.lit(1)).cast("double").alias("_n"), F.sum("_words").alias("_w"))
+    units = materialise(sizes.join(costs, "root").select(
+        "root", F.when(F.col("_n") * F.col("_n") <= F.col("_cost"), _parts("_n", "_w", block, block_words))
+        .alias("_whole")), "units")
+    homes = materialise(members.join(units, "root").select(
+        F.col("node").alias("_key"), F.xxhash64("root").alias("_home"), "_whole"), "homes")
+
+    own = homes.where("_whole is not null").select(
+        "_key", F.lit(WHOLE).alias("_tree"), F.col("_home").alias("_label"), F.col("_whole").alias("_parts"))
+    rest = inside.join(small_side(homes.where("_whole is null").select("_key")), "_key").select(
+        "_key", "_tree", "_label", "_parts")
+    dealt = own.unionByName(rest).withColumn("_part", F.pmod(F.xxhash64("_key", "_tree"), F.col("_parts")))
     pairs = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1),
         lambda p: F.struct(
             F.col("_label").alias("_block"), F.col("_tree"),
             F.least("_part", p).alias("_lo"), F.greatest("_part", p).alias("_hi"), F.col("_part")))
-    blocks = inside.groupBy("_key").agg(F.flatten(F.collect_list(pairs)).alias("_blocks"))
-    wanted = materialise(blocks.join(texts, "_key").select(
+    return dealt.groupBy("_key").agg(F.flatten(F.collect_list(pairs)).alias("_blocks"))
+
+
+def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, trees: int = TREES,
+                    max_depth: int = MAX_DEPTH, recall: float = RECALL, block: int = BLOCK,
+                    block_words: int = BLOCK_WORDS, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, class_id, n_links, kept (one row of each class), row_mark for
+    every row of ``docs``."""
+    ship_package(docs.sparkSession)
+    depth = depth_for(float(threshold), trees, max_depth, recall)
+    sketches = materialise(sketch(docs, trees, depth, shingle), "sketches")
+    first = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"),
+                     F.col("_mark").alias("c"))
+    texts = materialise(sketches.where("_key is not null").groupBy("_key").agg(
+        F.count(F.lit(1)).alias("_weight"), F.min(first).alias("_first"),
+        F.max("_words").alias("_words"), F.min("_labels").alias("_labels")), "texts")
+    wanted = materialise(text_blocks(texts, block, block_words).join(texts, "_key").select(
         "_key", "_weight", "_labels", "_blocks", F.col("_first.b").alias("_id"),
         F.col("_first.c").alias("_m")), "wanted")
 
@@ -343,11 +391,11 @@ def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, trees: int
     held = src.join(side, null_safe(src, side, [("doc_id", "_id"), ("_mark", "_m")])).select(
         "_key", "_weight", "_labels", "_blocks", "_text")
     rows = held.mapInArrow(
-        _with_shingles, "_block bigint, _tree int, _lo bigint, _hi bigint, _part bigint, _key string, "
+        _with_shingles(shingle), "_block bigint, _tree int, _lo bigint, _hi bigint, _part bigint, _key string, "
                         "_weight bigint, _labels binary, _set binary")
     at = ["_tree", "_block", "_lo", "_hi"]
     found = materialise(rows.repartition(*at).sortWithinPartitions(*at).mapInArrow(
-        _verify(threshold, trees), "_key string, _root string, _links bigint"), "links")
+        _verify(threshold), "_key string, _root string, _links bigint"), "links")
 
     roots = components(found.select(F.col("_key").alias("a"), F.col("_root").alias("b")))
     links = found.groupBy(F.col("_key").alias("_k")).agg(F.sum("_links").alias("_links"))
@@ -368,7 +416,7 @@ def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, trees: int
         .alias("kept"), F.col("_mark").alias("row_mark"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` (all columns) with one row of each class of near duplicates.
     Rows that repeat the row that stays are collapsed to one."""
-    return keep_rows(docs, near_duplicates(docs).select("doc_id", "row_mark", "kept"), "near")
+    return keep_rows(docs, near_duplicates(docs, threshold, shingle=shingle).select("doc_id", "row_mark", "kept"), "near")

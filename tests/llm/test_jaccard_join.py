@@ -3,23 +3,24 @@ from __future__ import annotations
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from llm_data import empty_docs, messy_docs, messy_rows, words
 from tally.llm import jaccard_join as J
 
 
-def brute(rows):
+def brute(rows, shingle=5, threshold=Fraction(4, 5)):
     """{row index: (class id, links)} over all pairs."""
     sets, n = [], len(rows)
     for _, t in rows:
         w = (t or "").encode().split()
-        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+        sets.append({tuple(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
     linked = [[] for _ in rows]
     for i in range(n):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and Fraction(both, len(sets[i] | sets[j])) >= Fraction(4, 5):
+            if both and Fraction(both, len(sets[i] | sets[j])) >= threshold:
                 linked[i].append(j)
                 linked[j].append(i)
     out, seen = [None] * n, set()
@@ -89,3 +90,58 @@ def test_components_of_long_chains(spark):
     got = {r["node"]: r["root"] for r in J.components(spark.createDataFrame(chain, "a string, b string")).collect()}
     assert {v for k, v in got.items() if k.startswith("n")} == {"n000"} and len(got) == 62
     assert got["z3"] == got["z2"] == "z1"
+
+
+def test_shingle_length_and_threshold_are_parameters(spark):
+    rows = near_rows()
+    got = J.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), Fraction(1, 2), trees=60, shingle=2)
+    assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links").collect()), key=repr) == brute(
+        rows, 2, Fraction(1, 2))
+
+
+def _copies(spark, rows, block):
+    """Rows that the blocks write, per text."""
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = J.sketch(docs).select("_key", "_words", "_labels").dropDuplicates(["_key"])
+    out = J.text_blocks(texts, block).selectExpr("_key", "size(_blocks) n", "_blocks[0]._tree tree").collect()
+    return {r["_key"]: (r["n"], r["tree"]) for r in out}
+
+
+def test_texts_of_a_hot_group_are_sent_once_per_part(spark):
+    rng = random.Random(3)
+    base = words(rng, 200).split()
+    rows = []
+    for i in range(900):
+        w = list(base)
+        for _ in range(rng.randint(1, 3)):
+            w[rng.randrange(len(w))] = f"v{i}"
+        rows.append((i, " ".join(w)))
+    J.ship_package(spark)
+    for n in (300, 900):
+        got = _copies(spark, rows[:n], 100)
+        assert len(got) >= 0.99 * n
+        assert sum(c for c, _ in got.values()) <= len(got) * (n // 100 + 1)
+        assert {t for _, t in got.values()} == {J.WHOLE}
+
+
+def test_long_chains_are_compared_bucket_by_bucket(spark):
+    rng = random.Random(4)
+    w, rows = words(rng, 300).split(), []
+    for i in range(150):                              # each text drops words in front and gets as many behind
+        rows.append((i, " ".join(w)))
+        w = w[12:] + words(rng, 12).split()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    J.ship_package(spark)
+    assert any(t != J.WHOLE for _, t in _copies(spark, rows, J.BLOCK).values())
+    got = J.near_duplicates(docs)
+    assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links").collect()), key=repr) == brute(rows)
+
+
+def test_intersections_of_two_sides():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, size=k, dtype=np.uint64)) for k in (1, 5, 30, 60, 9, 17)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    got = J.intersections(sets, columns=7)            # a set's own size is not asked for
+    assert [[c for j, c in enumerate(r) if j != i] for i, r in enumerate(got.tolist())] == [
+        [c for j, c in enumerate(r) if j != i] for i, r in enumerate(want)]
+    assert J.intersections(sets[:2], sets[2:], columns=7).tolist() == [r[2:] for r in want[:2]]
