@@ -371,3 +371,29 @@ def test_k4_k5_reallocation(spark):
     assert K.avg_reallocation_days(nodes).first()[0] == 4
     p = K.reallocation_percentiles(nodes, regions).first()
     assert (p.region_name, p.median) == ("X", 2.5) and abs(p.p_8 - 5.8) < 1e-9   # not rounded
+
+
+def test_order_items_are_joined_and_counted_in_tasks_of_one_size(spark, tmp_path, monkeypatch):
+    from tally.operators import joins
+    from tally.sources import bind
+    n = 6000
+    spark.range(0, n, 1, 4).selectExpr(
+        "id as o_orderkey", "id % 70 as o_custkey", "timestamp_ntz '1996-01-01 00:00:00' as o_orderdate").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.range(0, 3 * n, 1, 4).selectExpr(
+        "id div 3 as l_orderkey", "id % 11 as l_partkey", "cast(id % 3 + 1 as int) as l_linenumber").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(joins, "TASK_BYTES", 2048)
+    try:
+        items = clean_orders(bind(spark, str(tmp_path)).customer_orders_raw)
+        sales = bind(spark, str(tmp_path)).sales
+        counted = V._per_order(items, ["pizza_id"])
+        most = lambda df: df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+        assert items.count() == sales.count() == 3 * n and counted.agg(F.sum("_rows")).first()[0] == 3 * n
+        assert max(map(most, (items, sales, counted))) < n
+        ids = [r[0] for r in with_record_id(items).select("record_id").collect()]
+        assert sorted(ids) == list(range(1, 3 * n + 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -12,7 +12,8 @@ from conftest import rows
 from tally.operators.anti import bloom_filter, drop_excluded, might_contain, not_in
 from tally.operators.bands import within_days
 from tally.operators.distinct import count_stored, stored_ids
-from tally.operators.skew import hot_hashes, hot_join
+from tally.operators.joins import parts_by_size
+from tally.operators.skew import hot_hashes, hot_join, sized_join
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +62,46 @@ def test_a_hot_key_does_not_meet_in_one_task(spark, facts):
             spark.conf.set(c, v)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def most_in_a_task(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_a_sized_join_has_tasks_of_one_size(spark, tmp_path, no_broadcast):
+    def table(name, df):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    ids = lambda n: spark.range(0, n, 1, 4).select(F.col("id").alias("k"), F.xxhash64("id").alias("v"))
+    a, b = table("a", ids(8000)), table("b", ids(8000).withColumnRenamed("v", "w"))
+    a2, b2 = table("a2", ids(16000)), table("b2", ids(16000).withColumnRenamed("v", "w"))
+    size = parts_by_size(a, b, 1) // 40
+    assert parts_by_size(a, b, size) in range(40, 43) and parts_by_size(a2, b2, size) in range(70, 90)
+    for left, right, n in ((a, b, 8000), (a2, b2, 16000)):
+        got = sized_join(left, right, ["k"], size)
+        assert most_in_a_task(got) < 600 and got.count() == n   # the plain join: more with every row
+    assert most_in_a_task(a2.join(b2, "k")) >= 2000
+    assert parts_by_size(a, b) is None and sized_join(a, b, ["k"]).count() == 8000
+
+
+def test_a_sized_join_equals_the_plain_join(spark, facts, tmp_path, no_broadcast):
+    facts.write.parquet(f"{tmp_path}/f")
+    dim(spark, hot=3).write.parquet(f"{tmp_path}/d")
+    f, d = spark.read.parquet(f"{tmp_path}/f"), spark.read.parquet(f"{tmp_path}/d").select("k", "name")
+    size = parts_by_size(f, d, 1) // 24
+    assert parts_by_size(f, d, size) and hot_hashes(f, ["k"])
+    got, want = sized_join(f, d, ["k"], size), f.join(d, "k")
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert most_in_a_task(got) < 0.3 * want.count()     # the hot key is spread
+
+
 def day(i):
     return dt.date(1969, 12, 1) + dt.timedelta(days=i)
 
