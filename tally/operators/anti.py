@@ -75,9 +75,8 @@ def drop_excluded(df: DataFrame, excluded: DataFrame, keys: Sequence[str], colum
     keys = list(keys)
     values = excluded.select(*keys, column)
     null_groups = values.where(F.col(column).isNull()).select(*keys).distinct()
-    groups = values.select(*keys).distinct().withColumn("_null", F.lit(True))
-    kept = _anti(df, values.where(F.col(column).isNotNull()), [*keys, column], bloom_bits)
-    kept = kept.join(null_groups, keys, "left_anti")
-    # rows with a NULL leave the groups that have values
-    return kept.withColumn("_null", F.when(F.col(column).isNull(), F.lit(True))).join(
-        groups, [*keys, "_null"], "left_anti").drop("_null").select(*df.columns)
+    known = _anti(df.where(F.col(column).isNotNull()), values.where(F.col(column).isNotNull()), [*keys, column], bloom_bits)
+    known = known.join(null_groups, keys, "left_anti")
+    # rows with a NULL equal no value: they need only the groups that have values
+    unknown = df.where(F.col(column).isNull()).join(values.select(*keys).distinct(), keys, "left_anti")
+    return known.unionByName(unknown).select(*df.columns)

@@ -397,3 +397,20 @@ def test_order_items_are_joined_and_counted_in_tasks_of_one_size(spark, tmp_path
         assert sorted(ids) == list(range(1, 3 * n + 1))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_only_recipes_of_records_with_exclusions_meet_them(spark):
+    lists = ["", "4", "2, 6", " ", None, "4, 9", "x"]
+    recs = spark.createDataFrame([(i, i % 3 + 1, lists[i % len(lists)]) for i in range(60)],
+                                 "record_id long, pizza_id int, exclusions string")
+    recipes = {1: ["2", "4", "6"], 2: ["4", "9"]}
+    rec = spark.createDataFrame([(p, t, f"t{t}") for p, ts in recipes.items() for t in ts],
+                                "pizza_id int, topping_id string, topping_name string")
+    got = V.ingredients_left(recs, rec)
+    want = [(i, t, f"t{t}") for i, p, x in recs.collect() for t in recipes.get(p, [])
+            if t not in [y.strip() for y in (x or "").split(",")]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("LeftAnti")]
+    # one anti join of the recipe rows, behind a filter on the list; other recipe rows pass beside it
+    assert "Union" in above and len([x for x in plan.splitlines() if "LeftAnti" in x and "topping_id" in x]) == 1
