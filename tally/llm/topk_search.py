@@ -14,20 +14,22 @@ d then satisfies d^2 = |q|^2 + M^2 - 2 * score, so the nearest are the best.
   a covering radius and the distance to the routing object of its parent.
 * *Home search.*  The queries of a tree are searched in it as it is built.  The
   score of the k-th best found is a floor for every other tree.
-* *Search.*  Queries go in blocks of ``QUERY_BLOCK`` to all other trees, each of
-  which is moved once.  Pages are opened best-first by d(q, routing) - radius,
-  until that exceeds the distance of the k-th best (at first the floor's); a tree
-  whose covering radius cannot reach it ends at its first page.  Before a
-  distance is computed, the stored parent distance gives |d(q, parent) - d(o,
-  parent)| as a lower bound; what it rules out is not computed.  Scores are
-  whole numbers, and a bound must exceed the k-th distance by a rounding margin,
-  so ties are resolved exactly.
-* *Merge.*  At most k rows per query and tree are ranked; Spark limits them per
+* *Search.*  The trees of a dimension are dealt to groves of at most ``GROVE_BYTES``;
+  a query goes to every grove once, a tree to its grove once.  A grove's trees are
+  held while its queries come by in blocks of at least ``QUERY_BLOCK``.  A block meets a
+  tree at once: pages are opened best-first by the least d(q, routing) - radius,
+  for those queries of the block for which that does not exceed the distance of the
+  k-th best so far (at first the floor's); a tree whose covering radius cannot reach
+  a query is not opened for it.  Before a distance is computed, the stored parent
+  distance gives |d(q, parent) - d(o, parent)| as a lower bound; what it rules out
+  for every query of the block is not computed.  Scores are whole numbers, and a bound
+  must exceed the k-th distance by a rounding margin, so ties are resolved exactly.
+* *Merge.*  At most k rows per query and grove are ranked; Spark limits them per
   query before the shuffle.
 
-No pair of query and candidate is ever written; an executor holds one tree
-and one block of queries.  Trees are dealt to as many partitions as there are
-trees, up to ``MAX_TASKS``.
+No pair of query and candidate or of query and tree is ever written; an executor's
+task holds one grove and one block of queries, whatever the table's size.  Trees are
+built in as many partitions as there are trees, up to ``MAX_TASKS``.
 
 Defined results: rows with a null id, a null vector, or null or non-finite
 components take no part; rows equal in id and vector count once; a query
@@ -58,6 +60,49 @@ FANOUT = 16
 QUERY_BLOCK = 1024
 PIVOTS = 1024
 MAX_TASKS = 20_000
+GROVE_BYTES = 32 << 20  # of vectors at 4 bytes a component
+GROVES = 64  # with more trees than that, so many at least
+NONE = np.iinfo(np.int64).min  # no score
+
+
+class Best:
+    """The k best candidates so far of each query of a block (n x d); ``floors``:
+    scores below them may be missing, ``NONE`` for no such score."""
+
+    def __init__(self, own: np.ndarray, vectors: np.ndarray, floors: np.ndarray, k: int):
+        n = len(own)
+        self.own, self.vectors, self.k = own, vectors, k
+        self.points = vectors.astype(np.float64)
+        self.squares = (self.points ** 2).sum(axis=1)
+        self.least = floors.astype(np.int64)  # of a candidate's score, and the id it must beat there
+        self.least_id = np.full(n, np.iinfo(np.int64).max)
+        self.ids, self.scores = np.zeros((n, k), np.int64), np.zeros((n, k), np.int64)
+        self.count = np.zeros(n, np.int64)
+
+    def offer(self, at: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Candidates ``ids`` with ``scores`` for the queries ``at``."""
+        fine = ((scores > self.least[at]) | (scores == self.least[at]) & (ids < self.least_id[at])) & (ids != self.own[at])
+        at, ids, scores = at[fine], ids[fine], scores[fine]
+        if not len(at):
+            return
+        met = np.unique(at)
+        held = np.arange(self.k) < self.count[met, None]
+        at = np.concatenate([np.repeat(met, self.count[met]), at])
+        ids, scores = np.concatenate([self.ids[met][held], ids]), np.concatenate([self.scores[met][held], scores])
+        order = np.lexsort((ids, -scores, at))
+        at, ids, scores = at[order], ids[order], scores[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        keep = rank < self.k
+        at, rank = at[keep], rank[keep]
+        self.ids[at, rank], self.scores[at, rank] = ids[keep], scores[keep]
+        np.maximum.at(self.count, at, rank + 1)
+        full = met[self.count[met] == self.k]
+        self.least[full], self.least_id[full] = self.scores[full, -1], self.ids[full, -1]
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """query ids, ids, scores: of each query best first, ties to smaller ids."""
+        held = np.arange(self.k) < self.count[:, None]
+        return np.repeat(self.own, self.count), self.ids[held], self.scores[held]
 
 
 class MTree:
@@ -66,7 +111,6 @@ class MTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE, fanout: int = FANOUT,
                  seed: int = 7):
         n = len(ids)
-        self.exact = _exact(vectors)
         points = vectors.astype(np.float64)
         squares = (points ** 2).sum(axis=1)
         self.top = float(squares.max()) if n else 0.0
@@ -85,8 +129,7 @@ class MTree:
         if n:
             self._grow(lifted, np.arange(n), None, order)
         at = np.concatenate(order) if order else np.zeros(0, dtype=np.int64)
-        self.ids, self.vectors = ids[at], vectors[at]
-        self.work = self.vectors.astype(np.float64) if self.exact else self.vectors
+        self.ids, self.vectors = ids[at], _compact(vectors[at])
         # inner pages keep their children's routing objects, radii and parent distances together
         self.inner = {p: (np.stack([self.routing[c] for c in kids]), np.array([self.radius[c] for c in kids]),
                           np.array([self.to_parent[c] for c in kids]))
@@ -126,58 +169,74 @@ class MTree:
     def search(self, query: np.ndarray, own, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best candidates, best first, ties to smaller ids.
         With a ``floor`` those below that score may be missing."""
-        none = np.zeros(0, dtype=np.int64)
-        if not len(self.ids):
-            return none, none
-        exact = self.exact and _exact(query[None, :], self.vectors)
-        q = query.astype(np.float64) if exact else query
-        store = self.work if exact else self.vectors
-        lifted = np.append(query.astype(np.float64), 0.0)
-        base = float(lifted @ lifted) + self.top
-        margin = 1e-6 * (1.0 + base ** 0.5)
-        ids, scores = none, none
-        far = reach = float("inf") if floor is None else max(0.0, base - 2.0 * float(floor)) ** 0.5
-        start = float(np.sqrt(((lifted - self.first) ** 2).sum()))
-        queue = [(max(0.0, start - self.radius[0]), 0, start)]
+        best = Best(np.array([own]), query[None, :], np.array([NONE if floor is None else floor]), k)
+        self.search_all(best, np.zeros(1, np.int64))
+        return best.found()[1:]
+
+    def search_all(self, best: Best, asked: np.ndarray) -> None:
+        """Offers ``best`` the candidates that its queries ``asked`` may need."""
+        if not len(self.ids) or not len(asked):
+            return
+        kind = _kind(self.top, float(best.squares[asked].max()))
+        base = best.squares + self.top
+        margin = 4e-6 * (1.0 + base ** 0.5)
+
+        def far(at: np.ndarray) -> np.ndarray:
+            least = best.least[at]
+            reach = np.sqrt(np.maximum(0.0, base[at] - 2.0 * least)) + margin[at]
+            return np.where(least == NONE, np.inf, reach)
+
+        def gaps(routing: np.ndarray, at: np.ndarray) -> np.ndarray:  # the queries' last coordinate is 0
+            apart = (routing ** 2).sum(axis=1)[:, None] + best.squares[at] - 2.0 * (routing[:, :-1] @ best.points[at].T)
+            return np.sqrt(np.maximum(0.0, apart))
+
+        start = gaps(self.first[None, :], asked)[0]
+        queue = [(float((start - self.radius[0]).min()), 0, asked, start)]
         while queue:
-            bound, page, d = heapq.heappop(queue)
-            if bound > far + margin:
-                break
+            _, page, at, d = heapq.heappop(queue)
+            reach = far(at)
+            near = d - self.radius[page] <= reach
+            if not near.all():
+                at, d, reach = at[near], d[near], reach[near]
+            if not len(at):
+                continue
             if page in self.inner:
                 routing, radius, to_parent = self.inner[page]
-                open_ = np.flatnonzero(np.abs(d - to_parent) - radius <= far + margin)
-                if not len(open_):
-                    continue
-                gaps = np.sqrt(((routing[open_] - lifted) ** 2).sum(axis=1))
-                for c, gap in zip(open_.tolist(), gaps.tolist()):
-                    low = gap - self.radius[self.children[page][c]]
-                    if low <= far + margin:
-                        heapq.heappush(queue, (max(0.0, low), self.children[page][c], gap))
+                may = np.abs(d - to_parent[:, None]) - radius[:, None] <= reach
+                open_ = np.flatnonzero(may.any(axis=1))
+                low = gaps(routing[open_], at) if len(open_) else []
+                for c, gap in zip(open_.tolist(), low):
+                    mine = may[c] & (gap - radius[c] <= reach)
+                    if mine.any():
+                        heapq.heappush(queue, (float((gap - radius[c])[mine].min()), self.children[page][c], at[mine], gap[mine]))
                 continue
             a, b = self.rows[page]
-            hit = a + np.flatnonzero((np.abs(d - self.row_dist[page]) <= far + margin)
-                                     & (self.ids[a:b] != own))
+            dist = self.row_dist[page]
+            hit = a + np.flatnonzero((dist >= (d - reach).min()) & (dist <= (d + reach).max()))
             if not len(hit):
                 continue
-            self.products += len(hit)
-            value = store[hit] @ q
-            if exact:
-                value = value.astype(np.int64)
-            all_ids = np.concatenate([ids, self.ids[hit]])
-            all_scores = np.concatenate([scores, value])
-            best = np.lexsort((all_ids, -all_scores))[:k]
-            ids, scores = all_ids[best], all_scores[best]
-            if len(ids) == k:
-                far = min(reach, max(0.0, base - 2.0 * float(scores[-1])) ** 0.5)
-        return ids, scores
-
-
-def _exact(a: np.ndarray, b: np.ndarray | None = None) -> bool:
-    """Whether inner products are whole numbers below 2^53 in double precision."""
-    b = a if b is None else b
-    if not a.size or not b.size:
-        return True
-    return float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2 ** 53
+            self.products += len(hit) * len(at)
+            value = best.vectors[at].astype(kind) @ self.vectors[hit].astype(kind).T
+            least = best.least[at]
+            if kind is not np.int64:  # rounded down, so that none is lost
+                least = np.where(least == NONE, -np.inf, np.nextafter(least.astype(kind), kind(-np.inf))).astype(kind)
+            q, row = np.divmod(np.flatnonzero(value >= least[:, None]), len(hit))
+            best.offer(at[q], self.ids[hit[row]], value[q, row].astype(np.int64))
+
+
+def _kind(a: float, b: float) -> type:
+    """A type in which inner products of whole vectors with squared norms up to
+    ``a`` and ``b``, and all sums on the way, are exact."""
+    most = 1.001 * (a * b) ** 0.5
+    return np.float32 if most < 2 ** 24 else np.float64 if most < 2 ** 53 else np.int64
+
+
+def _compact(vectors: np.ndarray) -> np.ndarray:
+    """The whole numbers in the smallest type that holds them."""
+    for kind in (np.int16, np.int32):
+        if not vectors.size or np.iinfo(kind).min <= vectors.min() and vectors.max() <= np.iinfo(kind).max:
+            return vectors.astype(kind)
+    return vectors
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -201,55 +260,61 @@ def _cells(pivots: dict[int, np.ndarray]):
     return run
 
 
-def _found(out: tuple[list, list, list]) -> pa.Array:
+def _found(best: Best) -> pa.Array:
     kind = pa.struct([(n, pa.int64()) for n in ("query_id", "vec_id", "score")])
-    rows = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in out], fields=list(kind))
+    rows = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in best.found()], fields=list(kind))
     return pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
 
 
-def _look(tree: MTree, ids, vectors, floors, k: int) -> tuple[list, list, list]:
-    out = ([], [], [])
-    for own, vector, floor in zip(ids, vectors, floors):
-        found, scores = tree.search(vector, own, k, floor)
-        out[0].extend([own] * len(found))
-        out[1].extend(found.tolist())
-        out[2].extend(scores.tolist())
-    return out
-
-
 def _build(page: int, fanout: int, k: int, query_block: int):
-    """One row per tree: its pages, blocks of its own queries with the scores of
-    their k-th best here, and what the queries find here."""
+    """One row per tree: its grove, its pages, blocks of its own queries with the
+    scores of their k-th best here, and what the queries find here."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        dim, number = (x.as_py() for x in key)
+        dim, number, groves = (x.as_py() for x in key)
         ids, vectors = table["_id"].to_numpy().astype(np.int64), _matrix(table["_vector"], dim)
         tree = MTree(ids, vectors, page, fanout)
         asked = np.flatnonzero(table["_asked"].to_numpy(zero_copy_only=False))
-        own, rows = ids[asked].tolist(), vectors[asked]
-        out = _look(tree, own, rows, [None] * len(own), k)
-        scores: dict[int, list[int]] = {}
-        for q, s in zip(out[0], out[2]):
-            scores.setdefault(q, []).append(s)
-        floors = [min(scores[q]) if len(scores.get(q, ())) == k else None for q in own]
-        blocks = [pickle.dumps((own[i:i + query_block], rows[i:i + query_block], floors[i:i + query_block]), protocol=5)
-                  for i in range(0, len(own), query_block)]
+        best = Best(ids[asked], _compact(vectors[asked]), np.full(len(asked), NONE), k)
+        for i in range(0, len(asked), query_block):
+            tree.search_all(best, np.arange(i, min(i + query_block, len(asked))))
+        blocks = [pickle.dumps((number, *(x[i:i + query_block] for x in (best.own, best.vectors, best.least))), protocol=5)
+                  for i in range(0, len(asked), query_block)]
         return pa.table({"_dim": pa.array([dim], pa.int32()), "_tree": pa.array([number], pa.int64()),
+                         "_groves": pa.array([groves], pa.int64()),
                          "_pages": pa.array([pickle.dumps(tree, protocol=5)], pa.binary()),
-                         "_blocks": pa.array([blocks], pa.list_(pa.binary())), "_found": _found(out)})
+                         "_blocks": pa.array([blocks], pa.list_(pa.binary())), "_found": _found(best)})
     return run
 
 
-def _search(k: int):
-    """What each block finds in the tree beside it (columns: _dim, _tree, _pages, _block)."""
+def _search(k: int, query_block: int):
+    """What the queries find in the trees of a grove other than their own (columns:
+    _dim, _grove, _tree, _part; of each grove first its trees, then blocks with no _tree)."""
     def run(batches):
-        last, tree = None, None
+        grove, trees, held = None, [], []
+
+        def found() -> pa.RecordBatch:
+            home = np.concatenate([np.full(len(own), number) for number, own, *_ in held])
+            best = Best(*(np.concatenate(x) for x in list(zip(*held))[1:]), k)
+            for number, tree in trees:
+                tree.search_all(best, np.flatnonzero(home != number))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in best.found()],
+                                              names=["query_id", "vec_id", "score"])
+
         for batch in batches:
-            for dim, number, pages, block in zip(*batch.columns):
-                if (dim, number) != last:
-                    last, tree = (dim, number), pickle.loads(pages.as_buffer())
-                out = _look(tree, *pickle.loads(block.as_py()), k)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
-                                                 names=["query_id", "vec_id", "score"])
+            for dim, number, tree, part in zip(*batch.columns):
+                if (dim, number) != grove:
+                    if held:
+                        yield found()
+                    grove, trees = (dim, number), []
+                if tree.is_valid:
+                    trees.append((tree.as_py(), pickle.loads(part.as_buffer())))
+                    continue
+                held.append(pickle.loads(part.as_buffer()))
+                if sum(len(x[1]) for x in held) >= query_block:
+                    yield found()
+        if held:
+            yield found()
     return run
 
 
@@ -277,30 +342,41 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = K, scale:
         F.count(F.lit(1)).alias("n"), F.max("_asked").alias("any")).where("any").collect()}
     held = whole.where(F.col("_dim").isin(list(dims)))
     first = Window.partitionBy("_dim").orderBy(F.xxhash64("_id", F.lit(3)), "_id")
+    most = max(dims.values(), default=0)
+    # up to this number of rows Spark limits them in every task, before they move
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(limit, str(max(PIVOTS, int(spark.conf.get(limit)))))
     pivots: dict[int, list] = {}
-    for r in held.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= PIVOTS).orderBy("_dim", "_n").collect():
+    for r in held.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).orderBy("_dim", "_n").collect():
         if len(pivots.setdefault(r["_dim"], [])) < dims[r["_dim"]]:
             pivots[r["_dim"]].append(r["_vector"])
     centres = {d: np.array(v, np.float64).reshape(len(v), d) for d, v in pivots.items()}
     celled = materialise(held.mapInArrow(
         _cells(centres), "_id long, _dim int, _vector array<long>, _asked boolean, _cell long"), "cells")
-    ways = small_side(materialise(celled.groupBy("_dim", "_cell").agg(
-        F.ceil(F.count(F.lit(1)) / tree_rows).cast("long").alias("_ways")), "cell-sizes"))
-    dealt = celled.join(ways, ["_dim", "_cell"]).withColumn(
-        "_tree", F.col("_cell") * (1 << 32) + F.pmod(F.xxhash64("_id"), F.col("_ways")))
-    n_trees = ways.agg(F.sum("_ways")).first()[0] or 0
-    parts = max(1, min(n_trees, MAX_TASKS))
-    built = materialise(dealt.repartition(parts, "_dim", "_tree").groupBy("_dim", "_tree").applyInArrow(
+    sizes = materialise(celled.groupBy("_dim", "_cell").agg(
+        F.ceil(F.count(F.lit(1)) / tree_rows).cast("long").alias("_ways")), "cell-sizes")
+    # trees are numbered in each dimension, groves follow from their number and size
+    upto, whole_dim = Window.partitionBy("_dim").orderBy("_cell"), Window.partitionBy("_dim")
+    n_trees, full = F.sum("_ways").over(whole_dim), F.col("_dim").cast("long") * (4 * tree_rows)
+    ways = small_side(materialise(sizes.select(
+        "_dim", "_cell", "_ways", (F.sum("_ways").over(upto) - F.col("_ways")).alias("_first"),
+        F.least(n_trees, F.greatest(F.lit(GROVES), F.ceil(
+            n_trees / F.greatest(F.lit(1), F.floor(F.lit(GROVE_BYTES) / F.greatest(full, F.lit(1))))))).cast("long").alias("_groves")),
+        "cell-trees"))
+    dealt = celled.join(ways, ["_dim", "_cell"]).withColumn("_tree", F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_ways")))
+    counted = ways.groupBy("_dim").agg(F.sum("_ways").alias("trees"), F.max("_groves").alias("groves"))
+    parts, groves = (max(1, min(n or 0, MAX_TASKS)) for n in counted.agg(F.sum("trees"), F.sum("groves")).first())
+    built = materialise(dealt.repartition(parts, "_dim", "_tree").groupBy("_dim", "_tree", "_groves").applyInArrow(
         _build(page, fanout, k, query_block),
-        "_dim int, _tree long, _pages binary, _blocks array<binary>, "
+        "_dim int, _tree long, _groves long, _pages binary, _blocks array<binary>, "
         "_found array<struct<query_id: long, vec_id: long, score: long>>"), "trees")
     home = built.select(F.explode("_found").alias("_f")).select("_f.*")
-    others = built.groupBy("_dim").agg(F.collect_list("_tree").alias("_trees"))
-    blocks = built.select("_dim", F.col("_tree").alias("_home"), F.explode("_blocks").alias("_block")).join(
-        others, "_dim").withColumn("_tree", F.explode("_trees")).where("_tree <> _home").drop("_trees")
-    trees = built.select("_dim", "_tree", "_pages").repartition(parts, "_dim", "_tree")
-    met = trees.join(blocks.repartition(parts, "_dim", "_tree"), ["_dim", "_tree"])
-    away = met.select("_dim", "_tree", "_pages", "_block").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    trees = built.select("_dim", (F.col("_tree") % F.col("_groves")).alias("_grove"), "_tree", F.col("_pages").alias("_part"))
+    blocks = built.select("_dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groves") - 1)).alias("_grove"), "_blocks").select(
+        "_dim", "_grove", F.lit(None).cast("long").alias("_tree"), F.explode("_blocks").alias("_part"))
+    met = trees.unionByName(blocks).repartition(groves, "_dim", "_grove").sortWithinPartitions(
+        "_dim", "_grove", F.col("_tree").asc_nulls_last())
+    away = met.mapInArrow(_search(k, query_block), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return home.unionByName(away).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 
 import numpy as np
@@ -95,3 +96,46 @@ def test_every_tree_is_a_task(spark):
     rows = [(i, [rng.gauss(0, 1) for _ in range(4)], 0, 1) for i in range(900)]
     got = K.top_k(spark.createDataFrame(rows, SCHEMA), tree_rows=100)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
+def test_pages_meet_no_block_in_a_row(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)], 0, 1) for i in range(600)]
+    got = K.top_k(spark.createDataFrame(rows, SCHEMA), tree_rows=50)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    points = np.random.default_rng(8).integers(-1024, 1024, size=(3000, 64))
+    assert len(pickle.dumps(K.MTree(np.arange(3000), points))) < points.nbytes / 2
+
+
+@pytest.mark.parametrize("groves", [1, 3, K.GROVES])
+def test_groves_of_several_trees_give_the_same(spark, monkeypatch, groves):
+    monkeypatch.setattr(K, "GROVES", groves)
+    monkeypatch.setattr(K, "GROVE_BYTES", 4 * 4 * 40 * 5)
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)], 0, 1) for i in range(700)]
+    rows += [(1000 + i, rows[100][1], 0, 1) for i in range(150)]
+    got = K.top_k(spark.createDataFrame(rows, SCHEMA), tree_rows=40, page=8, query_block=3)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
+@pytest.mark.parametrize("size", [1.0, 1e3, 2e5])  # float32, float64 and whole products
+def test_large_components(spark, size):
+    rng = random.Random(10)
+    rows = [(i, [size * rng.gauss(0, 1) for _ in range(5)], 0, 1) for i in range(500)]
+    rows += [(1000 + i, [size * 3.0] * 5, 0, 1) for i in range(2)]
+    got = K.top_k(spark.createDataFrame(rows, SCHEMA), tree_rows=60, page=8, fanout=3)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
+def test_a_block_finds_what_single_queries_find():
+    points = np.random.default_rng(11).integers(-40, 40, size=(900, 5))
+    tree = K.MTree(np.arange(900), points, page=16, fanout=4)
+    best = K.Best(np.arange(60), points[:60], np.full(60, K.NONE), 10)
+    tree.search_all(best, np.arange(0, 60, 2))
+    own, ids, scores = (x.tolist() for x in best.found())
+    assert list(zip(own, ids, scores)) == [
+        (q, i, s) for q in range(0, 60, 2) for i, s in zip(*(x.tolist() for x in tree.search(points[q], q, 10)))]
+    value = points[:60:2] @ points.T
+    for n, q in enumerate(range(0, 60, 2)):
+        brute_ids = sorted((-s, i) for i, s in enumerate(value[n].tolist()) if i != q)[:10]
+        assert [(-s, i) for o, i, s in zip(own, ids, scores) if o == q] == brute_ids
