@@ -7,20 +7,21 @@ removed, redundant (failing, but removed before), failed by this filter alone,
 and lost of good and of toxic documents; ``shapley`` is a filter's removals
 summed over all orders.
 
-Method.  One pass cuts the documents into shards of about ``SHARD_BYTES`` of text
-and writes each as a word list and CSR arrays over it (row bounds, columns,
-counts).  The global dictionary is the distinct words of all shards, each with a
-code: its 63-bit hash, or, for words that share a hash (counted over the whole
-dictionary; about n^2 / 2^64 of n words), a negative number of their own.  So a
-code stands for one word, and a shard turns its columns into codes where it
-lies, without a join.  Row sums (words) and counts of nonzero cells (different
-codes) decide A and B, the other flags are attached by document, and one
-aggregate counts documents by part, set of failed filters and labels; only
-those counts meet the 120 orders.
+Method.  The documents are cut into shards of about ``SHARD_BYTES`` of text where they
+lie; a shard is a word list and CSR arrays over it (row bounds, columns, counts).
+A first pass writes the different words of each shard; those of all shards are the
+global dictionary, each with a code: its 63-bit hash, or, for words that share a
+hash (counted over the whole dictionary; about n^2 / 2^64 of n words), a negative
+number of their own.  So a code stands for one word, and in a second pass a shard
+turns its columns into codes in the Python worker that cuts it, without a join.
+Row sums (words) and counts of nonzero cells (different codes) decide A and B, the
+other flags are attached by document, and one aggregate counts documents by part,
+set of failed filters and labels; only those counts meet the 120 orders.
 
 What moves: the different words of each task once, a hash per different word, a
-digest and the flags per document.  No task holds more than a shard or one
-document, and a word of every document is one row per task.
+digest and the flags per document.  Shards are neither written nor handed to Spark
+as rows (``shards`` does so for other uses): a task holds one in its Python worker,
+or one document, and rows are words and documents' figures.
 
 Results.  A null text is empty: no words, so A fails and B does not.  A null lang
 counts as the empty string.  Repeated rows are documents like others; with equal
@@ -40,11 +41,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, materialise, ship_package, text_of
+from .common import materialise, ship_package, text_of
 
 SHARD_BYTES = 2 << 20
 CODE_BITS = 63
@@ -54,13 +56,12 @@ MAX_CAPITALS_PCT = 3
 SPECIAL = "#$%&*|"
 FILTERS = "ABCDE"
 
-_SPLIT = "[" + SPACE_CLASS + "]+"
+_SEED = 42  # of Spark's xxhash64
 _CAPITAL = np.array([65 <= b <= 90 for b in range(256)])
 _SPECIAL = np.array([chr(b) in SPECIAL for b in range(256)])
 _INNER = np.array([b & 0xC0 == 0x80 for b in range(256)])  # bytes that begin no code point
 
 CELLS = "shard long, cols array<long>, counts array<int>, bounds array<long>"
-LOCAL_CELLS = CELLS.replace("cols array<long>", "cols array<int>")
 DOCS = "parts array<string>, digests array<binary>, chars array<long>, capitals array<long>, specials array<long>"
 
 
@@ -80,71 +81,80 @@ def _one(values, kind: pa.DataType | None = None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _cells(texts: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, row bounds, columns, counts) of the local document-term matrix."""
-    pieces = pc.split_pattern_regex(texts, _SPLIT)
+def _codes(code_bits: int, clashes: dict[str, int]):
+    """Gives the codes of words.  ``clashes``: the words with codes of their own, if any."""
+    own = None if not clashes else (pa.array(list(clashes), pa.string()), np.array(list(clashes.values()), np.int64))
+    mask = np.uint64((1 << code_bits) - 1)
+
+    def of(words: pa.LargeStringArray) -> np.ndarray:
+        hashes = map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_numpy(zero_copy_only=False), itertools.repeat(_SEED))
+        codes = (np.fromiter(hashes, np.uint64, len(words)) & mask).astype(np.int64)
+        if own is not None:
+            found = pc.index_in(words.cast(pa.string()), value_set=own[0]).fill_null(-1).to_numpy()
+            codes = np.where(found < 0, codes, own[1][found])
+        return codes
+    return of
+
+
+def _cells(texts: pa.LargeStringArray, codes_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row bounds, columns, counts) of the document-term matrix, columns ascending in each row."""
+    pieces = pc.ascii_split_whitespace(texts)
     rows = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy(zero_copy_only=False))
     coded = pieces.flatten().dictionary_encode()
     words, cols = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     real = pc.not_equal(words, "").to_numpy(zero_copy_only=False).astype(bool)  # the split leaves '' at a text's ends
-    place, held = np.cumsum(real) - 1, real[cols]
-    rows, cols, words = rows[held], place[cols[held]], words.filter(pa.array(real))
-    width = max(len(words), 1)
-    cell, counts = np.unique(rows * width + cols, return_counts=True)
+    codes = codes_of(words)
+    order = np.argsort(codes, kind="stable")
+    codes, place = codes[order], np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    held, width = real[cols], max(len(words), 1)
+    cell, counts = np.unique(rows[held] * width + place[cols[held]], return_counts=True)
     bounds = np.searchsorted(cell, np.arange(len(texts) + 1) * width)
-    return words, bounds, cell % width, counts
+    return bounds, codes[cell % width], counts
 
 
-def _shards(shard_bytes: int):
-    """Shards of the documents (columns: text, doc_id, part, digest)."""
+def _cut(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[list[pa.Array]]:
+    """The columns of one shard after the other; the first, the text, makes its size."""
+    held, size = [], 0
+
+    def shard() -> list[pa.Array]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        text, *rest = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns)
+        return [text.cast(pa.large_string()), *rest]
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 250):
+            held.append(batch.slice(at, 250))
+            size += held[-1].column(0).nbytes
+            if size >= shard_bytes:
+                yield shard()
+                held, size = [], 0
+    if held:
+        yield shard()
+
+
+def _words(shard_bytes: int):
+    """The different words of each shard (column: text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
-        held, size = [], 0
-
-        def shard(number: int) -> pa.RecordBatch:
-            table = pa.Table.from_batches(held).combine_chunks()
-            text, doc_id, part, digest = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns)
-            text = text.cast(pa.large_string())
-            words, bounds, cols, counts = _cells(text)
-            chars = np.diff(np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), _one(cols, pa.int32()), _one(counts, pa.int32()), _one(bounds, pa.int64()),
-                 _one(part.cast(pa.string())), _one(digest.cast(pa.binary())), _one(chars - _hits(text, _INNER), pa.int64()),
-                 _one(_hits(text, _CAPITAL), pa.int64()), _one(_hits(text, _SPECIAL), pa.int64()), _one(doc_id),
-                 _one(words.cast(pa.string()))],
-                names=["shard", "cols", "counts", "bounds", "parts", "digests", "chars", "capitals", "specials",
-                       "doc_ids", "words"])
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                held.append(batch.slice(at, 250))
-                size += held[-1].column(0).nbytes
-                if size >= shard_bytes:
-                    yield shard(number)
-                    number, held, size = number + 1, [], 0
-        if held:
-            yield shard(number)
+        for text, in _cut(batches, shard_bytes):
+            words = pc.ascii_split_whitespace(text).flatten().unique()
+            words = words.filter(pc.not_equal(words, ""))
+            yield pa.RecordBatch.from_arrays([words.cast(pa.string())], names=["word"])
     return run
 
 
-def _globally(clashes):
-    """The shards with codes for columns, ascending in each row.  ``clashes``:
-    the words with codes of their own, if any."""
-    own = None if not clashes else (pa.array(list(clashes), pa.string()), np.array(list(clashes.values()), np.int64))
-
+def _shards(shard_bytes: int, codes_of):
+    """Shards of the documents (columns: text, doc_id, part, digest), with codes for columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                shard = {n: batch.column(n).slice(i, 1) for n in batch.schema.names}
-                codes = shard.pop("codes").flatten().to_numpy()
-                if own is not None:
-                    found = pc.index_in(shard.pop("words").flatten(), value_set=own[0]).fill_null(-1).to_numpy()
-                    codes = np.where(found < 0, codes, own[1][found])
-                cols, counts, bounds = (shard[n].flatten().to_numpy() for n in ("cols", "counts", "bounds"))
-                cols, rows = codes[cols], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                order = np.lexsort((cols, rows))
-                shard |= {"cols": _one(cols[order], pa.int64()), "counts": _one(counts[order], pa.int32())}
-                yield pa.RecordBatch.from_arrays(list(shard.values()), names=list(shard))
+        first = TaskContext.get().partitionId() << 33
+        for number, (text, doc_id, part, digest) in enumerate(_cut(batches, shard_bytes), first):
+            bounds, cols, counts = _cells(text, codes_of)
+            chars = np.diff(np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), _one(cols, pa.int64()), _one(counts, pa.int32()), _one(bounds, pa.int64()),
+                 _one(part.cast(pa.string())), _one(digest.cast(pa.binary())), _one(chars - _hits(text, _INNER), pa.int64()),
+                 _one(_hits(text, _CAPITAL), pa.int64()), _one(_hits(text, _SPECIAL), pa.int64()), _one(doc_id)],
+                names=["shard", "cols", "counts", "bounds", "parts", "digests", "chars", "capitals", "specials", "doc_ids"])
     return run
 
 
@@ -171,14 +181,13 @@ class TermMatrix:
 
     def __init__(self, docs: DataFrame, shard_bytes: int = SHARD_BYTES, code_bits: int = CODE_BITS):
         ship_package(docs.sparkSession)
-        src = docs.select(text_of().alias("text"), "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
-                          F.unhex(F.sha2(text_of(), 256)).alias("digest"))
-        self._id_kind = src.schema["doc_id"].dataType.simpleString()
-        rows = f"{DOCS}, doc_ids array<{self._id_kind}>"
-        self._kinds = f"{CELLS}, {rows}"
+        self._docs = docs.select(
+            text_of().alias("text"), "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
+            F.unhex(F.sha2(text_of(), 256)).alias("digest"))
+        self._id_kind = self._docs.schema["doc_id"].dataType.simpleString()
+        self._shard_bytes, self._code_bits = shard_bytes, code_bits
         self._code = lambda w: F.xxhash64(w).bitwiseAND((1 << code_bits) - 1)
-        self._local = materialise(src.mapInArrow(_shards(shard_bytes), f"{LOCAL_CELLS}, {rows}, words array<string>"), "term-shards")
-        self._words = self._local.select(F.explode("words").alias("word")).distinct()
+        self._words = self._docs.select("text").mapInArrow(_words(shard_bytes), "word string").distinct()
         self._clashes = self._find_clashes()
 
     def _find_clashes(self) -> dict[str, int]:
@@ -198,19 +207,18 @@ class TermMatrix:
             code = F.when(F.col("word") == w, F.lit(c)).otherwise(code)
         return self._words.select("word", code.alias("code"))
 
-    def _coded(self) -> DataFrame:
-        coded = self._local.withColumn("codes", F.transform("words", self._code))
-        return coded if self._clashes else coded.drop("words")
+    def _cut(self):
+        return _shards(self._shard_bytes, _codes(self._code_bits, self._clashes))
 
     @property
     def shards(self) -> DataFrame:
-        return self._coded().mapInArrow(_globally(self._clashes), self._kinds)
+        return self._docs.mapInArrow(self._cut(), f"{CELLS}, {DOCS}, doc_ids array<{self._id_kind}>")
 
     def documents(self) -> DataFrame:
         """doc_id, part, digest, n_words, n_distinct, n_chars, n_capitals, n_special per row of the matrix."""
-        globally = _globally(self._clashes)
-        return self._coded().mapInArrow(
-            lambda batches: _row_sums(globally(batches)),
+        shards = self._cut()
+        return self._docs.mapInArrow(
+            lambda batches: _row_sums(shards(batches)),
             f"doc_id {self._id_kind}, part string, digest binary, n_words long, n_distinct long, "
             "n_chars long, n_capitals long, n_special long")
 

@@ -92,3 +92,28 @@ def test_empty_tables(spark):
     assert A.audit(empty_docs(spark), no_labels).collect() == []
     got = A.audit(messy_docs(spark), no_labels)
     assert sorted(map(tuple, got.collect())) == brute(messy_rows(), [])
+
+
+def test_no_shard_is_written_or_given_to_spark_as_a_row(spark, monkeypatch):
+    written = {}
+    whole = A.materialise
+
+    def noted(df, label):
+        written[label] = df.columns
+        assert "parquet" not in df._jdf.queryExecution().optimizedPlan().toString().lower()  # nothing read back
+        return whole(df, label)
+
+    monkeypatch.setattr(A, "materialise", noted)
+    docs = spark.createDataFrame(rows(), DOCS).repartition(4)
+    got = A.audit(docs, spark.createDataFrame(label_rows(), LABELS))
+    assert sorted(map(tuple, got.collect())) == brute(rows(), LABEL_ROWS)
+    assert written == {"term-rows": ["doc_id", "part", "digest", "n_words", "n_distinct", "n_chars", "n_capitals", "n_special"]}
+
+
+def test_codes_in_shards_are_the_dictionarys(spark):
+    texts = [(1, "a ab\tabc\x0bä 日本語 𝔸\x0c " + "long" * 30 + " \x1c\x85\xa0 a", None), (2, "\n  \r", None), (3, None, None)]
+    m = A.TermMatrix(spark.createDataFrame(texts, "doc_id bigint, text string, lang string"))
+    names = {r["code"]: r["word"] for r in m.dictionary.collect()}
+    got = {d: {names[c]: n for c, n in zip(s["cols"][a:b], s["counts"][a:b])}
+           for s in m.shards.collect() for d, a, b in zip(s["doc_ids"], s["bounds"], s["bounds"][1:])}
+    assert got == {d: Counter(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t, _ in texts}
